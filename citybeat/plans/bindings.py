@@ -110,3 +110,91 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(r, n.n_regionkey == r.r_regionkey)
         .select(F.col("s_suppkey").alias("LocationID"), F.col("r_name").alias("Borough"), F.col("n_name").alias("Zone"))
     )
+
+
+# --- bikes ------------------------------------------------------------------
+
+BIKE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
+def raw_bike_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E as a raw bike-trip CSV (all strings, dirty on purpose).
+
+    started_at is written in one of three formats (event_id mod 3) with
+    blank tokens injected; ended_at = ts + value minutes; stations are
+    user_id mod 40 (end: (7*user_id + event_id) mod 40) with some names
+    missing; ride_id is missing for values under 1; member type from
+    user_id mod 4 = 0, unknown for user_id mod 13 = 0.
+    """
+    ev = table(spark, sf_dir, "events")
+    ts = F.col("ts")
+    start_str = (
+        F.when(F.col("event_id") % 17 == 0, F.lit(""))
+        .when(F.col("event_id") % 19 == 0, F.lit("NaT"))
+        .when(F.col("event_id") % 3 == 0, F.date_format(ts, BIKE_FORMATS[0]))
+        .when(F.col("event_id") % 3 == 1, F.date_format(ts, BIKE_FORMATS[1]))
+        .otherwise(F.date_format(ts, BIKE_FORMATS[2]))
+    )
+    end_ts = F.timestamp_micros(F.unix_micros(ts.cast("timestamp")) + F.floor(F.col("value") * 60_000_000.0))
+    s_id = F.col("user_id") % 40
+    e_id = (F.col("user_id") * 7 + F.col("event_id")) % 40
+    return ev.select(
+        F.when(F.col("value") >= 1, F.concat(F.lit("R"), F.col("event_id").cast("string"))).alias("ride_id"),
+        F.col("event_type").alias("rideable_type"),
+        start_str.alias("started_at"),
+        F.date_format(end_ts, BIKE_FORMATS[0]).alias("ended_at"),
+        F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("Station "), s_id.cast("string"))).alias("start_station_name"),
+        F.when(F.col("event_id") % 23 != 0, s_id.cast("string")).alias("start_station_id"),
+        F.when(F.col("event_id") % 7 != 0, F.concat(F.lit("Station "), e_id.cast("string"))).alias("end_station_name"),
+        e_id.cast("string").alias("end_station_id"),
+        (F.lit(40.60) + s_id * 0.005).cast("string").alias("start_lat"),
+        (F.lit(-74.05) + s_id * 0.004).cast("string").alias("start_lng"),
+        (F.lit(40.60) + e_id * 0.005).cast("string").alias("end_lat"),
+        (F.lit(-74.05) + e_id * 0.004).cast("string").alias("end_lng"),
+        F.when(F.col("user_id") % 13 == 0, F.lit(None).cast("string"))
+        .when(F.col("user_id") % 4 == 0, F.lit("member"))
+        .otherwise(F.lit("casual"))
+        .alias("member_casual"),
+    )
+
+
+def bike_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from citybeat.operators.bikes import clean_trips
+
+    return clean_trips(raw_bike_rows(spark, sf_dir), BIKE_FORMATS)
+
+
+def nation_flow_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L as bike trips between nations: start = customer nation, end = supplier nation.
+
+    ride_key orders rows for 'first non-null' (order key, line number);
+    duration = l_quantity minutes; coordinates derived from the nation key.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    start_n = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("start_station_name"))
+    end_n = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("end_station_name"))
+    t = (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .join(c, F.col("o_custkey") == c.c_custkey)
+        .join(s, F.col("l_suppkey") == s.s_suppkey)
+        .join(start_n, "c_nationkey", "left")
+        .join(end_n, "s_nationkey", "left")
+    )
+    return t.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ride_id"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ride_key"),
+        F.col("o_orderdate").alias("started_at"),
+        F.col("l_quantity").alias("duration_min"),
+        F.col("c_nationkey").cast("string").alias("start_station_id"),
+        "start_station_name",
+        (F.lit(40.5) + F.col("c_nationkey") * 0.01).alias("start_lat"),
+        (F.lit(-74.1) + F.col("c_nationkey") * 0.007).alias("start_lng"),
+        F.col("s_nationkey").cast("string").alias("end_station_id"),
+        "end_station_name",
+        (F.lit(40.5) + F.col("s_nationkey") * 0.01).alias("end_lat"),
+        (F.lit(-74.1) + F.col("s_nationkey") * 0.007).alias("end_lng"),
+    )

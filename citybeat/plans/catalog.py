@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citybeat.operators import taxi
+from citybeat.operators import bikes, taxi
 from citybeat.plans import bindings as B
-from citybeat.plans import oracle_taxi
+from citybeat.plans import oracle_bikes, oracle_taxi
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,13 +40,29 @@ def _taxi_queries() -> dict[str, Query]:
     }
 
 
+def _bike_queries() -> dict[str, Query]:
+    return {
+        "clean_bikes": lambda s, d: B.bike_trips(s, d),
+        "top_flows": lambda s, d: bikes.top_flows(B.nation_flow_trips(s, d)),
+        "top_stations": lambda s, d: bikes.top_start_stations(B.nation_flow_trips(s, d)),
+        "hourly_by_user": lambda s, d: bikes.hourly_by_user(B.bike_trips(s, d)),
+        "weekday_by_user": lambda s, d: bikes.weekday_by_user(B.bike_trips(s, d)),
+        "type_share": lambda s, d: bikes.rideable_type_share(B.bike_trips(s, d)),
+        "member_share": lambda s, d: bikes.member_share(B.bike_trips(s, d)),
+        "bike_duration_bins": lambda s, d: bikes.duration_bins(B.bike_trips(s, d)),
+        "duration_member_pivot": lambda s, d: bikes.duration_member_pivot(B.bike_trips(s, d)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_taxi_queries())
+    out.update(_bike_queries())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle_taxi.oracles())
+    out.update(oracle_bikes.oracles())
     return out
