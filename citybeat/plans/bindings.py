@@ -198,3 +198,50 @@ def nation_flow_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(40.5) + F.col("s_nationkey") * 0.01).alias("end_lat"),
         (F.lit(-74.1) + F.col("s_nationkey") * 0.007).alias("end_lng"),
     )
+
+
+# --- traffic counts -----------------------------------------------------------
+
+
+def raw_traffic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E joined to R as automated traffic counts.
+
+    Boro = region name of user_id mod 5 with messy case and padding; Yr/M/D/HH
+    from ts, with impossible Feb 30 dates (event_id mod 29 = 0) and missing
+    years (event_id mod 31 = 0); Vol = floor(value), negative for a third of
+    'error' rows; Direction from event_type with blanks and nulls; street
+    parts from user_id.
+    """
+    ev = table(spark, sf_dir, "events")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    ev = ev.join(region, (ev.user_id % 5) == region.r_regionkey, "left")
+    boro = F.when(F.col("event_id") % 2 == 0, F.lower("r_name")).otherwise(F.concat(F.lit("  "), F.col("r_name"), F.lit(" ")))
+    feb30 = F.col("event_id") % 29 == 0
+    vol = F.floor("value").cast("int")
+    direction = (
+        F.when(F.col("event_type") == "click", F.lit(" nb"))
+        .when(F.col("event_type") == "view", F.lit("SB "))
+        .when(F.col("event_type") == "purchase", F.lit(""))
+        .when(F.col("event_type") == "error", F.lit("eb"))
+        .otherwise(F.lit(None).cast("string"))
+    )
+    return ev.select(
+        boro.alias("Boro"),
+        F.when(F.col("event_id") % 31 != 0, F.year("ts")).alias("Yr"),
+        F.when(feb30, F.lit(2)).otherwise(F.month("ts")).alias("M"),
+        F.when(feb30, F.lit(30)).otherwise(F.dayofmonth("ts")).alias("D"),
+        F.hour("ts").alias("HH"),
+        F.when((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0), -vol - 1).otherwise(vol).alias("Vol"),
+        F.concat(F.lit("Street "), (F.col("user_id") % 17).cast("string")).alias("street"),
+        F.when(F.col("user_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("Ave "), (F.col("user_id") % 5).cast("string"))).alias("fromSt"),
+        F.when(F.col("user_id") % 7 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit(" Blvd "), (F.col("user_id") % 4).cast("string"), F.lit(" ")))
+        .alias("toSt"),
+        direction.alias("Direction"),
+    )
+
+
+def traffic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from citybeat.operators.traffic import clean_counts
+
+    return clean_counts(raw_traffic_counts(spark, sf_dir))

@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citybeat.operators import bikes, taxi
+from citybeat.operators import bikes, taxi, traffic
 from citybeat.plans import bindings as B
-from citybeat.plans import oracle_bikes, oracle_taxi
+from citybeat.plans import oracle_bikes, oracle_taxi, oracle_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,10 +54,26 @@ def _bike_queries() -> dict[str, Query]:
     }
 
 
+def _traffic_queries() -> dict[str, Query]:
+    return {
+        "clean_traffic": lambda s, d: B.traffic_counts(s, d).drop(),
+        "hourly_by_borough": lambda s, d: traffic.hourly_by_borough(B.traffic_counts(s, d)),
+        "monthly_by_borough": lambda s, d: traffic.monthly_by_borough(B.traffic_counts(s, d)),
+        "weekend_by_borough": lambda s, d: traffic.weekend_by_borough(B.traffic_counts(s, d)),
+        "weekday_share": lambda s, d: traffic.weekday_share(B.traffic_counts(s, d)),
+        "direction_by_borough": lambda s, d: traffic.direction_by_borough(B.traffic_counts(s, d)),
+        "day_of_week": lambda s, d: traffic.day_of_week(B.traffic_counts(s, d)),
+        "borough_avg": lambda s, d: traffic.borough_average(B.traffic_counts(s, d)),
+        "top_corridors": lambda s, d: traffic.top_corridors(B.traffic_counts(s, d)),
+        "weekend_pivot": lambda s, d: traffic.weekend_pivot(B.traffic_counts(s, d)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_taxi_queries())
     out.update(_bike_queries())
+    out.update(_traffic_queries())
     return out
 
 
@@ -65,4 +81,5 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(oracle_taxi.oracles())
     out.update(oracle_bikes.oracles())
+    out.update(oracle_traffic.oracles())
     return out
