@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citybeat.plans.tables import table
+from citybeat.plans.tables import table  # noqa: F401  (re-exported)
 from citybeat.sources.trips import normalize_trips
 
 # Years kept by the trip queries (P5): the tables span 1995-2001.
@@ -245,3 +245,46 @@ def traffic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from citybeat.operators.traffic import clean_counts
 
     return clean_counts(raw_traffic_counts(spark, sf_dir))
+
+
+# --- ridership ----------------------------------------------------------------
+
+# Modes known to the mode charts; '5-LOW' plays an unknown mode.
+KNOWN_MODES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+
+
+def ridership_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O as ridership rows: mode=o_orderpriority, year of o_orderdate,
+    ridership=o_totalprice.  The ('5-LOW', 1996) cell is left out so that
+    the year x mode grid has a hole to fill."""
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(
+        F.col("o_orderpriority").alias("mode"),
+        F.year("o_orderdate").alias("year"),
+        F.col("o_totalprice").alias("ridership"),
+    )
+    return rows.filter(~((F.col("mode") == "5-LOW") & (F.col("year") == 1996)))
+
+
+# --- timestamps as numbers and digit strings ------------------------------------
+
+
+def epoch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E.ts written as epoch seconds / ms / us / ns (event_id mod 4) and as
+    14, 12 or 8 digit strings (event_id mod 3)."""
+    ev = table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    unit = F.col("event_id") % 4
+    value = (
+        F.when(unit == 0, F.floor(micros / F.lit(1_000_000)))
+        .when(unit == 1, F.floor(micros / F.lit(1000)))
+        .when(unit == 2, micros)
+        .otherwise(micros * 1000)
+    )
+    fmt = F.col("event_id") % 3
+    digits = (
+        F.when(fmt == 0, F.date_format("ts", "yyyyMMddHHmmss"))
+        .when(fmt == 1, F.date_format("ts", "yyyyMMddHHmm"))
+        .otherwise(F.date_format("ts", "yyyyMMdd"))
+    )
+    return ev.select("event_id", value.cast("long").alias("epoch_value"), digits.alias("digits"))

@@ -11,9 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citybeat.operators import bikes, taxi, traffic
+from pyspark.sql import functions as F
+
+from citybeat.constants import TIP_LABELS, TIP_ZERO_LABEL
+from citybeat.functions.datetime import compact_digits_to_timestamp, epoch_to_timestamp
+from citybeat.operators import bikes, grid, ridership, sampling, taxi, traffic
 from citybeat.plans import bindings as B
-from citybeat.plans import oracle_bikes, oracle_taxi, oracle_traffic
+from citybeat.plans import oracle_bikes, oracle_misc, oracle_taxi, oracle_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,11 +73,47 @@ def _traffic_queries() -> dict[str, Query]:
     }
 
 
+def _epoch_units(s: SparkSession, d: str) -> DataFrame:
+    rows = B.epoch_rows(s, d)
+    return rows.select(
+        "event_id",
+        "epoch_value",
+        epoch_to_timestamp("epoch_value").cast("timestamp_ntz").alias("from_epoch"),
+        "digits",
+        compact_digits_to_timestamp("digits").cast("timestamp_ntz").alias("from_digits"),
+    )
+
+
+def _means(s: SparkSession, d: str) -> DataFrame:
+    return ridership.mode_year_means(B.ridership_rows(s, d))
+
+
+def _misc_queries() -> dict[str, Query]:
+    return {
+        "epoch_units": _epoch_units,
+        "ridership_mean": lambda s, d: _means(s, d).select("mode", "year", "ridership"),
+        "mode_totals": lambda s, d: ridership.year_totals(_means(s, d), B.KNOWN_MODES),
+        "mode_share": lambda s, d: ridership.mode_share(_means(s, d)),
+        "latest_year_share": lambda s, d: ridership.latest_year_share(_means(s, d), B.KNOWN_MODES),
+        "featured_years": lambda s, d: ridership.featured_years(_means(s, d)),
+        "year_mode_pivot": lambda s, d: ridership.stacked_pivot(_means(s, d), B.KNOWN_MODES),
+        "distinct_years": lambda s, d: ridership.distinct_years(B.ridership_rows(s, d)),
+        "category_grid": lambda s, d: grid.category_grid(
+            taxi.tip_rate_bins(B.trips(s, d)), "service", "tip_bin", "trips", [TIP_ZERO_LABEL] + TIP_LABELS
+        ),
+        "systematic_sample": lambda s, d: sampling.systematic_sample(
+            B.table(s, d, "events").select("event_id", "event_type", F.col("ts"), "value"),
+            ["event_type"], ["ts", "event_id"], 500,
+        ),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_taxi_queries())
     out.update(_bike_queries())
     out.update(_traffic_queries())
+    out.update(_misc_queries())
     return out
 
 
@@ -82,4 +122,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle_taxi.oracles())
     out.update(oracle_bikes.oracles())
     out.update(oracle_traffic.oracles())
+    out.update(oracle_misc.oracles())
     return out
