@@ -92,3 +92,6 @@ CIRCLE_MODES = {"walking": 4.8, "cycling": 15.0, "driving": 30.0}
 TARGET_ROUTES = 10
 CANDIDATE_LIMIT = 30
 PAD_DEGREES = 0.02
+
+# --- fixed values: street-network modes (km/h) --------------------------------
+NETWORK_MODES = {"walking": 4.8, "cycling": 15.0, "driving": 25.0, "bus": 18.0, "subway": 30.0}

@@ -288,3 +288,83 @@ def epoch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format("ts", "yyyyMMdd"))
     )
     return ev.select("event_id", value.cast("long").alias("epoch_value"), digits.alias("digits"))
+
+
+# --- spatial --------------------------------------------------------------------
+
+# Fixed polygons (integer tenths): a square, a triangle and a concave L.
+POLYGONS = [
+    (1, [(100, 100), (400, 100), (400, 400), (100, 400), (100, 100)]),
+    (2, [(500, 500), (900, 520), (700, 900), (500, 500)]),
+    (3, [(100, 600), (300, 600), (300, 700), (200, 700), (200, 900), (100, 900), (100, 600)]),
+]
+
+
+def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C as points on a 0..999 integer grid (tenths of a unit)."""
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", (F.col("c_custkey") * 37 % 1000).alias("x"), (F.col("c_custkey") * 91 % 1000).alias("y"))
+
+
+def supplier_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S as points on the same grid."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select("s_suppkey", (F.col("s_suppkey") * 53 % 1000).alias("x"), (F.col("s_suppkey") * 29 % 1000).alias("y"))
+
+
+def polygons(spark: SparkSession) -> DataFrame:
+    rows = [(pid, [{"x": x, "y": y} for x, y in ring]) for pid, ring in POLYGONS]
+    return spark.createDataFrame(rows, "poly_id int, ring array<struct<x:long,y:long>>")
+
+
+def supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S in degrees: lng = -74.05 + x/10000, lat = 40.6 + y/10000."""
+    p = supplier_points(spark, sf_dir)
+    return p.select("s_suppkey", (F.lit(-74.05) + F.col("x") / 10000.0).alias("lng"), (F.lit(40.6) + F.col("y") / 10000.0).alias("lat"))
+
+
+def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's line items, in line-number order, as a path through supplier locations.
+
+    Line numbers repeat within an order in these tables, so the sequence key
+    is (line number, supplier): rows that still tie are the same point.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    geo = supplier_geo(spark, sf_dir)
+    seq = F.col("l_linenumber").cast("long") * 1_000_000 + F.col("l_suppkey")
+    return li.join(geo, li.l_suppkey == geo.s_suppkey).select(
+        F.col("l_orderkey").alias("route_id"), seq.alias("seq"), "lng", "lat"
+    )
+
+
+# --- road network ------------------------------------------------------------------
+
+
+def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S as road nodes with metre coordinates (20 m per grid step)."""
+    p = supplier_points(spark, sf_dir)
+    return p.select(F.col("s_suppkey").alias("node_id"), (F.col("x") * 20).alias("x"), (F.col("y") * 20).alias("y"))
+
+
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directed edges u -> (7u + k) mod n for k = 1, 2, 3, plus a longer
+    parallel edge for k = 1; length = 200 + (31u + 17v) mod 800 metres."""
+    s = table(spark, sf_dir, "supplier")
+    n = s.agg(F.max("s_suppkey") + 1).scalar()
+    ks = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(key).alias("key")) for k, key in [(1, 0), (1, 1), (2, 0), (3, 0)]])
+    e = s.select(F.col("s_suppkey").alias("u"), F.explode(ks).alias("__k"))
+    e = e.withColumn("v", (F.col("u") * 7 + F.col("__k.k")) % n)
+    length = (F.lit(200) + (F.col("u") * 31 + F.col("v") * 17) % 800 + F.col("__k.key") * 50).cast("double")
+    return e.select("u", "v", F.col("__k.key").alias("key"), length.alias("length"))
+
+
+def graph_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of the reachability job: suppliers of nation 0."""
+    s = table(spark, sf_dir, "supplier")
+    return s.filter(F.col("s_nationkey") == 0).select(F.col("s_suppkey").alias("source"))
+
+
+def customer_stops_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C points in metres, used as transit stops for the allowed-node filter."""
+    p = customer_points(spark, sf_dir)
+    return p.select((F.col("x") * 20).alias("x"), (F.col("y") * 20).alias("y"))

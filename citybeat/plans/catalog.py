@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from citybeat.constants import TIP_LABELS, TIP_ZERO_LABEL
+from citybeat.constants import CANDIDATE_LIMIT, CIRCLE_MODES, MINUTES, NETWORK_MODES, TIP_LABELS, TIP_ZERO_LABEL
 from citybeat.functions.datetime import compact_digits_to_timestamp, epoch_to_timestamp
-from citybeat.operators import bikes, grid, ridership, sampling, taxi, traffic
+from citybeat.operators import bikes, grid, network, ridership, sampling, spatial, taxi, traffic
+from citybeat.operators.common import top_k
 from citybeat.plans import bindings as B
-from citybeat.plans import oracle_bikes, oracle_misc, oracle_taxi, oracle_traffic
+from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_taxi, oracle_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,12 +109,52 @@ def _misc_queries() -> dict[str, Query]:
     }
 
 
+def _rings(s: SparkSession, d: str) -> DataFrame:
+    return spatial.ring_points(B.supplier_geo(s, d), CIRCLE_MODES, MINUTES)
+
+
+def _candidates(s: SparkSession, d: str) -> DataFrame:
+    flows = bikes.route_candidates(bikes.top_flows(B.nation_flow_trips(s, d)))
+    return top_k(flows, [F.col("trip_count").desc(), F.col("start_station_id"), F.col("end_station_id")], CANDIDATE_LIMIT)
+
+
+def _reachable(s: SparkSession, d: str) -> DataFrame:
+    edges = network.travel_times(B.graph_edges(s, d), {"cycling": NETWORK_MODES["cycling"]})
+    costs = network.bounded_costs(B.graph_sources(s, d), edges, "travel_time", cutoff=600.0)
+    return network.reachable_bands(costs, [5, 10])
+
+
+def _geo_queries() -> dict[str, Query]:
+    return {
+        "points_in_polygons": lambda s, d: spatial.points_in_polygons(B.customer_points(s, d), B.polygons(s)),
+        "near_stops": lambda s, d: spatial.within_distance(
+            B.customer_points(s, d), B.supplier_points(s, d), 50, center=(500, 500), center_radius=80
+        ),
+        "nearest_stop": lambda s, d: spatial.nearest(
+            B.customer_points(s, d), B.supplier_points(s, d), "c_custkey", "s_suppkey", cell=100, extent=1000
+        ),
+        "route_overlap": lambda s, d: spatial.route_overlap(B.order_routes(s, d)),
+        "endpoint_roles": lambda s, d: spatial.endpoint_roles(B.order_routes(s, d)),
+        "station_rings": _rings,
+        "latest_isochrones": lambda s, d: network.latest_isochrones(_rings(s, d), "cycling"),
+        "candidates_bbox": lambda s, d: spatial.padded_bbox(_candidates(s, d)),
+        "edge_travel_time": lambda s, d: network.travel_times(B.graph_edges(s, d), NETWORK_MODES),
+        "induced_subgraph": lambda s, d: network.induced_subgraph(
+            B.graph_edges(s, d),
+            network.allowed_nodes(B.graph_nodes(s, d), B.customer_stops_m(s, d), 400, (10000, 10000), 2000),
+        ),
+        "reachable": _reachable,
+        "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 2000),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_taxi_queries())
     out.update(_bike_queries())
     out.update(_traffic_queries())
     out.update(_misc_queries())
+    out.update(_geo_queries())
     return out
 
 
@@ -123,4 +164,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle_bikes.oracles())
     out.update(oracle_traffic.oracles())
     out.update(oracle_misc.oracles())
+    out.update(oracle_geo.oracles())
     return out
