@@ -12,7 +12,7 @@ E=events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citybeat.plans.tables import table  # noqa: F401  (re-exported)
@@ -368,3 +368,123 @@ def customer_stops_m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C points in metres, used as transit stops for the allowed-node filter."""
     p = customer_points(spark, sf_dir)
     return p.select((F.col("x") * 20).alias("x"), (F.col("y") * 20).alias("y"))
+
+
+# --- report sheets ----------------------------------------------------------------
+
+TIME_WINDOWS = ["00-08", "08-16", "16-24"]
+
+
+def report_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L rows as rejected-plate events: the file is the order priority and
+    ship quarter (priority 5 files carry no quarter in the name), the sheet is
+    the ship month, the reason the return flag and line status, the day the
+    ship weekday, the time window from the line number, the borough the
+    supplier's region and the community board l_partkey mod 12."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    t = (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .join(s, li.l_suppkey == s.s_suppkey)
+        .join(n, s.s_nationkey == n.n_nationkey)
+        .join(r, n.n_regionkey == r.r_regionkey)
+    )
+    p = F.substring("o_orderpriority", 1, 1)
+    yr = F.year("l_shipdate").cast("string")
+    file = F.when(p == "5", F.concat(F.lit("rejects_p5_"), yr, F.lit(".xlsx"))).otherwise(
+        F.concat(F.lit("rejects_p"), p, F.lit("_q"), F.quarter("l_shipdate").cast("string"), F.lit("-"), yr, F.lit(".xlsx"))
+    )
+    return t.select(
+        file.alias("file"),
+        F.date_format("l_shipdate", "MMMM").alias("sheet"),
+        F.substring("o_orderpriority", 3, 100).alias("vio"),
+        F.concat(F.lit("Reason "), F.col("l_returnflag"), F.col("l_linestatus")).alias("reason"),
+        (F.dayofweek("l_shipdate") - 1).alias("d"),
+        F.when(F.col("l_linenumber") <= 2, 0).when(F.col("l_linenumber") <= 4, 1).otherwise(2).alias("w"),
+        F.col("r_regionkey").alias("b"),
+        F.col("r_name"),
+        (F.col("l_partkey") % 12).cast("int").alias("cb"),
+    )
+
+
+def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report sheets laid out as cells (file, sheet, row, col, value).
+
+    Per sheet: two metadata rows, then the day/time block (day labels only
+    above the first column of each day), the borough block and the
+    community-board block, each ended by a blank row.  Reasons are numbered
+    per sheet; one extra 'Reject Category Summary' sheet per file must be
+    ignored by the reader.
+    """
+    from citybeat.constants import DAY_LABELS, HEADER_LABEL, SECTION_BOARD, SECTION_BOROUGH, SECTION_DAY
+
+    base = report_base(spark, sf_dir)
+    fine = base.groupBy("file", "sheet", "vio", "reason", "d", "w", "b", "r_name", "cb").agg(F.count(F.lit(1)).alias("n"))
+    keys = ["file", "sheet"]
+    reasons = fine.select(*keys, "reason").distinct()
+    reasons = reasons.withColumn("ri", F.dense_rank().over(Window.partitionBy(*keys).orderBy("reason")) - 1).withColumn(
+        "R", F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    )
+    sheets = reasons.select(*keys, "R").distinct().join(fine.select(*keys, "vio").distinct(), keys)
+
+    def cell(row, col, value):
+        return F.struct(row.cast("int").alias("row"), col.cast("int").alias("col"), value.cast("string").alias("value"))
+
+    fixed = [
+        cell(F.lit(0), F.lit(0), F.concat(F.lit("VIO TYPE: "), F.col("vio"))),
+        cell(F.lit(1), F.lit(0), F.concat(F.lit("MONTH: "), F.col("sheet"))),
+        cell(F.lit(2), F.lit(0), F.lit(SECTION_DAY)),
+        cell(F.lit(4), F.lit(0), F.lit(HEADER_LABEL)),
+        cell(F.col("R") + 6, F.lit(0), F.lit(SECTION_BOROUGH)),
+        cell(F.col("R") + 7, F.lit(0), F.lit(HEADER_LABEL)),
+        cell(F.col("R") * 2 + 9, F.lit(0), F.lit(SECTION_BOARD)),
+        cell(F.col("R") * 2 + 10, F.lit(0), F.lit(HEADER_LABEL)),
+    ]
+    for d, label in enumerate(DAY_LABELS):
+        fixed.append(cell(F.lit(3), F.lit(1 + d * 3), F.lit(label)))
+        for w, window in enumerate(TIME_WINDOWS):
+            fixed.append(cell(F.lit(4), F.lit(1 + d * 3 + w), F.lit(window)))
+    header_cells = sheets.select(*keys, F.inline(F.array(*fixed)))
+
+    per = fine.join(reasons, keys + ["reason"])
+    reason_cells = per.select(*keys, "ri", "R", "reason").distinct().select(
+        *keys,
+        F.inline(
+            F.array(
+                cell(F.col("ri") + 5, F.lit(0), F.col("reason")),
+                cell(F.col("R") + 8 + F.col("ri"), F.lit(0), F.col("reason")),
+                cell(F.col("R") * 2 + 11 + F.col("ri"), F.lit(0), F.col("reason")),
+            )
+        ),
+    )
+    day_cells = per.groupBy(*keys, "ri", "d", "w").agg(F.sum("n").alias("n")).select(
+        *keys, (F.col("ri") + 5).alias("row"), (F.col("d") * 3 + F.col("w") + 1).alias("col"), F.col("n").cast("string").alias("value")
+    )
+    boro = per.groupBy(*keys, "ri", "R", "b").agg(F.sum("n").alias("n"))
+    boro_cells = boro.select(
+        *keys, (F.col("R") + 8 + F.col("ri")).alias("row"), (F.col("b") + 1).alias("col"), F.col("n").cast("string").alias("value")
+    )
+    boro_heads = per.select(*keys, "R", "b", "r_name").distinct().select(
+        *keys, (F.col("R") + 7).alias("row"), (F.col("b") + 1).alias("col"), F.upper("r_name").alias("value")
+    )
+    board = per.groupBy(*keys, "ri", "R", "cb").agg(F.sum("n").alias("n"))
+    board_cells = board.select(
+        *keys, (F.col("R") * 2 + 11 + F.col("ri")).alias("row"), (F.col("cb") + 1).alias("col"), F.col("n").cast("string").alias("value")
+    )
+    board_heads = per.select(*keys, "R", "cb").distinct().select(
+        *keys, (F.col("R") * 2 + 10).alias("row"), (F.col("cb") + 1).alias("col"),
+        F.concat(F.lit("Board   "), (F.col("cb") + 1).cast("string")).alias("value"),
+    )
+    decoy = sheets.select("file").distinct().select(
+        "file", F.lit("Reject Category Summary").alias("sheet"), F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(SECTION_DAY).alias("value")
+    )
+    cols = ["file", "sheet", "row", "col", "value"]
+    out = header_cells.select(*cols)
+    for part in (reason_cells, day_cells, boro_cells, boro_heads, board_cells, board_heads, decoy):
+        out = out.unionByName(part.select(*[F.col(c).cast("int") if c in ("row", "col") else F.col(c) for c in cols]))
+    # The cell table stands for files on storage: write it once to the
+    # shared checkpoint folder so the reader starts from materialised cells.
+    return out.checkpoint(eager=True)

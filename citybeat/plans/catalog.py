@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from citybeat.constants import CANDIDATE_LIMIT, CIRCLE_MODES, MINUTES, NETWORK_MODES, TIP_LABELS, TIP_ZERO_LABEL
 from citybeat.functions.datetime import compact_digits_to_timestamp, epoch_to_timestamp
-from citybeat.operators import bikes, grid, network, ridership, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, grid, network, reports, ridership, sampling, spatial, taxi, traffic
 from citybeat.operators.common import top_k
 from citybeat.plans import bindings as B
-from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_taxi, oracle_traffic
+from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_reports, oracle_taxi, oracle_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,6 +148,14 @@ def _geo_queries() -> dict[str, Query]:
     }
 
 
+def _report_queries() -> dict[str, Query]:
+    return {
+        "report_unpivot_day": lambda s, d: reports.tidy_reports(B.report_cells(s, d), ("day_of_week",)),
+        "report_unpivot_borough": lambda s, d: reports.tidy_reports(B.report_cells(s, d), ("borough",)),
+        "report_unpivot_board": lambda s, d: reports.tidy_reports(B.report_cells(s, d), ("community_board",)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_taxi_queries())
@@ -155,6 +163,7 @@ def queries() -> dict[str, Query]:
     out.update(_traffic_queries())
     out.update(_misc_queries())
     out.update(_geo_queries())
+    out.update(_report_queries())
     return out
 
 
@@ -165,4 +174,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle_traffic.oracles())
     out.update(oracle_misc.oracles())
     out.update(oracle_geo.oracles())
+    out.update(oracle_reports.oracles())
     return out
