@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citybeat.operators.spatial import within_distance
@@ -120,3 +120,82 @@ def latest_isochrones(rings: DataFrame, mode: str, max_minutes: int = 40) -> Dat
     return rings.filter((F.col("mode") == mode) & (F.col("minutes") <= max_minutes)).orderBy(
         F.col("minutes").desc(), *[c for c in rings.columns if c not in ("mode", "minutes")]
     )
+
+
+def unroll_paths(pairs: DataFrame, costs: DataFrame) -> DataFrame:
+    """(pair_id, start_node, end_node) + (source, node, cost, pred) ->
+    (pair_id, step, node) walking predecessors back from the end node.
+
+    All pairs advance together, one join per hop; each hop's rows are
+    checkpointed.  step 0 is the end node, the largest step the start node.
+    """
+    links = costs.select(F.col("source").alias("start_node"), "node", "pred")
+    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).checkpoint()
+    path = current
+    while True:
+        nxt = (
+            current.filter(F.col("node") != F.col("start_node"))
+            .join(links, ["start_node", "node"])
+            .filter(F.col("pred").isNotNull())
+            .select("pair_id", "start_node", (F.col("step") + 1).alias("step"), F.col("pred").alias("node"))
+            .checkpoint()
+        )
+        if nxt.isEmpty():
+            break
+        path = path.unionByName(nxt)
+        current = nxt
+    return path.select("pair_id", "step", "node")
+
+
+def route_lines(
+    candidates: DataFrame,
+    nodes: DataFrame,
+    edges: DataFrame,
+    target_routes: int,
+    weight: str = "length",
+    extent: int = 1 << 16,
+) -> DataFrame:
+    """Street routes for the first ``target_routes`` candidates that can be
+    routed (G5).
+
+    ``candidates``: (cand_idx, start_x, start_y, end_x, end_y, ...) in node
+    coordinates.  End points snap to their nearest node (J6); the path is
+    the shortest by ``weight`` using the cheapest parallel edge; repeated
+    consecutive points are dropped; distance is the polyline length.
+    Unreachable candidates are skipped, so route numbers can have gaps.
+    """
+    from citybeat.operators.spatial import nearest
+
+    ends = candidates.select(
+        (F.col("cand_idx") * 2).alias("pt"), F.col("start_x").alias("x"), F.col("start_y").alias("y")
+    ).unionByName(candidates.select((F.col("cand_idx") * 2 + 1).alias("pt"), F.col("end_x").alias("x"), F.col("end_y").alias("y")))
+    snapped = nearest(ends, nodes, "pt", "node_id", cell=1000, extent=extent)
+    start = snapped.filter(F.col("pt") % 2 == 0).select((F.col("pt") / 2).cast("long").alias("pair_id"), F.col("node_id").alias("start_node"))
+    end = snapped.filter(F.col("pt") % 2 == 1).select(((F.col("pt") - 1) / 2).cast("long").alias("pair_id"), F.col("node_id").alias("end_node"))
+    pairs = start.join(end, "pair_id")
+    sources = pairs.select(F.col("start_node").alias("source")).distinct()
+    costs = bounded_costs(sources, edges, weight, cutoff=None, with_pred=True)
+    reachable = pairs.join(
+        costs.select(F.col("source").alias("start_node"), F.col("node").alias("end_node")), ["start_node", "end_node"], "left_semi"
+    )
+    steps = unroll_paths(reachable, costs)
+    pts = steps.join(nodes.select(F.col("node_id").alias("node"), "x", "y"), "node")
+    w = Window.partitionBy("pair_id").orderBy(F.col("step").desc())
+    pts = pts.withColumn("__px", F.lag("x").over(w)).withColumn("__py", F.lag("y").over(w))
+    pts = pts.filter(F.col("__px").isNull() | (F.col("__px") != F.col("x")) | (F.col("__py") != F.col("y")))
+    seg = F.when(F.col("__px").isNull(), F.lit(0.0)).otherwise(F.hypot(F.col("x") - F.col("__px"), F.col("y") - F.col("__py")))
+    lines = pts.groupBy("pair_id").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.sum(seg).alias("distance_m"),
+        F.array_sort(F.collect_list(F.struct((-F.col("step")).alias("s"), "x", "y"))).alias("__pts"),
+    ).filter(F.col("__n") >= 2)
+    lines = lines.withColumn("coords", F.to_json(F.transform("__pts", lambda p: F.array(p["x"].cast("double"), p["y"].cast("double")))))
+    chosen = top_first(lines.select("pair_id", "distance_m", "coords"), target_routes)
+    return candidates.join(chosen, candidates["cand_idx"] == chosen["pair_id"]).drop("pair_id").withColumn(
+        "route_id", F.concat(F.lit("route_"), (F.col("cand_idx") + 1).cast("string"))
+    ).withColumn("distance_m", F.rint(F.col("distance_m") * 10.0) / 10.0)
+
+
+def top_first(df: DataFrame, k: int) -> DataFrame:
+    """The k rows with the smallest pair_id (candidate order)."""
+    return df.orderBy("pair_id").limit(k)

@@ -163,16 +163,19 @@ def nearest(
             F.col("__py") - F.col("__sy")
         )
         pairs = keyed.join(cand, on=["cx", "cy"], how="left").withColumn("__d2", d2)
-        best = pairs.groupBy("__pid").agg(
-            F.min_by(F.struct("__d2", "__sid"), F.when(F.col("__sid").isNotNull(), F.struct("__d2", "__sid"))).alias("__b")
+        key = F.struct("__d2", "__sid")
+        best = pairs.groupBy("__pid", "__px", "__py").agg(
+            F.min_by(key, F.when(F.col("__sid").isNotNull(), key)).alias("__b")
         )
-        best = best.select("__pid", F.col("__b.__sid").alias("__sid"), F.col("__b.__d2").alias("__d2"))
+        best = best.select("__pid", "__px", "__py", F.col("__b.__sid").alias("__sid"), F.col("__b.__d2").alias("__d2"))
         final = F.col("__d2").isNotNull() & (F.col("__d2") <= F.lit(size * size))
         if last:
             done.append(best.filter(F.col("__sid").isNotNull()))
             break
         done.append(best.filter(final))
-        todo = todo.join(best.filter(~final | F.col("__d2").isNull()).select("__pid"), "__pid", "left_semi")
+        # Unresolved points carry their coordinates on: each level reads the
+        # previous one once, so the plan grows linearly with the levels.
+        todo = best.filter(~final).select("__pid", "__px", "__py")
         size *= 4
     out = done[0]
     for d in done[1:]:

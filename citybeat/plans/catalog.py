@@ -11,9 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from citybeat.constants import CANDIDATE_LIMIT, CIRCLE_MODES, MINUTES, NETWORK_MODES, TIP_LABELS, TIP_ZERO_LABEL
+from citybeat.constants import CANDIDATE_LIMIT, CIRCLE_MODES, MINUTES, NETWORK_MODES, TARGET_ROUTES, TIP_LABELS, TIP_ZERO_LABEL
 from citybeat.functions.datetime import compact_digits_to_timestamp, epoch_to_timestamp
 from citybeat.operators import bikes, grid, network, reports, ridership, sampling, spatial, taxi, traffic
 from citybeat.operators.common import top_k
@@ -124,6 +125,29 @@ def _reachable(s: SparkSession, d: str) -> DataFrame:
     return network.reachable_bands(costs, [5, 10])
 
 
+def _routes(s: SparkSession, d: str) -> DataFrame:
+    """Routes for the top station pairs over the supplier road graph.
+
+    Station coordinates (degrees) are put on the graph's metre plane with
+    x = (lng + 74.1) * 1e5, y = (lat - 40.5) * 1e5.
+    """
+    cand = _candidates(s, d).withColumn(
+        "cand_idx",
+        F.row_number().over(
+            Window.orderBy(F.col("trip_count").desc(), F.col("start_station_id"), F.col("end_station_id"))
+        ) - 1,
+    )
+    plane = {
+        "start_x": F.rint((F.col("start_lng") + 74.1) * 1e5).cast("long"),
+        "start_y": F.rint((F.col("start_lat") - 40.5) * 1e5).cast("long"),
+        "end_x": F.rint((F.col("end_lng") + 74.1) * 1e5).cast("long"),
+        "end_y": F.rint((F.col("end_lat") - 40.5) * 1e5).cast("long"),
+    }
+    cand = cand.withColumns(plane)
+    lines = network.route_lines(cand, B.graph_nodes(s, d), B.graph_edges(s, d), TARGET_ROUTES)
+    return lines.select("route_id", "start_station_name", "end_station_name", "trip_count", "distance_m", "coords")
+
+
 def _geo_queries() -> dict[str, Query]:
     return {
         "points_in_polygons": lambda s, d: spatial.points_in_polygons(B.customer_points(s, d), B.polygons(s)),
@@ -145,6 +169,7 @@ def _geo_queries() -> dict[str, Query]:
         ),
         "reachable": _reachable,
         "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 2000),
+        "routes": _routes,
     }
 
 
@@ -156,6 +181,13 @@ def _report_queries() -> dict[str, Query]:
     }
 
 
+def _source_queries() -> dict[str, Query]:
+    return {
+        "parts_roundtrip": lambda s, d: B.parts_roundtrip(s, d)[0],
+        "parts_manifest": lambda s, d: B.parts_roundtrip(s, d)[1].groupBy("year").agg(F.sum("rows").alias("rows")),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_taxi_queries())
@@ -164,6 +196,7 @@ def queries() -> dict[str, Query]:
     out.update(_misc_queries())
     out.update(_geo_queries())
     out.update(_report_queries())
+    out.update(_source_queries())
     return out
 
 
@@ -175,4 +208,9 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle_misc.oracles())
     out.update(oracle_geo.oracles())
     out.update(oracle_reports.oracles())
+    out["parts_roundtrip"] = (
+        "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, CAST(year(l_shipdate) AS INTEGER) AS year "
+        "FROM lineitem"
+    )
+    out["parts_manifest"] = "SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows FROM lineitem GROUP BY 1"
     return out

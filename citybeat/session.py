@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # Local mode runs every task in the driver JVM.
+        builder = builder.config("spark.driver.memory", "8g")
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
