@@ -33,8 +33,13 @@ def blank_to_null(col: Column | str, tokens: Sequence[str] = BLANK_TOKENS) -> Co
 
 
 def parse_mixed_timestamp(col: Column | str, formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
-    """Parse strings written in any of ``formats``; unparsable values become null."""
-    s = blank_to_null(col)
+    """Parse strings written in any of ``formats``; unparsable values become null.
+
+    The blank tokens ('', 'NaT', 'nan', 'None') match no format, so they come
+    out null without a separate check (which Catalyst would otherwise inline
+    into every format attempt).
+    """
+    s = F.trim(_c(col).cast("string"))
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats])
 
 

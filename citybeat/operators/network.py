@@ -54,45 +54,49 @@ def bounded_costs(
     edges: DataFrame,
     weight: str,
     cutoff: float | None = None,
-    checkpoint_every: int = 3,
     max_rounds: int = 10_000,
     with_pred: bool = False,
 ) -> DataFrame:
     """(source, node, cost[, pred]) for every node reachable from each source
     with total ``weight`` <= ``cutoff`` (G3).
 
-    ``sources`` has one column ``source`` (a node id).  Ties between equal
-    costs keep the smallest predecessor, so the result is deterministic.
+    ``sources`` has one column ``source`` (a node id).  A round extends the
+    rows that improved in the previous round (``fresh``) by one edge, unions
+    the candidates with the current table and keeps the minimum per
+    (source, node): one shuffle per round.  On equal cost the existing entry
+    wins, then the smaller predecessor, so the result is deterministic.  The
+    table is checkpointed to the shared folder every round: that cuts the
+    lineage (the next round reads it twice) and bounds the work lost with an
+    executor to one round.
     """
-    w = _cheapest(edges, weight)
+    w = _cheapest(edges, weight).checkpoint()  # read every round: materialise once
     best = sources.select(
-        F.col("source"), F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.lit(None).cast("long").alias("pred")
+        F.col("source"),
+        F.col("source").alias("node"),
+        F.lit(0.0).alias("cost"),
+        F.lit(None).cast("long").alias("pred"),
+        F.lit(True).alias("fresh"),
     ).distinct().checkpoint()
-    frontier = best
     rounds = 0
     while rounds < max_rounds:
+        frontier = best.filter("fresh")
+        if frontier.isEmpty():
+            break
         rounds += 1
         step = frontier.join(w, frontier["node"] == w["u"]).select(
-            "source", F.col("v").alias("node"), (F.col("cost") + F.col("w")).alias("cost"), F.col("u").alias("pred")
+            "source", F.col("v").alias("node"), (F.col("cost") + F.col("w")).alias("cost"), F.col("u").alias("pred"),
+            F.lit(1).alias("rank"),
         )
         if cutoff is not None:
             step = step.filter(F.col("cost") <= F.lit(float(cutoff)))
-        cand = step.groupBy("source", "node").agg(F.min(F.struct("cost", "pred")).alias("__b")).select(
-            "source", "node", F.col("__b.cost").alias("cost"), F.col("__b.pred").alias("pred")
-        )
-        old = best.select("source", "node", F.col("cost").alias("__old"))
-        improved = (
-            cand.join(old, ["source", "node"], "left")
-            .filter(F.col("__old").isNull() | (F.col("cost") < F.col("__old")))
-            .drop("__old")
-            .checkpoint()
-        )
-        if improved.isEmpty():
-            break
-        merged = best.join(improved.select("source", "node"), ["source", "node"], "left_anti").unionByName(improved)
-        best = merged.checkpoint() if rounds % checkpoint_every == 0 else merged
-        frontier = improved
-    return best if with_pred else best.drop("pred")
+        old = best.select("source", "node", "cost", "pred", F.lit(0).alias("rank"))
+        win = old.unionByName(step).groupBy("source", "node").agg(F.min(F.struct("cost", "rank", "pred")).alias("__b"))
+        best = win.select(
+            "source", "node", F.col("__b.cost").alias("cost"), F.col("__b.pred").alias("pred"),
+            (F.col("__b.rank") == 1).alias("fresh"),
+        ).checkpoint()
+    out = best.drop("fresh")
+    return out if with_pred else out.drop("pred")
 
 
 def reachable_bands(costs: DataFrame, minutes: Sequence[int]) -> DataFrame:
@@ -126,11 +130,12 @@ def unroll_paths(pairs: DataFrame, costs: DataFrame) -> DataFrame:
     """(pair_id, start_node, end_node) + (source, node, cost, pred) ->
     (pair_id, step, node) walking predecessors back from the end node.
 
-    All pairs advance together, one join per hop; each hop's rows are
-    checkpointed.  step 0 is the end node, the largest step the start node.
+    All pairs advance together, one join per hop; a hop holds one row per
+    pair, so hops are only persisted (``costs`` itself is checkpointed).
+    step 0 is the end node, the largest step the start node.
     """
     links = costs.select(F.col("source").alias("start_node"), "node", "pred")
-    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).checkpoint()
+    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).persist()
     path = current
     while True:
         nxt = (
@@ -138,7 +143,7 @@ def unroll_paths(pairs: DataFrame, costs: DataFrame) -> DataFrame:
             .join(links, ["start_node", "node"])
             .filter(F.col("pred").isNotNull())
             .select("pair_id", "start_node", (F.col("step") + 1).alias("step"), F.col("pred").alias("node"))
-            .checkpoint()
+            .persist()
         )
         if nxt.isEmpty():
             break
@@ -172,7 +177,7 @@ def route_lines(
     snapped = nearest(ends, nodes, "pt", "node_id", cell=1000, extent=extent)
     start = snapped.filter(F.col("pt") % 2 == 0).select((F.col("pt") / 2).cast("long").alias("pair_id"), F.col("node_id").alias("start_node"))
     end = snapped.filter(F.col("pt") % 2 == 1).select(((F.col("pt") - 1) / 2).cast("long").alias("pair_id"), F.col("node_id").alias("end_node"))
-    pairs = start.join(end, "pair_id")
+    pairs = start.join(end, "pair_id").checkpoint()
     sources = pairs.select(F.col("start_node").alias("source")).distinct()
     costs = bounded_costs(sources, edges, weight, cutoff=None, with_pred=True)
     reachable = pairs.join(

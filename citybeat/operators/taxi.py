@@ -39,6 +39,22 @@ from citybeat.operators.common import (
 )
 
 
+def chart_ready(df: DataFrame, services: list[str], year_range: tuple[int, int], measure: str) -> DataFrame:
+    """Rows a chart can use: known service, finite year / month / measure,
+    year inside the range and month 1..12 (P19)."""
+    lo, hi = year_range
+    m = F.col(measure).cast("double")
+    ok = (
+        F.col("service").isin(services)
+        & F.col("year").between(lo, hi)
+        & F.col("month").between(1, 12)
+        & m.isNotNull()
+        & ~F.isnan(m)
+        & (F.abs(m) != F.lit(float("inf")))
+    )
+    return df.filter(ok)
+
+
 def monthly_volume(trips: DataFrame) -> DataFrame:
     """service, year, month -> trips (A1)."""
     return trips.groupBy("service", "year", "month").agg(F.count(F.lit(1)).alias("trips"))

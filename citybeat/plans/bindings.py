@@ -158,10 +158,43 @@ def raw_bike_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BIKE_CSV_SCHEMA = (
+    "ride_id string, rideable_type string, started_at string, ended_at string, start_station_name string, "
+    "start_station_id string, end_station_name string, end_station_id string, start_lat string, start_lng string, "
+    "end_lat string, end_lng string, member_casual string"
+)
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build, fmt: str = "parquet") -> str:
+    """Path of a derived input table written once per application under the
+    shared checkpoint folder (it stands for the raw files the reference reads)."""
+    from citybeat.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        path = scratch_path(spark, name)
+        writer = build(spark, sf_dir).write.mode("overwrite")
+        if fmt == "csv":
+            writer.option("header", True).csv(path)
+        else:
+            writer.parquet(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def bike_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw bike rows as CSV files, read back with an all-string schema (S3)."""
+    from citybeat.sources.files import read_csv
+
+    return read_csv(spark, landed(spark, sf_dir, "bike-csv", raw_bike_rows, "csv"), BIKE_CSV_SCHEMA)
+
+
 def bike_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     from citybeat.operators.bikes import clean_trips
 
-    return clean_trips(raw_bike_rows(spark, sf_dir), BIKE_FORMATS)
+    return clean_trips(bike_csv(spark, sf_dir), BIKE_FORMATS)
 
 
 def nation_flow_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,14 +454,13 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from citybeat.constants import DAY_LABELS, HEADER_LABEL, SECTION_BOARD, SECTION_BOROUGH, SECTION_DAY
 
-    base = report_base(spark, sf_dir)
-    fine = base.groupBy("file", "sheet", "vio", "reason", "d", "w", "b", "r_name", "cb").agg(F.count(F.lit(1)).alias("n"))
+    base = report_base(spark, sf_dir).persist()  # read by every section below
     keys = ["file", "sheet"]
-    reasons = fine.select(*keys, "reason").distinct()
+    reasons = base.select(*keys, "vio", "reason").distinct()
     reasons = reasons.withColumn("ri", F.dense_rank().over(Window.partitionBy(*keys).orderBy("reason")) - 1).withColumn(
         "R", F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    )
-    sheets = reasons.select(*keys, "R").distinct().join(fine.select(*keys, "vio").distinct(), keys)
+    ).persist()
+    sheets = reasons.select(*keys, "vio", "R").distinct()
 
     def cell(row, col, value):
         return F.struct(row.cast("int").alias("row"), col.cast("int").alias("col"), value.cast("string").alias("value"))
@@ -449,8 +481,7 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             fixed.append(cell(F.lit(4), F.lit(1 + d * 3 + w), F.lit(window)))
     header_cells = sheets.select(*keys, F.inline(F.array(*fixed)))
 
-    per = fine.join(reasons, keys + ["reason"])
-    reason_cells = per.select(*keys, "ri", "R", "reason").distinct().select(
+    reason_cells = reasons.select(
         *keys,
         F.inline(
             F.array(
@@ -460,21 +491,23 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ),
     )
-    day_cells = per.groupBy(*keys, "ri", "d", "w").agg(F.sum("n").alias("n")).select(
+    rk = reasons.select(*keys, "reason", "ri", "R")
+    day = base.groupBy(*keys, "reason", "d", "w").agg(F.count(F.lit(1)).alias("n")).join(rk, keys + ["reason"])
+    day_cells = day.select(
         *keys, (F.col("ri") + 5).alias("row"), (F.col("d") * 3 + F.col("w") + 1).alias("col"), F.col("n").cast("string").alias("value")
     )
-    boro = per.groupBy(*keys, "ri", "R", "b").agg(F.sum("n").alias("n"))
+    boro = base.groupBy(*keys, "reason", "b", "r_name").agg(F.count(F.lit(1)).alias("n")).join(rk, keys + ["reason"]).persist()
     boro_cells = boro.select(
         *keys, (F.col("R") + 8 + F.col("ri")).alias("row"), (F.col("b") + 1).alias("col"), F.col("n").cast("string").alias("value")
     )
-    boro_heads = per.select(*keys, "R", "b", "r_name").distinct().select(
+    boro_heads = boro.select(*keys, "R", "b", "r_name").distinct().select(
         *keys, (F.col("R") + 7).alias("row"), (F.col("b") + 1).alias("col"), F.upper("r_name").alias("value")
     )
-    board = per.groupBy(*keys, "ri", "R", "cb").agg(F.sum("n").alias("n"))
+    board = base.groupBy(*keys, "reason", "cb").agg(F.count(F.lit(1)).alias("n")).join(rk, keys + ["reason"]).persist()
     board_cells = board.select(
         *keys, (F.col("R") * 2 + 11 + F.col("ri")).alias("row"), (F.col("cb") + 1).alias("col"), F.col("n").cast("string").alias("value")
     )
-    board_heads = per.select(*keys, "R", "cb").distinct().select(
+    board_heads = board.select(*keys, "R", "cb").distinct().select(
         *keys, (F.col("R") * 2 + 10).alias("row"), (F.col("cb") + 1).alias("col"),
         F.concat(F.lit("Board   "), (F.col("cb") + 1).cast("string")).alias("value"),
     )
@@ -485,9 +518,12 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = header_cells.select(*cols)
     for part in (reason_cells, day_cells, boro_cells, boro_heads, board_cells, board_heads, decoy):
         out = out.unionByName(part.select(*[F.col(c).cast("int") if c in ("row", "col") else F.col(c) for c in cols]))
-    # The cell table stands for files on storage: write it once to the
-    # shared checkpoint folder so the reader starts from materialised cells.
-    return out.checkpoint(eager=True)
+    return out
+
+
+def report_cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report cells landed once per application in the shared folder."""
+    return spark.read.parquet(landed(spark, sf_dir, "report-cells", report_cells))
 
 
 # --- file round trip --------------------------------------------------------------

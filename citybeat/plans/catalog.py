@@ -30,7 +30,12 @@ FALLBACK_K = 150
 
 def _taxi_queries() -> dict[str, Query]:
     return {
-        "trips_monthly": lambda s, d: taxi.monthly_volume(B.trips(s, d)),
+        "trips_monthly": lambda s, d: taxi.chart_ready(
+            taxi.monthly_volume(B.trips(s, d)), ["A", "N", "R"], B.TRIP_YEARS, "trips"
+        ),
+        "observed_days": lambda s, d: taxi.observed_days(B.event_trips(s, d)),
+        "pickup_counts": lambda s, d: taxi.pickup_counts(B.trips(s, d)),
+        "od_counts": lambda s, d: taxi.od_counts(B.trips(s, d)),
         "trips_dow_hour_avg": lambda s, d: taxi.dow_hour_average(B.event_trips(s, d)),
         "distance_bins": lambda s, d: taxi.distance_bins(B.trips(s, d)),
         "duration_bins": lambda s, d: taxi.duration_bins(B.trips(s, d)),
@@ -175,9 +180,9 @@ def _geo_queries() -> dict[str, Query]:
 
 def _report_queries() -> dict[str, Query]:
     return {
-        "report_unpivot_day": lambda s, d: reports.tidy_reports(B.report_cells(s, d), ("day_of_week",)),
-        "report_unpivot_borough": lambda s, d: reports.tidy_reports(B.report_cells(s, d), ("borough",)),
-        "report_unpivot_board": lambda s, d: reports.tidy_reports(B.report_cells(s, d), ("community_board",)),
+        "report_unpivot_day": lambda s, d: reports.tidy_reports(B.report_cell_table(s, d), ("day_of_week",)),
+        "report_unpivot_borough": lambda s, d: reports.tidy_reports(B.report_cell_table(s, d), ("borough",)),
+        "report_unpivot_board": lambda s, d: reports.tidy_reports(B.report_cell_table(s, d), ("community_board",)),
     }
 
 

@@ -80,6 +80,18 @@ def oracles() -> dict[str, str]:
     q["trips_monthly"] = f"""
 WITH {TRIPS_CTE.strip()}
 SELECT service, year, month, count(*) AS trips FROM trips GROUP BY service, year, month
+"""
+    q["observed_days"] = """
+SELECT event_type AS service, count(DISTINCT CAST(ts AS DATE)) AS days FROM events
+WHERE year(ts) BETWEEN 2024 AND 2024 GROUP BY event_type
+"""
+    q["pickup_counts"] = f"""
+WITH {TRIPS_CTE.strip()}
+SELECT service, year, pu AS PULocationID, count(*) AS trips FROM trips GROUP BY ALL
+"""
+    q["od_counts"] = f"""
+WITH {TRIPS_CTE.strip()}
+SELECT service, year, pu AS PULocationID, do_ AS DOLocationID, count(*) AS trips FROM trips GROUP BY ALL
 """
     q["trips_dow_hour_avg"] = f"""
 WITH t AS (

@@ -330,3 +330,33 @@ def test_whole_or_parts(spark, tmp_path):
     assert sorted(r.a for r in read_csv(spark, paths, "a long, b string").collect()) == [1, 2, 3]
     (tmp_path / "t.csv").write_text("a,b\n9,w\n")
     assert resolve_whole_or_parts(spark, str(tmp_path / "t.csv"), [str(tmp_path / "t_part*.csv")])[0].endswith("t.csv")
+
+
+def test_year_folder_discovery_and_schema_groups(spark, tmp_path):
+    """S1 + S2: files under root/<year>/<service>/ with two schemas are read
+    as two groups, each resolving its own aliases, then unioned."""
+    from citybeat.sources.trips import read_file_groups, year_partition_paths
+
+    old = spark.createDataFrame([(dt.datetime(2022, 5, 1, 8), 2.5)], "Pickup_datetime timestamp, trip_miles double")
+    new = spark.createDataFrame(
+        [(dt.datetime(2023, 6, 1, 9), 1.5, 7), (dt.datetime(2023, 6, 2, 9), 0.5, 8)],
+        "tpep_pickup_datetime timestamp, trip_distance double, PULocationID int",
+    )
+    old.write.parquet(str(tmp_path / "2022" / "yellow_taxi" / "a.parquet"))
+    new.write.parquet(str(tmp_path / "2023" / "yellow_taxi" / "b.parquet"))
+    paths = year_partition_paths(str(tmp_path), [2021, 2022, 2023], "yellow_taxi")
+    groups = read_file_groups(spark, paths)
+    assert len(groups) == 2
+    fields = ["pickup_datetime", "trip_distance", "PULocationID"]
+    t = union_groups([normalize_trips(g, "yellow", "yellow", fields, 2022, 2023) for g in groups])
+    assert sorted((r.year, r.trip_distance, r.has_PULocationID) for r in t.collect()) == [
+        (2022, 2.5, False), (2023, 0.5, True), (2023, 1.5, True),
+    ]
+
+
+def test_chart_ready_filter(spark):
+    df = spark.createDataFrame(
+        [("A", 2000, 1, 5.0), ("A", 2000, 13, 5.0), ("Z", 2000, 1, 5.0), ("A", 1990, 1, 5.0), ("A", 2000, 2, float("nan")), ("A", 2000, 3, None)],
+        "service string, year int, month int, trips double",
+    )
+    assert [tuple(r) for r in taxi.chart_ready(df, ["A"], (1996, 2000), "trips").collect()] == [("A", 2000, 1, 5.0)]
