@@ -1,0 +1,5 @@
+"""Incremental (Structured Streaming) forms of batch operators."""
+
+from citybeat.streaming.incremental import monthly_volume_stream
+
+__all__ = ["monthly_volume_stream"]

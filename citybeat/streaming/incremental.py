@@ -1,0 +1,51 @@
+"""Monthly trip volume maintained incrementally as trip files arrive.
+
+The batch job folds every read chunk into running per-key counters; the
+streaming form is the same aggregation over a file-source stream: each
+micro-batch is partially aggregated and merged into state kept in the
+checkpoint location, so new monthly files only cost their own rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from citybeat.operators.taxi import monthly_volume
+from citybeat.sources.trips import normalize_trips
+
+
+def monthly_volume_stream(
+    spark: SparkSession,
+    source_dir: str,
+    schema: T.StructType | str,
+    service: str,
+    fields: Sequence[str],
+    year_from: int,
+    year_to: int,
+    checkpoint_location: str,
+    sink,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Start a query keeping (service, year, month) -> trips up to date.
+
+    ``sink(batch_df, batch_id)`` receives the full current counts after every
+    micro-batch (complete output mode); ``checkpoint_location`` must be on
+    shared storage.  Runs until stopped; ``availableNow`` processing is
+    obtained by the caller with ``query.processAllAvailable()``.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.parquet(source_dir)
+    trips: DataFrame = normalize_trips(raw, service, service, fields, year_from, year_to)
+    counts = monthly_volume(trips)
+    return (
+        counts.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint_location)
+        .foreachBatch(sink)
+        .start()
+    )
