@@ -69,7 +69,9 @@ def bounded_costs(
     lineage (the next round reads it twice) and bounds the work lost with an
     executor to one round.
     """
-    w = _cheapest(edges, weight).checkpoint()  # read every round: materialise once
+    # Read every round: materialise once, hash-partitioned by the join key so a
+    # round that cannot broadcast it only shuffles the frontier.
+    w = _cheapest(edges, weight).repartition("u").checkpoint()
     best = sources.select(
         F.col("source"),
         F.col("source").alias("node"),

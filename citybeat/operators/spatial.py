@@ -151,8 +151,11 @@ def nearest(
     block is farther than that); the others move to the next, coarser level.
     Once the cell size covers ``extent`` the block holds every stop.
     """
-    st = stops.select(F.col(stop_id).alias("__sid"), F.col(x).alias("__sx"), F.col(y).alias("__sy"))
-    todo = points.select(F.col(point_id).alias("__pid"), F.col(x).alias("__px"), F.col(y).alias("__py"))
+    # Exact reductions that keep dense clusters small: stops sharing a
+    # coordinate collapse to the smallest id (same distance, same tie rule),
+    # and points sharing a coordinate are solved once.
+    st = stops.groupBy(F.col(x).alias("__sx"), F.col(y).alias("__sy")).agg(F.min(stop_id).alias("__sid"))
+    todo = points.select(F.col(x).alias("__px"), F.col(y).alias("__py")).distinct()
     done: list[DataFrame] = []
     size = cell
     while True:
@@ -164,10 +167,10 @@ def nearest(
         )
         pairs = keyed.join(cand, on=["cx", "cy"], how="left").withColumn("__d2", d2)
         key = F.struct("__d2", "__sid")
-        best = pairs.groupBy("__pid", "__px", "__py").agg(
+        best = pairs.groupBy("__px", "__py").agg(
             F.min_by(key, F.when(F.col("__sid").isNotNull(), key)).alias("__b")
         )
-        best = best.select("__pid", "__px", "__py", F.col("__b.__sid").alias("__sid"), F.col("__b.__d2").alias("__d2"))
+        best = best.select("__px", "__py", F.col("__b.__sid").alias("__sid"), F.col("__b.__d2").alias("__d2"))
         final = F.col("__d2").isNotNull() & (F.col("__d2") <= F.lit(size * size))
         if last:
             done.append(best.filter(F.col("__sid").isNotNull()))
@@ -175,13 +178,14 @@ def nearest(
         done.append(best.filter(final))
         # Unresolved points carry their coordinates on: each level reads the
         # previous one once, so the plan grows linearly with the levels.
-        todo = best.filter(~final).select("__pid", "__px", "__py")
+        todo = best.filter(~final).select("__px", "__py")
         size *= 4
-    out = done[0]
+    solved = done[0]
     for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(
-        F.col("__pid").alias(point_id), F.col("__sid").alias(stop_id), F.col("__d2").alias("dist2")
+        solved = solved.unionByName(d)
+    located = points.select(F.col(point_id), F.col(x).alias("__px"), F.col(y).alias("__py"))
+    return located.join(solved, ["__px", "__py"]).select(
+        F.col(point_id), F.col("__sid").alias(stop_id), F.col("__d2").alias("dist2")
     )
 
 
