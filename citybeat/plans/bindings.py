@@ -454,9 +454,23 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from citybeat.constants import DAY_LABELS, HEADER_LABEL, SECTION_BOARD, SECTION_BOROUGH, SECTION_DAY
 
-    base = report_base(spark, sf_dir).persist()  # read by every section below
+    base = report_base(spark, sf_dir)
     keys = ["file", "sheet"]
-    reasons = base.select(*keys, "vio", "reason").distinct()
+    # One pass over the joined rows: each row is counted once per section
+    # (day x window, borough, board) by exploding its three section keys and
+    # aggregating once; only this small aggregate is kept in memory.
+    sections = F.array(
+        F.struct(F.lit(0).alias("s"), F.col("d").alias("k1"), F.col("w").alias("k2"), F.lit(None).cast("string").alias("nm")),
+        F.struct(F.lit(1).alias("s"), F.col("b").alias("k1"), F.lit(0).alias("k2"), F.col("r_name").alias("nm")),
+        F.struct(F.lit(2).alias("s"), F.col("cb").alias("k1"), F.lit(0).alias("k2"), F.lit(None).cast("string").alias("nm")),
+    )
+    counts = (
+        base.select(*keys, "vio", "reason", F.inline(sections))
+        .groupBy(*keys, "vio", "reason", "s", "k1", "k2", "nm")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .persist()
+    )
+    reasons = counts.select(*keys, "vio", "reason").distinct()
     reasons = reasons.withColumn("ri", F.dense_rank().over(Window.partitionBy(*keys).orderBy("reason")) - 1).withColumn(
         "R", F.count(F.lit(1)).over(Window.partitionBy(*keys))
     ).persist()
@@ -475,11 +489,17 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         cell(F.col("R") * 2 + 9, F.lit(0), F.lit(SECTION_BOARD)),
         cell(F.col("R") * 2 + 10, F.lit(0), F.lit(HEADER_LABEL)),
     ]
-    for d, label in enumerate(DAY_LABELS):
-        fixed.append(cell(F.lit(3), F.lit(1 + d * 3), F.lit(label)))
-        for w, window in enumerate(TIME_WINDOWS):
-            fixed.append(cell(F.lit(4), F.lit(1 + d * 3 + w), F.lit(window)))
-    header_cells = sheets.select(*keys, F.inline(F.array(*fixed)))
+    day_labels = F.array(*[F.lit(x) for x in DAY_LABELS])
+    windows = F.array(*[F.lit(x) for x in TIME_WINDOWS])
+    fixed_cells = sheets.select(*keys, F.inline(F.array(*fixed)))
+    day_heads = sheets.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(len(DAY_LABELS) - 1))).alias("d")).select(
+        *keys, F.lit(3).alias("row"), (F.col("d") * 3 + 1).alias("col"), F.element_at(day_labels, F.col("d") + 1).alias("value")
+    )
+    n_cols = len(DAY_LABELS) * len(TIME_WINDOWS)
+    window_heads = sheets.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1))).alias("i")).select(
+        *keys, F.lit(4).alias("row"), (F.col("i") + 1).alias("col"), F.element_at(windows, F.col("i") % 3 + 1).alias("value")
+    )
+    header_cells = fixed_cells.unionByName(day_heads).unionByName(window_heads)
 
     reason_cells = reasons.select(
         *keys,
@@ -492,18 +512,22 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     rk = reasons.select(*keys, "reason", "ri", "R")
-    day = base.groupBy(*keys, "reason", "d", "w").agg(F.count(F.lit(1)).alias("n")).join(rk, keys + ["reason"])
+    day = counts.filter(F.col("s") == 0).select(*keys, "reason", F.col("k1").alias("d"), F.col("k2").alias("w"), "n").join(
+        rk, keys + ["reason"]
+    )
     day_cells = day.select(
         *keys, (F.col("ri") + 5).alias("row"), (F.col("d") * 3 + F.col("w") + 1).alias("col"), F.col("n").cast("string").alias("value")
     )
-    boro = base.groupBy(*keys, "reason", "b", "r_name").agg(F.count(F.lit(1)).alias("n")).join(rk, keys + ["reason"]).persist()
+    boro = counts.filter(F.col("s") == 1).select(*keys, "reason", F.col("k1").alias("b"), F.col("nm").alias("r_name"), "n").join(
+        rk, keys + ["reason"]
+    )
     boro_cells = boro.select(
         *keys, (F.col("R") + 8 + F.col("ri")).alias("row"), (F.col("b") + 1).alias("col"), F.col("n").cast("string").alias("value")
     )
     boro_heads = boro.select(*keys, "R", "b", "r_name").distinct().select(
         *keys, (F.col("R") + 7).alias("row"), (F.col("b") + 1).alias("col"), F.upper("r_name").alias("value")
     )
-    board = base.groupBy(*keys, "reason", "cb").agg(F.count(F.lit(1)).alias("n")).join(rk, keys + ["reason"]).persist()
+    board = counts.filter(F.col("s") == 2).select(*keys, "reason", F.col("k1").alias("cb"), "n").join(rk, keys + ["reason"])
     board_cells = board.select(
         *keys, (F.col("R") * 2 + 11 + F.col("ri")).alias("row"), (F.col("cb") + 1).alias("col"), F.col("n").cast("string").alias("value")
     )
