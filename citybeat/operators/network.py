@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citybeat.operators.spatial import within_distance
+from citybeat.session import ensure_checkpoint_dir
 
 
 def travel_times(edges: DataFrame, modes: dict[str, float]) -> DataFrame:
@@ -56,14 +57,17 @@ def bounded_costs(
     cutoff: float | None = None,
     max_rounds: int = 10_000,
     with_pred: bool = False,
+    hops_per_round: int = 2,
 ) -> DataFrame:
     """(source, node, cost[, pred]) for every node reachable from each source
     with total ``weight`` <= ``cutoff`` (G3).
 
     ``sources`` has one column ``source`` (a node id).  A round extends the
-    rows that improved in the previous round (``fresh``) by one edge, unions
-    the candidates with the current table and keeps the minimum per
-    (source, node): one shuffle per round.  On equal cost the existing entry
+    rows that improved in the previous round (``fresh``) by up to
+    ``hops_per_round`` edges, unions the candidates with the current table
+    and keeps the minimum per (source, node): one shuffle per round.  Every
+    candidate is the cost of a real path, so extra hops only mean fewer
+    rounds, never a different minimum.  On equal cost the existing entry
     wins, then the smaller predecessor, so the result is deterministic.  The
     table is checkpointed to the shared folder every round: that cuts the
     lineage (the next round reads it twice) and bounds the work lost with an
@@ -71,6 +75,7 @@ def bounded_costs(
     """
     # Read every round: materialise once, hash-partitioned by the join key so a
     # round that cannot broadcast it only shuffles the frontier.
+    ensure_checkpoint_dir(sources.sparkSession)
     w = _cheapest(edges, weight).repartition("u").checkpoint()
     best = sources.select(
         F.col("source"),
@@ -85,14 +90,22 @@ def bounded_costs(
         if frontier.isEmpty():
             break
         rounds += 1
-        step = frontier.join(w, frontier["node"] == w["u"]).select(
-            "source", F.col("v").alias("node"), (F.col("cost") + F.col("w")).alias("cost"), F.col("u").alias("pred"),
-            F.lit(1).alias("rank"),
-        )
-        if cutoff is not None:
-            step = step.filter(F.col("cost") <= F.lit(float(cutoff)))
+        reach = frontier.select("source", "node", "cost")
+        steps = []
+        for _ in range(hops_per_round):
+            step = reach.join(w, reach["node"] == w["u"]).select(
+                "source", F.col("v").alias("node"), (F.col("cost") + F.col("w")).alias("cost"), F.col("u").alias("pred"),
+                F.lit(1).alias("rank"),
+            )
+            if cutoff is not None:
+                step = step.filter(F.col("cost") <= F.lit(float(cutoff)))
+            steps.append(step)
+            reach = step.select("source", "node", "cost")
         old = best.select("source", "node", "cost", "pred", F.lit(0).alias("rank"))
-        win = old.unionByName(step).groupBy("source", "node").agg(F.min(F.struct("cost", "rank", "pred")).alias("__b"))
+        cands = old
+        for step in steps:
+            cands = cands.unionByName(step)
+        win = cands.groupBy("source", "node").agg(F.min(F.struct("cost", "rank", "pred")).alias("__b"))
         best = win.select(
             "source", "node", F.col("__b.cost").alias("cost"), F.col("__b.pred").alias("pred"),
             (F.col("__b.rank") == 1).alias("fresh"),
@@ -137,20 +150,24 @@ def unroll_paths(pairs: DataFrame, costs: DataFrame) -> DataFrame:
     step 0 is the end node, the largest step the start node.
     """
     links = costs.select(F.col("source").alias("start_node"), "node", "pred")
-    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).persist()
-    path = current
-    while True:
-        nxt = (
-            current.filter(F.col("node") != F.col("start_node"))
+    def back(df: DataFrame) -> DataFrame:
+        return (
+            df.filter(F.col("node") != F.col("start_node"))
             .join(links, ["start_node", "node"])
             .filter(F.col("pred").isNotNull())
             .select("pair_id", "start_node", (F.col("step") + 1).alias("step"), F.col("pred").alias("node"))
             .persist()
         )
-        if nxt.isEmpty():
+
+    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).persist()
+    path = current
+    while True:
+        one = back(current)
+        two = back(one)  # two hops per emptiness check
+        path = path.unionByName(one).unionByName(two)
+        if two.isEmpty():
             break
-        path = path.unionByName(nxt)
-        current = nxt
+        current = two
     return path.select("pair_id", "step", "node")
 
 
@@ -173,6 +190,7 @@ def route_lines(
     """
     from citybeat.operators.spatial import nearest
 
+    ensure_checkpoint_dir(candidates.sparkSession)
     ends = candidates.select(
         (F.col("cand_idx") * 2).alias("pt"), F.col("start_x").alias("x"), F.col("start_y").alias("y")
     ).unionByName(candidates.select((F.col("cand_idx") * 2 + 1).alias("pt"), F.col("end_x").alias("x"), F.col("end_y").alias("y")))

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from citybeat.session import ensure_checkpoint_dir
+
 
 def systematic_sample(
     df: DataFrame,
@@ -31,6 +33,7 @@ def systematic_sample(
     """
     groups, order = list(group_cols), list(order_cols)
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n_slices = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parted = df.repartitionByRange(n_slices, *groups, *order).withColumn("__slice", F.spark_partition_id())
     parted = parted.checkpoint(eager=True)
