@@ -193,6 +193,16 @@ def _source_queries() -> dict[str, Query]:
     }
 
 
+def _in_utc(fn: Query) -> Query:
+    """Calendar parts and timestamp text are defined in UTC: pin the session zone."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_taxi_queries())
@@ -202,7 +212,7 @@ def queries() -> dict[str, Query]:
     out.update(_geo_queries())
     out.update(_report_queries())
     out.update(_source_queries())
-    return out
+    return {name: _in_utc(fn) for name, fn in out.items()}
 
 
 def oracle_sql() -> dict[str, str]:
