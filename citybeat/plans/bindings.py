@@ -288,15 +288,15 @@ KNOWN_MODES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
 
 def ridership_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O as ridership rows: mode=o_orderpriority, year of o_orderdate,
-    ridership=o_totalprice.  The ('5-LOW', 1996) cell is left out so that
-    the year x mode grid has a hole to fill."""
+    ridership=o_totalprice.  Every order is kept; the 1996 '5-LOW' orders are
+    reported under '4-NOT SPECIFIED', so the year x mode grid has a hole to
+    fill."""
     o = table(spark, sf_dir, "orders")
-    rows = o.select(
-        F.col("o_orderpriority").alias("mode"),
-        F.year("o_orderdate").alias("year"),
-        F.col("o_totalprice").alias("ridership"),
+    year = F.year("o_orderdate")
+    mode = F.when((F.col("o_orderpriority") == "5-LOW") & (year == 1996), F.lit("4-NOT SPECIFIED")).otherwise(
+        F.col("o_orderpriority")
     )
-    return rows.filter(~((F.col("mode") == "5-LOW") & (F.col("year") == 1996)))
+    return o.select(mode.alias("mode"), year.alias("year"), F.col("o_totalprice").alias("ridership"))
 
 
 # --- timestamps as numbers and digit strings ------------------------------------
@@ -556,6 +556,25 @@ PARTS_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double, l_extended
 PARTS_MAX_RECORDS = 5000
 
 
+def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S as point features written as line-delimited GeoJSON under the shared
+    checkpoint folder and read back (S9, S5)."""
+    from citybeat.session import scratch_path
+    from citybeat.sources.files import read_geojson_seq_points, to_geojson_features, write_geojson_seq
+
+    geo = supplier_geo(spark, sf_dir).join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey")
+    feats = to_geojson_features(geo, "Point", F.array("lng", "lat"), ["s_suppkey", "s_name"])
+    path = scratch_path(spark, "geojson")
+    write_geojson_seq(feats, path)
+    back = read_geojson_seq_points(spark, path)
+    return back.select(
+        F.col("properties.s_suppkey").cast("long").alias("s_suppkey"),
+        F.col("properties.s_name").alias("s_name"),
+        "lng",
+        "lat",
+    )
+
+
 def parts_roundtrip(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """L written as year-partitioned CSV parts (at most 5000 rows per file)
     under the shared checkpoint folder, then read back through the

@@ -189,6 +189,7 @@ def _report_queries() -> dict[str, Query]:
 def _source_queries() -> dict[str, Query]:
     return {
         "parts_roundtrip": lambda s, d: B.parts_roundtrip(s, d)[0],
+        "geojson_roundtrip": B.geojson_roundtrip,
         "parts_manifest": lambda s, d: B.parts_roundtrip(s, d)[1].groupBy("year").agg(F.sum("rows").alias("rows")),
     }
 
@@ -227,5 +228,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, CAST(year(l_shipdate) AS INTEGER) AS year "
         "FROM lineitem"
     )
+    out["geojson_roundtrip"] = (
+        "SELECT s_suppkey, s_name, CAST(-74.05 AS DOUBLE) + (s_suppkey * 53 % 1000) / 10000.0 AS lng, "
+        "CAST(40.6 AS DOUBLE) + (s_suppkey * 29 % 1000) / 10000.0 AS lat FROM supplier"
+    )
     out["parts_manifest"] = "SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows FROM lineitem GROUP BY 1"
     return out

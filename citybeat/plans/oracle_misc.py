@@ -6,8 +6,9 @@ from citybeat.plans.oracle_taxi import oracles as taxi_oracles
 
 RIDERSHIP_CTE = """
 rows AS (
-  SELECT o_orderpriority AS mode, CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS ridership
-  FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND year(o_orderdate) = 1996)
+  SELECT CASE WHEN o_orderpriority = '5-LOW' AND year(o_orderdate) = 1996 THEN '4-NOT SPECIFIED' ELSE o_orderpriority END AS mode,
+         CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS ridership
+  FROM orders
 ),
 means AS (
   SELECT mode, year,

@@ -74,6 +74,16 @@ def read_geojson_points(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_geojson_seq_points(spark: SparkSession, path: str) -> DataFrame:
+    """Point features of line-delimited GeoJSON (one Feature per line); the
+    files split across tasks like any JSON-lines input (S5)."""
+    feats = spark.read.json(path)
+    coords = F.col("geometry.coordinates")
+    return feats.filter(coords.isNotNull() & (F.size(coords) >= 2)).select(
+        coords[0].cast("double").alias("lng"), coords[1].cast("double").alias("lat"), F.col("properties").alias("properties")
+    )
+
+
 def to_geojson_features(df: DataFrame, geometry_type: str, coords: F.Column, properties: Sequence[str]) -> DataFrame:
     """One GeoJSON Feature per row as a JSON string column ``feature``."""
     feature = F.struct(

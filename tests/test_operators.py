@@ -360,3 +360,22 @@ def test_chart_ready_filter(spark):
         "service string, year int, month int, trips double",
     )
     assert [tuple(r) for r in taxi.chart_ready(df, ["A"], (1996, 2000), "trips").collect()] == [("A", 2000, 1, 5.0)]
+
+
+def test_ridership_grid_zero_fill_and_shares(spark):
+    from citybeat.operators import ridership
+
+    rows = spark.createDataFrame(
+        [("bus", 2020, 10.0), ("bus", 2020, 20.0), ("rail", 2020, 5.0), ("bus", 2021, 7.0), ("ferry", 2021, 0.0)],
+        "mode string, year int, ridership double",
+    )
+    means = ridership.mode_year_means(rows)
+    share = {(r.year, r.mode): (r.ridership, r.share) for r in ridership.mode_share(means).collect()}
+    assert share[(2020, "ferry")] == (0.0, 0.0) and share[(2021, "rail")] == (0.0, 0.0)
+    assert share[(2020, "bus")] == (15.0, 0.75) and share[(2021, "bus")] == (7.0, 1.0)
+    stack = {(r.year, r.mode): (r.y0, r.y1) for r in ridership.stacked_pivot(means, ["rail", "bus"]).collect()}
+    assert stack[(2020, "rail")] == (0.0, 5.0) and stack[(2020, "bus")] == (5.0, 20.0) and stack[(2021, "rail")] == (0.0, 0.0)
+    latest = {r.mode: r.share for r in ridership.latest_year_share(means, ["bus", "rail"]).collect()}
+    assert latest == {"bus": 1.0, "rail": 0.0}
+    feat = sorted((r.mode, r.year) for r in ridership.featured_years(means).collect())
+    assert feat == [("bus", 2020), ("bus", 2021), ("ferry", 2021), ("rail", 2020)]
