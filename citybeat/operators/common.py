@@ -27,6 +27,7 @@ def zero_filled_counts(
     label_col: str,
     count_col: str = "trips",
     weight: Column | None = None,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Count rows per group and label; every label of ``labels`` is emitted
     (zero when absent) for each group that has at least one row in ``df``.
@@ -34,6 +35,8 @@ def zero_filled_counts(
     One aggregation with a conditional counter per label (partial aggregation
     happens map-side), then an ``unpivot``; there is no join with a label grid.
     With ``weight`` the counters sum that column instead of counting rows.
+    ``extra`` aggregates are computed in the same pass and repeated on every
+    output row of their group.
     """
     groups = _cols(group_cols)
     aggs = []
@@ -43,8 +46,9 @@ def zero_filled_counts(
             aggs.append(F.count_if(hit).alias(lbl))
         else:
             aggs.append(F.sum(F.when(hit, weight).otherwise(F.lit(0))).cast("long").alias(lbl))
-    wide = df.groupBy(*groups).agg(*aggs)
-    return wide.unpivot(groups, [F.col(f"`{lbl}`") for lbl in labels], label_col, count_col)
+    wide = df.groupBy(*groups).agg(*aggs, *extra)
+    ids = [c for c in wide.columns if c not in set(labels)]
+    return wide.unpivot(ids, [F.col(f"`{lbl}`") for lbl in labels], label_col, count_col)
 
 
 def share_within(df: DataFrame, part_cols: str | Sequence[str], value_col: str, share_col: str = "share", digits: int | None = 4) -> DataFrame:

@@ -115,9 +115,9 @@ def tip_rate_bins(trips: DataFrame) -> DataFrame:
     rated = trips.filter((F.col("base_fare") > 0) & F.col("tip_amount").isNotNull()).select("service", rate.alias("rate"))
     rated = rated.filter(F.col("rate") >= 0)
     label = F.when(F.col("rate") == 0, F.lit(TIP_ZERO_LABEL)).otherwise(left_closed_bin("rate", TIP_EDGES, TIP_LABELS))
-    counted = zero_filled_counts(rated, "service", label, [TIP_ZERO_LABEL] + TIP_LABELS, "tip_bin")
-    positives = rated.groupBy("service").agg(F.count_if(F.col("rate") > 0).alias("__pos"))
-    counted = counted.join(positives, on="service")
+    counted = zero_filled_counts(
+        rated, "service", label, [TIP_ZERO_LABEL] + TIP_LABELS, "tip_bin", extra=[F.count_if(F.col("rate") > 0).alias("__pos")]
+    )
     keep = F.when(F.col("tip_bin") == TIP_ZERO_LABEL, F.col("trips") > 0).otherwise(F.col("__pos") > 0)
     return counted.filter(keep).drop("__pos")
 
