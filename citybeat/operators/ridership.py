@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citybeat.functions.numeric import round_half_even
 
 
 def mode_year_means(rows: DataFrame) -> DataFrame:
@@ -116,5 +115,5 @@ def distinct_years(rows: DataFrame) -> DataFrame:
 
 __all__ = [
     "mode_year_means", "year_totals", "full_grid", "mode_share", "latest_year_share", "featured_years",
-    "stacked_pivot", "distinct_years", "round_half_even",
+    "stacked_pivot", "distinct_years",
 ]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from citybeat.constants import TOP_CORRIDORS
 from citybeat.functions.datetime import valid_calendar_date
-from citybeat.functions.numeric import round_half_even
 from citybeat.functions.text import corridor_label, normalize_borough, normalize_direction
 from citybeat.operators.common import share_of_total, top_k
 
@@ -92,5 +91,5 @@ def weekend_pivot(counts: DataFrame) -> DataFrame:
 
 __all__ = [
     "clean_counts", "hourly_by_borough", "monthly_by_borough", "weekend_by_borough", "weekday_share",
-    "direction_by_borough", "day_of_week", "borough_average", "top_corridors", "weekend_pivot", "round_half_even",
+    "direction_by_borough", "day_of_week", "borough_average", "top_corridors", "weekend_pivot",
 ]

@@ -39,6 +39,32 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def scale_settings(input_bytes: int, executor_cores: int, executor_memory_gb: float) -> dict[str, str]:
+    """Shuffle / scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits of 512 MB; an initial shuffle width giving ~128 MB per
+    partition of the largest shuffle (bounded by what one core's share of
+    executor memory can sort without heavy spilling), which AQE then coalesces
+    towards 256 MB and splits again where a key is skewed.  At 100 TB this
+    gives ~800k initial shuffle partitions before coalescing.
+    """
+    per_core = executor_memory_gb * 1024**3 / max(1, executor_cores)
+    target = int(min(128 * 1024**2, per_core / 4))
+    partitions = max(200, input_bytes // max(1, target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024**2),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024**2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024**2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024**2),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
