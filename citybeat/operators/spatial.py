@@ -60,35 +60,39 @@ def point_in_ring(ring: Column, px: Column, py: Column) -> Column:
 
 
 def polygon_cells(polygons: DataFrame, cell: int) -> DataFrame:
-    """(poly_id, ring, cx, cy) for every grid cell touching the polygon's bbox."""
+    """(poly_id, cx, cy) for every grid cell touching the polygon's bbox."""
     xs = F.transform("ring", lambda p: p["x"])
     ys = F.transform("ring", lambda p: p["y"])
     boxed = polygons.select(
-        "poly_id", "ring",
+        "poly_id",
         _cell(F.array_min(xs), cell).alias("x0"), _cell(F.array_max(xs), cell).alias("x1"),
         _cell(F.array_min(ys), cell).alias("y0"), _cell(F.array_max(ys), cell).alias("y1"),
     )
-    return boxed.select(
-        "poly_id", "ring",
-        F.explode(F.sequence("x0", "x1")).alias("cx"), "y0", "y1",
-    ).select("poly_id", "ring", "cx", F.explode(F.sequence("y0", "y1")).alias("cy"))
+    return boxed.select("poly_id", F.explode(F.sequence("x0", "x1")).alias("cx"), "y0", "y1").select(
+        "poly_id", "cx", F.explode(F.sequence("y0", "y1")).alias("cy")
+    )
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y", cell: int = 100) -> DataFrame:
-    """Points inside (or on the boundary of) any polygon: a semi join.
+def points_in_polygons(
+    points: DataFrame, polygons: DataFrame, point_id: str, x: str = "x", y: str = "y", cell: int = 100
+) -> DataFrame:
+    """Rows of ``points`` inside (or on the boundary of) any polygon.
 
-    Polygons are cut into the grid cells of their bounding boxes; a point
-    meets only the polygons registered in its own cell, then the exact ring
-    test decides.
+    Polygons are registered in the grid cells of their bounding boxes
+    (cell rows carry only ids, never the ring); a point meets the polygons of
+    its own cell by an equi-join, and the exact ring test reads the ring from
+    a one-row id -> ring map computed once (a scalar subquery).  Matching ids
+    are then semi-joined back, so every input row is kept at most once.
     """
     cells = polygon_cells(polygons, cell)
-    keyed = points.withColumns({"cx": _cell(F.col(x), cell), "cy": _cell(F.col(y), cell)})
-    cond = (
-        (keyed["cx"] == cells["cx"])
-        & (keyed["cy"] == cells["cy"])
-        & point_in_ring(cells["ring"], keyed[x].cast("long"), keyed[y].cast("long"))
+    rings = polygons.agg(F.map_from_entries(F.collect_list(F.struct("poly_id", "ring"))).alias("m")).scalar()
+    keyed = points.select(
+        F.col(point_id), F.col(x).cast("long").alias("__x"), F.col(y).cast("long").alias("__y"),
+        _cell(F.col(x), cell).alias("cx"), _cell(F.col(y), cell).alias("cy"),
     )
-    return keyed.join(cells, cond, "left_semi").drop("cx", "cy")
+    cand = keyed.join(cells, ["cx", "cy"]).withColumn("__ring", F.element_at(rings, F.col("poly_id")))
+    inside = cand.filter(point_in_ring(F.col("__ring"), F.col("__x"), F.col("__y")))
+    return points.join(inside.select(point_id).distinct(), point_id, "left_semi")
 
 
 # --- J5 / J6: within distance and nearest ------------------------------------------

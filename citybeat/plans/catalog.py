@@ -155,7 +155,7 @@ def _routes(s: SparkSession, d: str) -> DataFrame:
 
 def _geo_queries() -> dict[str, Query]:
     return {
-        "points_in_polygons": lambda s, d: spatial.points_in_polygons(B.customer_points(s, d), B.polygons(s)),
+        "points_in_polygons": lambda s, d: spatial.points_in_polygons(B.customer_points(s, d), B.polygons(s), "c_custkey"),
         "near_stops": lambda s, d: spatial.within_distance(
             B.customer_points(s, d), B.supplier_points(s, d), 50, center=(500, 500), center_radius=80
         ),

@@ -170,7 +170,7 @@ def test_point_in_polygon_boundaries(spark):
         [(1, 5, 5), (2, 10, 5), (3, 0, 0), (4, 11, 5), (5, 25, 5), (6, 25, 8), (7, 22, 3), (8, 15, 15), (9, 10, 10)],
         "id int, x long, y long",
     )
-    got = sorted(r.id for r in spatial.points_in_polygons(pts, polys, cell=4).collect())
+    got = sorted(r.id for r in spatial.points_in_polygons(pts, polys, "id", cell=4).collect())
     assert got == [1, 2, 3, 5, 7, 9]  # edge, vertex and the notch tip count as inside; (25, 8) is in the notch
 
 
