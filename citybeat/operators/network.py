@@ -177,7 +177,6 @@ def route_lines(
     edges: DataFrame,
     target_routes: int,
     weight: str = "length",
-    extent: int = 1 << 16,
 ) -> DataFrame:
     """Street routes for the first ``target_routes`` candidates that can be
     routed (G5).
@@ -194,7 +193,7 @@ def route_lines(
     ends = candidates.select(
         (F.col("cand_idx") * 2).alias("pt"), F.col("start_x").alias("x"), F.col("start_y").alias("y")
     ).unionByName(candidates.select((F.col("cand_idx") * 2 + 1).alias("pt"), F.col("end_x").alias("x"), F.col("end_y").alias("y")))
-    snapped = nearest(ends, nodes, "pt", "node_id", cell=1000, extent=extent)
+    snapped = nearest(ends, nodes, "pt", "node_id")
     start = snapped.filter(F.col("pt") % 2 == 0).select((F.col("pt") / 2).cast("long").alias("pair_id"), F.col("node_id").alias("start_node"))
     end = snapped.filter(F.col("pt") % 2 == 1).select(((F.col("pt") - 1) / 2).cast("long").alias("pair_id"), F.col("node_id").alias("end_node"))
     pairs = start.join(end, "pair_id").checkpoint()

@@ -160,7 +160,7 @@ def _geo_queries() -> dict[str, Query]:
             B.customer_points(s, d), B.supplier_points(s, d), 50, center=(500, 500), center_radius=80
         ),
         "nearest_stop": lambda s, d: spatial.nearest(
-            B.customer_points(s, d), B.supplier_points(s, d), "c_custkey", "s_suppkey", cell=100, extent=1000
+            B.customer_points(s, d), B.supplier_points(s, d), "c_custkey", "s_suppkey"
         ),
         "route_overlap": lambda s, d: spatial.route_overlap(B.order_routes(s, d)),
         "endpoint_roles": lambda s, d: spatial.endpoint_roles(B.order_routes(s, d)),

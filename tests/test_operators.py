@@ -174,13 +174,15 @@ def test_point_in_polygon_boundaries(spark):
     assert got == [1, 2, 3, 5, 7, 9]  # edge, vertex and the notch tip count as inside; (25, 8) is in the notch
 
 
-def test_nearest_matches_brute_force_with_hot_cell(spark):
+@pytest.mark.parametrize("max_block", [256, 8])
+def test_nearest_matches_brute_force_with_hot_cell(spark, max_block):
     rnd = random.Random(3)
     stops = [(i, rnd.randint(0, 30), rnd.randint(0, 30)) for i in range(200)] + [(1000 + i, rnd.randint(900, 999), rnd.randint(900, 999)) for i in range(5)]
     pts = [(i, rnd.randint(0, 999), rnd.randint(0, 999)) for i in range(300)]
     sdf = spark.createDataFrame(stops, "sid long, x long, y long")
     pdf = spark.createDataFrame(pts, "pid long, x long, y long")
-    got = {r.pid: (r.sid, r.dist2) for r in spatial.nearest(pdf, sdf, "pid", "sid", cell=50, extent=1024).collect()}
+    # max_block=8 sends every point next to the dense cluster through the quadtree descent
+    got = {r.pid: (r.sid, r.dist2) for r in spatial.nearest(pdf, sdf, "pid", "sid", max_block=max_block, leaf_size=4).collect()}
     for pid, x, y in pts:
         best = min(((x - sx) ** 2 + (y - sy) ** 2, sid) for sid, sx, sy in stops)
         assert got[pid] == (best[1], best[0])
