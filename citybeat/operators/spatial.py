@@ -147,7 +147,7 @@ def nearest(
     x: str = "x",
     y: str = "y",
     cell: int | None = None,
-    max_block: int = 256,
+    max_block: int = 1024,
     leaf_size: int = 16,
 ) -> DataFrame:
     """Exact nearest stop for every point; ties go to the smallest stop id.
