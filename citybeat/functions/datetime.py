@@ -15,6 +15,9 @@ DEFAULT_FORMATS = (
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "yyyy-MM-dd HH:mm",
     "MM/dd/yyyy HH:mm:ss",
     "MM/dd/yyyy HH:mm",
@@ -35,6 +38,8 @@ def blank_to_null(col: Column | str, tokens: Sequence[str] = BLANK_TOKENS) -> Co
 def parse_mixed_timestamp(col: Column | str, formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
     """Parse strings written in any of ``formats``; unparsable values become null.
 
+    Values carrying a UTC offset ('Z', '+02:00') are converted to UTC.
+
     The blank tokens ('', 'NaT', 'nan', 'None') match no format, so they come
     out null without a separate check (which Catalyst would otherwise inline
     into every format attempt).

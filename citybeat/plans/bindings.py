@@ -553,7 +553,7 @@ def report_cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- file round trip --------------------------------------------------------------
 
 PARTS_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
-PARTS_MAX_RECORDS = 5000
+PARTS_MAX_MB = 1.0
 
 
 def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -576,17 +576,17 @@ def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts_roundtrip(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """L written as year-partitioned CSV parts (at most 5000 rows per file)
-    under the shared checkpoint folder, then read back through the
-    whole-or-parts resolution.  Returns (rows read back, manifest)."""
+    """L written as year-partitioned CSV parts of at most ~1 MB each under the
+    shared checkpoint folder, then read back through the whole-or-parts
+    resolution.  Returns (rows read back, manifest)."""
     from citybeat.session import scratch_path
-    from citybeat.sources.files import parts_manifest, read_csv, resolve_whole_or_parts, write_csv_parts
+    from citybeat.sources.files import parts_manifest, read_csv, resolve_whole_or_parts, write_csv_parts_by_size
 
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", F.year("l_shipdate").alias("year")
     )
     root = scratch_path(spark, "parts")
-    write_csv_parts(li, root, PARTS_MAX_RECORDS, ["year"])
+    write_csv_parts_by_size(li, root, PARTS_MAX_MB, ["year"])
     paths = resolve_whole_or_parts(spark, f"{root}/lineitem.csv", [f"{root}/year=*/part-*.csv"])
     back = read_csv(spark, paths, PARTS_SCHEMA).withColumn(
         "year", F.regexp_extract(F.col("_metadata.file_path"), r"year=(\d+)", 1).cast("int")

@@ -56,6 +56,19 @@ def write_csv_parts(df: DataFrame, path: str, max_records: int, partition_by: Se
     w.csv(path)
 
 
+def write_csv_parts_by_size(df: DataFrame, path: str, max_mb: float, partition_by: Sequence[str] = ()) -> int:
+    """CSV parts of at most about ``max_mb`` megabytes each.
+
+    The row cap per file comes from the average width of a CSV row, measured
+    by one aggregation over the frame; returns the cap used.
+    """
+    width = F.length(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])) + 1
+    avg = df.agg(F.avg(width)).first()[0] or 1.0
+    cap = max(1, int(max_mb * 1024 * 1024 / avg))
+    write_csv_parts(df, path, cap, partition_by)
+    return cap
+
+
 def parts_manifest(spark: SparkSession, path: str, schema: T.StructType | str, partition_cols: Sequence[str] = ()) -> DataFrame:
     """One row per written part: file name, partition values and row count."""
     df = read_csv(spark, path, schema)

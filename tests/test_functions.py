@@ -89,3 +89,9 @@ def test_rounding_matches_python(spark):
     assert got == [round(v * 100) / 100 for v in vals]
     up = [r.r for r in df.select(round_half_up(F.col("v"), 0).alias("r")).collect()]
     assert up[4:7] == [1.0, 2.0, 3.0]
+
+
+def test_offsets_convert_to_utc(spark):
+    df = spark.createDataFrame([("2024-01-02T03:04:05+02:00",), ("2024-01-02 03:04:05Z",)], "s string")
+    got = [r.t for r in df.select(parse_mixed_timestamp("s").cast("timestamp_ntz").alias("t")).collect()]
+    assert got == [dt.datetime(2024, 1, 2, 1, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5)]

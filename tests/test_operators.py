@@ -381,3 +381,16 @@ def test_ridership_grid_zero_fill_and_shares(spark):
     assert latest == {"bus": 1.0, "rail": 0.0}
     feat = sorted((r.mode, r.year) for r in ridership.featured_years(means).collect())
     assert feat == [("bus", 2020), ("bus", 2021), ("ferry", 2021), ("rail", 2020)]
+
+
+def test_size_capped_parts(spark, tmp_path):
+    from citybeat.sources.files import parts_manifest, write_csv_parts_by_size
+
+    df = spark.range(20000).select(F.col("id"), F.concat(F.lit("row-"), F.col("id").cast("string")).alias("label"))
+    out = str(tmp_path / "parts")
+    cap = write_csv_parts_by_size(df.repartition(2), out, 0.05)
+    sizes = [f.stat().st_size for f in (tmp_path / "parts").glob("part-*.csv")]
+    assert cap > 0 and len(sizes) > 2
+    assert max(sizes) <= 0.05 * 1024 * 1024 * 1.1 + 100  # header + rounding
+    man = parts_manifest(spark, out, "id long, label string")
+    assert man.agg(F.sum("rows")).first()[0] == 20000
