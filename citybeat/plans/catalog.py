@@ -67,7 +67,7 @@ def _bike_queries() -> dict[str, Query]:
 
 def _traffic_queries() -> dict[str, Query]:
     return {
-        "clean_traffic": lambda s, d: B.traffic_counts(s, d).drop(),
+        "clean_traffic": lambda s, d: B.traffic_counts(s, d),
         "hourly_by_borough": lambda s, d: traffic.hourly_by_borough(B.traffic_counts(s, d)),
         "monthly_by_borough": lambda s, d: traffic.monthly_by_borough(B.traffic_counts(s, d)),
         "weekend_by_borough": lambda s, d: traffic.weekend_by_borough(B.traffic_counts(s, d)),

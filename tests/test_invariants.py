@@ -34,3 +34,16 @@ def test_partition_count_does_not_change_results(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     assert out[0] == out[1]
+
+
+def test_top_zones_are_a_subset_of_latest_year_counts(spark):
+    top = queries()["top_zones"](spark, SF001)
+    counts = queries()["pickup_counts"](spark, SF001)
+    latest = counts.groupBy("service").agg(F.max("year").alias("year"))
+    pool = counts.join(latest, ["service", "year"])
+    missing = top.select("service", "year", "PULocationID", "trips").exceptAll(pool.select("service", "year", "PULocationID", "trips"))
+    assert missing.count() == 0
+    # nothing outside the top-k beats the k-th row of its service
+    kth = top.groupBy("service").agg(F.min("trips").alias("kth"), F.count(F.lit(1)).alias("n"))
+    better = pool.join(top.select("service", "PULocationID"), ["service", "PULocationID"], "left_anti").join(kth, "service")
+    assert better.filter(F.col("trips") > F.col("kth")).count() == 0
