@@ -119,24 +119,60 @@ def within_distance(
     y: str = "y",
     center: tuple[int, int] | None = None,
     center_radius: int | None = None,
+    max_block: int = 1024,
 ) -> DataFrame:
     """Points within ``radius`` of any stop, or of ``center``.
 
     Stops are replicated into the 3x3 block of cells of size ``radius``;
     points join on their own cell and keep the first stop within range
-    (a semi join stops at the first match).
+    (a semi join stops at the first match).  Points whose block holds more
+    than ``max_block`` distinct stop positions are answered exactly by the
+    quadtree nearest-stop search instead (within range iff the nearest stop
+    is), so no point scans a dense cluster stop by stop.
     """
-    s = _neighbour_cells(stops.select(F.col(x).alias("sx"), F.col(y).alias("sy")).distinct(), "sx", "sy", radius)
+    s_pos = stops.select(F.col(x).cast("long").alias("sx"), F.col(y).cast("long").alias("sy")).distinct()
     keyed = points.withColumns({"cx": _cell(F.col(x), radius), "cy": _cell(F.col(y), radius)})
+    n_stops = s_pos.count() if max_block is not None else 0
+    heavy_pts = None
+    if max_block is not None and n_stops > max_block:
+        per_cell = s_pos.groupBy(_cell(F.col("sx"), radius).alias("__bx"), _cell(F.col("sy"), radius).alias("__by")).agg(
+            F.count(F.lit(1)).alias("__c")
+        )
+        heavy_cells = (
+            _neighbour_cells(per_cell, "__bx", "__by", 1)
+            .groupBy("cx", "cy")
+            .agg(F.sum("__c").alias("__block"))
+            .filter(F.col("__block") > max_block)
+            .select("cx", "cy", F.lit(True).alias("__heavy"))
+        )
+        keyed = keyed.join(heavy_cells, ["cx", "cy"], "left")
+        heavy_pts = keyed.filter(F.col("__heavy").isNotNull()).drop("__heavy", "cx", "cy")
+        keyed = keyed.filter(F.col("__heavy").isNull()).drop("__heavy")
+    s = _neighbour_cells(s_pos, "sx", "sy", radius)
     d2 = (keyed[x] - s["sx"]) * (keyed[x] - s["sx"]) + (keyed[y] - s["sy"]) * (keyed[y] - s["sy"])
     cond = (keyed["cx"] == s["cx"]) & (keyed["cy"] == s["cy"]) & (d2 <= F.lit(radius * radius))
-    if center is None:
-        return keyed.join(s, cond, "left_semi").drop("cx", "cy")
-    cx, cy = center
-    near_center = (F.col(x) - cx) * (F.col(x) - cx) + (F.col(y) - cy) * (F.col(y) - cy) <= F.lit(center_radius * center_radius)
-    by_center = points.filter(near_center)
-    by_stop = keyed.filter(~near_center).join(s, cond, "left_semi").drop("cx", "cy")
-    return by_center.unionByName(by_stop)
+    if center is not None:
+        cx, cy = center
+        near_center = (F.col(x) - cx) * (F.col(x) - cx) + (F.col(y) - cy) * (F.col(y) - cy) <= F.lit(center_radius * center_radius)
+    else:
+        near_center = F.lit(False)
+    out = keyed.filter(near_center).drop("cx", "cy").unionByName(
+        keyed.filter(~near_center).join(s, cond, "left_semi").drop("cx", "cy")
+    )
+    if heavy_pts is not None:
+        hard = heavy_pts.select(F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py")).distinct()
+        found = _nearest_quadtree(
+            hard.select(F.col("__px").alias(x), F.col("__py").alias(y), F.lit(0).alias("__pt")),
+            s_pos.select(F.col("sx").alias(x), F.col("sy").alias(y), F.lit(0).alias("__sid")),
+            "__pt", "__sid", x, y,
+        ).filter(F.col("__d2") <= F.lit(radius * radius))
+        keep = heavy_pts.join(
+            found.select(F.col("__px").alias("__hx"), F.col("__py").alias("__hy")),
+            (F.col(x).cast("long") == F.col("__hx")) & (F.col(y).cast("long") == F.col("__hy")),
+            "left_semi",
+        )
+        out = out.unionByName(keep.filter(~near_center)).unionByName(heavy_pts.filter(near_center))
+    return out
 
 
 def nearest(

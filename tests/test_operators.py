@@ -394,3 +394,17 @@ def test_size_capped_parts(spark, tmp_path):
     assert max(sizes) <= 0.05 * 1024 * 1024 * 1.1 + 100  # header + rounding
     man = parts_manifest(spark, out, "id long, label string")
     assert man.agg(F.sum("rows")).first()[0] == 20000
+
+
+def test_within_distance_dense_cluster_path(spark):
+    rnd = random.Random(9)
+    stops = [(rnd.randint(0, 20), rnd.randint(0, 20)) for _ in range(300)] + [(rnd.randint(0, 400), rnd.randint(0, 400)) for _ in range(30)]
+    pts = [(i, rnd.randint(0, 400), rnd.randint(0, 400)) for i in range(400)] + [(1000 + i, rnd.randint(0, 40), rnd.randint(0, 40)) for i in range(100)]
+    sdf = spark.createDataFrame(stops, "x long, y long")
+    pdf = spark.createDataFrame(pts, "pid long, x long, y long")
+    got = sorted(r.pid for r in spatial.within_distance(pdf, sdf, 12, center=(300, 300), center_radius=20, max_block=16).collect())
+    expect = sorted(
+        p for p, x, y in pts
+        if (x - 300) ** 2 + (y - 300) ** 2 <= 400 or any((x - a) ** 2 + (y - b) ** 2 <= 144 for a, b in stops)
+    )
+    assert got == expect
