@@ -408,3 +408,12 @@ def test_within_distance_dense_cluster_path(spark):
         if (x - 300) ** 2 + (y - 300) ** 2 <= 400 or any((x - a) ** 2 + (y - b) ** 2 <= 144 for a, b in stops)
     )
     assert got == expect
+
+
+def test_export_outputs(spark, tmp_path):
+    from citybeat.plans.export import export_outputs
+
+    paths = export_outputs(spark, "/root/testdata/sf0.001", str(tmp_path), ["trips_monthly", "airport_share"])
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["trips_monthly", "airport_share"]
+    back = spark.read.option("header", True).csv(paths[1])
+    assert set(back.columns) == {"service", "airport_trip", "trips", "share"} and back.count() > 0
