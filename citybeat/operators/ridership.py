@@ -81,14 +81,22 @@ def latest_year_share(means: DataFrame, modes: Sequence[str]) -> DataFrame:
 
 
 def featured_years(means: DataFrame) -> DataFrame:
-    """Per mode: its years at positions 0, n/3, 2n/3 and n-1 (all when n <= 4)."""
+    """Per mode: its years at positions 0, n/3, 2n/3 and n-1 (all when n <= 4),
+    with the year's total over all modes and the mode's share of it (W9)."""
     w = Window.partitionBy("mode").orderBy("year")
     idx = F.row_number().over(w) - 1
     n = F.count(F.lit(1)).over(Window.partitionBy("mode"))
-    ranked = means.select("mode", "year", "ridership", idx.alias("__i"), n.alias("__n"))
+    ranked = means.select("mode", "year", "ridership_cents", idx.alias("__i"), n.alias("__n"))
     picks = F.array(F.lit(0), F.floor(F.col("__n") / 3), F.floor(2 * F.col("__n") / 3), F.col("__n") - 1)
     keep = (F.col("__n") <= 4) | F.array_contains(picks.cast("array<long>"), F.col("__i").cast("long"))
-    return ranked.filter(keep).drop("__i", "__n")
+    totals = means.groupBy("year").agg(F.sum("ridership_cents").alias("__t"))
+    return ranked.filter(keep).join(totals, "year").select(
+        "mode",
+        "year",
+        (F.col("ridership_cents") / 100.0).alias("ridership"),
+        (F.col("__t") / 100.0).alias("total"),
+        F.when(F.col("__t") == 0, F.lit(0.0)).otherwise(F.col("ridership_cents") / F.col("__t")).alias("share"),
+    )
 
 
 def stacked_pivot(means: DataFrame, modes: Sequence[str]) -> DataFrame:

@@ -48,8 +48,10 @@ FROM g
     q["featured_years"] = f"""
 WITH {RIDERSHIP_CTE.strip()},
 r AS (SELECT mode, year, c, row_number() OVER (PARTITION BY mode ORDER BY year) - 1 AS i,
-             count(*) OVER (PARTITION BY mode) AS n FROM means)
-SELECT mode, year, c / 100.0 AS ridership FROM r
+             count(*) OVER (PARTITION BY mode) AS n FROM means),
+t AS (SELECT year, sum(c) AS tc FROM means GROUP BY year)
+SELECT mode, year, c / 100.0 AS ridership, tc / 100.0 AS total, CASE WHEN tc = 0 THEN 0.0 ELSE c / tc END AS share
+FROM r JOIN t USING (year)
 WHERE n <= 4 OR i IN (0, floor(n / 3), floor(2 * n / 3), n - 1)
 """
     q["year_mode_pivot"] = f"""

@@ -379,8 +379,8 @@ def test_ridership_grid_zero_fill_and_shares(spark):
     assert stack[(2020, "rail")] == (0.0, 5.0) and stack[(2020, "bus")] == (5.0, 20.0) and stack[(2021, "rail")] == (0.0, 0.0)
     latest = {r.mode: r.share for r in ridership.latest_year_share(means, ["bus", "rail"]).collect()}
     assert latest == {"bus": 1.0, "rail": 0.0}
-    feat = sorted((r.mode, r.year) for r in ridership.featured_years(means).collect())
-    assert feat == [("bus", 2020), ("bus", 2021), ("ferry", 2021), ("rail", 2020)]
+    feat = sorted((r.mode, r.year, r.total, r.share) for r in ridership.featured_years(means).collect())
+    assert feat == [("bus", 2020, 20.0, 0.75), ("bus", 2021, 7.0, 1.0), ("ferry", 2021, 7.0, 0.0), ("rail", 2020, 20.0, 0.25)]
 
 
 def test_size_capped_parts(spark, tmp_path):
