@@ -173,7 +173,7 @@ def _geo_queries() -> dict[str, Query]:
             network.allowed_nodes(B.graph_nodes(s, d), B.customer_stops_m(s, d), 400, (10000, 10000), 2000),
         ),
         "reachable": _reachable,
-        "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 2000),
+        "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 100, 200),
         "routes": _routes,
     }
 

@@ -157,9 +157,16 @@ w AS (SELECT u, v, min(length / (CAST(15.0 AS DOUBLE) * 1000.0 / 3600.0)) AS w F
 {bf},
 b AS (SELECT r12.*, m.minutes FROM r12, (VALUES (5), (10)) m(minutes) WHERE cost <= m.minutes * 60.0)"""
     q["reachable"] = reach + "\nSELECT source, node, cost, minutes FROM b\n"
-    q["coverage_cells"] = reach + """
-SELECT source, minutes, count(*) AS nodes,
-       count(DISTINCT CAST(floor(x / 2000) AS BIGINT) || ',' || CAST(floor(y / 2000) AS BIGINT)) AS cells
-FROM b JOIN nodes ON nodes.node_id = b.node GROUP BY source, minutes
+    q["coverage_cells"] = reach + """,
+l AS (SELECT b.source, b.minutes, nodes.x, nodes.y FROM b JOIN nodes ON nodes.node_id = b.node),
+c AS (
+  SELECT DISTINCT source, minutes, cx, cy
+  FROM l, generate_series(CAST(ceil((x - 200) / 100 - 0.5) AS BIGINT), CAST(floor((x + 200) / 100 - 0.5) AS BIGINT)) gx(cx),
+       generate_series(CAST(ceil((y - 200) / 100 - 0.5) AS BIGINT), CAST(floor((y + 200) / 100 - 0.5) AS BIGINT)) gy(cy)
+  WHERE ((2 * cx + 1) * 100 - 2 * x) * ((2 * cx + 1) * 100 - 2 * x) + ((2 * cy + 1) * 100 - 2 * y) * ((2 * cy + 1) * 100 - 2 * y) <= 160000),
+rn AS (SELECT source, minutes, count(*) AS nodes FROM l GROUP BY ALL),
+k AS (SELECT source, minutes, count(*) AS cells FROM c GROUP BY ALL)
+SELECT rn.source, rn.minutes, rn.nodes, COALESCE(k.cells, 0) AS cells, COALESCE(k.cells, 0) * 10000 AS area_m2
+FROM rn LEFT JOIN k USING (source, minutes)
 """
     return q
