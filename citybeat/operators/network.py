@@ -45,9 +45,9 @@ def allowed_nodes(nodes: DataFrame, stops: DataFrame, stop_radius: int, center:
     return within_distance(nodes, stops, stop_radius, "x", "y", center, center_radius)
 
 
-def _cheapest(edges: DataFrame, weight: str) -> DataFrame:
-    """One edge per (u, v): the cheapest of the parallel edges."""
-    return edges.groupBy("u", "v").agg(F.min(weight).alias("w"))
+def _cheapest(edges: DataFrame, weight: str, keys: Sequence[str] = ()) -> DataFrame:
+    """One edge per (keys, u, v): the cheapest of the parallel edges."""
+    return edges.groupBy(*keys, "u", "v").agg(F.min(weight).alias("w"))
 
 
 def bounded_costs(
@@ -58,6 +58,7 @@ def bounded_costs(
     max_rounds: int = 10_000,
     with_pred: bool = False,
     hops_per_round: int = 2,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """(source, node, cost[, pred]) for every node reachable from each source
     with total ``weight`` <= ``cutoff`` (G3).
@@ -67,7 +68,9 @@ def bounded_costs(
     ``hops_per_round`` edges, unions the candidates with the current table
     and keeps the minimum per (source, node): one shuffle per round.  Every
     candidate is the cost of a real path, so extra hops only mean fewer
-    rounds, never a different minimum.  On equal cost the existing entry
+    rounds, never a different minimum.  ``keys`` (e.g. a travel mode) are
+    extra columns of both ``sources`` and ``edges``: every key runs its own
+    search in the same batched rounds.  On equal cost the existing entry
     wins, then the smaller predecessor, so the result is deterministic.  The
     table is checkpointed to the shared folder every round: that cuts the
     lineage (the next round reads it twice) and bounds the work lost with an
@@ -76,8 +79,10 @@ def bounded_costs(
     # Read every round: materialise once, hash-partitioned by the join key so a
     # round that cannot broadcast it only shuffles the frontier.
     ensure_checkpoint_dir(sources.sparkSession)
-    w = _cheapest(edges, weight).repartition("u").checkpoint()
+    keys = list(keys)
+    w = _cheapest(edges, weight, keys).repartition("u").checkpoint()
     best = sources.select(
+        *keys,
         F.col("source"),
         F.col("source").alias("node"),
         F.lit(0.0).alias("cost"),
@@ -90,24 +95,29 @@ def bounded_costs(
         if frontier.isEmpty():
             break
         rounds += 1
-        reach = frontier.select("source", "node", "cost")
+        reach = frontier.select(*keys, "source", "node", "cost")
         steps = []
         for _ in range(hops_per_round):
-            step = reach.join(w, reach["node"] == w["u"]).select(
+            on = [reach[k] == w[k] for k in keys] + [reach["node"] == w["u"]]
+            cond = on[0]
+            for c in on[1:]:
+                cond = cond & c
+            step = reach.join(w, cond).select(
+                *[reach[k] for k in keys],
                 "source", F.col("v").alias("node"), (F.col("cost") + F.col("w")).alias("cost"), F.col("u").alias("pred"),
                 F.lit(1).alias("rank"),
             )
             if cutoff is not None:
                 step = step.filter(F.col("cost") <= F.lit(float(cutoff)))
             steps.append(step)
-            reach = step.select("source", "node", "cost")
-        old = best.select("source", "node", "cost", "pred", F.lit(0).alias("rank"))
+            reach = step.select(*keys, "source", "node", "cost")
+        old = best.select(*keys, "source", "node", "cost", "pred", F.lit(0).alias("rank"))
         cands = old
         for step in steps:
             cands = cands.unionByName(step)
-        win = cands.groupBy("source", "node").agg(F.min(F.struct("cost", "rank", "pred")).alias("__b"))
+        win = cands.groupBy(*keys, "source", "node").agg(F.min(F.struct("cost", "rank", "pred")).alias("__b"))
         best = win.select(
-            "source", "node", F.col("__b.cost").alias("cost"), F.col("__b.pred").alias("pred"),
+            *keys, "source", "node", F.col("__b.cost").alias("cost"), F.col("__b.pred").alias("pred"),
             (F.col("__b.rank") == 1).alias("fresh"),
         ).checkpoint()
     out = best.drop("fresh")

@@ -153,6 +153,15 @@ def _routes(s: SparkSession, d: str) -> DataFrame:
     return lines.select("route_id", "start_station_name", "end_station_name", "trip_count", "distance_m", "coords")
 
 
+def _reachable_by_mode(s: SparkSession, d: str) -> DataFrame:
+    """All travel modes at once: the search state is keyed (mode, source, node)."""
+    edges = network.travel_times(B.graph_edges(s, d), NETWORK_MODES)
+    modes = F.explode(F.array(*[F.lit(m) for m in NETWORK_MODES])).alias("mode")
+    sources = B.graph_sources(s, d).select(modes, "source")
+    costs = network.bounded_costs(sources, edges, "travel_time", cutoff=600.0, keys=["mode"])
+    return network.reachable_bands(costs, [5, 10])
+
+
 def _geo_queries() -> dict[str, Query]:
     return {
         "points_in_polygons": lambda s, d: spatial.points_in_polygons(B.customer_points(s, d), B.polygons(s), "c_custkey"),
@@ -173,6 +182,7 @@ def _geo_queries() -> dict[str, Query]:
             network.allowed_nodes(B.graph_nodes(s, d), B.customer_stops_m(s, d), 400, (10000, 10000), 2000),
         ),
         "reachable": _reachable,
+        "reachable_by_mode": _reachable_by_mode,
         "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 100, 200),
         "routes": _routes,
     }

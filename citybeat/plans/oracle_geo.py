@@ -76,6 +76,21 @@ def _bellman_ford(hops: int, cutoff: float) -> str:
     return ",\n".join(parts)
 
 
+def _bellman_ford_keyed(hops: int, cutoff: float) -> str:
+    parts = [
+        "r0 AS (SELECT m.mode, s_suppkey AS source, s_suppkey AS node, CAST(0.0 AS DOUBLE) AS cost "
+        "FROM supplier, (SELECT DISTINCT mode FROM wm) m WHERE s_nationkey = 0)"
+    ]
+    for k in range(1, hops + 1):
+        p = f"r{k - 1}"
+        parts.append(
+            f"r{k} AS (SELECT mode, source, node, min(cost) AS cost FROM (SELECT * FROM {p} UNION ALL "
+            f"SELECT {p}.mode, {p}.source, wm.v, {p}.cost + wm.w FROM {p} JOIN wm ON wm.mode = {p}.mode AND wm.u = {p}.node "
+            f"WHERE {p}.cost + wm.w <= {cutoff}) GROUP BY mode, source, node)"
+        )
+    return ",\n".join(parts)
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     q["points_in_polygons"] = f"""
@@ -157,6 +172,15 @@ w AS (SELECT u, v, min(length / (CAST(15.0 AS DOUBLE) * 1000.0 / 3600.0)) AS w F
 {bf},
 b AS (SELECT r12.*, m.minutes FROM r12, (VALUES (5), (10)) m(minutes) WHERE cost <= m.minutes * 60.0)"""
     q["reachable"] = reach + "\nSELECT source, node, cost, minutes FROM b\n"
+    speeds = "(SELECT * FROM (VALUES ('walking', CAST(4.8 AS DOUBLE)), ('cycling', CAST(15.0 AS DOUBLE)), ('driving', CAST(25.0 AS DOUBLE)), ('bus', CAST(18.0 AS DOUBLE)), ('subway', CAST(30.0 AS DOUBLE))) t(mode, speed))"
+    # fewest seconds per edge: 200 m at 30 km/h = 24 s, so 600 s allow at most 25 hops
+    q["reachable_by_mode"] = f"""
+WITH {GRAPH.strip()},
+wm AS (SELECT m.mode, u, v, min(length / (m.speed * 1000.0 / 3600.0)) AS w FROM edges, {speeds} m GROUP BY m.mode, u, v),
+{_bellman_ford_keyed(25, 600.0)}
+SELECT r25.mode, r25.source, r25.node, r25.cost, t.minutes
+FROM r25, (VALUES (5), (10)) t(minutes) WHERE r25.cost <= t.minutes * 60.0
+"""
     q["coverage_cells"] = reach + """,
 l AS (SELECT b.source, b.minutes, nodes.x, nodes.y FROM b JOIN nodes ON nodes.node_id = b.node),
 c AS (
