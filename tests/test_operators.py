@@ -417,3 +417,22 @@ def test_export_outputs(spark, tmp_path):
     assert [p.rsplit("/", 1)[1] for p in paths] == ["trips_monthly", "airport_share"]
     back = spark.read.option("header", True).csv(paths[1])
     assert set(back.columns) == {"service", "airport_trip", "trips", "share"} and back.count() > 0
+
+
+def test_year_discovery_defaults_and_skips(spark, tmp_path):
+    from citybeat.sources.trips import available_years, normalize_file_groups, read_file_groups, select_years, year_partition_paths
+
+    a = spark.createDataFrame([(dt.datetime(2022, 5, 1, 8), 1.0)], "tpep_pickup_datetime timestamp, trip_distance double")
+    b = spark.createDataFrame([(dt.datetime(2023, 6, 1, 9), 2.0)], "tpep_pickup_datetime timestamp, trip_distance double")
+    c = spark.createDataFrame([(7, 3.0)], "vendor int, trip_distance double")  # no pickup column: skipped
+    a.write.parquet(str(tmp_path / "2022" / "yellow_taxi" / "a.parquet"))
+    b.write.parquet(str(tmp_path / "2023" / "yellow_taxi" / "b.parquet"))
+    c.write.parquet(str(tmp_path / "2023" / "yellow_taxi" / "c.parquet"))
+    years = available_years(spark, str(tmp_path))
+    assert years == [2022, 2023] and select_years(years) == [2023]
+    assert select_years(years, 2022) == [2022] and select_years(years, 2020, 2023) == [2022, 2023]
+    groups = read_file_groups(spark, year_partition_paths(str(tmp_path), select_years(years), "yellow_taxi"))
+    assert len(groups) == 2
+    t = normalize_file_groups(groups, "yellow", "yellow", ["pickup_datetime", "trip_distance"], 2023, 2023)
+    assert [(r.year, r.trip_distance) for r in t.collect()] == [(2023, 2.0)]
+    assert len(read_file_groups(spark, year_partition_paths(str(tmp_path), [2022, 2023], "yellow_taxi"), max_files=1)) == 1
