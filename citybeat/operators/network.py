@@ -131,31 +131,32 @@ def reachable_bands(costs: DataFrame, minutes: Sequence[int]) -> DataFrame:
     )
 
 
-def coverage(bands: DataFrame, nodes: DataFrame, cell: int, buffer_m: int) -> DataFrame:
+def coverage(bands: DataFrame, nodes: DataFrame, cell: int, buffer_m: int, keys: Sequence[str] = ()) -> DataFrame:
     """(source, minutes) -> reachable nodes, and the grid cells (and their
     area) covered by the union of ``buffer_m`` discs around them (G6).
 
     The buffered-union polygon becomes a raster: a cell of size ``cell`` is
     covered when its centre lies within ``buffer_m`` of a reachable node.
     Each node only visits the cells of its own buffer's bounding box, and
-    the union is a distinct over (source, minutes, cell).
+    the union is a distinct over (keys, source, minutes, cell).
     """
+    k = list(keys)
     located = bands.join(nodes.select(F.col("node_id").alias("node"), "x", "y"), "node")
     lo_x = F.ceil((F.col("x") - buffer_m) / cell - 0.5).cast("long")
     hi_x = F.floor((F.col("x") + buffer_m) / cell - 0.5).cast("long")
     lo_y = F.ceil((F.col("y") - buffer_m) / cell - 0.5).cast("long")
     hi_y = F.floor((F.col("y") + buffer_m) / cell - 0.5).cast("long")
     cells = located.select(
-        "source", "minutes", "node", "x", "y", F.explode(F.sequence(lo_x, hi_x)).alias("cx"), lo_y.alias("__ly"), hi_y.alias("__hy")
-    ).select("source", "minutes", "node", "x", "y", "cx", F.explode(F.sequence("__ly", "__hy")).alias("cy"))
+        *k, "source", "minutes", "node", "x", "y", F.explode(F.sequence(lo_x, hi_x)).alias("cx"), lo_y.alias("__ly"), hi_y.alias("__hy")
+    ).select(*k, "source", "minutes", "node", "x", "y", "cx", F.explode(F.sequence("__ly", "__hy")).alias("cy"))
     # centre of cell (cx, cy) is ((cx + 0.5) * cell, (cy + 0.5) * cell); compare in doubled units to stay integral
     dx = (2 * F.col("cx") + 1) * cell - 2 * F.col("x")
     dy = (2 * F.col("cy") + 1) * cell - 2 * F.col("y")
-    covered = cells.filter(dx * dx + dy * dy <= F.lit(4 * buffer_m * buffer_m)).select("source", "minutes", "cx", "cy").distinct()
-    per_band = covered.groupBy("source", "minutes").agg(F.count(F.lit(1)).alias("cells"))
-    reach = located.groupBy("source", "minutes").agg(F.count(F.lit(1)).alias("nodes"))
-    return reach.join(per_band, ["source", "minutes"], "left").select(
-        "source", "minutes", "nodes",
+    covered = cells.filter(dx * dx + dy * dy <= F.lit(4 * buffer_m * buffer_m)).select(*k, "source", "minutes", "cx", "cy").distinct()
+    per_band = covered.groupBy(*k, "source", "minutes").agg(F.count(F.lit(1)).alias("cells"))
+    reach = located.groupBy(*k, "source", "minutes").agg(F.count(F.lit(1)).alias("nodes"))
+    return reach.join(per_band, [*k, "source", "minutes"], "left").select(
+        *k, "source", "minutes", "nodes",
         F.coalesce("cells", F.lit(0).cast("long")).alias("cells"),
         (F.coalesce("cells", F.lit(0).cast("long")) * (cell * cell)).alias("area_m2"),
     )

@@ -183,6 +183,7 @@ def _geo_queries() -> dict[str, Query]:
         ),
         "reachable": _reachable,
         "reachable_by_mode": _reachable_by_mode,
+        "coverage_by_mode": lambda s, d: network.coverage(_reachable_by_mode(s, d), B.graph_nodes(s, d), 100, 200, ["mode"]),
         "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 100, 200),
         "routes": _routes,
     }

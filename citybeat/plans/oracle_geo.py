@@ -174,12 +174,24 @@ b AS (SELECT r12.*, m.minutes FROM r12, (VALUES (5), (10)) m(minutes) WHERE cost
     q["reachable"] = reach + "\nSELECT source, node, cost, minutes FROM b\n"
     speeds = "(SELECT * FROM (VALUES ('walking', CAST(4.8 AS DOUBLE)), ('cycling', CAST(15.0 AS DOUBLE)), ('driving', CAST(25.0 AS DOUBLE)), ('bus', CAST(18.0 AS DOUBLE)), ('subway', CAST(30.0 AS DOUBLE))) t(mode, speed))"
     # fewest seconds per edge: 200 m at 30 km/h = 24 s, so 600 s allow at most 25 hops
-    q["reachable_by_mode"] = f"""
+    by_mode = f"""
 WITH {GRAPH.strip()},
 wm AS (SELECT m.mode, u, v, min(length / (m.speed * 1000.0 / 3600.0)) AS w FROM edges, {speeds} m GROUP BY m.mode, u, v),
-{_bellman_ford_keyed(25, 600.0)}
-SELECT r25.mode, r25.source, r25.node, r25.cost, t.minutes
-FROM r25, (VALUES (5), (10)) t(minutes) WHERE r25.cost <= t.minutes * 60.0
+{_bellman_ford_keyed(25, 600.0)},
+bm AS (SELECT r25.mode, r25.source, r25.node, r25.cost, t.minutes
+       FROM r25, (VALUES (5), (10)) t(minutes) WHERE r25.cost <= t.minutes * 60.0)"""
+    q["reachable_by_mode"] = by_mode + "\nSELECT mode, source, node, cost, minutes FROM bm\n"
+    q["coverage_by_mode"] = by_mode + """,
+l AS (SELECT bm.mode, bm.source, bm.minutes, nodes.x, nodes.y FROM bm JOIN nodes ON nodes.node_id = bm.node),
+c AS (
+  SELECT DISTINCT mode, source, minutes, cx, cy
+  FROM l, generate_series(CAST(ceil((x - 200) / 100 - 0.5) AS BIGINT), CAST(floor((x + 200) / 100 - 0.5) AS BIGINT)) gx(cx),
+       generate_series(CAST(ceil((y - 200) / 100 - 0.5) AS BIGINT), CAST(floor((y + 200) / 100 - 0.5) AS BIGINT)) gy(cy)
+  WHERE ((2 * cx + 1) * 100 - 2 * x) * ((2 * cx + 1) * 100 - 2 * x) + ((2 * cy + 1) * 100 - 2 * y) * ((2 * cy + 1) * 100 - 2 * y) <= 160000),
+rn AS (SELECT mode, source, minutes, count(*) AS nodes FROM l GROUP BY ALL),
+k AS (SELECT mode, source, minutes, count(*) AS cells FROM c GROUP BY ALL)
+SELECT rn.mode, rn.source, rn.minutes, rn.nodes, COALESCE(k.cells, 0) AS cells, COALESCE(k.cells, 0) * 10000 AS area_m2
+FROM rn LEFT JOIN k USING (mode, source, minutes)
 """
     q["coverage_cells"] = reach + """,
 l AS (SELECT b.source, b.minutes, nodes.x, nodes.y FROM b JOIN nodes ON nodes.node_id = b.node),
