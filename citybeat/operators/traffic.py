@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,10 +80,16 @@ def top_corridors(counts: DataFrame, k: int = TOP_CORRIDORS) -> DataFrame:
     return top_k(totals, [F.col("total_volume").desc(), F.col("corridor")], k)
 
 
-def weekend_pivot(counts: DataFrame) -> DataFrame:
-    """Boro rows with weekday and weekend average volume columns, 0 when missing (R2)."""
+def weekend_pivot(counts: DataFrame, boroughs: Sequence[str] | None = None) -> DataFrame:
+    """Boro rows with weekday and weekend average volume columns, 0 when
+    missing (R2).  With ``boroughs`` the rows are exactly that fixed list
+    (boroughs without counts get zeros, others are left out)."""
     long = weekend_by_borough(counts)
     wide = long.groupBy("Boro").pivot("is_weekend", [False, True]).agg(F.first("avg_volume"))
+    if boroughs is not None:
+        spark = counts.sparkSession
+        order = spark.createDataFrame([(b,) for b in boroughs], "Boro string")
+        wide = order.join(wide, "Boro", "left")
     return wide.select(
         "Boro",
         F.coalesce(F.col("false"), F.lit(0.0)).alias("weekday"),

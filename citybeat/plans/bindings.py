@@ -274,6 +274,11 @@ def raw_traffic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Borough order of the weekday/weekend chart: the region names as boroughs,
+# plus one borough that never has counts.
+BOROUGH_ORDER = ["Africa", "America", "Asia", "Europe", "Middle East", "Antarctica"]
+
+
 def traffic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from citybeat.operators.traffic import clean_counts
 

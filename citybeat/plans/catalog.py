@@ -76,7 +76,7 @@ def _traffic_queries() -> dict[str, Query]:
         "day_of_week": lambda s, d: traffic.day_of_week(B.traffic_counts(s, d)),
         "borough_avg": lambda s, d: traffic.borough_average(B.traffic_counts(s, d)),
         "top_corridors": lambda s, d: traffic.top_corridors(B.traffic_counts(s, d)),
-        "weekend_pivot": lambda s, d: traffic.weekend_pivot(B.traffic_counts(s, d)),
+        "weekend_pivot": lambda s, d: traffic.weekend_pivot(B.traffic_counts(s, d), B.BOROUGH_ORDER),
     }
 
 

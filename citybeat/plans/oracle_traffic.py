@@ -77,9 +77,10 @@ ORDER BY total_volume DESC, corridor LIMIT 15
 """
     q["weekend_pivot"] = f"""
 WITH {TRAFFIC_CTE.strip()},
-a AS (SELECT Boro, is_weekend, sum(Vol) / count(Vol) AS v FROM traffic GROUP BY ALL)
-SELECT Boro, COALESCE(max(v) FILTER (WHERE NOT is_weekend), 0.0) AS weekday,
+a AS (SELECT Boro, is_weekend, sum(Vol) / count(Vol) AS v FROM traffic GROUP BY ALL),
+o AS (SELECT * FROM (VALUES ('Africa'), ('America'), ('Asia'), ('Europe'), ('Middle East'), ('Antarctica')) t(Boro))
+SELECT o.Boro, COALESCE(max(v) FILTER (WHERE NOT is_weekend), 0.0) AS weekday,
        COALESCE(max(v) FILTER (WHERE is_weekend), 0.0) AS weekend
-FROM a GROUP BY Boro
+FROM o LEFT JOIN a USING (Boro) GROUP BY o.Boro
 """
     return q
