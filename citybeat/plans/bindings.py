@@ -496,15 +496,15 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     day_labels = F.array(*[F.lit(x) for x in DAY_LABELS])
     windows = F.array(*[F.lit(x) for x in TIME_WINDOWS])
-    fixed_cells = sheets.select(*keys, F.inline(F.array(*fixed)))
-    day_heads = sheets.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(len(DAY_LABELS) - 1))).alias("d")).select(
-        *keys, F.lit(3).alias("row"), (F.col("d") * 3 + 1).alias("col"), F.element_at(day_labels, F.col("d") + 1).alias("value")
-    )
     n_cols = len(DAY_LABELS) * len(TIME_WINDOWS)
-    window_heads = sheets.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1))).alias("i")).select(
-        *keys, F.lit(4).alias("row"), (F.col("i") + 1).alias("col"), F.element_at(windows, F.col("i") % 3 + 1).alias("value")
+    # day labels only above the first column of each day; a time label above every column
+    day_heads = F.transform(
+        F.sequence(F.lit(0), F.lit(len(DAY_LABELS) - 1)), lambda d: cell(F.lit(3), d * 3 + 1, F.element_at(day_labels, d + 1))
+    )
+    window_heads = F.transform(
+        F.sequence(F.lit(0), F.lit(n_cols - 1)), lambda i: cell(F.lit(4), i + 1, F.element_at(windows, i % 3 + 1))
     )
-    header_cells = fixed_cells.unionByName(day_heads).unionByName(window_heads)
+    header_cells = sheets.select(*keys, F.inline(F.concat(F.array(*fixed), day_heads, window_heads)))
 
     reason_cells = reasons.select(
         *keys,
@@ -517,35 +517,36 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     rk = reasons.select(*keys, "reason", "ri", "R")
-    day = counts.filter(F.col("s") == 0).select(*keys, "reason", F.col("k1").alias("d"), F.col("k2").alias("w"), "n").join(
-        rk, keys + ["reason"]
-    )
-    day_cells = day.select(
-        *keys, (F.col("ri") + 5).alias("row"), (F.col("d") * 3 + F.col("w") + 1).alias("col"), F.col("n").cast("string").alias("value")
-    )
-    boro = counts.filter(F.col("s") == 1).select(*keys, "reason", F.col("k1").alias("b"), F.col("nm").alias("r_name"), "n").join(
-        rk, keys + ["reason"]
-    )
-    boro_cells = boro.select(
-        *keys, (F.col("R") + 8 + F.col("ri")).alias("row"), (F.col("b") + 1).alias("col"), F.col("n").cast("string").alias("value")
-    )
-    boro_heads = boro.select(*keys, "R", "b", "r_name").distinct().select(
-        *keys, (F.col("R") + 7).alias("row"), (F.col("b") + 1).alias("col"), F.upper("r_name").alias("value")
-    )
-    board = counts.filter(F.col("s") == 2).select(*keys, "reason", F.col("k1").alias("cb"), "n").join(rk, keys + ["reason"])
-    board_cells = board.select(
-        *keys, (F.col("R") * 2 + 11 + F.col("ri")).alias("row"), (F.col("cb") + 1).alias("col"), F.col("n").cast("string").alias("value")
-    )
-    board_heads = board.select(*keys, "R", "cb").distinct().select(
-        *keys, (F.col("R") * 2 + 10).alias("row"), (F.col("cb") + 1).alias("col"),
-        F.concat(F.lit("Board   "), (F.col("cb") + 1).cast("string")).alias("value"),
+    # every count lands in its section's block: s=0 day x window, s=1 borough, s=2 board
+    body = counts.join(rk, keys + ["reason"])
+    body_cells = body.select(
+        *keys,
+        F.when(F.col("s") == 0, F.col("ri") + 5)
+        .when(F.col("s") == 1, F.col("R") + 8 + F.col("ri"))
+        .otherwise(F.col("R") * 2 + 11 + F.col("ri"))
+        .alias("row"),
+        F.when(F.col("s") == 0, F.col("k1") * 3 + F.col("k2") + 1).otherwise(F.col("k1") + 1).alias("col"),
+        F.col("n").cast("string").alias("value"),
+    )
+    section_heads = (
+        body.filter(F.col("s") > 0)
+        .select(*keys, "s", "k1", "nm", "R")
+        .distinct()
+        .select(
+            *keys,
+            F.when(F.col("s") == 1, F.col("R") + 7).otherwise(F.col("R") * 2 + 10).alias("row"),
+            (F.col("k1") + 1).alias("col"),
+            F.when(F.col("s") == 1, F.upper("nm"))
+            .otherwise(F.concat(F.lit("Board   "), (F.col("k1") + 1).cast("string")))
+            .alias("value"),
+        )
     )
     decoy = sheets.select("file").distinct().select(
         "file", F.lit("Reject Category Summary").alias("sheet"), F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(SECTION_DAY).alias("value")
     )
     cols = ["file", "sheet", "row", "col", "value"]
     out = header_cells.select(*cols)
-    for part in (reason_cells, day_cells, boro_cells, boro_heads, board_cells, board_heads, decoy):
+    for part in (reason_cells, body_cells, section_heads, decoy):
         out = out.unionByName(part.select(*[F.col(c).cast("int") if c in ("row", "col") else F.col(c) for c in cols]))
     return out
 
