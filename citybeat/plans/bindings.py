@@ -586,16 +586,26 @@ def parts_roundtrip(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     shared checkpoint folder, then read back through the whole-or-parts
     resolution.  Returns (rows read back, manifest)."""
     from citybeat.session import scratch_path
-    from citybeat.sources.files import parts_manifest, read_csv, resolve_whole_or_parts, write_csv_parts_by_size
+    from citybeat.sources.files import (
+        parts_manifest,
+        read_csv,
+        resolve_whole_or_parts,
+        write_csv_parts_by_size,
+        write_parts_manifest,
+    )
 
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", F.year("l_shipdate").alias("year")
     )
     root = scratch_path(spark, "parts")
-    write_csv_parts_by_size(li, root, PARTS_MAX_MB, ["year"])
-    paths = resolve_whole_or_parts(spark, f"{root}/lineitem.csv", [f"{root}/year=*/part-*.csv"])
+    parts_dir = f"{root}/lineitem_parts"
+    write_csv_parts_by_size(li, parts_dir, PARTS_MAX_MB, ["year"])
+    write_parts_manifest(spark, parts_dir, "lineitem.csv", f"{root}/lineitem.parts.json")
+    paths = resolve_whole_or_parts(
+        spark, f"{root}/lineitem.csv", [f"{parts_dir}/year=*/part-*.csv"], manifest=f"{root}/lineitem.parts.json", parts_dir=parts_dir
+    )
     back = read_csv(spark, paths, PARTS_SCHEMA).withColumn(
         "year", F.regexp_extract(F.col("_metadata.file_path"), r"year=(\d+)", 1).cast("int")
     )
-    manifest = parts_manifest(spark, root, PARTS_SCHEMA, ["year"])
+    manifest = parts_manifest(spark, parts_dir, PARTS_SCHEMA, ["year"])
     return back, manifest

@@ -21,11 +21,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def resolve_whole_or_parts(spark: SparkSession, whole: str, part_patterns: Sequence[str]) -> list[str]:
-    """The single file when it exists, else every file matching the part
-    patterns, sorted by name (S4)."""
+def write_parts_manifest(spark: SparkSession, parts_dir: str, base_name: str, manifest_path: str) -> None:
+    """Write ``{"base": base_name, "parts": [...]}`` for the CSV parts under
+    ``parts_dir`` (names relative to it, sorted) as a JSON document (S8)."""
+    root = parts_dir.rstrip("/")
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "part-*")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .select(F.regexp_extract("path", r"^.*?" + root.split("/")[-1] + r"/(.*)$", 1).alias("rel"))
+    )
+    doc = files.agg(
+        F.to_json(F.struct(F.lit(base_name).alias("base"), F.array_sort(F.collect_list("rel")).alias("parts"))).alias("value")
+    )
+    doc.coalesce(1).write.mode("overwrite").text(manifest_path)
+
+
+def read_parts_manifest(spark: SparkSession, manifest_path: str) -> tuple[str, list[str]]:
+    """(base, parts) of a manifest written by ``write_parts_manifest``."""
+    row = spark.read.schema("base string, parts array<string>").json(manifest_path).first()
+    return row.base, list(row.parts)
+
+
+def resolve_whole_or_parts(
+    spark: SparkSession, whole: str, part_patterns: Sequence[str] = (), manifest: str | None = None, parts_dir: str | None = None
+) -> list[str]:
+    """The single file when it exists; else the parts a manifest lists
+    (relative to ``parts_dir``); else every file matching the part patterns,
+    sorted by name (S4)."""
     if path_exists(spark, whole):
         return [whole]
+    if manifest and path_exists(spark, manifest):
+        _, parts = read_parts_manifest(spark, manifest)
+        base = (parts_dir or whole.rsplit("/", 1)[0]).rstrip("/")
+        return [f"{base}/{p}" for p in parts]
     found: list[str] = []
     for pattern in part_patterns:
         try:

@@ -334,6 +334,19 @@ def test_whole_or_parts(spark, tmp_path):
     assert resolve_whole_or_parts(spark, str(tmp_path / "t.csv"), [str(tmp_path / "t_part*.csv")])[0].endswith("t.csv")
 
 
+def test_parts_manifest_round_trip(spark, tmp_path):
+    from citybeat.sources.files import read_csv, read_parts_manifest, resolve_whole_or_parts, write_csv_parts, write_parts_manifest
+
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id"))
+    parts = str(tmp_path / "out_parts")
+    write_csv_parts(df, parts, 10, ["g"])
+    write_parts_manifest(spark, parts, "out.csv", str(tmp_path / "out.parts.json"))
+    base, names = read_parts_manifest(spark, str(tmp_path / "out.parts.json"))
+    assert base == "out.csv" and names == sorted(names) and all(n.startswith("g=") for n in names) and len(names) >= 10
+    paths = resolve_whole_or_parts(spark, str(tmp_path / "out.csv"), manifest=str(tmp_path / "out.parts.json"), parts_dir=parts)
+    assert read_csv(spark, paths, "id long").count() == 100
+
+
 def test_year_folder_discovery_and_schema_groups(spark, tmp_path):
     """S1 + S2: files under root/<year>/<service>/ with two schemas are read
     as two groups, each resolving its own aliases, then unioned."""
