@@ -449,3 +449,24 @@ def test_year_discovery_defaults_and_skips(spark, tmp_path):
     t = normalize_file_groups(groups, "yellow", "yellow", ["pickup_datetime", "trip_distance"], 2023, 2023)
     assert [(r.year, r.trip_distance) for r in t.collect()] == [(2023, 2.0)]
     assert len(read_file_groups(spark, year_partition_paths(str(tmp_path), [2022, 2023], "yellow_taxi"), max_files=1)) == 1
+
+
+def test_report_header_outside_search_window_is_skipped(spark):
+    cells = [("f.xlsx", "S", 0, 0, "Borough - Rejects")] + [("f.xlsx", "S", r, 0, f"note {r}") for r in range(1, 5)] + [
+        ("f.xlsx", "S", 5, 0, "Reject Reason"),  # 5 rows below the title: beyond the 4-row window
+        ("f.xlsx", "S", 5, 1, "BRONX"),
+        ("f.xlsx", "S", 6, 0, "Glare"),
+        ("f.xlsx", "S", 6, 1, "3"),
+    ]
+    df = spark.createDataFrame(cells, "file string, sheet string, row int, col int, value string")
+    assert reports.tidy_reports(df).count() == 0
+
+
+def test_latest_isochrones_largest_first(spark):
+    centres = spark.createDataFrame([(1, 40.7, -74.0)], "id int, lat double, lng double")
+    rings = spatial.ring_points(centres, {"walking": 4.8, "cycling": 15.0}, [5, 40, 10, 60])
+    rows = network.latest_isochrones(rings, "cycling").collect()
+    assert [r.minutes for r in rows][:: 97] == [40, 10, 5]
+    assert {r.mode for r in rows} == {"cycling"} and len(rows) == 3 * 97
+    first = [r for r in rows if r.minutes == 40]
+    assert first[0].ring_lng == first[-1].ring_lng and first[0].ring_lat == first[-1].ring_lat  # closed ring
