@@ -12,11 +12,15 @@ def category_grid(df: DataFrame, series_col: str, category_col: str, value_col:
     """Every category of ``categories`` for every series present in ``df``;
     missing (series, category) values are 0 and unknown categories dropped.
 
-    ``df`` holds one row per (series, category), so each series folds into a
-    map of at most ``len(categories)`` entries; the grid is produced by
-    exploding the fixed category list, not by joining two dimensions.
+    Values are first summed per (series, category), so each series folds
+    into a map of at most ``len(categories)`` entries; the grid is produced
+    by exploding the fixed category list, not by joining two dimensions.
     """
-    known = df.filter(F.col(category_col).isin(list(categories)))
+    known = (
+        df.filter(F.col(category_col).isin(list(categories)))
+        .groupBy(series_col, category_col)
+        .agg(F.sum(value_col).alias(value_col))
+    )
     per_series = known.groupBy(series_col).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(category_col), F.col(value_col)))).alias("__m")
     )

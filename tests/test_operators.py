@@ -470,3 +470,11 @@ def test_latest_isochrones_largest_first(spark):
     assert {r.mode for r in rows} == {"cycling"} and len(rows) == 3 * 97
     first = [r for r in rows if r.minutes == 40]
     assert first[0].ring_lng == first[-1].ring_lng and first[0].ring_lat == first[-1].ring_lat  # closed ring
+
+
+def test_category_grid_zero_fill_and_duplicates(spark):
+    from citybeat.operators.grid import category_grid
+
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "y", 5), ("b", "zz", 9)], "s string, c string, n long")
+    got = sorted(tuple(r) for r in category_grid(df, "s", "c", "n", ["x", "y"]).collect())
+    assert got == [("a", "x", 3), ("a", "y", 0), ("b", "x", 0), ("b", "y", 5)]
