@@ -218,6 +218,7 @@ def route_lines(
     from citybeat.operators.spatial import nearest
 
     ensure_checkpoint_dir(candidates.sparkSession)
+    candidates = candidates.checkpoint()  # read twice (snapping, final join): compute once
     ends = candidates.select(
         (F.col("cand_idx") * 2).alias("pt"), F.col("start_x").alias("x"), F.col("start_y").alias("y")
     ).unionByName(candidates.select((F.col("cand_idx") * 2 + 1).alias("pt"), F.col("end_x").alias("x"), F.col("end_y").alias("y")))
