@@ -2,12 +2,14 @@
 multi-source shortest paths, reachable coverage and routes.
 
 The graph is two DataFrames: nodes (node_id, x, y) and directed edges
-(u, v, key, length).  Shortest paths are computed for all sources at once
-by frontier relaxation: each round joins only the nodes whose cost improved
-in the previous round with their out-edges and keeps the minimum per
-(source, node).  Rounds stop when nothing improves.  Each round's frontier
-and, every few rounds, the best-cost table are checkpointed to the shared
-checkpoint folder, which bounds lineage and survives executor loss.
+(u, v, key, length).  Shortest paths are computed for all sources (and
+optional keys such as the travel mode) at once by frontier relaxation: each
+round extends the rows that improved in the previous round by up to two
+edges, unions the candidates with the current best table and keeps the
+minimum per (keys, source, node) - one shuffle per round.  Rounds stop when
+nothing improves.  The best table is checkpointed to the shared checkpoint
+folder every round, which cuts lineage and bounds the work lost with an
+executor.
 """
 
 from __future__ import annotations
