@@ -23,7 +23,9 @@ def test_shares_sum_to_one(spark, name):
     assert all(abs(r.s - 1.0) < 1e-3 for r in sums)
 
 
-@pytest.mark.parametrize("name", ["top_flows", "tip_bins", "report_unpivot_borough", "nearest_stop", "route_overlap"])
+@pytest.mark.parametrize(
+    "name", ["top_flows", "tip_bins", "report_unpivot_borough", "nearest_stop", "route_overlap", "systematic_sample", "reachable"]
+)
 def test_partition_count_does_not_change_results(spark, name):
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     out = []
