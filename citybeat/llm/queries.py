@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citybeat.llm import byte_bpe, content_sort, packing, secrets
+from citybeat.llm import byte_bpe, content_sort, line_crf, packing, radix_dedup, secrets
 from citybeat.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -21,6 +21,12 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdict of every document; the field is trained on ``labels``."""
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.judge_documents(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicate groups of every document."""
     return content_sort.exact_groups(table(spark, sf_dir, "documents"))
@@ -54,11 +60,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 400-byte strings."""
+    return radix_dedup.remove_repeated(table(spark, sf_dir, "documents"), digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
+    "op4_line_crf": op4_line_crf,
     "op5_content_sort": op5_content_sort,
     "op6_secret_scan": op6_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_radix_dedup": op9_radix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
