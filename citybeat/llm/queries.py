@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citybeat.llm import byte_bpe, content_sort, line_crf, packing, radix_dedup, secrets
+from citybeat.llm import byte_bpe, content_sort, line_crf, packing, radix_dedup, secrets, signature_join
 from citybeat.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -65,6 +65,11 @@ def op9_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.remove_repeated(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of every document (five words, similarity 0.75)."""
+    return signature_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
     "op4_line_crf": op4_line_crf,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_radix_dedup": op9_radix_dedup,
+    "op10_signature_join": op10_signature_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
