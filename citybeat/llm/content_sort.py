@@ -33,6 +33,9 @@ from citybeat.llm.common import ASCII_SPACE, code_points
 MAX_HOT = 1 << 16
 #: Copies below this never count as hot.
 MIN_RUN = 64
+#: Leading characters in the range key: splitters are sampled rows' keys, so the key is bounded;
+#: behind the head the text's hash orders, and the whole text decides.
+HEAD = 64
 
 
 def normalised(text: F.Column) -> F.Column:
@@ -51,26 +54,32 @@ def _hot_texts(rows: DataFrame) -> DataFrame:
     )
 
 
-def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+def _sorted_runs(df: DataFrame, key: str, text: str, carry: list[str], only_hot: bool = False) -> DataFrame:
+    """Every row (or every row of a salted text) with its place and the head of its sorted run; ``carry`` in ``row``."""
     rows = df.select(
         F.col(key).cast("long").alias("doc_id"),
         normalised(F.col(text)).alias("norm"),
         code_points(F.col(text)).alias("n_points"),
+        *([F.struct(*[F.col(c) for c in carry]).alias("row")] if carry else []),
     ).withColumn("text_hash", F.xxhash64("norm"))
     hot = F.broadcast(_hot_texts(rows.select("text_hash")))
     salted = rows.join(hot, F.col("text_hash") == F.col("hot_hash"), "left").select(
         "doc_id",
         "norm",
+        F.substring("norm", 1, HEAD).alias("head"),
+        "text_hash",
         "n_points",
+        *(["row"] if carry else []),
         F.coalesce("n_runs", F.lit(1)).alias("n_runs"),
         F.coalesce(F.pmod(F.xxhash64("doc_id"), "n_runs"), F.lit(0)).alias("salt"),
     )
-    run = Window.partitionBy("norm", "salt")
+    if only_hot:
+        salted = salted.filter("n_runs > 1")
+    run = Window.partitionBy("head", "text_hash", "salt", "norm")
     ordered = run.orderBy(F.col("n_points").desc(), F.col("doc_id").asc_nulls_last())
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = (
-        salted.repartitionByRange("norm", "salt")
+    return (
+        salted.repartitionByRange("head", "text_hash", "salt")
         .withColumn("place", F.row_number().over(ordered))
         .withColumn("head_id", F.first("doc_id").over(whole))
         .withColumn("head_points", F.first("n_points").over(whole))
@@ -84,10 +93,27 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             "head_points",
             "run_size",
             F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+            *(["row"] if carry else []),
+        )
+    )
+
+
+def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+
+    With ``carry`` these columns of the input come along in a struct ``row``.
+    """
+    runs = _sorted_runs(df, key, text, carry or [])
+    slim = runs.drop("row") if not carry else _sorted_runs(df, key, text, [], only_hot=True)
+    heads = slim.filter((F.col("n_runs") > 1) & (F.col("place") == 1))
+    best = F.min(
+        F.struct(
+            (-F.col("head_points")).alias("p"),
+            F.col("head_id").isNull().alias("z"),
+            F.col("head_id").alias("id"),
+            F.col("salt").alias("salt"),
         )
     )
-    heads = runs.filter((F.col("n_runs") > 1) & (F.col("place") == 1))
-    best = F.min(F.struct((-F.col("head_points")).alias("p"), F.col("head_id").isNull().alias("z"), F.col("head_id").alias("id"), F.col("salt").alias("salt")))
     merged = (
         heads.groupBy(F.col("text_sha256").alias("merged_sha"))
         .agg(best.alias("best"), F.sum("run_size").alias("merged_size"))
@@ -104,4 +130,10 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         .otherwise(F.col("place") == 1)
         .alias("kept"),
         "text_sha256",
+        *(["row"] if carry else []),
     )
+
+
+def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stay, with every column of the input."""
+    return exact_groups(df, key, text, carry=df.columns).filter("kept").select("row.*")

@@ -369,8 +369,8 @@ def _exact_links(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataF
     return both.filter(F.lit(DEN) * F.col("x") >= F.lit(NUM) * (F.col("s") - F.col("x"))).select("a", "b")
 
 
-def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def _linked_rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per document: doc_id, th (64-bit text hash), n, comp (label), component_id."""
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))
     signed = materialise(_signatures(rows, _frequent(rows)), "jaccard-signatures")
@@ -427,7 +427,30 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         "jaccard-named",
     )
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of = named.join(least, "comp").select(F.col("cid").alias("_c"), "component_id")
+    of = named.join(least, "comp").select(F.col("cid").alias("_c"), "comp", "component_id")
     return signed.join(of, (F.col("cid") == F.col("_c")) & (F.col("n") > 0), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "th", "n", "comp", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return _linked_rows(df, key, text).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the smallest id of every component, and documents without words, every column as it was.
+
+    Rows that repeat both id and text are one document and stay together.
+    """
+    found = materialise(_linked_rows(df, key, text).select("doc_id", "th", "n", "comp"), "jaccard-rows")
+    first = (
+        found.filter("n > 0")
+        .groupBy("comp")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("r"))
+        .select("r.doc_id", "r.th")
     )
+    stay = first.unionByName(found.filter("n = 0").select("doc_id", "th")).distinct()
+    stay = stay.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
+    th = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return df.join(stay, F.col(key).cast("long").eqNullSafe(F.col("_d")) & (th == F.col("_t")), "left_semi")
