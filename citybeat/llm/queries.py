@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citybeat.llm import byte_bpe, content_sort, line_crf, packing, radix_dedup, secrets, signature_join
+from citybeat.llm import byte_bpe, content_sort, gru_lm, line_crf, packing, radix_dedup, secrets, signature_join
 from citybeat.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -49,6 +49,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the trained model and the smoothed unigram."""
+    return gru_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE round trip of every document."""
     return byte_bpe.encode(
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_crf": op4_line_crf,
     "op5_content_sort": op5_content_sort,
     "op6_secret_scan": op6_secret_scan,
+    "op7_gru_lm": op7_gru_lm,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_radix_dedup": op9_radix_dedup,
     "op10_signature_join": op10_signature_join,
