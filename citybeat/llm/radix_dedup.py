@@ -98,8 +98,12 @@ def _signed(x: int) -> int:
 
 
 def _run_table(rows: DataFrame, depth: int, gram: int) -> DataFrame:
-    """Per document the arrays of its runs: gram name g, run name s, first window q, windows n, gram offset o."""
-    names = ("g", "s", "q", "n", "o")
+    """Per document the arrays of its runs: gram name g, run name s, place p.
+
+    A place packs the first window (32 bits), the number of windows and the
+    gram's offset from the first window (16 bits each, both under ``depth``).
+    """
+    names = ("g", "s", "p")
 
     def process(batches):
         for batch in batches:
@@ -113,17 +117,15 @@ def _run_table(rows: DataFrame, depth: int, gram: int) -> DataFrame:
                     spans = zip(first.tolist(), (first + size + depth - 1).tolist())
                     got["g"] += g.tolist()
                     got["s"] += [_signed(xxhash.xxh3_64_intdigest(part[a:b])) for a, b in spans]
-                    got["q"] += (first + lo).tolist()
-                    got["n"] += size.tolist()
-                    got["o"] += (at - first).tolist()
+                    got["p"] += (((first + lo) << 32) | (size << 16) | (at - first)).tolist()
                 out["doc_id"].append(k)
                 out["th"].append(th)
                 for c in names:
                     out[c].append(got[c])
             yield out
 
-    schema = "doc_id long, th long, g array<long>, s array<long>, q array<int>, n array<int>, o array<int>"
-    return map_rows(rows, ["doc_id", "th", "text"], process, schema)
+    schema = "doc_id long, th long, g array<long>, s array<long>, p array<long>"
+    return map_rows(rows, ["doc_id", "th", "text"], process, schema).withColumn("rid", F.monotonically_increasing_id())
 
 
 def _blocks(spans: DataFrame, width: int, depth: int) -> DataFrame:
@@ -133,11 +135,12 @@ def _blocks(spans: DataFrame, width: int, depth: int) -> DataFrame:
     the gram at offset ``o - i``.  Returns the block's windows and the names of
     its core and its slice; both names start from the gram and the block.
     """
+    columns = ["sid", "single", "g", "o", "raw", "opened"]
 
     def process(batches):
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("sid", "lo", "hi", "core", "slice")}
-            for sid, g, o, raw, opened in zip(batch["sid"], batch["g"], batch["o"], batch["raw"], batch["opened"]):
+            out: dict[str, list] = {c: [] for c in ("sid", "single", "lo", "hi", "core", "slice")}
+            for sid, single, g, o, raw, opened in zip(*(batch[c] for c in columns)):
                 for lo, hi in ((x["lo"], x["hi"]) for x in opened):
                     for j in range((o - hi) // width, (o - lo) // width + 1):
                         first, last = max(lo, o - width * j - width + 1), min(hi, o - width * j)
@@ -145,6 +148,7 @@ def _blocks(spans: DataFrame, width: int, depth: int) -> DataFrame:
                         begin = o - width * j
                         core = raw[begin : begin + depth - width + 1]
                         out["sid"].append(sid)
+                        out["single"].append(single)
                         out["lo"].append(first)
                         out["hi"].append(last)
                         out["core"].append(_signed(xxhash.xxh3_64_intdigest(core, seed)))
@@ -153,9 +157,8 @@ def _blocks(spans: DataFrame, width: int, depth: int) -> DataFrame:
                         )
             yield out
 
-    return map_rows(
-        spans, ["sid", "g", "o", "raw", "opened"], process, "sid long, lo int, hi int, core long, slice long"
-    )
+    schema = "sid long, single boolean, lo int, hi int, core long, slice long"
+    return map_rows(spans, columns, process, schema)
 
 
 def _open(lo: Column, hi: Column) -> Column:
@@ -164,7 +167,7 @@ def _open(lo: Column, hi: Column) -> Column:
 
 def _fetch(rows: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
     """Bytes of the wanted runs: one row per run with its open windows."""
-    by_doc = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "s", "q", "n", "o")).alias("runs"))
+    by_doc = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "s", "p", "single")).alias("runs"))
     joined = rows.join(
         by_doc.withColumnRenamed("doc_id", "_d").withColumnRenamed("th", "_t"),
         F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")),
@@ -172,18 +175,20 @@ def _fetch(rows: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
 
     def process(batches):
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("g", "s", "o", "raw", "opened")}
+            out: dict[str, list] = {c: [] for c in ("g", "s", "single", "o", "raw", "opened")}
             for text, found in zip(batch["text"], batch["runs"]):
                 raw = text.encode("utf-8", "replace")
                 for r in found:
+                    first, size, offset = r["p"] >> 32, (r["p"] >> 16) & 0xFFFF, r["p"] & 0xFFFF
                     out["g"].append(r["g"])
                     out["s"].append(r["s"])
-                    out["o"].append(r["o"])
-                    out["raw"].append(raw[r["q"] : r["q"] + r["n"] + depth - 1])
-                    out["opened"].append([{"lo": 0, "hi": r["n"] - 1}])
+                    out["single"].append(r["single"])
+                    out["o"].append(offset)
+                    out["raw"].append(raw[first : first + size + depth - 1])
+                    out["opened"].append([{"lo": 0, "hi": size - 1}])
             yield out
 
-    schema = "g long, s long, o int, raw binary, opened array<struct<lo:int,hi:int>>"
+    schema = "g long, s long, single boolean, o int, raw binary, opened array<struct<lo:int,hi:int>>"
     got = map_rows(joined, ["text", "runs"], process, schema)
     return got.withColumn("sid", F.monotonically_increasing_id())
 
@@ -197,7 +202,7 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", dep
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))
     table = materialise(_run_table(rows, depth, gram), "radix-runs")
-    each = table.select("doc_id", "th", F.explode(F.arrays_zip("g", "s", "q", "n", "o")).alias("r")).select("doc_id", "th", "r.*")
+    each = table.select("rid", F.explode(F.arrays_zip("g", "s", "p")).alias("r")).select("rid", "r.*")
 
     # Pass 1: grams that occur in two runs or more.
     grams = each.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g")
@@ -205,53 +210,58 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", dep
 
     # Pass 2: equal runs; grams with several different runs go on, one run of each kind.
     kinds = materialise(
-        live.groupBy("g", "s").agg(
-            F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th", "q", "n", "o")).alias("r")
-        ),
-        "radix-kinds",
+        live.groupBy("g", "s").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "p")).alias("r")), "radix-kinds"
+    )
+    mixed = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least")).filter("k > 1 AND least = 1")
+    wanted = kinds.join(mixed.select("g"), "g", "left_semi").select(
+        "g", "s", (F.col("c") == 1).alias("single"), "r.rid", "r.p"
     )
-    mixed = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
-    wanted = kinds.join(mixed, "g", "left_semi").select("g", "s", "r.doc_id", "r.th", "r.q", "r.n", "r.o")
-    spans = materialise(_fetch(rows, wanted, depth), "radix-spans")
+    placed = wanted.join(table.select("rid", "doc_id", "th"), "rid")
+    spans = materialise(_fetch(rows, placed, depth), "radix-spans")
 
     # Passes 3 to 5.
     found: DataFrame | None = None
     opened = spans
     for width in WIDTHS:
         blocks = materialise(_blocks(opened, width, depth), f"radix-blocks{width}")
-        slices = blocks.groupBy(F.col("slice").alias("z")).agg(F.count(F.lit(1)).alias("nz")).filter("nz > 1")
-        done = blocks.join(slices, F.col("slice") == F.col("z"), "left_semi").select("sid", "lo", "hi")
+        slices = blocks.groupBy("slice").agg(F.count(F.lit(1)).alias("nz"), F.min("sid").alias("first"))
+        judged = materialise(blocks.join(slices.filter("nz > 1"), "slice", "left"), f"radix-judged{width}")
+        done = judged.filter("single AND nz > 1").select("sid", "lo", "hi")
         found = done if found is None else found.unionByName(done)
         if width == 1:
             break
-        cores = blocks.groupBy(F.col("core").alias("c")).agg(F.count(F.lit(1)).alias("nc")).filter("nc > 1")
+        # Of equal slices one goes on, and only to meet a block that is still open.
+        going = judged.filter("nz IS NULL OR sid = first")
+        cores = (
+            going.groupBy("core")
+            .agg(F.count(F.lit(1)).alias("nc"), F.max(F.col("single") & F.col("nz").isNull()).alias("open"))
+            .filter("nc > 1 AND open")
+        )
         rest = (
-            blocks.join(slices, F.col("slice") == F.col("z"), "left")
-            .join(cores, F.col("core") == F.col("c"), "left_semi")
-            # a block done here still meets the others as a partner
+            going.join(cores, "core", "left_semi")
             .groupBy("sid")
-            .agg(
-                F.collect_list(_open(F.col("lo"), F.col("hi"))).alias("opened"),
-                F.max(F.col("z").isNull()).alias("unsettled"),
-            )
+            .agg(F.collect_list(_open(F.col("lo"), F.col("hi"))).alias("opened"))
         )
-        opened = materialise(spans.drop("opened").join(rest.drop("unsettled"), "sid"), f"radix-open{width}")
+        opened = materialise(spans.drop("opened").join(rest, "sid"), f"radix-open{width}")
 
     partial = (
         found.join(spans.select("sid", "g", "s"), "sid")
         .groupBy("g", "s")
         .agg(F.collect_list(_open(F.col("lo"), F.col("hi"))).alias("parts"))
     )
-    whole = kinds.filter("c > 1").select("g", "s", F.array(_open(F.lit(0), F.col("r.n") - 1)).alias("parts"))
-    single = kinds.filter("c = 1").select("g", "s")
-    verdict = whole.unionByName(partial.join(single, ["g", "s"], "left_semi"))
+    size = F.shiftright(F.col("r.p"), 16).bitwiseAND(F.lit(0xFFFF))
+    whole = kinds.filter("c > 1").select("g", "s", F.array(_open(F.lit(0), size - 1)).alias("parts"))
+    verdict = whole.unionByName(partial)
+    first = F.shiftright(F.col("p"), 32)
     windows = (
         live.join(verdict, ["g", "s"])
-        .select("doc_id", "th", F.transform("parts", lambda p: _open(p["lo"] + F.col("q"), p["hi"] + F.col("q"))).alias("parts"))
-        .groupBy("doc_id", "th")
+        .select("rid", F.transform("parts", lambda x: _open(x["lo"] + first, x["hi"] + first)).alias("parts"))
+        .groupBy("rid")
         .agg(F.flatten(F.collect_list("parts")).alias("windows"))
     )
-    return rows, windows
+    # A repeated row (same id, same text) has the same windows: one of them is joined to all.
+    named = windows.join(table.select("rid", "doc_id", "th"), "rid").groupBy("doc_id", "th")
+    return rows, materialise(named.agg(F.first("windows").alias("windows")), "radix-windows")
 
 
 def cut_out(raw: bytes, windows: list[dict], depth: int) -> tuple[bytes, list[tuple[int, int]]]:
