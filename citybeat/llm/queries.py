@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citybeat.llm import byte_bpe, content_sort, gru_lm, line_crf, packing, radix_dedup, secrets, signature_join
+from citybeat.llm import (
+    byte_bpe,
+    chains,
+    content_sort,
+    gru_lm,
+    line_crf,
+    packing,
+    radix_dedup,
+    secrets,
+    signature_join,
+    training_order,
+)
 from citybeat.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -21,6 +32,17 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of the materialised training order, read back from its shard."""
+    shards = training_order.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return training_order.read_from(shards).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op3_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages of 50 words and more that documents share."""
+    return chains.find_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdict of every document; the field is trained on ``labels``."""
     docs = table(spark, sf_dir, "documents")
@@ -77,6 +99,8 @@ def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
+    "op2_training_order": op2_training_order,
+    "op3_collinear_chains": op3_collinear_chains,
     "op4_line_crf": op4_line_crf,
     "op5_content_sort": op5_content_sort,
     "op6_secret_scan": op6_secret_scan,
