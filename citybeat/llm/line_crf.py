@@ -185,21 +185,36 @@ def _marginals(e: np.ndarray, m: np.ndarray, mask: np.ndarray) -> tuple[np.ndarr
     return node, np.einsum("ntij,nt->ij", both, mask[:, 1:])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_runs: int = 4000, key: str = "doc_id", text: str = "text") -> LineField:
-    """Fit the field on at most ``max_runs`` labelled runs of lines."""
-    states = labels.filter("quality IN (0, 1)").groupBy(F.col(key).alias("_k")).agg(F.max("quality").alias("quality"))
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    max_docs: int = 4000,
+    max_runs: int = 8000,
+    key: str = "doc_id",
+    text: str = "text",
+) -> LineField:
+    """Fit the field on labelled documents: at most ``max_docs``, half of each state, and ``max_runs`` runs of them."""
+    states = (
+        labels.filter("quality IN (0, 1)")
+        .groupBy(F.col(key).cast("long").alias("_k"))
+        .agg(F.max("quality").alias("quality"))
+        .withColumn("h", F.xxhash64("_k"))
+    )
+    picked = [states.filter(F.col("quality") == s).orderBy("h", "_k").limit(max_docs // 2) for s in (0, 1)]
+    # max_docs rows of two numbers: small by construction
+    few = F.broadcast(picked[0].unionByName(picked[1]).drop("h"))
     lines = F.filter(F.split(F.col(text), "\n"), lambda x: F.trim(x) != "")
+    starts = F.sequence(F.lit(0), F.greatest(F.size("lines") - 1, F.lit(0)), F.lit(RUN_LINES))
     runs = (
-        docs.join(states, F.col(key) == F.col("_k"))
-        .select(F.col("_k"), "quality", lines.alias("lines"))
-        .select("_k", "quality", "lines", F.explode(F.sequence(F.lit(0), F.greatest(F.size("lines") - 1, F.lit(0)), F.lit(RUN_LINES))).alias("at"))
+        docs.select(F.col(key).cast("long").alias("_d"), F.col(text).alias(text))
+        .join(few, F.col("_d") == F.col("_k"))
+        .select("_k", "quality", lines.alias("lines"))
+        .select("_k", "quality", "lines", F.explode(starts).alias("at"))
         .select("quality", F.slice("lines", F.col("at") + 1, F.lit(RUN_LINES)).alias("lines"), F.xxhash64("_k", "at").alias("h"), "_k", "at")
+        .orderBy("h", "_k", "at")
+        .limit(max_runs)
     )
-    # Both states get half of the bound.
-    got = []
-    for state in (0, 1):
-        picked = runs.filter(F.col("quality") == state).orderBy("h", "_k", "at").limit(max_runs // 2)
-        got += [(state, [x.encode("utf-8", "replace") for x in row.lines]) for row in picked.select("lines").collect()]
+    got = [(r.quality, [x.encode("utf-8", "replace") for x in r.lines]) for r in runs.select("quality", "lines").collect()]
     return fit([(state, f) for state, lines in got if len(f := line_features(Lines(lines)))])
 
 
