@@ -53,8 +53,6 @@ FIELD_ALIASES = {
     "improvement_surcharge": ["improvement_surcharge"],
     "congestion_surcharge": ["congestion_surcharge"],
     "airport_fee": ["airport_fee"],
-    "total_amount": ["total_amount"],
-    "payment_type": ["payment_type"],
     "ratecode": ["RatecodeID", "RateCodeID", "ratecodeid"],
     "PULocationID": ["PULocationID", "PUlocationID"],
     "DOLocationID": ["DOLocationID", "DOlocationID"],

@@ -2,7 +2,6 @@
 
 from citybeat.functions.bins import left_closed_bin, right_closed_bin
 from citybeat.functions.datetime import (
-    blank_to_null,
     calendar_parts,
     compact_digits_to_timestamp,
     epoch_to_timestamp,
@@ -22,7 +21,7 @@ from citybeat.functions.text import (
 )
 
 __all__ = [
-    "blank_to_null", "calendar_parts", "collapse_whitespace", "compact_digits_to_timestamp",
+    "calendar_parts", "collapse_whitespace", "compact_digits_to_timestamp",
     "corridor_label", "epoch_to_timestamp", "exact_sum", "left_closed_bin", "metadata_value",
     "minutes_between", "normalize_borough", "normalize_direction", "parse_mixed_timestamp",
     "quarter_from_name", "right_closed_bin", "round_half_even", "round_half_up", "to_double",

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citybeat.constants import BLANK_TOKENS
-
 # Formats tried in order by ``parse_mixed_timestamp``.
 DEFAULT_FORMATS = (
     "yyyy-MM-dd HH:mm:ss",
@@ -19,9 +17,15 @@ DEFAULT_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ssXXX",
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "yyyy-MM-dd HH:mm",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "yyyy-MM-dd",
+    # one pattern letter takes padded and unpadded numbers
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy h:mm:ss a",
+    "M/d/yyyy h:mm a",
+    "yyyy-M-d H:mm:ss",
+    "yyyy-M-d H:mm",
+    "yyyy-M-d",
+    "M/d/yyyy",
 )
 
 
@@ -29,12 +33,6 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def blank_to_null(col: Column | str, tokens: Sequence[str] = BLANK_TOKENS) -> Column:
-    """Trimmed string, with the blank tokens ('', 'NaT', 'nan', 'None') as null."""
-    s = F.trim(_c(col).cast("string"))
-    return F.when(s.isin(list(tokens)), F.lit(None).cast("string")).otherwise(s)
-
-
 def parse_mixed_timestamp(col: Column | str, formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
     """Parse strings written in any of ``formats``; unparsable values become null.
 
@@ -48,13 +46,29 @@ def parse_mixed_timestamp(col: Column | str, formats: Sequence[str] = DEFAULT_FO
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats])
 
 
-def epoch_to_timestamp(col: Column | str) -> Column:
+def _floor_div(v: Column, by: int) -> Column:
+    """Whole-number division rounding down."""
+    return F.call_function("div", v - F.pmod(v, F.lit(by)), F.lit(by))
+
+
+def epoch_to_timestamp(col: Column | str, integral: bool = False) -> Column:
     """Epoch number to timestamp, unit inferred from magnitude.
 
     >= 1e17 nanoseconds, >= 1e14 microseconds, >= 1e11 milliseconds, else
     seconds.  The reference decides per batch from the batch median; this is
     decided per row so the result does not depend on how rows are batched.
+    ``integral`` columns are converted in whole numbers (a nanosecond count
+    does not fit a double), others through doubles.
     """
+    if integral:
+        n = _c(col).cast("long")
+        size = F.abs(n)
+        return F.timestamp_micros(
+            F.when(size >= 10**17, _floor_div(n, 1000))
+            .when(size >= 10**14, n)
+            .when(size >= 10**11, n * 1000)
+            .otherwise(n * 1_000_000)
+        )
     v = _c(col).cast("double")
     mag = F.abs(v)
     micros = (

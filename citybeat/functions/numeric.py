@@ -33,9 +33,5 @@ def exact_sum(col: Column | str, scale: int = 6) -> Column:
 
 
 def to_double(col: Column | str) -> Column:
-    """Numeric coercion: anything unparsable becomes null."""
-    return _c(col).try_cast("double")
-
-
-def nullsafe_zero(col: Column | str) -> Column:
-    return F.coalesce(_c(col), F.lit(0.0))
+    """Numeric coercion: anything unparsable and NaN become null."""
+    return F.nanvl(_c(col).try_cast("double"), F.lit(None).cast("double"))

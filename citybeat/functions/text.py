@@ -26,8 +26,12 @@ def normalize_direction(col: Column | str, parity: bool = False) -> Column:
 
 
 def normalize_borough(col: Column | str) -> Column:
-    """Trim + title case."""
-    return F.initcap(F.lower(F.trim(_c(col))))
+    """Trim + title case: a letter is upper case unless it follows a letter."""
+    chars = F.split(F.lower(F.trim(_c(col))), "")
+    titled = F.transform(
+        chars, lambda c, i: F.when((i > 0) & F.get(chars, i - 1).rlike(r"\p{L}"), c).otherwise(F.upper(c))
+    )
+    return F.array_join(titled, "")
 
 
 def corridor_label(parts: Sequence[Column | str], sep: str = " | ", empty: str = "Unknown") -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from citybeat.constants import BIKE_DURATION_EDGES, BIKE_DURATION_LABELS, BIKE_DURATION_RANGE, TOP_FLOWS, TOP_STATIONS
 from citybeat.functions.bins import right_closed_bin
 from citybeat.functions.datetime import minutes_between, parse_mixed_timestamp
-from citybeat.functions.numeric import round_half_up
+from citybeat.functions.numeric import exact_sum, round_half_up
 from citybeat.operators.common import share_of_total, top_k, zero_filled_counts
 
 REQUIRED = [
@@ -69,7 +69,7 @@ def station_flows(trips: DataFrame, order: Column | None = None) -> DataFrame:
         first_non_null("end_lat", order).alias("end_lat"),
         first_non_null("end_lng", order).alias("end_lng"),
         F.count("ride_id").alias("trip_count"),
-        F.sum("duration_min").alias("__dsum"),
+        exact_sum("duration_min").cast("double").alias("__dsum"),
     )
     avg = F.when(F.col("trip_count") > 0, F.col("__dsum") / F.col("trip_count")).otherwise(F.lit(0.0))
     return agg.withColumn("avg_duration_min", round_half_up(avg, 2)).drop("__dsum")

@@ -80,12 +80,11 @@ def share_of_total(df: DataFrame, value_col: str, share_col: str = "share", digi
 def latest_per_group(df: DataFrame, part_cols: str | Sequence[str], order_col: str) -> DataFrame:
     """Rows whose ``order_col`` equals the group maximum.
 
-    The maximum is a grouped aggregate joined back on (group, value), not a
-    window over the whole group, so a hot group is not sorted in one task.
+    ``df`` is aggregated already (categories, not fact rows), so the maximum is
+    a window over that frame and the source is scanned once.
     """
-    parts = _cols(part_cols)
-    latest = df.groupBy(*parts).agg(F.max(order_col).alias(order_col))
-    return df.join(latest, on=parts + [order_col], how="left_semi")
+    latest = F.max(order_col).over(Window.partitionBy(*_cols(part_cols)))
+    return df.withColumn("__latest", latest).filter(F.col(order_col) == F.col("__latest")).drop("__latest")
 
 
 def top_k_per_group(df: DataFrame, part_cols: str | Sequence[str], order: Sequence[Column], k: int, rank_col: str | None = None) -> DataFrame:
@@ -116,12 +115,12 @@ def top_k_with_fallback(
 ) -> DataFrame:
     """Top-k of the latest year per group, or of all years when the latest
     year has fewer than ``min(k, rows in group)`` rows (W7)."""
-    per_year = items.groupBy(part_col, year_col).agg(F.count(F.lit(1)).alias("__n"))
-    stats = per_year.groupBy(part_col).agg(
-        F.max(year_col).alias("__latest"),
-        F.sum("__n").alias("__n_all"),
-        F.max_by("__n", year_col).alias("__n_latest"),
+    group = Window.partitionBy(part_col)
+    stated = items.withColumn("__latest", F.max(year_col).over(group))
+    in_latest = F.col(year_col) == F.col("__latest")
+    stated = stated.withColumn("__n_all", F.count(F.lit(1)).over(group)).withColumn(
+        "__n_latest", F.count_if(in_latest).over(group)
     )
-    keep = (F.col(year_col) == F.col("__latest")) | (F.col("__n_latest") < F.least(F.lit(k), F.col("__n_all")))
-    chosen = items.join(stats, on=part_col).filter(keep).drop("__latest", "__n_all", "__n_latest")
+    keep = in_latest | (F.col("__n_latest") < F.least(F.lit(k), F.col("__n_all")))
+    chosen = stated.filter(keep).drop("__latest", "__n_all", "__n_latest")
     return top_k_per_group(chosen, part_col, order, k)

@@ -57,7 +57,6 @@ def bounded_costs(
     edges: DataFrame,
     weight: str,
     cutoff: float | None = None,
-    max_rounds: int = 10_000,
     with_pred: bool = False,
     hops_per_round: int = 2,
     keys: Sequence[str] = (),
@@ -91,12 +90,10 @@ def bounded_costs(
         F.lit(None).cast("long").alias("pred"),
         F.lit(True).alias("fresh"),
     ).distinct().checkpoint()
-    rounds = 0
-    while rounds < max_rounds:
+    while True:
         frontier = best.filter("fresh")
         if frontier.isEmpty():
             break
-        rounds += 1
         reach = frontier.select(*keys, "source", "node", "cost")
         steps = []
         for _ in range(hops_per_round):

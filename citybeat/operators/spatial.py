@@ -132,22 +132,19 @@ def within_distance(
     """
     s_pos = stops.select(F.col(x).cast("long").alias("sx"), F.col(y).cast("long").alias("sy")).distinct()
     keyed = points.withColumns({"cx": _cell(F.col(x), radius), "cy": _cell(F.col(y), radius)})
-    n_stops = s_pos.count() if max_block is not None else 0
-    heavy_pts = None
-    if max_block is not None and n_stops > max_block:
-        per_cell = s_pos.groupBy(_cell(F.col("sx"), radius).alias("__bx"), _cell(F.col("sy"), radius).alias("__by")).agg(
-            F.count(F.lit(1)).alias("__c")
-        )
-        heavy_cells = (
-            _neighbour_cells(per_cell, "__bx", "__by", 1)
-            .groupBy("cx", "cy")
-            .agg(F.sum("__c").alias("__block"))
-            .filter(F.col("__block") > max_block)
-            .select("cx", "cy", F.lit(True).alias("__heavy"))
-        )
-        keyed = keyed.join(heavy_cells, ["cx", "cy"], "left")
-        heavy_pts = keyed.filter(F.col("__heavy").isNotNull()).drop("__heavy", "cx", "cy")
-        keyed = keyed.filter(F.col("__heavy").isNull()).drop("__heavy")
+    per_cell = s_pos.groupBy(_cell(F.col("sx"), radius).alias("__bx"), _cell(F.col("sy"), radius).alias("__by")).agg(
+        F.count(F.lit(1)).alias("__c")
+    )
+    heavy_cells = (
+        _neighbour_cells(per_cell, "__bx", "__by", 1)
+        .groupBy("cx", "cy")
+        .agg(F.sum("__c").alias("__block"))
+        .filter(F.col("__block") > max_block)
+        .select("cx", "cy", F.lit(True).alias("__heavy"))
+    )
+    keyed = keyed.join(heavy_cells, ["cx", "cy"], "left")
+    heavy_pts = keyed.filter(F.col("__heavy").isNotNull()).drop("__heavy", "cx", "cy")
+    keyed = keyed.filter(F.col("__heavy").isNull()).drop("__heavy")
     s = _neighbour_cells(s_pos, "sx", "sy", radius)
     d2 = (keyed[x] - s["sx"]) * (keyed[x] - s["sx"]) + (keyed[y] - s["sy"]) * (keyed[y] - s["sy"])
     cond = (keyed["cx"] == s["cx"]) & (keyed["cy"] == s["cy"]) & (d2 <= F.lit(radius * radius))
@@ -159,20 +156,20 @@ def within_distance(
     out = keyed.filter(near_center).drop("cx", "cy").unionByName(
         keyed.filter(~near_center).join(s, cond, "left_semi").drop("cx", "cy")
     )
-    if heavy_pts is not None:
-        hard = heavy_pts.select(F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py")).distinct()
-        found = _nearest_quadtree(
-            hard.select(F.col("__px").alias(x), F.col("__py").alias(y), F.lit(0).alias("__pt")),
-            s_pos.select(F.col("sx").alias(x), F.col("sy").alias(y), F.lit(0).alias("__sid")),
-            "__pt", "__sid", x, y,
-        ).filter(F.col("__d2") <= F.lit(radius * radius))
-        keep = heavy_pts.join(
-            found.select(F.col("__px").alias("__hx"), F.col("__py").alias("__hy")),
-            (F.col(x).cast("long") == F.col("__hx")) & (F.col(y).cast("long") == F.col("__hy")),
-            "left_semi",
-        )
-        out = out.unionByName(keep.filter(~near_center)).unionByName(heavy_pts.filter(near_center))
-    return out
+    hard = heavy_pts.select(F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py")).distinct()
+    if hard.isEmpty():
+        return out
+    found = _nearest_quadtree(
+        hard.select(F.col("__px").alias(x), F.col("__py").alias(y), F.lit(0).alias("__pt")),
+        s_pos.select(F.col("sx").alias(x), F.col("sy").alias(y), F.lit(0).alias("__sid")),
+        "__pt", "__sid", x, y,
+    ).filter(F.col("__d2") <= F.lit(radius * radius))
+    keep = heavy_pts.join(
+        found.select(F.col("__px").alias("__hx"), F.col("__py").alias("__hy")),
+        (F.col(x).cast("long") == F.col("__hx")) & (F.col(y).cast("long") == F.col("__hy")),
+        "left_semi",
+    )
+    return out.unionByName(keep.filter(~near_center)).unionByName(heavy_pts.filter(near_center))
 
 
 def nearest(
@@ -203,44 +200,43 @@ def nearest(
     )
     span = st.agg(F.min("__sx"), F.max("__sx"), F.min("__sy"), F.max("__sy"), F.count(F.lit(1))).first()
     if not span or not span[4]:
-        return points.select(F.col(point_id)).withColumn(stop_id, F.lit(None)).withColumn("dist2", F.lit(None)).limit(0)
+        # no stop at all: every point, without one
+        none = F.lit(None).cast(stops.schema[stop_id].dataType).alias(stop_id)
+        return points.select(F.col(point_id), none, F.lit(None).cast("long").alias("dist2"))
     width = max(int(span[1]) - int(span[0]), int(span[3]) - int(span[2]), 1)
     size = cell or max(1, width // max(1, int(math.isqrt(int(span[4])))))
     sizes = [size]
     while sizes[-1] <= 2 * width:
         sizes.append(sizes[-1] * 4)
-    # With no more stops than max_block in total no block can be heavy.
-    check_heavy = int(span[4]) > max_block
-    if check_heavy:
-        # stops per cell summed over each cell's 3x3 neighbourhood, all levels in one pass
-        lv = F.explode(F.array(*[F.lit(v) for v in sizes])).alias("__size")
-        per_cell = st.select("__sx", "__sy", lv).groupBy(
-            "__size", F.floor(F.col("__sx") / F.col("__size")).cast("long").alias("__bx"),
-            F.floor(F.col("__sy") / F.col("__size")).cast("long").alias("__by"),
-        ).agg(F.count(F.lit(1)).alias("__c"))
-        blocks = (
-            _neighbour_cells(per_cell, "__bx", "__by", 1)
-            .groupBy("__size", "cx", "cy")
-            .agg(F.sum("__c").alias("__block"))
-            .filter(F.col("__block") > max_block)
-        )
+    # stops per cell summed over each cell's 3x3 neighbourhood, all levels in one pass
+    lv = F.explode(F.array(*[F.lit(v) for v in sizes])).alias("__size")
+    per_cell = st.select("__sx", "__sy", lv).groupBy(
+        "__size", F.floor(F.col("__sx") / F.col("__size")).cast("long").alias("__bx"),
+        F.floor(F.col("__sy") / F.col("__size")).cast("long").alias("__by"),
+    ).agg(F.count(F.lit(1)).alias("__c"))
+    blocks = (
+        _neighbour_cells(per_cell, "__bx", "__by", 1)
+        .groupBy("__size", "cx", "cy")
+        .agg(F.sum("__c").alias("__block"))
+        .filter(F.col("__block") > max_block)
+        .checkpoint()  # read at every level
+    )
     todo = points.select(F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py")).distinct()
     sid_type = st.schema["__sid"].dataType
     parts: list[DataFrame] = []
     for i, size in enumerate(sizes):
         last = i == len(sizes) - 1
         keyed = todo.withColumns({"cx": _cell(F.col("__px"), size), "cy": _cell(F.col("__py"), size)})
-        if check_heavy:
-            heavy_cells = blocks.filter(F.col("__size") == size).select("cx", "cy", F.lit(True).alias("__heavy"))
-            keyed = keyed.join(heavy_cells, ["cx", "cy"], "left")
-            heavy = F.coalesce(F.col("__heavy"), F.lit(False))
-            parts.append(
-                keyed.filter(heavy).select(
-                    "__px", "__py", F.lit(None).cast("long").alias("__d2"), F.lit(None).cast(sid_type).alias("__sid"),
-                    F.lit(True).alias("__heavy"),
-                )
+        heavy_cells = blocks.filter(F.col("__size") == size).select("cx", "cy", F.lit(True).alias("__heavy"))
+        keyed = keyed.join(heavy_cells, ["cx", "cy"], "left")
+        heavy = F.coalesce(F.col("__heavy"), F.lit(False))
+        parts.append(
+            keyed.filter(heavy).select(
+                "__px", "__py", F.lit(None).cast("long").alias("__d2"), F.lit(None).cast(sid_type).alias("__sid"),
+                F.lit(True).alias("__heavy"),
             )
-            keyed = keyed.filter(~heavy).drop("__heavy")
+        )
+        keyed = keyed.filter(~heavy).drop("__heavy")
         cand = _neighbour_cells(st, "__sx", "__sy", size)
         d2 = (F.col("__px") - F.col("__sx")) * (F.col("__px") - F.col("__sx")) + (F.col("__py") - F.col("__sy")) * (
             F.col("__py") - F.col("__sy")
@@ -255,15 +251,12 @@ def nearest(
     grid = parts[0]
     for part in parts[1:]:
         grid = grid.unionByName(part)
+    grid = grid.checkpoint()  # one execution of the escalation; both outcomes read it
     answered = grid.filter(~F.col("__heavy")).select("__px", "__py", "__d2", "__sid")
-    if check_heavy:
-        grid = grid.checkpoint()  # one execution of the escalation; both outcomes read it
-        answered = grid.filter(~F.col("__heavy")).select("__px", "__py", "__d2", "__sid")
-        rest = grid.filter("__heavy").select("__px", "__py")
-        if not rest.isEmpty():
-            hard_points = rest.select(F.col("__px").alias(x), F.col("__py").alias(y), F.lit(0).alias("__pt"))
-            hard = _nearest_quadtree(hard_points, stops, "__pt", stop_id, x, y, leaf_size)
-            answered = answered.unionByName(hard)
+    rest = grid.filter("__heavy").select("__px", "__py")
+    if not rest.isEmpty():
+        hard_points = rest.select(F.col("__px").alias(x), F.col("__py").alias(y), F.lit(0).alias("__pt"))
+        answered = answered.unionByName(_nearest_quadtree(hard_points, stops, "__pt", stop_id, x, y, leaf_size))
     located = points.select(F.col(point_id), F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py"))
     return located.join(answered, ["__px", "__py"]).select(
         F.col(point_id), F.col("__sid").alias(stop_id), F.col("__d2").alias("dist2")

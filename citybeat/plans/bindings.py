@@ -37,8 +37,9 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     service=l_returnflag, pickup=l_shipdate, trip_time=l_quantity minutes,
     distance=l_extendedprice/5000 miles, fare=l_extendedprice,
-    tip=fare*l_discount, tolls null where l_discount=0, airport_fee=l_tax-0.07,
-    RatecodeID=l_linenumber, PU=l_suppkey, DO=l_partkey mod 100.
+    tip=fare*l_discount, tolls null where l_discount=0, airport_fee=l_tax-0.07
+    (not a number for line 5), extra=l_quantity/10 (not a number for line 6),
+    RatecodeID=l_linenumber, PU=l_suppkey (line 4: its negative, in no zone), DO=l_partkey mod 100.
     """
     li = table(spark, sf_dir, "lineitem")
     return li.select(
@@ -49,11 +50,11 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("fare_amount"),
         (F.col("l_extendedprice") * F.col("l_discount")).alias("tip_amount"),
         F.when(F.col("l_discount") != 0, F.col("l_quantity") * F.col("l_discount")).alias("tolls_amount"),
-        (F.col("l_quantity") / 10.0).alias("extra"),
+        F.when(F.col("l_linenumber") == 6, F.lit(float("nan"))).otherwise(F.col("l_quantity") / 10.0).alias("extra"),
         (F.col("l_extendedprice") * F.col("l_tax")).alias("mta_tax"),
-        (F.col("l_tax") - 0.07).alias("airport_fee"),
+        F.when(F.col("l_linenumber") == 5, F.lit(float("nan"))).otherwise(F.col("l_tax") - 0.07).alias("airport_fee"),
         F.col("l_linenumber").alias("RatecodeID"),
-        F.col("l_suppkey").alias("PULocationID"),
+        F.when(F.col("l_linenumber") == 4, -F.col("l_suppkey")).otherwise(F.col("l_suppkey")).alias("PULocationID"),
         (F.col("l_partkey") % 100).alias("DOLocationID"),
         F.when(F.col("l_discount") == 0, F.lit(None).cast("string"))
         .when(F.col("l_linestatus") == "O", F.lit(" y"))
@@ -99,10 +100,10 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup: LocationID=s_suppkey, Borough=r_name, Zone=n_name.
 
-    Suppliers with a negative balance are left out of the lookup so that
-    some pickup ids miss it and report as 'Unknown'.
+    Every supplier is a zone; the pickup ids that miss the lookup and report
+    as 'Unknown' come from the trips.
     """
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
+    s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     return (
@@ -114,13 +115,16 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- bikes ------------------------------------------------------------------
 
-BIKE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+# How the raw rows write their start: padded and unpadded, 24 and 12 hours.
+BIKE_FORMATS = (
+    "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "M/d/yyyy H:mm", "MM/dd/yyyy hh:mm:ss a",
+)
 
 
 def raw_bike_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E as a raw bike-trip CSV (all strings, dirty on purpose).
 
-    started_at is written in one of three formats (event_id mod 3) with
+    started_at is written in one of five formats (event_id mod 5) with
     blank tokens injected; ended_at = ts + value minutes; stations are
     user_id mod 40 (end: (7*user_id + event_id) mod 40) with some names
     missing; ride_id is missing for values under 1; member type from
@@ -131,9 +135,11 @@ def raw_bike_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_str = (
         F.when(F.col("event_id") % 17 == 0, F.lit(""))
         .when(F.col("event_id") % 19 == 0, F.lit("NaT"))
-        .when(F.col("event_id") % 3 == 0, F.date_format(ts, BIKE_FORMATS[0]))
-        .when(F.col("event_id") % 3 == 1, F.date_format(ts, BIKE_FORMATS[1]))
-        .otherwise(F.date_format(ts, BIKE_FORMATS[2]))
+        .when(F.col("event_id") % 5 == 0, F.date_format(ts, BIKE_FORMATS[0]))
+        .when(F.col("event_id") % 5 == 1, F.date_format(ts, BIKE_FORMATS[1]))
+        .when(F.col("event_id") % 5 == 2, F.date_format(ts, BIKE_FORMATS[2]))
+        .when(F.col("event_id") % 5 == 3, F.date_format(ts, BIKE_FORMATS[3]))
+        .otherwise(F.date_format(ts, BIKE_FORMATS[4]))
     )
     end_ts = F.timestamp_micros(F.unix_micros(ts.cast("timestamp")) + F.floor(F.col("value") * 60_000_000.0))
     s_id = F.col("user_id") % 40
@@ -194,7 +200,7 @@ def bike_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bike_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     from citybeat.operators.bikes import clean_trips
 
-    return clean_trips(bike_csv(spark, sf_dir), BIKE_FORMATS)
+    return clean_trips(bike_csv(spark, sf_dir))
 
 
 def nation_flow_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,11 +371,11 @@ def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order's line items, in line-number order, as a path through supplier locations.
 
     Line numbers repeat within an order in these tables, so the sequence key
-    is (line number, supplier): rows that still tie are the same point.
+    is the struct (line number, supplier): rows that still tie are the same point.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     geo = supplier_geo(spark, sf_dir)
-    seq = F.col("l_linenumber").cast("long") * 1_000_000 + F.col("l_suppkey")
+    seq = F.struct("l_linenumber", "l_suppkey")
     return li.join(geo, li.l_suppkey == geo.s_suppkey).select(
         F.col("l_orderkey").alias("route_id"), seq.alias("seq"), "lng", "lat"
     )
@@ -397,9 +403,9 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources of the reachability job: suppliers of nation 0."""
+    """Sources of the reachability job: every supplier."""
     s = table(spark, sf_dir, "supplier")
-    return s.filter(F.col("s_nationkey") == 0).select(F.col("s_suppkey").alias("source"))
+    return s.select(F.col("s_suppkey").alias("source"))
 
 
 def customer_stops_m(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -559,7 +565,7 @@ def report_cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- file round trip --------------------------------------------------------------
 
 PARTS_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
-PARTS_MAX_MB = 1.0
+PARTS_MAX_MB = 64.0
 
 
 def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -582,7 +588,7 @@ def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts_roundtrip(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """L written as year-partitioned CSV parts of at most ~1 MB each under the
+    """L written as year-partitioned CSV parts of at most ~64 MB each under the
     shared checkpoint folder, then read back through the whole-or-parts
     resolution.  Returns (rows read back, manifest)."""
     from citybeat.session import scratch_path

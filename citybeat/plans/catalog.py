@@ -85,7 +85,7 @@ def _epoch_units(s: SparkSession, d: str) -> DataFrame:
     return rows.select(
         "event_id",
         "epoch_value",
-        epoch_to_timestamp("epoch_value").cast("timestamp_ntz").alias("from_epoch"),
+        epoch_to_timestamp("epoch_value", integral=True).cast("timestamp_ntz").alias("from_epoch"),
         "digits",
         compact_digits_to_timestamp("digits").cast("timestamp_ntz").alias("from_digits"),
     )

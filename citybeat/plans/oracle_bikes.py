@@ -7,28 +7,17 @@ from citybeat.functions.bins import bin_case_sql
 from citybeat.plans.oracle_taxi import labels_sql
 
 
-def _blank(x: str) -> str:
-    return f"CASE WHEN trim({x}) IN ('', 'NaT', 'nan', 'None') THEN NULL ELSE trim({x}) END"
-
-
-def _parse(x: str) -> str:
-    s = _blank(x)
-    return (
-        f"COALESCE(try_strptime({s}, '%Y-%m-%d %H:%M:%S'), try_strptime({s}, '%m/%d/%Y %H:%M'), "
-        f"try_strptime({s}, '%Y-%m-%dT%H:%M:%S.%f'))"
-    )
-
-
+# The cleaned start is the event's time, cut to what its format writes; no string is parsed here.
 RAW_BIKES = """
 raw AS (
   SELECT
     CASE WHEN value >= 1 THEN 'R' || CAST(event_id AS VARCHAR) END AS ride_id,
     event_type AS rideable_type,
-    CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 19 = 0 THEN 'NaT'
-         WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-         WHEN event_id % 3 = 1 THEN strftime(ts, '%m/%d/%Y %H:%M')
-         ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS started_at,
-    strftime(make_timestamp(epoch_us(ts) + CAST(floor(value * 60000000.0) AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS ended_at,
+    CASE WHEN event_id % 17 = 0 OR event_id % 19 = 0 THEN NULL
+         WHEN event_id % 5 IN (0, 4) THEN date_trunc('second', ts)
+         WHEN event_id % 5 IN (1, 3) THEN date_trunc('minute', ts)
+         ELSE ts END AS started_at,
+    date_trunc('second', make_timestamp(epoch_us(ts) + CAST(floor(value * 60000000.0) AS BIGINT))) AS ended_at,
     CASE WHEN event_id % 5 <> 0 THEN 'Station ' || CAST(user_id % 40 AS VARCHAR) END AS start_station_name,
     CASE WHEN event_id % 23 <> 0 THEN CAST(user_id % 40 AS VARCHAR) END AS start_station_id,
     CASE WHEN event_id % 7 <> 0 THEN 'Station ' || CAST((user_id * 7 + event_id) % 40 AS VARCHAR) END AS end_station_name,
@@ -43,8 +32,7 @@ raw AS (
 
 BIKES_CTE = f"""{RAW_BIKES.strip()},
 parsed AS (
-  SELECT * REPLACE ({_parse('started_at')} AS started_at, {_parse('ended_at')} AS ended_at)
-  FROM raw
+  SELECT * FROM raw
   WHERE started_at IS NOT NULL AND ended_at IS NOT NULL AND start_station_id IS NOT NULL AND end_station_id IS NOT NULL
 ),
 bikes AS (

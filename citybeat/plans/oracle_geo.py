@@ -13,7 +13,7 @@ pts AS (SELECT c_custkey, c_custkey * 37 % 1000 AS x, c_custkey * 91 % 1000 AS y
 sp AS (SELECT s_suppkey, s_suppkey * 53 % 1000 AS x, s_suppkey * 29 % 1000 AS y FROM supplier)"""
 
 ROUTE_POINTS = f"""{PTS.strip()},
-rp AS (SELECT l_orderkey AS route_id, CAST(l_linenumber AS BIGINT) * 1000000 + l_suppkey AS seq,
+rp AS (SELECT l_orderkey AS route_id, CAST(l_linenumber AS BIGINT) * 1000000000000 + l_suppkey AS seq,
               CAST(-74.05 AS DOUBLE) + sp.x / 10000.0 AS lng, CAST(40.6 AS DOUBLE) + sp.y / 10000.0 AS lat
        FROM lineitem JOIN sp ON l_suppkey = sp.s_suppkey)"""
 
@@ -65,7 +65,7 @@ FROM u
 
 
 def _bellman_ford(hops: int, cutoff: float) -> str:
-    parts = ["r0 AS (SELECT s_suppkey AS source, s_suppkey AS node, CAST(0.0 AS DOUBLE) AS cost FROM supplier WHERE s_nationkey = 0)"]
+    parts = ["r0 AS (SELECT s_suppkey AS source, s_suppkey AS node, CAST(0.0 AS DOUBLE) AS cost FROM supplier)"]
     for k in range(1, hops + 1):
         p = f"r{k - 1}"
         parts.append(
@@ -79,7 +79,7 @@ def _bellman_ford(hops: int, cutoff: float) -> str:
 def _bellman_ford_keyed(hops: int, cutoff: float) -> str:
     parts = [
         "r0 AS (SELECT m.mode, s_suppkey AS source, s_suppkey AS node, CAST(0.0 AS DOUBLE) AS cost "
-        "FROM supplier, (SELECT DISTINCT mode FROM wm) m WHERE s_nationkey = 0)"
+        "FROM supplier, (SELECT DISTINCT mode FROM wm) m)"
     ]
     for k in range(1, hops + 1):
         p = f"r{k - 1}"

@@ -12,7 +12,8 @@ rows AS (
 ),
 means AS (
   SELECT mode, year,
-         CAST(round_even(sum(CAST(round_even(ridership * 100.0, 0) AS BIGINT)) / count(*), 0) AS BIGINT) AS c
+         CAST(round_even(sum(CAST(round_even(ridership * 100.0, 0) AS BIGINT)) / count(*) * 1000000.0, 0) AS BIGINT) AS c,
+         sum(CAST(round_even(ridership * 100.0, 0) AS BIGINT)) / count(*) / 100.0 AS exact_mean
   FROM rows WHERE year IS NOT NULL GROUP BY mode, year
 )"""
 
@@ -22,17 +23,17 @@ KNOWN_ORDERED = "(SELECT * FROM (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDI
 
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["ridership_mean"] = f"WITH {RIDERSHIP_CTE.strip()} SELECT mode, year, c / 100.0 AS ridership FROM means"
+    q["ridership_mean"] = f"WITH {RIDERSHIP_CTE.strip()} SELECT mode, year, exact_mean AS ridership FROM means"
     q["mode_totals"] = f"""
 WITH {RIDERSHIP_CTE.strip()}
-SELECT year, sum(c) / 100.0 AS total FROM means WHERE mode IN {KNOWN} GROUP BY year
+SELECT year, sum(c) / 100000000.0 AS total FROM means WHERE mode IN {KNOWN} GROUP BY year
 """
     q["mode_share"] = f"""
 WITH {RIDERSHIP_CTE.strip()},
 g AS (SELECT y.year, m.mode, COALESCE(means.c, 0) AS c
       FROM (SELECT DISTINCT year FROM means) y CROSS JOIN (SELECT DISTINCT mode FROM means) m
       LEFT JOIN means ON means.year = y.year AND means.mode = m.mode)
-SELECT year, mode, c / 100.0 AS ridership, sum(c) OVER (PARTITION BY year) / 100.0 AS total,
+SELECT year, mode, c / 100000000.0 AS ridership, sum(c) OVER (PARTITION BY year) / 100000000.0 AS total,
        CASE WHEN sum(c) OVER (PARTITION BY year) = 0 THEN 0.0 ELSE c / sum(c) OVER (PARTITION BY year) END AS share
 FROM g
 """
@@ -41,7 +42,7 @@ WITH {RIDERSHIP_CTE.strip()},
 ly AS (SELECT max(year) AS year FROM means),
 g AS (SELECT ly.year, k.mode, COALESCE(means.c, 0) AS c FROM ly CROSS JOIN {KNOWN_ORDERED} k
       LEFT JOIN means ON means.year = ly.year AND means.mode = k.mode)
-SELECT year, mode, c / 100.0 AS ridership,
+SELECT year, mode, c / 100000000.0 AS ridership,
        c / CASE WHEN sum(c) OVER () = 0 THEN 1 ELSE sum(c) OVER () END AS share
 FROM g
 """
@@ -50,7 +51,7 @@ WITH {RIDERSHIP_CTE.strip()},
 r AS (SELECT mode, year, c, row_number() OVER (PARTITION BY mode ORDER BY year) - 1 AS i,
              count(*) OVER (PARTITION BY mode) AS n FROM means),
 t AS (SELECT year, sum(c) AS tc FROM means GROUP BY year)
-SELECT mode, year, c / 100.0 AS ridership, tc / 100.0 AS total, CASE WHEN tc = 0 THEN 0.0 ELSE c / tc END AS share
+SELECT mode, year, c / 100000000.0 AS ridership, tc / 100000000.0 AS total, CASE WHEN tc = 0 THEN 0.0 ELSE c / tc END AS share
 FROM r JOIN t USING (year)
 WHERE n <= 4 OR i IN (0, floor(n / 3), floor(2 * n / 3), n - 1)
 """
@@ -60,27 +61,20 @@ g AS (SELECT y.year, k.mode, k.ord, COALESCE(means.c, 0) AS c
       FROM (SELECT DISTINCT year FROM means) y CROSS JOIN {KNOWN_ORDERED} k
       LEFT JOIN means ON means.year = y.year AND means.mode = k.mode),
 s AS (SELECT *, sum(c) OVER (PARTITION BY year ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y1 FROM g)
-SELECT year, mode, c / 100.0 AS ridership, (y1 - c) / 100.0 AS y0, y1 / 100.0 AS y1 FROM s
+SELECT year, mode, c / 100000000.0 AS ridership, (y1 - c) / 100000000.0 AS y0, y1 / 100000000.0 AS y1 FROM s
 """
     q["distinct_years"] = f"WITH {RIDERSHIP_CTE.strip()} SELECT DISTINCT year FROM rows WHERE year IS NOT NULL"
+    # Both columns must give back the event's time, cut to the unit it was written in.
     q["epoch_units"] = """
-WITH e AS (
-  SELECT event_id,
-         CASE event_id % 4 WHEN 0 THEN CAST(floor(epoch_us(ts) / 1000000) AS BIGINT)
-                           WHEN 1 THEN CAST(floor(epoch_us(ts) / 1000) AS BIGINT)
-                           WHEN 2 THEN epoch_us(ts) ELSE epoch_us(ts) * 1000 END AS epoch_value,
-         CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y%m%d%H%M%S') WHEN 1 THEN strftime(ts, '%Y%m%d%H%M')
-                           ELSE strftime(ts, '%Y%m%d') END AS digits
-  FROM events)
-SELECT event_id, epoch_value,
-       make_timestamp(CAST(floor(CASE WHEN abs(CAST(epoch_value AS DOUBLE)) >= 1e17 THEN CAST(epoch_value AS DOUBLE) / 1000.0
-                                      WHEN abs(CAST(epoch_value AS DOUBLE)) >= 1e14 THEN CAST(epoch_value AS DOUBLE)
-                                      WHEN abs(CAST(epoch_value AS DOUBLE)) >= 1e11 THEN CAST(epoch_value AS DOUBLE) * 1000.0
-                                      ELSE CAST(epoch_value AS DOUBLE) * 1000000.0 END) AS BIGINT)) AS from_epoch,
-       digits,
-       CASE length(digits) WHEN 14 THEN strptime(digits, '%Y%m%d%H%M%S') WHEN 12 THEN strptime(digits, '%Y%m%d%H%M')
-                           WHEN 8 THEN strptime(digits, '%Y%m%d') END AS from_digits
-FROM e
+SELECT event_id,
+       CASE event_id % 4 WHEN 0 THEN epoch_us(ts) // 1000000 WHEN 1 THEN epoch_us(ts) // 1000
+                         WHEN 2 THEN epoch_us(ts) ELSE epoch_us(ts) * 1000 END AS epoch_value,
+       CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('millisecond', ts) ELSE ts END AS from_epoch,
+       CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y%m%d%H%M%S') WHEN 1 THEN strftime(ts, '%Y%m%d%H%M')
+                         ELSE strftime(ts, '%Y%m%d') END AS digits,
+       CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('minute', ts)
+                         ELSE CAST(date_trunc('day', ts) AS TIMESTAMP) END AS from_digits
+FROM events
 """
     tip_sql = taxi_oracles()["tip_bins"].strip()
     q["category_grid"] = f"""

@@ -22,11 +22,11 @@ trips AS (
          l_extendedprice AS base_fare,
          l_extendedprice * l_discount AS tip_amount,
          CASE WHEN l_discount <> 0 THEN l_quantity * l_discount END AS tolls_amount,
-         l_quantity / 10.0 AS extra,
+         CASE WHEN l_linenumber <> 6 THEN l_quantity / 10.0 END AS extra,
          l_extendedprice * l_tax AS mta_tax,
-         l_tax - 0.07 AS airport_fee,
+         CASE WHEN l_linenumber <> 5 THEN l_tax - 0.07 END AS airport_fee,
          CAST(l_linenumber AS DOUBLE) AS ratecode,
-         CAST(l_suppkey AS INTEGER) AS pu,
+         CAST(CASE WHEN l_linenumber = 4 THEN -l_suppkey ELSE l_suppkey END AS INTEGER) AS pu,
          CAST(l_partkey % 100 AS INTEGER) AS do_,
          CASE WHEN l_discount = 0 THEN NULL WHEN l_linestatus = 'O' THEN ' y' ELSE '1' END AS smf,
          l_orderkey
@@ -38,7 +38,6 @@ ZONES_CTE = """
 zones AS (
   SELECT CAST(s_suppkey AS INTEGER) AS loc, r_name AS borough, n_name AS zone
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE s_acctbal >= 0
 )"""
 
 

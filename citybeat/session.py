@@ -79,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"citybeat-ckpt-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

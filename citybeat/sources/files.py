@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +18,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` (file, folder or glob) matches at least one file."""
     try:
         return bool(spark.read.format("binaryFile").load(path).select("path").take(1))
-    except Exception:  # noqa: BLE001 - a missing path raises at analysis time
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def write_parts_manifest(spark: SparkSession, parts_dir: str, base_name: str, manifest_path: str) -> None:
@@ -58,11 +61,9 @@ def resolve_whole_or_parts(
         return [f"{base}/{p}" for p in parts]
     found: list[str] = []
     for pattern in part_patterns:
-        try:
+        if path_exists(spark, pattern):
             rows = spark.read.format("binaryFile").load(pattern).select("path").collect()  # names only
-        except Exception:  # noqa: BLE001
-            continue
-        found.extend(r.path for r in rows)
+            found.extend(r.path for r in rows)
     if not found:
         raise FileNotFoundError(f"none of {whole} or {list(part_patterns)} exist")
     return sorted(set(found))

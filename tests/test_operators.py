@@ -448,7 +448,7 @@ def test_year_discovery_defaults_and_skips(spark, tmp_path):
     assert len(groups) == 2
     t = normalize_file_groups(groups, "yellow", "yellow", ["pickup_datetime", "trip_distance"], 2023, 2023)
     assert [(r.year, r.trip_distance) for r in t.collect()] == [(2023, 2.0)]
-    assert len(read_file_groups(spark, year_partition_paths(str(tmp_path), [2022, 2023], "yellow_taxi"), max_files=1)) == 1
+    assert len(read_file_groups(spark, year_partition_paths(str(tmp_path), [2021, 2022, 2023], "yellow_taxi"))) == 2
 
 
 def test_report_header_outside_search_window_is_skipped(spark):
@@ -478,3 +478,33 @@ def test_category_grid_zero_fill_and_duplicates(spark):
     df = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "y", 5), ("b", "zz", 9)], "s string, c string, n long")
     got = sorted(tuple(r) for r in category_grid(df, "s", "c", "n", ["x", "y"]).collect())
     assert got == [("a", "x", 3), ("a", "y", 0), ("b", "x", 0), ("b", "y", 5)]
+
+
+def test_dates_numbers_and_titles_as_wide_as_the_inputs(spark):
+    from citybeat.functions.datetime import epoch_to_timestamp, parse_mixed_timestamp
+    from citybeat.functions.numeric import to_double
+    from citybeat.functions.text import normalize_borough
+
+    rows = [("1/2/2024 3:04", "2024-01-02 03:04:00"), ("01/02/2024 03:04:05 PM", "2024-01-02 15:04:05"),
+            ("1/2/2024 12:00 AM", "2024-01-02 00:00:00"), ("2024-1-2 3:04:05", "2024-01-02 03:04:05"), ("NaT", None)]
+    got = spark.createDataFrame(rows, "s string, t string").select(parse_mixed_timestamp("s").cast("string").alias("g"), "t").collect()
+    assert all(r.g == r.t for r in got)
+    ns = [1_704_067_200_123_457_000 + i * 1_000_000_007 for i in range(200)] + [-5, 1_704_067_200, 1_704_067_200_123]
+    back = spark.createDataFrame([(n,) for n in ns], "n long").select("n", F.unix_micros(epoch_to_timestamp("n", integral=True)).alias("u")).collect()
+    assert all(r.u == (r.n // 1000 if abs(r.n) >= 10**17 else r.n * 1000 if abs(r.n) >= 10**11 else r.n * 10**6) for r in back)
+    assert spark.createDataFrame([(float("nan"),)], "x double").select(to_double("x").alias("x")).first().x is None
+    names = [(" bronx/QUEENS ", "Bronx/Queens"), ("o'hara-east 2nd", "O'Hara-East 2Nd"), ("", "")]
+    assert all(r.g == r.w for r in spark.createDataFrame(names, "b string, w string").select(normalize_borough("b").alias("g"), "w").collect())
+
+
+def test_mean_is_not_rounded(spark):
+    from citybeat.operators.ridership import mode_year_means
+
+    df = spark.createDataFrame([("a", 2000, 1.0), ("a", 2000, 2.0), ("a", 2000, 2.0)], "mode string, year int, ridership double")
+    assert mode_year_means(df).first().ridership == pytest.approx(5 / 3, rel=1e-15)
+
+
+def test_nearest_without_stops_keeps_every_point(spark):
+    pts = spark.createDataFrame([(1, 0, 0), (2, 5, 5)], "pid long, x long, y long")
+    got = spatial.nearest(pts, spark.createDataFrame([], "sid long, x long, y long"), "pid", "sid").collect()
+    assert sorted((r.pid, r.sid, r.dist2) for r in got) == [(1, None, None), (2, None, None)]
