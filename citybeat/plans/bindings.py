@@ -97,6 +97,43 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_trips(ev, F.col("service"), F.lit("yellow"), ["pickup_datetime", "trip_distance"], 2024, 2024)
 
 
+def trip_folders(spark: SparkSession, sf_dir: str) -> str:
+    """L landed as Parquet files under ``<year>/fhvhv/`` in two column layouts.
+
+    Up to 1997: lpep pickup and drop-off times, trip_miles, request flag
+    only.  From 1998: pickup time, trip_time in seconds, match flag.
+    """
+    from citybeat.session import scratch_path
+
+    root = scratch_path(spark, "trips")
+    li = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    flag = F.when(F.col("l_linestatus") == "O", F.lit(" y")).when(F.col("l_discount") > 0, F.lit("N"))
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int"))
+    old = [
+        F.col("l_shipdate").alias("lpep_pickup_datetime"), (F.col("l_shipdate") + minutes).alias("lpep_dropoff_datetime"),
+        (F.col("l_extendedprice") / 5000.0).alias("trip_miles"), flag.alias("shared_request_flag"),
+    ]
+    new = [
+        F.col("l_shipdate").alias("pickup_datetime"), (F.col("l_quantity") * 60).alias("trip_time"),
+        (F.col("l_extendedprice") / 5000.0).alias("trip_distance"), flag.alias("shared_match_flag"),
+    ]
+    for year in range(TRIP_YEARS[0], TRIP_YEARS[1] + 1):
+        rows = li.filter(F.col("year") == year).select(*(old if year <= 1997 else new))
+        rows.write.parquet(f"{root}/{year}/fhvhv")
+    return root
+
+
+def folder_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed folders discovered, read per column layout and combined."""
+    from citybeat.sources.trips import available_years, normalize_file_groups, read_file_groups, select_years, year_partition_paths
+
+    root = trip_folders(spark, sf_dir)
+    years = select_years(available_years(spark, root), *TRIP_YEARS)
+    groups = read_file_groups(spark, year_partition_paths(root, years, "fhvhv"))
+    fields = ["pickup_datetime", "dropoff_datetime", "trip_distance", "trip_time", "shared_match_flag", "shared_request_flag"]
+    return normalize_file_groups(groups, "fhvhv", "hvfhs", fields, *TRIP_YEARS)
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup: LocationID=s_suppkey, Borough=r_name, Zone=n_name.
 

@@ -28,11 +28,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 FALLBACK_K = 150
 
 
+def _folder_trips(s: SparkSession, d: str) -> DataFrame:
+    """Trips, exact minutes and shared rides per month over the discovered year folders."""
+    trips = B.folder_trips(s, d)
+    return trips.groupBy("service", "year", "month").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum(F.rint("duration_min").cast("long")).alias("minutes"),
+        F.count_if(F.col("trip_distance") >= 5.0).alias("long_trips"),
+        F.count_if("shared_trip").alias("shared"),
+        F.count("shared_trip").alias("shared_known"),
+    )
+
+
 def _taxi_queries() -> dict[str, Query]:
     return {
         "trips_monthly": lambda s, d: taxi.chart_ready(
             taxi.monthly_volume(B.trips(s, d)), ["A", "N", "R"], B.TRIP_YEARS, "trips"
         ),
+        "folder_trips": _folder_trips,
         "observed_days": lambda s, d: taxi.observed_days(B.event_trips(s, d)),
         "pickup_counts": lambda s, d: taxi.pickup_counts(B.trips(s, d)),
         "od_counts": lambda s, d: taxi.od_counts(B.trips(s, d)),
@@ -153,6 +166,27 @@ def _routes(s: SparkSession, d: str) -> DataFrame:
     return lines.select("route_id", "start_station_name", "end_station_name", "trip_count", "distance_m", "coords")
 
 
+# Transit binding: metres around a stop and around the centre in which a mode's nodes lie.
+TRANSIT = {"bus": (400, 2000), "subway": (600, 3000)}
+TRANSIT_CENTER = (10000, 10000)
+
+
+def _transit_bands(s: SparkSession, d: str) -> DataFrame:
+    """The transit isochrone chain: per mode the nodes near its stops, the subgraph they induce, the centre
+    snapped to its nearest node, bounded costs on that subgraph, bands."""
+    nodes, stops = B.graph_nodes(s, d), B.customer_stops_m(s, d)
+    center = s.range(1).select(F.lit(0).alias("pt"), *[F.lit(v).cast("long").alias(c) for c, v in zip("xy", TRANSIT_CENTER)])
+    edges, sources = None, None
+    for mode, (stop_radius, start_radius) in TRANSIT.items():
+        allowed = network.allowed_nodes(nodes, stops, stop_radius, TRANSIT_CENTER, start_radius)
+        part = network.travel_times(network.induced_subgraph(B.graph_edges(s, d), allowed), {mode: NETWORK_MODES[mode]})
+        start = spatial.nearest(center, allowed, "pt", "node_id").select(F.lit(mode).alias("mode"), F.col("node_id").alias("source"))
+        edges = part if edges is None else edges.unionByName(part)
+        sources = start if sources is None else sources.unionByName(start)
+    costs = network.bounded_costs(sources, edges, "travel_time", cutoff=600.0, keys=["mode"])
+    return network.reachable_bands(costs, [5, 10])
+
+
 def _reachable_by_mode(s: SparkSession, d: str) -> DataFrame:
     """All travel modes at once: the search state is keyed (mode, source, node)."""
     edges = network.travel_times(B.graph_edges(s, d), NETWORK_MODES)
@@ -182,6 +216,7 @@ def _geo_queries() -> dict[str, Query]:
             network.allowed_nodes(B.graph_nodes(s, d), B.customer_stops_m(s, d), 400, (10000, 10000), 2000),
         ),
         "reachable": _reachable,
+        "transit_bands": _transit_bands,
         "reachable_by_mode": _reachable_by_mode,
         "coverage_by_mode": lambda s, d: network.coverage(_reachable_by_mode(s, d), B.graph_nodes(s, d), 100, 200, ["mode"]),
         "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 100, 200),

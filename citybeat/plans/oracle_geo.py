@@ -91,8 +91,36 @@ def _bellman_ford_keyed(hops: int, cutoff: float) -> str:
     return ",\n".join(parts)
 
 
+def _transit(hops: int, cutoff: float) -> str:
+    parts = ["r0 AS (SELECT mode, source, source AS node, CAST(0.0 AS DOUBLE) AS cost FROM start)"]
+    for k in range(1, hops + 1):
+        p = f"r{k - 1}"
+        parts.append(
+            f"r{k} AS (SELECT mode, source, node, min(cost) AS cost FROM (SELECT * FROM {p} UNION ALL "
+            f"SELECT {p}.mode, {p}.source, wm.v, {p}.cost + wm.w FROM {p} JOIN wm ON wm.mode = {p}.mode AND wm.u = {p}.node "
+            f"WHERE {p}.cost + wm.w <= {cutoff}) GROUP BY mode, source, node)"
+        )
+    return ",\n".join(parts)
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["transit_bands"] = f"""
+WITH {PTS.strip()},
+{GRAPH.strip()},
+m AS (SELECT * FROM (VALUES ('bus', 400, 2000, CAST(18.0 AS DOUBLE)), ('subway', 600, 3000, CAST(30.0 AS DOUBLE))) t(mode, stop_r, start_r, kmh)),
+allowed AS (
+  SELECT m.mode, nodes.node_id, nodes.x, nodes.y FROM nodes, m
+  WHERE (x - 10000) * (x - 10000) + (y - 10000) * (y - 10000) <= start_r * start_r
+     OR EXISTS (SELECT 1 FROM pts p WHERE (p.x * 20 - nodes.x) * (p.x * 20 - nodes.x) + (p.y * 20 - nodes.y) * (p.y * 20 - nodes.y) <= m.stop_r * m.stop_r)),
+start AS (SELECT mode, arg_min(node_id, ((x - 10000) * (x - 10000) + (y - 10000) * (y - 10000)) * 1000000 + node_id) AS source
+          FROM allowed GROUP BY mode),
+wm AS (SELECT m.mode, e.u, e.v, min(e.length / (m.kmh * 1000.0 / 3600.0)) AS w
+       FROM edges e, m, allowed a, allowed b
+       WHERE a.mode = m.mode AND b.mode = m.mode AND a.node_id = e.u AND b.node_id = e.v GROUP BY ALL),
+{_transit(26, 600.0)}
+SELECT mode, source, node, cost, b.minutes FROM r26, (VALUES (5), (10)) b(minutes) WHERE cost <= b.minutes * 60.0
+"""
     q["points_in_polygons"] = f"""
 WITH {PTS.strip()},
 v AS {_verts()},

@@ -184,5 +184,13 @@ st AS (SELECT service, max(year) AS latest, sum(n) AS n_all, arg_max(n, year) AS
 k AS (SELECT c.* FROM c JOIN st USING (service) WHERE c.year = st.latest OR st.n_latest < least(150, st.n_all)),
 r AS (SELECT *, row_number() OVER (PARTITION BY service ORDER BY trips DESC, year DESC, PULocationID) AS rn FROM k)
 SELECT service, year, PULocationID, trips FROM r WHERE rn <= 150
+"""
+    q["folder_trips"] = """
+SELECT 'fhvhv' AS service, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+       count(*) AS trips, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS minutes,
+       count(*) FILTER (WHERE l_extendedprice / 5000.0 >= 5.0) AS long_trips,
+       count(*) FILTER (WHERE l_linestatus = 'O') AS shared,
+       count(*) FILTER (WHERE l_linestatus = 'O' OR l_discount > 0) AS shared_known
+FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 2000 GROUP BY ALL
 """
     return q
