@@ -77,11 +77,10 @@ def bounded_costs(
     lineage (the next round reads it twice) and bounds the work lost with an
     executor to one round.
     """
-    # Read every round: materialise once, hash-partitioned by the join key so a
-    # round that cannot broadcast it only shuffles the frontier.
+    # Read every round: computed once.
     ensure_checkpoint_dir(sources.sparkSession)
     keys = list(keys)
-    w = _cheapest(edges, weight, keys).repartition("u").checkpoint()
+    w = _cheapest(edges, weight, keys).checkpoint()
     best = sources.select(
         *keys,
         F.col("source"),
@@ -172,8 +171,8 @@ def unroll_paths(pairs: DataFrame, costs: DataFrame) -> DataFrame:
     """(pair_id, start_node, end_node) + (source, node, cost, pred) ->
     (pair_id, step, node) walking predecessors back from the end node.
 
-    All pairs advance together, one join per hop; a hop holds one row per
-    pair, so hops are only persisted (``costs`` itself is checkpointed).
+    All pairs advance together, one join per hop.  Hops and the path so far
+    are checkpointed, so the plan does not grow with the path's length.
     step 0 is the end node, the largest step the start node.
     """
     links = costs.select(F.col("source").alias("start_node"), "node", "pred")
@@ -183,15 +182,15 @@ def unroll_paths(pairs: DataFrame, costs: DataFrame) -> DataFrame:
             .join(links, ["start_node", "node"])
             .filter(F.col("pred").isNotNull())
             .select("pair_id", "start_node", (F.col("step") + 1).alias("step"), F.col("pred").alias("node"))
-            .persist()
+            .checkpoint()
         )
 
-    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).persist()
+    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).checkpoint()
     path = current
     while True:
         one = back(current)
         two = back(one)  # two hops per emptiness check
-        path = path.unionByName(one).unionByName(two)
+        path = path.unionByName(one).unionByName(two).checkpoint()
         if two.isEmpty():
             break
         current = two

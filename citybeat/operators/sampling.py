@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from citybeat.session import ensure_checkpoint_dir
+
 
 def systematic_sample(
     df: DataFrame,
@@ -27,19 +28,18 @@ def systematic_sample(
     ceil(n_group / target); groups with n <= target are kept whole.
 
     ``order_cols`` must make the order total (end with a unique key).  Slice
-    ids come from one range shuffle whose output is persisted, so the
-    per-slice counts and the indexing see the same slices; a lost cached
-    block is rebuilt from that same shuffle (its bounds are fixed in the
-    shuffle dependency), so the ids survive recomputation.  Nothing is
-    rewritten to shared storage.
+    ids come from one range shuffle whose output is checkpointed, so the
+    per-slice counts and the indexing see the same slices, also after an
+    executor is lost.
     """
     groups, order = list(group_cols), list(order_cols)
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n_slices = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parted = (
         df.repartitionByRange(n_slices, *groups, *order)
         .withColumn("__slice", F.spark_partition_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .checkpoint()
     )
 
     per_slice = parted.groupBy(*groups, "__slice").agg(F.count(F.lit(1)).alias("__cnt"))

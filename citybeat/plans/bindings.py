@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citybeat.plans.tables import table  # noqa: F401  (re-exported)
+from citybeat.session import ensure_checkpoint_dir
 from citybeat.sources.trips import normalize_trips
 
 # Years kept by the trip queries (P5): the tables span 1995-2001.
@@ -502,11 +503,12 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from citybeat.constants import DAY_LABELS, HEADER_LABEL, SECTION_BOARD, SECTION_BOROUGH, SECTION_DAY
 
+    ensure_checkpoint_dir(spark)
     base = report_base(spark, sf_dir)
     keys = ["file", "sheet"]
     # One pass over the joined rows: each row is counted once per section
     # (day x window, borough, board) by exploding its three section keys and
-    # aggregating once; only this small aggregate is kept in memory.
+    # aggregating once; only this small aggregate is checkpointed.
     sections = F.array(
         F.struct(F.lit(0).alias("s"), F.col("d").alias("k1"), F.col("w").alias("k2"), F.lit(None).cast("string").alias("nm")),
         F.struct(F.lit(1).alias("s"), F.col("b").alias("k1"), F.lit(0).alias("k2"), F.col("r_name").alias("nm")),
@@ -516,12 +518,12 @@ def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.select(*keys, "vio", "reason", F.inline(sections))
         .groupBy(*keys, "vio", "reason", "s", "k1", "k2", "nm")
         .agg(F.count(F.lit(1)).alias("n"))
-        .persist()
+        .checkpoint()
     )
     reasons = counts.select(*keys, "vio", "reason").distinct()
     reasons = reasons.withColumn("ri", F.dense_rank().over(Window.partitionBy(*keys).orderBy("reason")) - 1).withColumn(
         "R", F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    ).persist()
+    ).checkpoint()
     sheets = reasons.select(*keys, "vio", "R").distinct()
 
     def cell(row, col, value):
