@@ -13,13 +13,12 @@ other word goes to ``tokenizers``.  ``tests/llm`` holds both paths to the ids
 from __future__ import annotations
 
 import json
-import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
-#: Words kept per task; the store is emptied beyond this (about 60 MB).
-CACHE_WORDS = 250_000
+#: Words kept per task, twice: a full store is kept as the one before (about 60 MB).
+CACHE_WORDS = 125_000
 _MARK = b"\xff"
 # Fixed value: the splitter of the public vocabulary file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -38,8 +37,8 @@ class WordEncoder:
             model = json.load(f)["model"]
         self._whole = Tokenizer.from_file(path)
         self._whole.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._pieces = regex.compile(PIECES)
-        self._fast = regex.compile(FAST)
+        self._pieces = regex.compile(PIECES).findall
+        self._fast = regex.compile(FAST).fullmatch
         vocab, byte_of = model["vocab"], _byte_alphabet()
         char_of = {b: c for c, b in byte_of.items()}
 
@@ -57,22 +56,24 @@ class WordEncoder:
             token = "".join(merge) if isinstance(merge, list) else merge.replace(" ", "")
             ranks[raw(token)] = 1000 + i
             ids[raw(token)] = vocab[token]
-        self._merge = tiktoken.Encoding(
-            "words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}
-        )._encode_single_piece
-        self._id = np.zeros(max(ranks.values()) + 1, dtype="<u4")
+        merge = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self._merge = merge._core_bpe.encode_single_piece
+        self._id = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self._id[rank] = ids[token]
+            self._id[rank] = ids[token].to_bytes(4, "little")
         self._seen: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def _encode_word(self, word: str) -> bytes:
-        if not self._fast.fullmatch(word):
+        # The letters of the fast path are composed already: normalising would change nothing.
+        if not self._fast(word):
             return np.array(self._whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        out: list[int] = []
-        for piece in self._pieces.findall(unicodedata.normalize("NFC", word).lower()):
+        low = word.lower()
+        ranks: list[int] = []
+        for piece in (low,) if low.isalpha() else self._pieces(low):
             b = piece.encode()
-            out += self._merge(b[:-1] + _MARK + b[-1:])
-        return self._id[out].tobytes() if out else b""
+            ranks += self._merge(b[:-1] + _MARK + b[-1:])
+        return b"".join(map(self._id.__getitem__, ranks))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, four bytes each."""
@@ -81,10 +82,11 @@ class WordEncoder:
         new = set(words).difference(seen)
         if new:
             if len(seen) > CACHE_WORDS:
-                seen.clear()
-                new = set(words)
+                self._before, self._seen = seen, {}
+                seen, new = self._seen, set(words)
+            before, encode_word = self._before.get, self._encode_word
             for w in new:
-                seen[w] = self._encode_word(w)
+                seen[w] = before(w) or (encode_word(w) if w else b"")
         return b"".join(map(seen.__getitem__, words))
 
 
