@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +31,8 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path, compression=compression)
-    # The shuffle files of the finished plan go once the driver collects its garbage.
+    # The shuffle files of finished plans go once the driver (Python's proxies, then the JVM) collects its garbage.
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
@@ -69,8 +73,18 @@ def map_rows(
 BATCH_BYTES = 2 << 20
 
 
+def list_column(rows: list, kind: pa.DataType) -> pa.Array:
+    """Numpy arrays as one Arrow list column, without a Python object per value."""
+    sizes = [len(r) for r in rows]
+    offsets = pa.array([0, *accumulate(sizes)], pa.int32())
+    values = np.concatenate(rows) if rows else np.empty(0)
+    return pa.ListArray.from_arrays(offsets, pa.array(values.astype(kind.to_pandas_dtype(), copy=False), kind))
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
-    return values if isinstance(values, pa.Array) else pa.array(values, type=kind)
+    if not isinstance(values, pa.Array):
+        return pa.array(values, type=kind)
+    return values if values.type == kind else values.cast(kind)
 
 
 def _arrow_schema(ddl: str, spark: SparkSession) -> pa.Schema:
