@@ -35,11 +35,12 @@ import hashlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citybeat.llm.common import map_rows, materialise
+from citybeat.llm.common import list_column, map_rows, materialise
 
 DEPTH = 400
 GRAM = 128
@@ -121,8 +122,8 @@ def _run_table(rows: DataFrame, depth: int, gram: int) -> DataFrame:
                 out["doc_id"].append(k)
                 out["th"].append(th)
                 for c in names:
-                    out[c].append(got[c])
-            yield out
+                    out[c].append(np.array(got[c], dtype=np.int64))
+            yield out | {c: list_column(out[c], pa.int64()) for c in names}
 
     schema = "doc_id long, th long, g array<long>, s array<long>, p array<long>"
     return map_rows(rows, ["doc_id", "th", "text"], process, schema).withColumn("rid", F.monotonically_increasing_id())
@@ -205,7 +206,10 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", dep
     each = table.select("rid", F.explode(F.arrays_zip("g", "s", "p")).alias("r")).select("rid", "r.*")
 
     # Pass 1: grams that occur in two runs or more.
+    # Every table of names that rows are joined to is written first: both sides of such a join are then plain
+    # shuffles, whose large partitions (one hot name) the engine can split.
     grams = each.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g")
+    grams = materialise(grams, "radix-grams")
     live = materialise(each.join(grams, "g", "left_semi"), "radix-live")
 
     # Pass 2: equal runs; grams with several different runs go on, one run of each kind.
@@ -213,7 +217,8 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", dep
         live.groupBy("g", "s").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "p")).alias("r")), "radix-kinds"
     )
     mixed = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least")).filter("k > 1 AND least = 1")
-    wanted = kinds.join(mixed.select("g"), "g", "left_semi").select(
+    mixed = materialise(mixed.select("g"), "radix-mixed")
+    wanted = kinds.join(mixed, "g", "left_semi").select(
         "g", "s", (F.col("c") == 1).alias("single"), "r.rid", "r.p"
     )
     placed = wanted.join(table.select("rid", "doc_id", "th"), "rid")
@@ -225,7 +230,8 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", dep
     for width in WIDTHS:
         blocks = materialise(_blocks(opened, width, depth), f"radix-blocks{width}")
         slices = blocks.groupBy("slice").agg(F.count(F.lit(1)).alias("nz"), F.min("sid").alias("first"))
-        judged = materialise(blocks.join(slices.filter("nz > 1"), "slice", "left"), f"radix-judged{width}")
+        slices = materialise(slices.filter("nz > 1"), f"radix-slices{width}")
+        judged = materialise(blocks.join(slices, "slice", "left"), f"radix-judged{width}")
         done = judged.filter("single AND nz > 1").select("sid", "lo", "hi")
         found = done if found is None else found.unionByName(done)
         if width == 1:
@@ -237,6 +243,7 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", dep
             .agg(F.count(F.lit(1)).alias("nc"), F.max(F.col("single") & F.col("nz").isNull()).alias("open"))
             .filter("nc > 1 AND open")
         )
+        cores = materialise(cores.select("core"), f"radix-cores{width}")
         rest = (
             going.join(cores, "core", "left_semi")
             .groupBy("sid")
@@ -251,7 +258,7 @@ def repeated_windows(df: DataFrame, key: str = "doc_id", text: str = "text", dep
     )
     size = F.shiftright(F.col("r.p"), 16).bitwiseAND(F.lit(0xFFFF))
     whole = kinds.filter("c > 1").select("g", "s", F.array(_open(F.lit(0), size - 1)).alias("parts"))
-    verdict = whole.unionByName(partial)
+    verdict = materialise(whole.unionByName(partial), "radix-verdict")
     first = F.shiftright(F.col("p"), 32)
     windows = (
         live.join(verdict, ["g", "s"])
