@@ -234,20 +234,19 @@ def borough_share(trips: DataFrame, zones: DataFrame) -> DataFrame:
 def top_pickup_zones(trips: DataFrame, zones: DataFrame, k: int = TOP_ZONES) -> DataFrame:
     """Top-k pickup zones per service in the service's latest year.
 
-    Ranked before the lookup join, so only k rows per service are joined.
-    Ties on trips are broken by zone id.
+    Ranked per service and year (a partial limit before the shuffle), then cut
+    to the latest year: only k rows per service and year meet in the second
+    window, only k per service are joined.  Ties on trips are broken by zone id.
     """
-    latest = latest_per_group(pickup_counts(trips), "service", "year")
-    top = top_k_per_group(latest, "service", [F.col("trips").desc(), F.col("PULocationID").asc()], k)
+    ranked = top_k_per_group(pickup_counts(trips), ["service", "year"], [F.col("trips").desc(), F.col("PULocationID").asc()], k)
+    top = latest_per_group(ranked, "service", "year")
     return with_zone(top, zones, "PULocationID")
 
 
 def top_od_pairs(trips: DataFrame, zones: DataFrame, k: int = TOP_PAIRS) -> DataFrame:
     """Top-k origin-destination pairs per service in its latest year."""
-    latest = latest_per_group(od_counts(trips), "service", "year")
-    top = top_k_per_group(
-        latest, "service", [F.col("trips").desc(), F.col("PULocationID").asc(), F.col("DOLocationID").asc()], k
-    )
+    order = [F.col("trips").desc(), F.col("PULocationID").asc(), F.col("DOLocationID").asc()]
+    top = latest_per_group(top_k_per_group(od_counts(trips), ["service", "year"], order, k), "service", "year")
     named = with_zone(top, zones, "PULocationID", "OriginBorough", "OriginZone")
     return with_zone(named, zones, "DOLocationID", "DestBorough", "DestZone")
 

@@ -37,13 +37,16 @@ def test_plan_shape(spark, name):
 
 @pytest.mark.parametrize("name", ["top_zones", "top_od"])
 def test_group_top_k_is_limited_before_the_shuffle(spark, name):
-    assert _plan(spark, name).count("WindowGroupLimit") >= 2  # partial + final
+    plan = _plan(spark, name)
+    assert plan.count("WindowGroupLimit") >= 2  # partial + final
+    assert plan.count("l_returnflag:string") == 1  # the fact table is scanned once
 
 
 def test_fallback_top_k_uses_a_group_limit(spark):
-    # its input is already partitioned by service (a join on service), so
+    # its input is already partitioned by service (windows over the service), so
     # there is no shuffle to push a partial limit below
-    assert "WindowGroupLimit" in _plan(spark, "top_items_with_fallback")
+    plan = _plan(spark, "top_items_with_fallback")
+    assert "WindowGroupLimit" in plan and plan.count("l_returnflag:string") == 1
 
 
 def test_trip_scan_prunes_and_pushes(spark):
