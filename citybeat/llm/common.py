@@ -34,7 +34,16 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     # The shuffle files of finished plans go once the driver (Python's proxies, then the JVM) collects its garbage.
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._shared_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that no later step reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._shared_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_rows(

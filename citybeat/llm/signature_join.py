@@ -23,7 +23,8 @@ Which sets meet in a bucket, so that no link is lost:
    bounded list, ``FREQUENT``) come last in the order, so a widespread passage
    rarely is in a prefix.  Prefix tokens that join two components of step 2
    form the last buckets; their trees give candidate pairs of different
-   components, which are compared on whole sets.
+   components (what two sets can share from the bucket's token on bounds the
+   overlap as well), which are compared on whole sets.
 
 Edge cases: null or empty texts have the empty set and link with nothing;
 texts under five words have one shingle, the whole sequence; null ids take the
@@ -34,11 +35,12 @@ gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citybeat.llm.common import map_rows, materialise
+from citybeat.llm.common import discard, list_column, map_rows, materialise
 from citybeat.llm.components import components
 
 #: Similarity as a fraction, 75 / 100.
@@ -48,6 +50,8 @@ CHUNK = 512
 #: Bound of the list of tokens that come last in the order.
 FREQUENT = 1 << 16
 BITS = 1024
+#: Slices of the token space that are counted one after the other (each needs its share of shuffle space).
+SLICES = 4
 LEAF, FANOUT = 16, 4
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -261,7 +265,8 @@ def _signatures(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 out["k1"].append(int(tokens[0].view(np.int64)) if some else None)
                 out["k2"].append(int(_mix(tokens, 2).min().view(np.int64)) if some else None)
                 out["map"].append(bitmap(tokens).tobytes())
-                out["prefix"].append(prefix(tokens).view(np.int64).tolist())
+                out["prefix"].append(prefix(tokens).view(np.int64))
+            out["prefix"] = list_column(out["prefix"], pa.int64())
             yield out
 
     schema = "doc_id long, th long, cid long, n long, k1 long, k2 long, map binary, prefix array<long>"
@@ -276,12 +281,19 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
     def process(batches):
-        shingles = Shingler()
+        shingles, last = Shingler(), None
         for batch in batches:
-            yield {"cid": batch["cid"], "tokens": [shingles(t).view(np.int64).tolist() for t in batch["text"]]}
+            cids, tokens = [], []
+            for cid, text in zip(batch["cid"], batch["text"]):
+                # The join leaves rows that repeat id and text side by side; should one slip
+                # through, its class meets itself, which adds no link.
+                if cid != last:
+                    cids.append(cid)
+                    tokens.append(shingles(text).view(np.int64))
+                last = cid
+            yield {"cid": cids, "tokens": list_column(tokens, pa.int64())}
 
-    # a repeated row (same id, same text) would give its class twice
-    return map_rows(joined, ["cid", "text"], process, "cid long, tokens array<long>").dropDuplicates(["cid"])
+    return map_rows(joined, ["cid", "text"], process, "cid long, tokens array<long>")
 
 
 def _bucket_links(members: DataFrame) -> DataFrame:
@@ -310,38 +322,98 @@ def _bucket_links(members: DataFrame) -> DataFrame:
     return map_rows(dealt, [*keys, "cid", "tokens"], process, "a long, b long")
 
 
+def _within(n_a, n_b, most) -> np.ndarray:
+    """Whether sets of these sizes that share at most ``most`` tokens could link."""
+    return DEN * most >= NUM * (n_a + n_b - most)
+
+
+class Members:
+    """Columns of whole buckets: size, place of the bucket's token in the set's order, component, bitmap."""
+
+    def __init__(self, batch: pa.Table):
+        column = lambda c: batch.column(c).to_numpy()
+        self.cid, self.n, self.place, self.comp = (column(c) for c in ("cid", "n", "place", "comp"))
+        self.maps = np.frombuffer(b"".join(batch.column("map").to_pylist()), np.uint64).reshape(len(self.cid), -1)
+        changed = (np.diff(column("key")) != 0) | (np.diff(column("part")) != 0)
+        self.starts = np.concatenate([[0], np.flatnonzero(changed) + 1])
+        self.sizes = np.diff(np.concatenate([self.starts, [len(self.cid)]]))
+
+    def open(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Pairs of different components that may link.
+
+        In the bucket of the first token two sets share, neither holds an
+        earlier one of the other's: what is shared lies from that place on.
+        """
+        n_a, n_b = self.n[i], self.n[j]
+        most = np.minimum(n_a - self.place[i], n_b - self.place[j])
+        fine = np.flatnonzero((self.comp[i] != self.comp[j]) & _within(n_a, n_b, most))
+        a, b = (self.maps[k[fine]] for k in (i, j))
+        keep = SignatureTree.possible((a, a, n_a[fine], n_a[fine]), (b, b, n_b[fine], n_b[fine]))
+        return fine[keep]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Candidate pairs of all buckets; a bucket that fills one leaf has no tree above it."""
+        found = []
+        for m in np.unique(self.sizes):
+            at = self.starts[self.sizes == m]
+            if 1 < m <= LEAF:
+                x, y = np.triu_indices(m, 1)
+                step = max(1, 100_000 // len(x))
+                for lo in range(0, len(at), step):
+                    i, j = ((at[lo : lo + step, None] + k).ravel() for k in (x, y))
+                    keep = self.open(i, j)
+                    found.append((i[keep], j[keep]))
+            elif m > LEAF:
+                for start in at.tolist():
+                    if len(np.unique(self.comp[start : start + m])) > 1:
+                        found += self._walk(start, int(m))
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        i, j = (np.concatenate(k) for k in zip(*found))
+        a, b = np.minimum(self.cid[i], self.cid[j]), np.maximum(self.cid[i], self.cid[j])
+        return np.unique(np.stack([a, b], axis=1), axis=0).T
+
+    def _walk(self, start: int, m: int):
+        """Dual traversal of one bucket's tree."""
+        span = np.s_[start : start + m]
+        tree = SignatureTree(self.n[span], self.maps[span])
+        rows = tree.order + start
+        group = self.comp[rows]
+        settled = lambda lo, hi, lo2, hi2: (group[lo:hi] == group[lo]).all() and (group[lo2:hi2] == group[lo]).all()
+        for lo, hi, lo2, hi2 in tree.pairs(settled):
+            x, y = (k.ravel() for k in np.meshgrid(np.arange(lo, hi), np.arange(lo2, hi2), indexing="ij"))
+            x, y = x[x < y], y[x < y]
+            i, j = rows[x], rows[y]
+            keep = self.open(i, j)
+            if len(keep):
+                yield i[keep], j[keep]
+
+
 def _candidate_pairs(members: DataFrame) -> DataFrame:
     """Pairs of classes of different components that a bucket's tree cannot rule out."""
     keys = ["key", "part"]
-    dealt = members.repartition(*keys).sortWithinPartitions(*keys)
+    dealt = members.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "cid", "n", "place", "comp", "map")
 
-    def process(batches):
-        now, rows = None, []
-
-        def flush() -> dict[str, list]:
-            out: dict[str, list] = {"a": [], "b": []}
-            if len({r[2] for r in rows}) > 1:
-                sizes = np.array([r[1] for r in rows], dtype=np.int64)
-                tree = SignatureTree(sizes, np.stack([np.frombuffer(r[3], dtype=np.uint64) for r in rows]))
-                group = [rows[k][2] for k in tree.order]
-                settled = lambda lo, hi, lo2, hi2: len({*group[lo:hi], *group[lo2:hi2]}) == 1
-                for i, j in tree.candidates(settled):
-                    if rows[i][2] != rows[j][2]:
-                        out["a"].append(min(rows[i][0], rows[j][0]))
-                        out["b"].append(max(rows[i][0], rows[j][0]))
-            return out
+    def found(table: pa.Table) -> pa.RecordBatch:
+        a, b = Members(table).pairs()
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
+    def run(batches):
+        rest: pa.Table | None = None
         for batch in batches:
-            for bucket, *row in zip(zip(batch["key"], batch["part"]), batch["cid"], batch["n"], batch["comp"], batch["map"]):
-                if bucket != now:
-                    if now is not None:
-                        yield flush()
-                    now, rows = bucket, []
-                rows.append(row)
-        if now is not None:
-            yield flush()
+            table = pa.Table.from_batches([batch])
+            rest = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
+            if not rest.num_rows:
+                rest = None
+                continue
+            cut = int(Members(rest).starts[-1])  # the last bucket may go on
+            if cut:
+                yield found(rest.slice(0, cut).combine_chunks())
+                rest = rest.slice(cut).combine_chunks()
+        if rest is not None and rest.num_rows:
+            yield found(rest)
 
-    return map_rows(dealt, [*keys, "cid", "n", "comp", "map"], process, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def _parts(rows: DataFrame, size: str, most: int) -> DataFrame:
@@ -358,14 +430,51 @@ def _parts(rows: DataFrame, size: str, most: int) -> DataFrame:
     )
 
 
+def _fold(map_: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap of a smaller power of two of words."""
+    return np.bitwise_or.reduce(map_.reshape(-1, words), axis=0)
+
+
+def _wide_map(tokens: np.ndarray) -> bytes:
+    """Bitmap of eight bits or more per token, in words by the low bits of the token (so that it folds)."""
+    bits = 1 << max(9, int(8 * max(1, len(tokens)) - 1).bit_length())
+    flags = np.zeros(bits, dtype=np.uint8)
+    flags[(tokens >> np.uint64(7)) & np.uint64(bits - 1)] = 1
+    return np.packbits(flags).tobytes()
+
+
 def _exact_links(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The candidate pairs whose whole sets reach the threshold."""
+    """The candidate pairs whose whole sets reach the threshold; wide bitmaps rule most of the others out first."""
     members = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     sets = materialise(_sets(rows, classes.join(members, "cid", "left_semi")), "jaccard-pair-sets")
+
+    def wide(batches):
+        for batch in batches:
+            maps = [_wide_map(np.array(t, dtype=np.int64).view(np.uint64)) for t in batch["tokens"]]
+            yield {"cid": batch["cid"], "n": [len(t) for t in batch["tokens"]], "wide": maps}
+
+    maps = materialise(map_rows(sets, ["cid", "tokens"], wide, "cid long, n long, wide binary"), "jaccard-wide")
+
+    def test(batches):
+        for batch in batches:
+            out: dict[str, list] = {"a": [], "b": []}
+            for a, b, n_a, n_b, w_a, w_b in zip(*(batch[c] for c in ("a", "b", "na", "nb", "wa", "wb"))):
+                x, y = (np.frombuffer(w, np.uint64) for w in (w_a, w_b))
+                words = min(len(x), len(y))
+                x, y = _fold(x, words), _fold(y, words)
+                most = min(n_a - int(np.bitwise_count(x & ~y).sum()), n_b - int(np.bitwise_count(y & ~x).sum()))
+                if _within(n_a, n_b, most):
+                    out["a"].append(a)
+                    out["b"].append(b)
+            yield out
+
+    side = lambda k: maps.select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("wide").alias(f"w{k}"))
+    tested = pairs.join(side("a"), "a").join(side("b"), "b")
+    close = materialise(map_rows(tested, ["a", "b", "na", "nb", "wa", "wb"], test, "a long, b long"), "jaccard-close")
     a = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb"))
     overlap = F.size(F.array_intersect("ta", "tb")).cast("long")
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", overlap.alias("x"), (F.size("ta") + F.size("tb")).alias("s"))
+    both = close.join(a, "a").join(b, "b").select("a", "b", overlap.alias("x"), (F.size("ta") + F.size("tb")).alias("s"))
     return both.filter(F.lit(DEN) * F.col("x") >= F.lit(NUM) * (F.col("s") - F.col("x"))).select("a", "b")
 
 
@@ -393,29 +502,42 @@ def _linked_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     sets = materialise(_sets(rows, classes.join(dealt.select("cid").distinct(), "cid", "left_semi")), "jaccard-sets")
     early = materialise(_bucket_links(dealt.join(sets, "cid")), "jaccard-early")
     joined = components(early)
+    discard(dealt, sets)
 
     # Exact rest: one row per class, tokens that two components share.
     grouped = classes.join(joined, F.col("cid") == F.col("node"), "left").select(
         "cid", F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.coalesce("label", "cid").alias("comp")
     )
-    of_class = (
+    of_class = materialise(
         full.select("cid", "doc_id", "th", "n", "map", "prefix")
         .join(
             grouped.withColumnRenamed("cid", "_c"),
             (F.col("cid") == F.col("_c")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")),
         )
-        .select("cid", "n", "comp", "map", "prefix")
+        .select("cid", "n", "comp", "map", "prefix"),
+        "jaccard-prefixes",
+        "zstd",
     )
-    tokens = of_class.select("cid", "n", "comp", F.explode("prefix").alias("key"))
-    shared = materialise(
-        tokens.groupBy("key")
-        .agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("c"))
-        .filter("c0 < c1")
-        .select("key", "c"),
-        "jaccard-shared",
+    members: DataFrame | None = None
+    slices: list[DataFrame] = []
+    for turn in range(SLICES):
+        mine = F.pmod("key", F.lit(SLICES)) == turn
+        tokens = of_class.select("comp", F.explode("prefix").alias("key")).filter(mine)
+        shared = tokens.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
+        shared = materialise(shared.select("key"), "jaccard-shared")
+        places = of_class.select("cid", F.posexplode("prefix").alias("place", "key")).filter(mine)
+        found = materialise(places.join(shared, "key", "left_semi"), "jaccard-members")
+        members = found if members is None else members.unionByName(found)
+        slices += [shared, found]
+    crowds = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 2 * CHUNK)
+    crowds = materialise(crowds, "jaccard-crowds")
+    members = (
+        members.join(crowds, "key", "left")
+        .withColumn("c", F.coalesce("c", F.lit(1)))
+        .join(of_class.select("cid", "n", "comp", "map"), "cid")
     )
-    members = tokens.join(shared, "key").join(of_class.select("cid", "map"), "cid")
     pairs = materialise(_candidate_pairs(_parts(members, "c", 2 * CHUNK)), "jaccard-pairs")
+    discard(of_class, crowds, *slices)
     late = _exact_links(rows, classes, pairs)
     linked_classes = components(early.unionByName(late))
 
