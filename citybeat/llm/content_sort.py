@@ -104,8 +104,8 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text", carry:
     With ``carry`` these columns of the input come along in a struct ``row``.
     """
     runs = _sorted_runs(df, key, text, carry or [])
-    slim = runs.drop("row") if not carry else _sorted_runs(df, key, text, [], only_hot=True)
-    heads = slim.filter((F.col("n_runs") > 1) & (F.col("place") == 1))
+    # only the salted texts are sorted a second time, for their heads
+    heads = _sorted_runs(df, key, text, [], only_hot=True).filter(F.col("place") == 1)
     best = F.min(
         F.struct(
             (-F.col("head_points")).alias("p"),
