@@ -31,6 +31,8 @@ from citybeat.llm.common import map_rows, materialise
 from citybeat.llm.word_bpe import word_encoder
 
 ROUNDS = 6
+#: Every document of a record in order: its id, the first of its ids that stand here, and how many.
+DOCS = "docs array<struct<doc_id:long,start:long,length:int>>"
 _U = np.uint64
 
 
@@ -69,34 +71,34 @@ def _records(df: DataFrame, tokenizer_path: str, key: str, text: str, seq_len: i
 
     def process(batches):
         encoder, part, local = word_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
-        held, owners, size = [], [], 0  # streams, (place, doc, start in doc) of the open record
+        held, owners, size = [], [], 0  # streams, (doc, start in doc, ids) of the open record
 
-        def record(ids: np.ndarray, owner: tuple, n: int) -> tuple:
+        def record(ids: np.ndarray, n: int) -> tuple:
             nonlocal local
             local += 1
-            return part, local - 1, *owner, n, ids.astype(kind).tobytes()
+            docs = [{"doc_id": k, "start": at, "length": size} for k, at, size in owners]
+            return part, local - 1, *owners[0][:2], n, docs, ids.astype(kind).tobytes()
 
-        names = ("part", "local", "doc_id", "start", "n_tokens", "payload")
+        names = ("part", "local", "doc_id", "start", "n_tokens", "docs", "payload")
         for batch in batches:
             rows = []
             for k, t in zip(batch[key], batch[text]):
                 ids = np.frombuffer(encoder.encode(t or "") + end, dtype="<u4")
                 at = 0
                 while at < len(ids):
-                    if not size:
-                        owners = [(k, at)]
                     n = min(seq_len - size, len(ids) - at)
+                    owners.append((k, at, n))
                     held.append(ids[at : at + n])
                     size, at = size + n, at + n
                     if size == seq_len:
-                        rows.append(record(np.concatenate(held), owners[0], seq_len))
-                        held, size = [], 0
+                        rows.append(record(np.concatenate(held), seq_len))
+                        held, owners, size = [], [], 0
             yield dict(zip(names, map(list, zip(*rows)))) if rows else {n: [] for n in names}
         if size:
             ids = np.concatenate([*held, np.full(seq_len - size, pad_id, dtype="<u4")])
-            yield dict(zip(names, ([x] for x in record(ids, owners[0], size))))
+            yield dict(zip(names, ([x] for x in record(ids, size))))
 
-    schema = "part long, local long, doc_id long, start long, n_tokens int, payload binary"
+    schema = f"part long, local long, doc_id long, start long, n_tokens int, {DOCS}, payload binary"
     return map_rows(df, [key, text], process, schema)
 
 
@@ -113,7 +115,7 @@ def write_shards(
     vocabulary: int = 49408,
 ) -> DataFrame:
     """Shards in the shared folder: shard, first_slot, n_records, stride, payload and per record its number,
-    first document, start in it and real tokens (arrays in slot order)."""
+    first document, start in it, real tokens and all documents with start and length (arrays in slot order)."""
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
     stride = seq_len * int(kind[2])
     records = materialise(_records(df, tokenizer_path, key, text, seq_len, end_id, pad_id, kind), "order-records", "zstd")
@@ -140,7 +142,7 @@ def write_shards(
         now, rows = None, []
 
         def flush() -> dict[str, list]:
-            number, doc, start, n, payload = zip(*rows)
+            number, doc, start, n, docs, payload = zip(*rows)
             return {
                 "shard": [now],
                 "first_slot": [now * per_shard],
@@ -151,6 +153,7 @@ def write_shards(
                 "doc_id": [list(doc)],
                 "start": [list(start)],
                 "n_tokens": [list(n)],
+                "docs": [list(docs)],
             }
 
         for batch in batches:
@@ -163,16 +166,17 @@ def write_shards(
         if rows:
             yield flush()
 
-    columns = ["shard", "number", "doc_id", "start", "n_tokens", "payload"]
+    columns = ["shard", "number", "doc_id", "start", "n_tokens", "docs", "payload"]
     schema = (
         "shard long, first_slot long, n_records int, stride int, payload binary, number array<long>, "
-        "doc_id array<long>, start array<long>, n_tokens array<int>"
+        "doc_id array<long>, start array<long>, n_tokens array<int>, "
+        "docs array<array<struct<doc_id:long,start:long,length:int>>>"
     )
     return materialise(map_rows(ranged, columns, process, schema), "order-shards", "zstd")
 
 
 def read_from(shards: DataFrame, slot: int = 0, slots_wanted: int | None = None) -> DataFrame:
-    """Records from ``slot`` on: slot, shard, byte_offset, number, doc_id, start, n_tokens, ids (bytes).
+    """Records from ``slot`` on: slot, shard, byte_offset, number, doc_id, start, n_tokens, docs, ids (bytes).
 
     Only the shards that hold the slots are read.
     """
@@ -181,10 +185,10 @@ def read_from(shards: DataFrame, slot: int = 0, slots_wanted: int | None = None)
     if last is not None:
         picked = picked.filter(F.col("first_slot") < last)
     each = picked.select(
-        "shard", "first_slot", "stride", "payload", "number", "doc_id", "start", "n_tokens",
+        "shard", "first_slot", "stride", "payload", "number", "doc_id", "start", "n_tokens", "docs",
         F.explode(F.sequence(F.lit(0), F.col("n_records") - 1)).alias("i"),
     ).withColumn("slot", F.col("first_slot") + F.col("i"))
     each = each.filter(F.col("slot") >= slot) if last is None else each.filter(F.col("slot").between(slot, last - 1))
     byte = (F.col("i") * F.col("stride")).alias("byte_offset")
-    pick = [F.get(c, F.col("i")).alias(c) for c in ("number", "doc_id", "start", "n_tokens")]
+    pick = [F.get(c, F.col("i")).alias(c) for c in ("number", "doc_id", "start", "n_tokens", "docs")]
     return each.select("slot", "shard", byte, *pick, F.substring("payload", F.col("i") * F.col("stride") + 1, F.col("stride")).alias("ids"))

@@ -57,6 +57,21 @@ def test_shards_hold_every_document(written):
         assert np.frombuffer(r.ids, "<u2")[:m].tolist() == ids[:m].tolist()
 
 
+def test_records_name_all_their_documents(written):
+    docs, shards = written
+    encoder, got = WordEncoder(PATH), {}
+    for r in order.read_from(shards).collect():
+        ids, at = np.frombuffer(r.ids, "<u2"), 0
+        assert (r.docs[0].doc_id, r.docs[0].start) == (r.doc_id, r.start)
+        for d in r.docs:
+            got.setdefault(d.doc_id, {})[d.start] = ids[at : at + d.length].tolist()
+            at += d.length
+        assert at == r.n_tokens
+    for k, t in docs:
+        whole = [i for _, part in sorted(got[k].items()) for i in part]
+        assert whole == [*np.frombuffer(encoder.encode(t or ""), "<u4").tolist(), 1]
+
+
 def test_resume(written):
     _, shards = written
     every = [tuple(r) for r in order.read_from(shards).orderBy("slot").collect()]
