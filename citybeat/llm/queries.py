@@ -14,10 +14,13 @@ from citybeat.llm import (
     content_sort,
     gru_lm,
     line_crf,
+    mixing,
     packing,
     radix_dedup,
+    recompression,
     secrets,
     signature_join,
+    spelling,
     training_order,
 )
 from citybeat.llm.common import table
@@ -97,6 +100,22 @@ def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_join.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its common form; one run in 199 loses a letter first."""
+    return spelling.variants(table(spark, sf_dir, "documents"), every=199)
+
+
+def op12_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document a mix of the sources takes; documents labelled good are favoured."""
+    quality = mixing.label_weights(table(spark, sf_dir, "labels"))
+    return mixing.mix(table(spark, sf_dir, "documents"), quality)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, some of which are made to repeat first."""
+    return recompression.periodic_runs(table(spark, sf_dir, "documents"), plant=True, whole=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_packing": op1_vector_packing,
     "op2_training_order": op2_training_order,
@@ -108,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_radix_dedup": op9_radix_dedup,
     "op10_signature_join": op10_signature_join,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_weighted_mix": op12_weighted_mix,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
