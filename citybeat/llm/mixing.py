@@ -32,8 +32,6 @@ from pyspark.sql import functions as F
 
 from citybeat.llm.common import materialise
 
-#: Rows of a bucket of keys, on average.
-RUN = 1 << 16
 #: Quality weights are clipped to [1 / MAX_WEIGHT, MAX_WEIGHT].
 MAX_WEIGHT = 16.0
 
@@ -131,7 +129,7 @@ def mix(
             "target",
             "epochs",
             F.greatest(goal - F.col("epochs") * F.col("source_size"), F.lit(0)).alias("rest"),
-            F.ceil(F.col("n_rows") / RUN).cast("long").alias("n_buckets"),
+            F.ceil(F.sqrt("n_rows")).cast("long").alias("n_buckets"),
         ),
         "mix-plan",
     )
