@@ -1,15 +1,9 @@
-"""Road-network jobs (G2-G7): travel times, induced subgraphs, bounded
-multi-source shortest paths, reachable coverage and routes.
+"""Road-network jobs (G2-G7): travel times, induced subgraphs, reachable
+bands, coverage and routes.  The searches themselves are in ``paths``.
 
 The graph is two DataFrames: nodes (node_id, x, y) and directed edges
 (u, v, key, length).  Shortest paths are computed for all sources (and
-optional keys such as the travel mode) at once by frontier relaxation: each
-round extends the rows that improved in the previous round by up to two
-edges, unions the candidates with the current best table and keeps the
-minimum per (keys, source, node) - one shuffle per round.  Rounds stop when
-nothing improves.  The best table is checkpointed to the shared checkpoint
-folder every round, which cuts lineage and bounds the work lost with an
-executor.
+optional keys such as the travel mode) at once.
 """
 
 from __future__ import annotations
@@ -19,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citybeat.operators.spatial import within_distance
+from citybeat.operators.paths import Goals, bounded_costs, landmark_bounds, shortest_paths
+from citybeat.operators.spatial import nearest, within_distance
 from citybeat.session import ensure_checkpoint_dir
 
 
@@ -47,117 +42,83 @@ def allowed_nodes(nodes: DataFrame, stops: DataFrame, stop_radius: int, center:
     return within_distance(nodes, stops, stop_radius, "x", "y", center, center_radius)
 
 
-def _cheapest(edges: DataFrame, weight: str, keys: Sequence[str] = ()) -> DataFrame:
-    """One edge per (keys, u, v): the cheapest of the parallel edges."""
-    return edges.groupBy(*keys, "u", "v").agg(F.min(weight).alias("w"))
+def reachable_bands(costs: DataFrame, minutes: Sequence[int]) -> DataFrame:
+    """(source, node, cost) -> (source, minutes, node) for every band the node is within."""
+    return costs.withColumn("minutes", F.explode(F.array(*[F.lit(m) for m in minutes]))).filter(
+        F.col("cost") <= F.col("minutes") * 60.0
+    )
 
 
-def bounded_costs(
-    sources: DataFrame,
-    edges: DataFrame,
-    weight: str,
-    cutoff: float | None = None,
-    with_pred: bool = False,
-    hops_per_round: int = 2,
-    keys: Sequence[str] = (),
-) -> DataFrame:
-    """(source, node, cost[, pred]) for every node reachable from each source
-    with total ``weight`` <= ``cutoff`` (G3).
-
-    ``sources`` has one column ``source`` (a node id).  A round extends the
-    rows that improved in the previous round (``fresh``) by up to
-    ``hops_per_round`` edges, unions the candidates with the current table
-    and keeps the minimum per (source, node): one shuffle per round.  Every
-    candidate is the cost of a real path, so extra hops only mean fewer
-    rounds, never a different minimum.  ``keys`` (e.g. a travel mode) are
-    extra columns of both ``sources`` and ``edges``: every key runs its own
-    search in the same batched rounds.  On equal cost the existing entry
-    wins, then the smaller predecessor, so the result is deterministic.  The
-    table is checkpointed to the shared folder every round: that cuts the
-    lineage (the next round reads it twice) and bounds the work lost with an
-    executor to one round.
+def mode_bands(lengths: DataFrame, modes: dict[str, float], minutes: Sequence[int]) -> DataFrame:
+    """(source, node, cost in metres) -> (mode, source, node, cost in seconds, minutes) for every band of every mode.
+
+    One search on length serves all modes: a mode's cost is the length at its speed.
     """
-    # Read every round: computed once.
-    ensure_checkpoint_dir(sources.sparkSession)
-    keys = list(keys)
-    w = _cheapest(edges, weight, keys).checkpoint()
-    best = sources.select(
-        *keys,
-        F.col("source"),
-        F.col("source").alias("node"),
-        F.lit(0.0).alias("cost"),
-        F.lit(None).cast("long").alias("pred"),
-        F.lit(True).alias("fresh"),
-    ).distinct().checkpoint()
-    while True:
-        frontier = best.filter("fresh")
-        if frontier.isEmpty():
-            break
-        reach = frontier.select(*keys, "source", "node", "cost")
-        steps = []
-        for _ in range(hops_per_round):
-            on = [reach[k] == w[k] for k in keys] + [reach["node"] == w["u"]]
-            cond = on[0]
-            for c in on[1:]:
-                cond = cond & c
-            step = reach.join(w, cond).select(
-                *[reach[k] for k in keys],
-                "source", F.col("v").alias("node"), (F.col("cost") + F.col("w")).alias("cost"), F.col("u").alias("pred"),
-                F.lit(1).alias("rank"),
-            )
-            if cutoff is not None:
-                step = step.filter(F.col("cost") <= F.lit(float(cutoff)))
-            steps.append(step)
-            reach = step.select(*keys, "source", "node", "cost")
-        old = best.select(*keys, "source", "node", "cost", "pred", F.lit(0).alias("rank"))
-        cands = old
-        for step in steps:
-            cands = cands.unionByName(step)
-        win = cands.groupBy(*keys, "source", "node").agg(F.min(F.struct("cost", "rank", "pred")).alias("__b"))
-        best = win.select(
-            *keys, "source", "node", F.col("__b.cost").alias("cost"), F.col("__b.pred").alias("pred"),
-            (F.col("__b.rank") == 1).alias("fresh"),
-        ).checkpoint()
-    out = best.drop("fresh")
-    return out if with_pred else out.drop("pred")
+    return _with_bands(lengths, modes, minutes).filter(F.col("cost") <= F.col("minutes") * 60.0)
 
 
-def reachable_bands(costs: DataFrame, minutes: Sequence[int]) -> DataFrame:
-    """(source, node, cost) -> (source, minutes, node) for every band the node is within."""
-    return costs.withColumn("minutes", F.explode(F.array(*[F.lit(m) for m in minutes]))).filter(
-        F.col("cost") <= F.col("minutes") * 60.0
+def _with_bands(lengths: DataFrame, modes: dict[str, float], minutes: Sequence[int]) -> DataFrame:
+    arr = F.array(
+        *[F.struct(F.lit(m).alias("mode"), F.lit(float(s)).alias("speed"), F.lit(t).alias("minutes")) for m, s in modes.items() for t in minutes]
+    )
+    return lengths.withColumn("__b", F.explode(arr)).select(
+        F.col("__b.mode").alias("mode"),
+        *[c for c in lengths.columns if c != "cost"],
+        (F.col("cost") / (F.col("__b.speed") * 1000.0 / 3600.0)).alias("cost"),
+        F.col("__b.minutes").alias("minutes"),
     )
 
 
-def coverage(bands: DataFrame, nodes: DataFrame, cell: int, buffer_m: int, keys: Sequence[str] = ()) -> DataFrame:
-    """(source, minutes) -> reachable nodes, and the grid cells (and their
-    area) covered by the union of ``buffer_m`` discs around them (G6).
+def node_cells(nodes: DataFrame, cell: int, buffer_m: int) -> DataFrame:
+    """(node, cx, cy): the grid cells of size ``cell`` whose centre lies within ``buffer_m`` of the node.
 
-    The buffered-union polygon becomes a raster: a cell of size ``cell`` is
-    covered when its centre lies within ``buffer_m`` of a reachable node.
-    Each node only visits the cells of its own buffer's bounding box, and
-    the union is a distinct over (keys, source, minutes, cell).
+    A node only visits the cells of its own buffer's bounding box.
     """
-    k = list(keys)
-    located = bands.join(nodes.select(F.col("node_id").alias("node"), "x", "y"), "node")
     lo_x = F.ceil((F.col("x") - buffer_m) / cell - 0.5).cast("long")
     hi_x = F.floor((F.col("x") + buffer_m) / cell - 0.5).cast("long")
     lo_y = F.ceil((F.col("y") - buffer_m) / cell - 0.5).cast("long")
     hi_y = F.floor((F.col("y") + buffer_m) / cell - 0.5).cast("long")
-    cells = located.select(
-        *k, "source", "minutes", "node", "x", "y", F.explode(F.sequence(lo_x, hi_x)).alias("cx"), lo_y.alias("__ly"), hi_y.alias("__hy")
-    ).select(*k, "source", "minutes", "node", "x", "y", "cx", F.explode(F.sequence("__ly", "__hy")).alias("cy"))
+    cells = nodes.select(
+        F.col("node_id").alias("node"), "x", "y", F.explode(F.sequence(lo_x, hi_x)).alias("cx"), lo_y.alias("__ly"), hi_y.alias("__hy")
+    ).select("node", "x", "y", "cx", F.explode(F.sequence("__ly", "__hy")).alias("cy"))
     # centre of cell (cx, cy) is ((cx + 0.5) * cell, (cy + 0.5) * cell); compare in doubled units to stay integral
     dx = (2 * F.col("cx") + 1) * cell - 2 * F.col("x")
     dy = (2 * F.col("cy") + 1) * cell - 2 * F.col("y")
-    covered = cells.filter(dx * dx + dy * dy <= F.lit(4 * buffer_m * buffer_m)).select(*k, "source", "minutes", "cx", "cy").distinct()
-    per_band = covered.groupBy(*k, "source", "minutes").agg(F.count(F.lit(1)).alias("cells"))
-    reach = located.groupBy(*k, "source", "minutes").agg(F.count(F.lit(1)).alias("nodes"))
-    return reach.join(per_band, [*k, "source", "minutes"], "left").select(
-        *k, "source", "minutes", "nodes",
-        F.coalesce("cells", F.lit(0).cast("long")).alias("cells"),
-        (F.coalesce("cells", F.lit(0).cast("long")) * (cell * cell)).alias("area_m2"),
+    return cells.filter(dx * dx + dy * dy <= F.lit(4 * buffer_m * buffer_m)).select("node", "cx", "cy")
+
+
+def covered_cells(bands: DataFrame, nodes: DataFrame, cell: int, buffer_m: int, keys: Sequence[str] = ()) -> DataFrame:
+    """([keys,] source, minutes, cx, cy): the cells covered by the union of ``buffer_m`` discs around reachable nodes."""
+    return bands.join(node_cells(nodes, cell, buffer_m), "node").select(*keys, "source", "minutes", "cx", "cy").distinct()
+
+
+def coverage(
+    costs: DataFrame, nodes: DataFrame, cell: int, buffer_m: int, minutes: Sequence[int], modes: dict[str, float] | None = None
+) -> DataFrame:
+    """([mode,] source, minutes) -> reachable nodes, and the grid cells (and their
+    area) covered by the union of ``buffer_m`` discs around them (G6).
+
+    ``costs``: (source, node, cost), in seconds, or in metres with ``modes``.
+    The buffered-union polygon becomes a raster.  A cell's cost is the
+    smallest among the nodes that cover it, so one aggregate over cells serves
+    every band (and every mode): a band counts the cells within its limit.
+    """
+    ensure_checkpoint_dir(costs.sparkSession)
+    costs = costs.select("source", "node", "cost").checkpoint()  # read for nodes and for cells
+    reached = costs.select("source", F.lit(True).alias("is_node"), "cost")
+    per_cell = (
+        costs.join(node_cells(nodes, cell, buffer_m), "node").groupBy("source", "cx", "cy").agg(F.min("cost").alias("cost"))
+    )
+    # equal costs count once per source and kind before they meet the bands
+    counted = reached.unionByName(per_cell.select("source", F.lit(False).alias("is_node"), "cost"))
+    counted = counted.groupBy("source", "is_node", "cost").agg(F.count(F.lit(1)).alias("n"))
+    banded = mode_bands(counted, modes, minutes) if modes else reachable_bands(counted, minutes)
+    k = ["mode"] if modes else []
+    per_band = banded.groupBy(*k, "source", "minutes").agg(
+        F.sum(F.when(F.col("is_node"), F.col("n")).otherwise(0)).alias("nodes"),
+        F.sum(F.when(F.col("is_node"), 0).otherwise(F.col("n"))).alias("cells"),
     )
+    return per_band.filter("nodes > 0").withColumn("area_m2", F.col("cells") * (cell * cell))
 
 
 def latest_isochrones(rings: DataFrame, mode: str, max_minutes: int = 40) -> DataFrame:
@@ -167,36 +128,6 @@ def latest_isochrones(rings: DataFrame, mode: str, max_minutes: int = 40) -> Dat
     )
 
 
-def unroll_paths(pairs: DataFrame, costs: DataFrame) -> DataFrame:
-    """(pair_id, start_node, end_node) + (source, node, cost, pred) ->
-    (pair_id, step, node) walking predecessors back from the end node.
-
-    All pairs advance together, one join per hop.  Hops and the path so far
-    are checkpointed, so the plan does not grow with the path's length.
-    step 0 is the end node, the largest step the start node.
-    """
-    links = costs.select(F.col("source").alias("start_node"), "node", "pred")
-    def back(df: DataFrame) -> DataFrame:
-        return (
-            df.filter(F.col("node") != F.col("start_node"))
-            .join(links, ["start_node", "node"])
-            .filter(F.col("pred").isNotNull())
-            .select("pair_id", "start_node", (F.col("step") + 1).alias("step"), F.col("pred").alias("node"))
-            .checkpoint()
-        )
-
-    current = pairs.select("pair_id", "start_node", F.lit(0).alias("step"), F.col("end_node").alias("node")).checkpoint()
-    path = current
-    while True:
-        one = back(current)
-        two = back(one)  # two hops per emptiness check
-        path = path.unionByName(one).unionByName(two).checkpoint()
-        if two.isEmpty():
-            break
-        current = two
-    return path.select("pair_id", "step", "node")
-
-
 def route_lines(
     candidates: DataFrame,
     nodes: DataFrame,
@@ -209,44 +140,43 @@ def route_lines(
 
     ``candidates``: (cand_idx, start_x, start_y, end_x, end_y, ...) in node
     coordinates.  End points snap to their nearest node (J6); the path is
-    the shortest by ``weight`` using the cheapest parallel edge; repeated
-    consecutive points are dropped; distance is the polyline length.
-    Unreachable candidates are skipped, so route numbers can have gaps.
+    the shortest by ``weight`` using the cheapest parallel edge, then the one
+    with fewest edges, then with the smallest node ids from the end; repeated
+    consecutive points are dropped; distance is the polyline length and
+    ``points`` its vertices.  Unreachable candidates and paths of one point are
+    skipped, so route numbers can have gaps.  One goal-directed search serves
+    all candidates.
     """
-    from citybeat.operators.spatial import nearest
-
     ensure_checkpoint_dir(candidates.sparkSession)
     candidates = candidates.checkpoint()  # read twice (snapping, final join): compute once
     ends = candidates.select(
         (F.col("cand_idx") * 2).alias("pt"), F.col("start_x").alias("x"), F.col("start_y").alias("y")
     ).unionByName(candidates.select((F.col("cand_idx") * 2 + 1).alias("pt"), F.col("end_x").alias("x"), F.col("end_y").alias("y")))
     snapped = nearest(ends, nodes, "pt", "node_id")
-    start = snapped.filter(F.col("pt") % 2 == 0).select((F.col("pt") / 2).cast("long").alias("pair_id"), F.col("node_id").alias("start_node"))
-    end = snapped.filter(F.col("pt") % 2 == 1).select(((F.col("pt") - 1) / 2).cast("long").alias("pair_id"), F.col("node_id").alias("end_node"))
-    pairs = start.join(end, "pair_id").checkpoint()
-    sources = pairs.select(F.col("start_node").alias("source")).distinct()
-    costs = bounded_costs(sources, edges, weight, cutoff=None, with_pred=True)
-    reachable = pairs.join(
-        costs.select(F.col("source").alias("start_node"), F.col("node").alias("end_node")), ["start_node", "end_node"], "left_semi"
+    pairs = snapped.groupBy(F.floor(F.col("pt") / 2).cast("long").alias("pair_id")).agg(
+        F.max(F.when(F.col("pt") % 2 == 0, F.col("node_id"))).alias("start_node"),
+        F.max(F.when(F.col("pt") % 2 == 1, F.col("node_id"))).alias("end_node"),
+    ).checkpoint()
+    goals = Goals(
+        pairs.select(F.col("start_node").alias("source"), F.col("end_node").alias("target")).distinct(),
+        landmark_bounds(nodes, edges, weight),
     )
-    steps = unroll_paths(reachable, costs)
+    sources = pairs.select(F.col("start_node").alias("source")).distinct()
+    costs = bounded_costs(sources, edges, weight, goals=goals, with_hops=True)
+    steps = shortest_paths(pairs, costs, edges, weight)
     pts = steps.join(nodes.select(F.col("node_id").alias("node"), "x", "y"), "node")
-    w = Window.partitionBy("pair_id").orderBy(F.col("step").desc())
+    w = Window.partitionBy("pair_id").orderBy("hops")
     pts = pts.withColumn("__px", F.lag("x").over(w)).withColumn("__py", F.lag("y").over(w))
     pts = pts.filter(F.col("__px").isNull() | (F.col("__px") != F.col("x")) | (F.col("__py") != F.col("y")))
-    seg = F.when(F.col("__px").isNull(), F.lit(0.0)).otherwise(F.hypot(F.col("x") - F.col("__px"), F.col("y") - F.col("__py")))
-    lines = pts.groupBy("pair_id").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.sum(seg).alias("distance_m"),
-        F.array_sort(F.collect_list(F.struct((-F.col("step")).alias("s"), "x", "y"))).alias("__pts"),
-    ).filter(F.col("__n") >= 2)
-    lines = lines.withColumn("coords", F.to_json(F.transform("__pts", lambda p: F.array(p["x"].cast("double"), p["y"].cast("double")))))
-    chosen = top_first(lines.select("pair_id", "distance_m", "coords"), target_routes)
+    dx, dy = (F.col("x") - F.col("__px")).cast("double"), (F.col("y") - F.col("__py")).cast("double")
+    seg = F.when(F.col("__px").isNull(), F.lit(0.0)).otherwise(F.sqrt(dx * dx + dy * dy))
+    lines = pts.groupBy("pair_id").agg(F.array_sort(F.collect_list(F.struct("hops", "x", "y", seg.alias("seg")))).alias("points"))
+    # added from the start, so that the sum does not depend on the order of rows
+    distance = F.aggregate("points", F.lit(0.0), lambda acc, p: acc + p["seg"])
+    lines = lines.filter(F.size("points") >= 2).select(
+        "pair_id", distance.alias("distance_m"), F.transform("points", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("points")
+    )
+    chosen = lines.orderBy("pair_id").limit(target_routes)
     return candidates.join(chosen, candidates["cand_idx"] == chosen["pair_id"]).drop("pair_id").withColumn(
         "route_id", F.concat(F.lit("route_"), (F.col("cand_idx") + 1).cast("string"))
     ).withColumn("distance_m", F.rint(F.col("distance_m") * 10.0) / 10.0)
-
-
-def top_first(df: DataFrame, k: int) -> DataFrame:
-    """The k rows with the smallest pair_id (candidate order)."""
-    return df.orderBy("pair_id").limit(k)

@@ -137,33 +137,49 @@ def _candidates(s: SparkSession, d: str) -> DataFrame:
     return top_k(flows, [F.col("trip_count").desc(), F.col("start_station_id"), F.col("end_station_id")], CANDIDATE_LIMIT)
 
 
-def _reachable(s: SparkSession, d: str) -> DataFrame:
+def _reachable_costs(s: SparkSession, d: str) -> DataFrame:
     edges = network.travel_times(B.graph_edges(s, d), {"cycling": NETWORK_MODES["cycling"]})
-    costs = network.bounded_costs(B.graph_sources(s, d), edges, "travel_time", cutoff=600.0)
-    return network.reachable_bands(costs, [5, 10])
+    return network.bounded_costs(B.graph_sources(s, d), edges, "travel_time", cutoff=600.0)
 
 
-def _routes(s: SparkSession, d: str) -> DataFrame:
-    """Routes for the top station pairs over the supplier road graph.
+def _reachable(s: SparkSession, d: str) -> DataFrame:
+    return network.reachable_bands(_reachable_costs(s, d), [5, 10])
+
+
+# The graph's metre plane: x = (lng - LNG0) * 1e5, y = (lat - LAT0) * 1e5.
+LNG0, LAT0 = -74.1, 40.5
+
+
+def _plane(c: str, origin: float) -> F.Column:
+    return F.rint((F.col(c) - F.lit(origin)) * 1e5).cast("long")
+
 
-    Station coordinates (degrees) are put on the graph's metre plane with
-    x = (lng + 74.1) * 1e5, y = (lat - 40.5) * 1e5.
-    """
+def _routes(s: SparkSession, d: str) -> DataFrame:
+    """Routes for the top station pairs over the part of the supplier road graph that lies in their padded
+    bounding box; outlines in degrees."""
     cand = _candidates(s, d).withColumn(
         "cand_idx",
         F.row_number().over(
             Window.orderBy(F.col("trip_count").desc(), F.col("start_station_id"), F.col("end_station_id"))
         ) - 1,
+    ).checkpoint()  # read for the box and for the routes
+    box = spatial.padded_bbox(cand).select(
+        _plane("west", LNG0).alias("x0"), _plane("east", LNG0).alias("x1"), _plane("south", LAT0).alias("y0"), _plane("north", LAT0).alias("y1")
+    ).first()
+    nodes = B.graph_nodes(s, d)
+    if box["x0"] is not None:
+        nodes = nodes.filter(F.col("x").between(box["x0"], box["x1"]) & F.col("y").between(box["y0"], box["y1"]))
+    edges = network.induced_subgraph(B.graph_edges(s, d), nodes)
+    cand = cand.withColumns(
+        {f"{end}_{to}": _plane(f"{end}_{of}", origin) for end in ("start", "end") for to, of, origin in (("x", "lng", LNG0), ("y", "lat", LAT0))}
+    )
+    lines = network.route_lines(cand, nodes, edges, TARGET_ROUTES)
+    lng, lat = lambda p: F.lit(LNG0) + p["x"] / 1e5, lambda p: F.lit(LAT0) + p["y"] / 1e5
+    coords = F.transform("points", lambda p: F.format_string("[%.6f, %.6f]", lng(p), lat(p)))
+    return lines.select(
+        "route_id", "start_station_id", "start_station_name", "end_station_id", "end_station_name", "trip_count", "distance_m",
+        F.concat(F.lit("["), F.array_join(coords, ", "), F.lit("]")).alias("coords"),
     )
-    plane = {
-        "start_x": F.rint((F.col("start_lng") + 74.1) * 1e5).cast("long"),
-        "start_y": F.rint((F.col("start_lat") - 40.5) * 1e5).cast("long"),
-        "end_x": F.rint((F.col("end_lng") + 74.1) * 1e5).cast("long"),
-        "end_y": F.rint((F.col("end_lat") - 40.5) * 1e5).cast("long"),
-    }
-    cand = cand.withColumns(plane)
-    lines = network.route_lines(cand, B.graph_nodes(s, d), B.graph_edges(s, d), TARGET_ROUTES)
-    return lines.select("route_id", "start_station_name", "end_station_name", "trip_count", "distance_m", "coords")
 
 
 # Transit binding: metres around a stop and around the centre in which a mode's nodes lie.
@@ -187,13 +203,17 @@ def _transit_bands(s: SparkSession, d: str) -> DataFrame:
     return network.reachable_bands(costs, [5, 10])
 
 
+# Metres that the fastest mode covers within ten minutes.
+MODE_REACH_M = max(NETWORK_MODES.values()) * 1000.0 / 3600.0 * 600.0
+
+
+def _lengths(s: SparkSession, d: str) -> DataFrame:
+    return network.bounded_costs(B.graph_sources(s, d), B.graph_edges(s, d), "length", cutoff=MODE_REACH_M)
+
+
 def _reachable_by_mode(s: SparkSession, d: str) -> DataFrame:
-    """All travel modes at once: the search state is keyed (mode, source, node)."""
-    edges = network.travel_times(B.graph_edges(s, d), NETWORK_MODES)
-    modes = F.explode(F.array(*[F.lit(m) for m in NETWORK_MODES])).alias("mode")
-    sources = B.graph_sources(s, d).select(modes, "source")
-    costs = network.bounded_costs(sources, edges, "travel_time", cutoff=600.0, keys=["mode"])
-    return network.reachable_bands(costs, [5, 10])
+    """All travel modes at once: one search on length, cut at each mode's limits."""
+    return network.mode_bands(_lengths(s, d), NETWORK_MODES, [5, 10])
 
 
 def _geo_queries() -> dict[str, Query]:
@@ -218,8 +238,8 @@ def _geo_queries() -> dict[str, Query]:
         "reachable": _reachable,
         "transit_bands": _transit_bands,
         "reachable_by_mode": _reachable_by_mode,
-        "coverage_by_mode": lambda s, d: network.coverage(_reachable_by_mode(s, d), B.graph_nodes(s, d), 100, 200, ["mode"]),
-        "coverage_cells": lambda s, d: network.coverage(_reachable(s, d), B.graph_nodes(s, d), 100, 200),
+        "coverage_by_mode": lambda s, d: network.coverage(_lengths(s, d), B.graph_nodes(s, d), 100, 200, [5, 10], NETWORK_MODES),
+        "coverage_cells": lambda s, d: network.coverage(_reachable_costs(s, d), B.graph_nodes(s, d), 100, 200, [5, 10]),
         "routes": _routes,
     }
 

@@ -76,17 +76,15 @@ def _bellman_ford(hops: int, cutoff: float) -> str:
     return ",\n".join(parts)
 
 
-def _bellman_ford_keyed(hops: int, cutoff: float) -> str:
-    parts = [
-        "r0 AS (SELECT m.mode, s_suppkey AS source, s_suppkey AS node, CAST(0.0 AS DOUBLE) AS cost "
-        "FROM supplier, (SELECT DISTINCT mode FROM wm) m)"
-    ]
-    for k in range(1, hops + 1):
-        p = f"r{k - 1}"
+def _paths(hops: int) -> str:
+    """Shortest lengths from the route candidates' start nodes, equal lengths by fewest edges: the key is
+    length * 1000 + edges (lengths are whole metres)."""
+    parts = ["r0 AS (SELECT DISTINCT start_node AS source, start_node AS node, CAST(0 AS BIGINT) AS k FROM pairs)"]
+    for i in range(1, hops + 1):
+        p = f"r{i - 1}"
         parts.append(
-            f"r{k} AS (SELECT mode, source, node, min(cost) AS cost FROM (SELECT * FROM {p} UNION ALL "
-            f"SELECT {p}.mode, {p}.source, wm.v, {p}.cost + wm.w FROM {p} JOIN wm ON wm.mode = {p}.mode AND wm.u = {p}.node "
-            f"WHERE {p}.cost + wm.w <= {cutoff}) GROUP BY mode, source, node)"
+            f"r{i} AS (SELECT source, node, min(k) AS k FROM (SELECT * FROM {p} UNION ALL "
+            f"SELECT {p}.source, w.v, {p}.k + w.k FROM {p} JOIN w ON w.u = {p}.node) GROUP BY source, node)"
         )
     return ",\n".join(parts)
 
@@ -177,6 +175,44 @@ c AS (SELECT * FROM f WHERE start_station_id <> end_station_id ORDER BY trip_cou
 SELECT min(least(start_lng, end_lng)) - CAST(0.02 AS DOUBLE) AS west, min(least(start_lat, end_lat)) - CAST(0.02 AS DOUBLE) AS south,
        max(greatest(start_lng, end_lng)) + CAST(0.02 AS DOUBLE) AS east, max(greatest(start_lat, end_lat)) + CAST(0.02 AS DOUBLE) AS north
 FROM c
+"""
+    q["routes"] = f"""
+WITH RECURSIVE {NATION_TRIPS.strip()},
+f AS (SELECT start_station_id, end_station_id, arg_min(start_station_name, ride_key) AS start_station_name,
+             arg_min(end_station_name, ride_key) AS end_station_name,
+             arg_min(start_lat, ride_key) AS start_lat, arg_min(start_lng, ride_key) AS start_lng,
+             arg_min(end_lat, ride_key) AS end_lat, arg_min(end_lng, ride_key) AS end_lng, count(ride_id) AS trip_count
+      FROM nt GROUP BY ALL ORDER BY trip_count DESC, start_station_id, end_station_id LIMIT 50),
+c AS (SELECT *, row_number() OVER (ORDER BY trip_count DESC, start_station_id, end_station_id) AS idx FROM f
+      WHERE start_station_id <> end_station_id QUALIFY idx <= 30),
+box AS (SELECT min(least(start_lng, end_lng)) - CAST(0.02 AS DOUBLE) AS west, min(least(start_lat, end_lat)) - CAST(0.02 AS DOUBLE) AS south,
+               max(greatest(start_lng, end_lng)) + CAST(0.02 AS DOUBLE) AS east, max(greatest(start_lat, end_lat)) + CAST(0.02 AS DOUBLE) AS north FROM c),
+n AS (SELECT max(s_suppkey) + 1 AS n FROM supplier),
+nodes AS (SELECT s_suppkey AS node_id, (s_suppkey * 53 % 1000) * 20 AS x, (s_suppkey * 29 % 1000) * 20 AS y FROM supplier, box
+          WHERE (s_suppkey * 53 % 1000) * 20 BETWEEN round_even((west + 74.1) * 1e5, 0) AND round_even((east + 74.1) * 1e5, 0)
+            AND (s_suppkey * 29 % 1000) * 20 BETWEEN round_even((south - 40.5) * 1e5, 0) AND round_even((north - 40.5) * 1e5, 0)),
+w AS (SELECT u, v, min(200 + (u * 31 + v * 17) % 800 + key * 50) * 1000 + 1 AS k
+      FROM (SELECT s_suppkey AS u, (s_suppkey * 7 + k) % n.n AS v, key
+            FROM supplier, (VALUES (1, 0), (1, 1), (2, 0), (3, 0)) t(k, key), n)
+      WHERE u IN (SELECT node_id FROM nodes) AND v IN (SELECT node_id FROM nodes) GROUP BY u, v),
+ends AS (SELECT idx, true AS is_start, CAST(round_even((start_lng + 74.1) * 1e5, 0) AS BIGINT) AS x, CAST(round_even((start_lat - 40.5) * 1e5, 0) AS BIGINT) AS y FROM c
+         UNION ALL SELECT idx, false, CAST(round_even((end_lng + 74.1) * 1e5, 0) AS BIGINT), CAST(round_even((end_lat - 40.5) * 1e5, 0) AS BIGINT) FROM c),
+snap AS (SELECT idx, is_start, node_id FROM ends, nodes
+         QUALIFY row_number() OVER (PARTITION BY idx, is_start ORDER BY (ends.x - nodes.x) * (ends.x - nodes.x) + (ends.y - nodes.y) * (ends.y - nodes.y), node_id) = 1),
+pairs AS (SELECT a.idx, a.node_id AS start_node, b.node_id AS end_node FROM snap a JOIN snap b ON a.idx = b.idx AND a.is_start AND NOT b.is_start),
+{_paths(40)},
+pred AS (SELECT t.source, t.node, min(w.u) AS back FROM r40 t JOIN w ON w.v = t.node JOIN r40 s ON s.source = t.source AND s.node = w.u AND s.k + w.k = t.k GROUP BY ALL),
+walk AS (SELECT idx, source, node, CAST(0 AS BIGINT) AS step FROM pairs JOIN r40 ON source = start_node AND node = end_node
+         UNION ALL SELECT walk.idx, walk.source, pred.back, walk.step + 1 FROM walk JOIN pred ON pred.source = walk.source AND pred.node = walk.node),
+pts AS (SELECT idx, -step AS s, x, y FROM walk JOIN nodes ON node_id = node),
+seg AS (SELECT *, lag(x) OVER p AS px, lag(y) OVER p AS py FROM pts WINDOW p AS (PARTITION BY idx ORDER BY s)),
+kept AS (SELECT * FROM seg WHERE px IS NULL OR px <> x OR py <> y),
+line AS (SELECT idx, list_sum(list(CASE WHEN px IS NULL THEN 0.0 ELSE sqrt(CAST(x - px AS DOUBLE) * (x - px) + CAST(y - py AS DOUBLE) * (y - py)) END ORDER BY s)) AS m,
+                '[' || string_agg(printf('[%.6f, %.6f]', CAST(-74.1 AS DOUBLE) + x / 1e5, CAST(40.5 AS DOUBLE) + y / 1e5), ', ' ORDER BY s) || ']' AS coords
+         FROM kept GROUP BY idx HAVING count(*) >= 2 ORDER BY idx LIMIT 10)
+SELECT 'route_' || CAST(idx AS VARCHAR) AS route_id, start_station_id, start_station_name, end_station_id, end_station_name, trip_count,
+       round_even(m * 10.0, 0) / 10.0 AS distance_m, coords
+FROM line JOIN c USING (idx)
 """
     modes = "(SELECT * FROM (VALUES ('walking', CAST(4.8 AS DOUBLE)), ('cycling', CAST(15.0 AS DOUBLE)), ('driving', CAST(25.0 AS DOUBLE)), ('bus', CAST(18.0 AS DOUBLE)), ('subway', CAST(30.0 AS DOUBLE))) t(mode, speed))"
     q["edge_travel_time"] = f"""
@@ -201,13 +237,13 @@ w AS (SELECT u, v, min(length / (CAST(15.0 AS DOUBLE) * 1000.0 / 3600.0)) AS w F
 b AS (SELECT r12.*, m.minutes FROM r12, (VALUES (5), (10)) m(minutes) WHERE cost <= m.minutes * 60.0)"""
     q["reachable"] = reach + "\nSELECT source, node, cost, minutes FROM b\n"
     speeds = "(SELECT * FROM (VALUES ('walking', CAST(4.8 AS DOUBLE)), ('cycling', CAST(15.0 AS DOUBLE)), ('driving', CAST(25.0 AS DOUBLE)), ('bus', CAST(18.0 AS DOUBLE)), ('subway', CAST(30.0 AS DOUBLE))) t(mode, speed))"
-    # fewest seconds per edge: 200 m at 30 km/h = 24 s, so 600 s allow at most 25 hops
+    # 200 m an edge at least, so 5000 m (ten minutes at 30 km/h) allow at most 25 hops
     by_mode = f"""
 WITH {GRAPH.strip()},
-wm AS (SELECT m.mode, u, v, min(length / (m.speed * 1000.0 / 3600.0)) AS w FROM edges, {speeds} m GROUP BY m.mode, u, v),
-{_bellman_ford_keyed(25, 600.0)},
-bm AS (SELECT r25.mode, r25.source, r25.node, r25.cost, t.minutes
-       FROM r25, (VALUES (5), (10)) t(minutes) WHERE r25.cost <= t.minutes * 60.0)"""
+w AS (SELECT u, v, min(length) AS w FROM edges GROUP BY u, v),
+{_bellman_ford(25, 5000.0)},
+bm AS (SELECT m.mode, r25.source, r25.node, r25.cost / (m.speed * 1000.0 / 3600.0) AS cost, t.minutes
+       FROM r25, {speeds} m, (VALUES (5), (10)) t(minutes) WHERE r25.cost / (m.speed * 1000.0 / 3600.0) <= t.minutes * 60.0)"""
     q["reachable_by_mode"] = by_mode + "\nSELECT mode, source, node, cost, minutes FROM bm\n"
     q["coverage_by_mode"] = by_mode + """,
 l AS (SELECT bm.mode, bm.source, bm.minutes, nodes.x, nodes.y FROM bm JOIN nodes ON nodes.node_id = bm.node),

@@ -4,11 +4,12 @@ import datetime as dt
 import heapq
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from citybeat.operators import bikes, common, network, reports, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, common, network, paths, reports, sampling, spatial, taxi, traffic
 from citybeat.sources.trips import normalize_trips, union_groups
 
 YEARS = (2023, 2024)
@@ -233,29 +234,94 @@ def test_bounded_costs_match_dijkstra(spark):
     assert not any(n in (40, 41) for _, n in got)  # unreachable component
 
 
-def test_routes_are_shortest_paths(spark):
-    from citybeat.plans import bindings as B
-    from citybeat.plans.catalog import queries
-
-    d = "/root/testdata/sf0.001"
-    routes = queries()["routes"](spark, d).collect()
-    assert 0 < len(routes) <= 10
-    nodes = {r.node_id: (r.x, r.y) for r in B.graph_nodes(spark, d).collect()}
-    edges = [(r.u, r.v, r.length) for r in B.graph_edges(spark, d).collect()]
-    import json
-
-    for r in routes:
-        pts = json.loads(r.coords)
-        assert len(pts) >= 2 and all(a != b for a, b in zip(pts, pts[1:]))
-        length = sum(math.hypot(b[0] - a[0], b[1] - a[1]) for a, b in zip(pts, pts[1:]))
-        assert abs(length - r.distance_m) < 0.06
-        by_xy = {v: k for k, v in nodes.items()}
-        path = [by_xy[(int(p[0]), int(p[1]))] for p in pts]
-        best = _dijkstra(edges, path[0])
-        w = {}
-        for u, v, ln in edges:
-            w[(u, v)] = min(w.get((u, v), math.inf), ln)
-        assert sum(w[(a, b)] for a, b in zip(path, path[1:])) == pytest.approx(best[path[-1]])
+def _graph(rnd, n, m, low=1):
+    return [(rnd.randrange(n), rnd.randrange(n), float(rnd.randint(low, 9))) for _ in range(m)]
+
+
+@pytest.mark.parametrize(("band", "hops"), [(None, 2), (3.0, 2), (1.0, 1), (1e9, 3)])
+def test_bands_do_not_change_costs(spark, band, hops):
+    """Two keys with graphs of their own, weights of zero, a source outside the graph."""
+    rnd = random.Random(12)
+    graphs = {k: _graph(rnd, 30, 70, low=0) for k in ("a", "b")}
+    edf = spark.createDataFrame([(k, *e) for k, es in graphs.items() for e in es], "mode string, u long, v long, w double")
+    src = spark.createDataFrame([("a", 0), ("b", 3), ("b", 99), ("b", 3)], "mode string, source long")
+    got = paths.bounded_costs(src, edf, "w", cutoff=11.0, keys=["mode"], band=band, hops=hops).collect()
+    want = {(k, s, n): d for k, s in (("a", 0), ("b", 3), ("b", 99)) for n, d in _dijkstra(graphs[k], s).items() if d <= 11.0}
+    assert {(r.mode, r.source, r.node): r.cost for r in got} == want and len(got) == len(want)
+
+
+def test_search_without_edges(spark):
+    edf = spark.createDataFrame([], "u long, v long, w double")
+    src = spark.createDataFrame([(1,)], "source long")
+    assert [tuple(r) for r in paths.bounded_costs(src, edf, "w").collect()] == [(1, 1, 0.0)]
+    assert paths.bounded_costs(src.limit(0), edf, "w").collect() == []
+
+
+def test_round_moves_no_edge_and_no_settled_row(spark):
+    """With broadcast off no exchange lies above the edge scan or the scan of the log."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edf = spark.createDataFrame(_graph(random.Random(13), 50, 200), "u long, v long, w double")
+        arcs = paths.BucketedTable(spark, "arcs", ["u"]).write(paths.cheapest(edf, "w"))
+        log = paths.BucketedTable(spark, "costs", ["source", "node"]).write(
+            spark.createDataFrame([(1, 1, 0.0, True, 0)], "source long, node long, cost double, todo boolean, round int")
+        )
+        cands = paths.round_candidates(log.read(), arcs.read(), ["source", "node"], 9.0, None, 2)
+        df = paths.improved(cands, log.read(), ["source", "node"])
+        lines = [ln for ln in df._jdf.queryExecution().executedPlan().toString().split("\n") if ln.strip()]
+        depth = lambda ln: len(ln) - len(ln.lstrip(" :+-*()0123456789"))
+        moved = []
+        for i in (i for i, ln in enumerate(lines) if "FileScan" in ln):
+            at, above = depth(lines[i]), []
+            for ln in reversed(lines[:i]):
+                if depth(ln) < at:
+                    at = depth(ln)
+                    above.append(ln)
+                if "Join" in ln and above and above[-1] == ln:
+                    break
+            kind = "edges" if re.search(r"\bw#", lines[i]) else "log"
+            moved.append((kind, any("Exchange" in ln for ln in above)))
+        # the edges of every step and the known rows reach their join without an exchange; the frontier is dealt out
+        assert moved.count(("edges", False)) == 3 and ("edges", True) not in moved, moved
+        assert moved.count(("log", False)) >= 1, moved
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_goal_directed_paths(spark):
+    """Every pair's path against all shortest paths; fewer states than a full search; unreachable pairs have none."""
+    rnd = random.Random(14)
+    side = 12
+    at = lambda x, y: x * side + y
+    edges = []
+    for x in range(side):
+        for y in range(side):
+            for a, b in ((x + 1, y), (x, y + 1), (x - 1, y), (x, y - 1)):
+                if 0 <= a < side and 0 <= b < side:
+                    edges.append((at(x, y), at(a, b), float(rnd.randint(2, 6))))
+    edges += [(a, b, w + 1) for a, b, w in edges[:40]] + [(500, 501, 1.0)]
+    nodes = [(at(x, y), x * 10, y * 10) for x in range(side) for y in range(side)] + [(500, 0, 0), (501, 5, 5)]
+    ndf = spark.createDataFrame(nodes, "node_id long, x long, y long")
+    edf = spark.createDataFrame(edges, "u long, v long, length double")
+    pairs = [(0, 0, at(2, 2)), (1, at(11, 11), at(8, 9)), (2, 0, at(1, 3)), (3, 500, 0), (4, 0, 501), (5, 7, 7)]
+    pdf = spark.createDataFrame(pairs, "pair_id long, start_node long, end_node long")
+    goals = paths.Goals(
+        pdf.select(F.col("start_node").alias("source"), F.col("end_node").alias("target")), paths.landmark_bounds(ndf, edf, "length")
+    )
+    costs = paths.bounded_costs(goals.targets.select("source").distinct(), edf, "length", goals=goals, band=4.0, with_hops=True).checkpoint()
+    assert costs.filter("source = 0").count() < 80  # of 144
+    w = {}
+    for u, v, ln in edges:
+        w[(u, v)] = min(w.get((u, v), math.inf), ln)
+    got = {}
+    for r in paths.shortest_paths(pdf, costs, edf, "length").orderBy("pair_id", "hops").collect():
+        got.setdefault(r.pair_id, []).append(r.node)
+    assert set(got) == {0, 1, 2, 5} and got[5] == [7]
+    for k, s, t in pairs:
+        if k in got:
+            assert got[k][0] == s and got[k][-1] == t
+            assert sum(w[e] for e in zip(got[k], got[k][1:])) == _dijkstra(edges, s)[t]
 
 
 def test_reports_stop_at_blank_and_fill_days(spark):
