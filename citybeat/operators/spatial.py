@@ -1,4 +1,4 @@
-"""Spatial joins and geometry.
+"""Spatial joins and geometry (J5-J8, G1, A29); J4 is in ``polygons``.
 
 Coordinates for the planar joins are integers (e.g. tenths of a unit or
 metres) so that distance and orientation tests are exact.  Every join is an
@@ -22,80 +22,6 @@ def _cell(c: Column, size: int) -> Column:
     return F.floor(c / F.lit(size)).cast("long")
 
 
-# --- J4: point in polygon ------------------------------------------------------
-
-
-def _edge(ring: Column, i: Column) -> tuple[Column, Column, Column, Column]:
-    a, b = F.element_at(ring, i), F.element_at(ring, i + 1)
-    return a["x"], a["y"], b["x"], b["y"]
-
-
-def point_in_ring(ring: Column, px: Column, py: Column) -> Column:
-    """True when (px, py) is inside the closed ring or on its boundary.
-
-    Ring vertices are ``struct<x:long,y:long>`` with first == last.  The
-    crossing test is the even-odd rule; both tests use integer arithmetic.
-    """
-    idx = F.sequence(F.lit(1), F.size(ring) - 1)
-
-    def on_edge(i: Column) -> Column:
-        x1, y1, x2, y2 = _edge(ring, i)
-        cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
-        return (
-            (cross == 0)
-            & px.between(F.least(x1, x2), F.greatest(x1, x2))
-            & py.between(F.least(y1, y2), F.greatest(y1, y2))
-        )
-
-    def crosses(i: Column) -> Column:
-        x1, y1, x2, y2 = _edge(ring, i)
-        straddles = (y1 > py) != (y2 > py)
-        # px < x1 + (x2 - x1) * (py - y1) / (y2 - y1), multiplied out by (y2 - y1)
-        lhs = (px - x1) * (y2 - y1)
-        rhs = (x2 - x1) * (py - y1)
-        left_of = F.when(y2 > y1, lhs < rhs).otherwise(lhs > rhs)
-        return straddles & left_of
-
-    hits = F.size(F.filter(idx, crosses))
-    return F.exists(idx, on_edge) | (hits % 2 == 1)
-
-
-def polygon_cells(polygons: DataFrame, cell: int) -> DataFrame:
-    """(poly_id, cx, cy) for every grid cell touching the polygon's bbox."""
-    xs = F.transform("ring", lambda p: p["x"])
-    ys = F.transform("ring", lambda p: p["y"])
-    boxed = polygons.select(
-        "poly_id",
-        _cell(F.array_min(xs), cell).alias("x0"), _cell(F.array_max(xs), cell).alias("x1"),
-        _cell(F.array_min(ys), cell).alias("y0"), _cell(F.array_max(ys), cell).alias("y1"),
-    )
-    return boxed.select("poly_id", F.explode(F.sequence("x0", "x1")).alias("cx"), "y0", "y1").select(
-        "poly_id", "cx", F.explode(F.sequence("y0", "y1")).alias("cy")
-    )
-
-
-def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, point_id: str, x: str = "x", y: str = "y", cell: int = 100
-) -> DataFrame:
-    """Rows of ``points`` inside (or on the boundary of) any polygon.
-
-    Polygons are registered in the grid cells of their bounding boxes
-    (cell rows carry only ids, never the ring); a point meets the polygons of
-    its own cell by an equi-join, and the exact ring test reads the ring from
-    a one-row id -> ring map computed once (a scalar subquery).  Matching ids
-    are then semi-joined back, so every input row is kept at most once.
-    """
-    cells = polygon_cells(polygons, cell)
-    rings = polygons.agg(F.map_from_entries(F.collect_list(F.struct("poly_id", "ring"))).alias("m")).scalar()
-    keyed = points.select(
-        F.col(point_id), F.col(x).cast("long").alias("__x"), F.col(y).cast("long").alias("__y"),
-        _cell(F.col(x), cell).alias("cx"), _cell(F.col(y), cell).alias("cy"),
-    )
-    cand = keyed.join(cells, ["cx", "cy"]).withColumn("__ring", F.element_at(rings, F.col("poly_id")))
-    inside = cand.filter(point_in_ring(F.col("__ring"), F.col("__x"), F.col("__y")))
-    return points.join(inside.select(point_id).distinct(), point_id, "left_semi")
-
-
 # --- J5 / J6: within distance and nearest ------------------------------------------
 
 

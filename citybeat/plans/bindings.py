@@ -12,6 +12,8 @@ E=events.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -374,14 +376,45 @@ def epoch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- spatial --------------------------------------------------------------------
 
-# Fixed polygons (integer tenths): a square, a triangle and a concave L.
-POLYGONS = [
-    (1, [(100, 100), (400, 100), (400, 400), (100, 400), (100, 100)]),
-    (2, [(500, 500), (900, 520), (700, 900), (500, 500)]),
-    (3, [(100, 600), (300, 600), (300, 700), (200, 700), (200, 900), (100, 900), (100, 600)]),
+# Fixed ring shapes in thousandths of a zone's size: a square, a triangle and a concave L.
+ZONE_SHAPES = [
+    [(0, 0), (1000, 0), (1000, 1000), (0, 1000), (0, 0)],
+    [(0, 0), (1300, 100), (700, 1200), (0, 0)],
+    [(0, 0), (900, 0), (900, 300), (400, 300), (400, 1100), (0, 1100), (0, 0)],
 ]
 
 
+def _place(key: str, a: int, b: int) -> list[F.Column]:
+    """A position of its own for every key on a plane of about a million units a side."""
+    return [(F.col(key) * a % 1000003).alias("x"), (F.col(key) * b % 999983).alias("y")]
+
+
+def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C as points; no two customers share a position."""
+    return table(spark, sf_dir, "customer").select("c_custkey", *_place("c_custkey", 7919, 104729))
+
+
+def supplier_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S as points; no two suppliers share a position."""
+    return table(spark, sf_dir, "supplier").select("s_suppkey", *_place("s_suppkey", 7907, 104723))
+
+
+def zone_size(spark: SparkSession, sf_dir: str) -> int:
+    """Extent of a zone: shrinks as zones are added, so that about a third of the plane stays covered."""
+    return int(600000 / math.sqrt(max(1, table(spark, sf_dir, "supplier").count())))
+
+
+def zone_polygons(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """Every supplier's zone, a square, a triangle or an L at its place; the zones of a nation share one poly_id."""
+    base = supplier_places(spark, sf_dir).join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
+    shapes = F.array(*[F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in shape]) for shape in ZONE_SHAPES])
+    at = lambda origin, v: F.col(origin) + F.floor(v * F.lit(size).cast("long") / 1000).cast("long")
+    ring = F.transform(
+        F.get(shapes, (F.col("s_suppkey") % 3).cast("int")), lambda p: F.struct(at("x", p["x"]).alias("x"), at("y", p["y"]).alias("y"))
+    )
+    return base.select(F.col("s_nationkey").alias("poly_id"), ring.alias("ring"))
+
+
 def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C as points on a 0..999 integer grid (tenths of a unit)."""
     c = table(spark, sf_dir, "customer")
@@ -394,11 +427,6 @@ def supplier_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("s_suppkey", (F.col("s_suppkey") * 53 % 1000).alias("x"), (F.col("s_suppkey") * 29 % 1000).alias("y"))
 
 
-def polygons(spark: SparkSession) -> DataFrame:
-    rows = [(pid, [{"x": x, "y": y} for x, y in ring]) for pid, ring in POLYGONS]
-    return spark.createDataFrame(rows, "poly_id int, ring array<struct<x:long,y:long>>")
-
-
 def supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S in degrees: lng = -74.05 + x/10000, lat = 40.6 + y/10000."""
     p = supplier_points(spark, sf_dir)

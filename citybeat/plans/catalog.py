@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from citybeat.constants import CANDIDATE_LIMIT, CIRCLE_MODES, MINUTES, NETWORK_MODES, TARGET_ROUTES, TIP_LABELS, TIP_ZERO_LABEL
 from citybeat.functions.datetime import compact_digits_to_timestamp, epoch_to_timestamp
-from citybeat.operators import bikes, grid, network, reports, ridership, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, grid, network, outline, polygons, reports, ridership, sampling, spatial, taxi, traffic
 from citybeat.operators.common import top_k
 from citybeat.plans import bindings as B
 from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_reports, oracle_taxi, oracle_traffic
@@ -203,6 +203,12 @@ def _transit_bands(s: SparkSession, d: str) -> DataFrame:
     return network.reachable_bands(costs, [5, 10])
 
 
+def _isochrone_outlines(s: SparkSession, d: str) -> DataFrame:
+    """The rings around the cells of every transit band."""
+    cells = network.covered_cells(_transit_bands(s, d), B.graph_nodes(s, d), 100, 200, ["mode"])
+    return outline.outlines(cells, ["mode", "source", "minutes"], 100)
+
+
 # Metres that the fastest mode covers within ten minutes.
 MODE_REACH_M = max(NETWORK_MODES.values()) * 1000.0 / 3600.0 * 600.0
 
@@ -216,9 +222,15 @@ def _reachable_by_mode(s: SparkSession, d: str) -> DataFrame:
     return network.mode_bands(_lengths(s, d), NETWORK_MODES, [5, 10])
 
 
+def _points_in_polygons(s: SparkSession, d: str) -> DataFrame:
+    """Customers in any supplier's zone; cells of about half a zone."""
+    size = B.zone_size(s, d)
+    return polygons.points_in_polygons(B.customer_places(s, d), B.zone_polygons(s, d, size), cell=max(1, size // 2))
+
+
 def _geo_queries() -> dict[str, Query]:
     return {
-        "points_in_polygons": lambda s, d: spatial.points_in_polygons(B.customer_points(s, d), B.polygons(s), "c_custkey"),
+        "points_in_polygons": _points_in_polygons,
         "near_stops": lambda s, d: spatial.within_distance(
             B.customer_points(s, d), B.supplier_points(s, d), 50, center=(500, 500), center_radius=80
         ),
@@ -237,6 +249,7 @@ def _geo_queries() -> dict[str, Query]:
         ),
         "reachable": _reachable,
         "transit_bands": _transit_bands,
+        "isochrone_outlines": _isochrone_outlines,
         "reachable_by_mode": _reachable_by_mode,
         "coverage_by_mode": lambda s, d: network.coverage(_lengths(s, d), B.graph_nodes(s, d), 100, 200, [5, 10], NETWORK_MODES),
         "coverage_cells": lambda s, d: network.coverage(_reachable_costs(s, d), B.graph_nodes(s, d), 100, 200, [5, 10]),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from citybeat.constants import CIRCLE_MODES, MINUTES
-from citybeat.plans.bindings import POLYGONS
 from citybeat.plans.oracle_bikes import NATION_TRIPS
 
 D = "CAST({} AS DOUBLE)"
@@ -26,12 +25,12 @@ def _key(lng: str, lat: str, digits: int) -> str:
     )
 
 
-def _verts() -> str:
-    rows = []
-    for pid, ring in POLYGONS:
-        for i, (x, y) in enumerate(ring):
-            rows.append(f"({pid}, {i}, {x}, {y})")
-    return f"(SELECT * FROM (VALUES {', '.join(rows)}) t(poly_id, seq, x, y))"
+# a zone's extent shrinks as zones are added, so that about a third of the plane stays covered
+ZONE_SIZE = "CAST(floor(600000 / sqrt((SELECT count(*) FROM supplier))) AS BIGINT)"
+
+PLACES = """
+c_places AS (SELECT c_custkey, c_custkey * 7919 % 1000003 AS x, c_custkey * 104729 % 999983 AS y FROM customer),
+s_places AS (SELECT s_suppkey, s_suppkey * 7907 % 1000003 AS x, s_suppkey * 104723 % 999983 AS y FROM supplier)"""
 
 
 GRAPH = """
@@ -103,8 +102,7 @@ def _transit(hops: int, cutoff: float) -> str:
 
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["transit_bands"] = f"""
-WITH {PTS.strip()},
+    transit = f"""{PTS.strip()},
 {GRAPH.strip()},
 m AS (SELECT * FROM (VALUES ('bus', 400, 2000, CAST(18.0 AS DOUBLE)), ('subway', 600, 3000, CAST(30.0 AS DOUBLE))) t(mode, stop_r, start_r, kmh)),
 allowed AS (
@@ -116,21 +114,66 @@ start AS (SELECT mode, arg_min(node_id, ((x - 10000) * (x - 10000) + (y - 10000)
 wm AS (SELECT m.mode, e.u, e.v, min(e.length / (m.kmh * 1000.0 / 3600.0)) AS w
        FROM edges e, m, allowed a, allowed b
        WHERE a.mode = m.mode AND b.mode = m.mode AND a.node_id = e.u AND b.node_id = e.v GROUP BY ALL),
-{_transit(26, 600.0)}
-SELECT mode, source, node, cost, b.minutes FROM r26, (VALUES (5), (10)) b(minutes) WHERE cost <= b.minutes * 60.0
+{_transit(26, 600.0)},
+tb AS (SELECT mode, source, node, cost, b.minutes FROM r26, (VALUES (5), (10)) b(minutes) WHERE cost <= b.minutes * 60.0)"""
+    q["transit_bands"] = f"WITH {transit}\nSELECT mode, source, node, cost, minutes FROM tb\n"
+    # every ring is walked from each of its edges; the walk from the smallest one counts
+    q["isochrone_outlines"] = f"""WITH RECURSIVE {transit},
+cells AS (
+  SELECT DISTINCT mode, source, minutes, cx, cy
+  FROM tb JOIN nodes ON nodes.node_id = tb.node, generate_series(-1000, 1000) gx(cx), generate_series(-1000, 1000) gy(cy)
+  WHERE cx BETWEEN x // 100 - 3 AND x // 100 + 3 AND cy BETWEEN y // 100 - 3 AND y // 100 + 3
+    AND ((2 * cx + 1) * 100 - 2 * x) * ((2 * cx + 1) * 100 - 2 * x) + ((2 * cy + 1) * 100 - 2 * y) * ((2 * cy + 1) * 100 - 2 * y) <= 160000),
+sides AS (
+  SELECT mode, source, minutes, cx AS x, cy AS y, 0 AS up, cx AS sx, cy AS sy, 0 AS dir FROM cells
+  UNION ALL SELECT mode, source, minutes, cx + 1, cy, 1, cx + 1, cy, 1 FROM cells
+  UNION ALL SELECT mode, source, minutes, cx, cy + 1, 0, cx + 1, cy + 1, 2 FROM cells
+  UNION ALL SELECT mode, source, minutes, cx, cy, 1, cx, cy + 1, 3 FROM cells),
+edge AS (
+  SELECT mode, source, minutes, ((x + 1073741824) * 2147483648 + y + 1073741824) * 2 + up AS id, sx, sy, dir,
+         sx + CASE dir WHEN 0 THEN 1 WHEN 2 THEN -1 ELSE 0 END AS ex, sy + CASE dir WHEN 1 THEN 1 WHEN 3 THEN -1 ELSE 0 END AS ey
+  FROM sides QUALIFY count(*) OVER (PARTITION BY mode, source, minutes, x, y, up) = 1),
+succ AS (
+  SELECT a.mode, a.source, a.minutes, a.id, b.id AS nxt, b.dir <> a.dir AS corner FROM edge a
+  JOIN edge b ON a.mode = b.mode AND a.source = b.source AND a.minutes = b.minutes AND b.sx = a.ex AND b.sy = a.ey
+  QUALIFY row_number() OVER (PARTITION BY a.mode, a.source, a.minutes, a.id
+                             ORDER BY CASE (b.dir - a.dir + 4) % 4 WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END) = 1),
+walk AS (
+  SELECT mode, source, minutes, id AS head, id, CAST(0 AS BIGINT) AS place FROM edge
+  UNION ALL
+  SELECT w.mode, w.source, w.minutes, w.head, s.nxt, w.place + 1 FROM walk w
+  JOIN succ s ON s.mode = w.mode AND s.source = w.source AND s.minutes = w.minutes AND s.id = w.id WHERE s.nxt > w.head),
+heads AS (
+  SELECT w.mode, w.source, w.minutes, w.head FROM walk w
+  JOIN succ s ON s.mode = w.mode AND s.source = w.source AND s.minutes = w.minutes AND s.id = w.id AND s.nxt = w.head),
+ring_pts AS (
+  SELECT w.mode, w.source, w.minutes, w.head AS ring, w.place, e.sx, e.sy, e.ex, e.ey, b.corner
+  FROM walk w JOIN heads USING (mode, source, minutes, head)
+  JOIN edge e ON e.mode = w.mode AND e.source = w.source AND e.minutes = w.minutes AND e.id = w.id
+  JOIN succ b ON b.mode = w.mode AND b.source = w.source AND b.minutes = w.minutes AND b.nxt = w.id),
+rings AS (
+  SELECT mode, source, minutes, ring, count(*) AS edges, CAST(sum(sx * ey - ex * sy) * 10000 // 2 AS BIGINT) AS area_m2,
+         list('[' || CAST(sx * 100 AS VARCHAR) || ', ' || CAST(sy * 100 AS VARCHAR) || ']' ORDER BY place) FILTER (WHERE corner) AS c
+  FROM ring_pts GROUP BY ALL)
+SELECT mode, source, minutes, ring, area_m2 < 0 AS hole, edges, area_m2, '[' || array_to_string(list_append(c, c[1]), ', ') || ']' AS outline
+FROM rings
 """
     q["points_in_polygons"] = f"""
-WITH {PTS.strip()},
-v AS {_verts()},
-e AS (SELECT a.poly_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM v a JOIN v b ON a.poly_id = b.poly_id AND b.seq = a.seq + 1),
+WITH {PLACES.strip()},
+r AS (SELECT s_suppkey AS ring, x AS ox, y AS oy, s_suppkey % 3 AS shape, {ZONE_SIZE} AS w FROM s_places),
+v AS (
+  SELECT ring, i, ox + w * CASE shape WHEN 0 THEN [0, 1000, 1000, 0, 0][i] WHEN 1 THEN [0, 1300, 700, 0][i] ELSE [0, 900, 900, 400, 400, 0, 0][i] END // 1000 AS x,
+         oy + w * CASE shape WHEN 0 THEN [0, 0, 1000, 1000, 0][i] WHEN 1 THEN [0, 100, 1200, 0][i] ELSE [0, 0, 300, 300, 1100, 1100, 0][i] END // 1000 AS y
+  FROM r, generate_series(1, 7) g(i) WHERE i <= CASE shape WHEN 0 THEN 5 WHEN 1 THEN 4 ELSE 7 END),
+e AS (SELECT a.ring, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM v a JOIN v b ON a.ring = b.ring AND b.i = a.i + 1),
 t AS (
-  SELECT p.c_custkey, p.x, p.y, e.poly_id,
+  SELECT p.c_custkey, p.x, p.y, e.ring,
          bool_or((x2 - x1) * (p.y - y1) - (y2 - y1) * (p.x - x1) = 0
                  AND p.x BETWEEN least(x1, x2) AND greatest(x1, x2) AND p.y BETWEEN least(y1, y2) AND greatest(y1, y2)) AS on_edge,
          sum(CASE WHEN ((y1 > p.y) <> (y2 > p.y)) AND
                        (CASE WHEN y2 > y1 THEN (p.x - x1) * (y2 - y1) < (x2 - x1) * (p.y - y1)
                              ELSE (p.x - x1) * (y2 - y1) > (x2 - x1) * (p.y - y1) END) THEN 1 ELSE 0 END) AS hits
-  FROM pts p CROSS JOIN e GROUP BY ALL)
+  FROM c_places p JOIN e ON p.y BETWEEN least(y1, y2) AND greatest(y1, y2) GROUP BY ALL)
 SELECT DISTINCT c_custkey, x, y FROM t WHERE on_edge OR hits % 2 = 1
 """
     q["near_stops"] = f"""

@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from citybeat.operators import bikes, common, network, paths, reports, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, common, network, outline, paths, polygons, reports, sampling, spatial, taxi, traffic
 from citybeat.sources.trips import normalize_trips, union_groups
 
 YEARS = (2023, 2024)
@@ -171,10 +171,41 @@ def test_point_in_polygon_boundaries(spark):
         [(1, 5, 5), (2, 10, 5), (3, 0, 0), (4, 11, 5), (5, 25, 5), (6, 25, 8), (7, 22, 3), (8, 15, 15), (9, 10, 10)],
         "id int, x long, y long",
     )
-    got = sorted(r.id for r in spatial.points_in_polygons(pts, polys, "id", cell=4).collect())
+    got = sorted(r.id for r in polygons.points_in_polygons(pts, polys, cell=4).collect())
     assert got == [1, 2, 3, 5, 7, 9]  # edge, vertex and the notch tip count as inside; (25, 8) is in the notch
 
 
+@pytest.mark.parametrize("cell", [1, 3, 7, 1000])
+def test_point_in_polygon_random_rings(spark, cell):
+    """Every point of a square against random rings (also self-crossing, repeated, degenerate and empty ones)."""
+    rnd = random.Random(cell)
+    rings = []
+    for _ in range(12):
+        ox, oy = rnd.randint(-20, 20), rnd.randint(-20, 20)
+        ring = [(ox + rnd.randint(0, 14), oy + rnd.randint(0, 14)) for _ in range(rnd.randint(3, 9))]
+        rings.append(ring + ring[:1])
+    rings += [rings[0], [], [(3, 3)], [(1, 1), (4, 1), (1, 1)], [(-9, -9), (-9, -9)]]
+    polys = spark.createDataFrame(
+        [(i % 3, [{"x": x, "y": y} for x, y in ring]) for i, ring in enumerate(rings)], "poly_id int, ring array<struct<x:long,y:long>>"
+    )
+
+    def inside(px, py, ring):
+        hits = 0
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (x2 - x1) * (py - y1) == (y2 - y1) * (px - x1) and min(x1, x2) <= px <= max(x1, x2) and min(y1, y2) <= py <= max(y1, y2):
+                return True
+            if (y1 > py) != (y2 > py):
+                hits += (px - x1) * abs(y2 - y1) < (x2 - x1) * (py - y1) * (1 if y2 > y1 else -1)
+        return hits % 2 == 1
+
+    grid = [(x * 1000 + y, x, y) for x in range(-24, 40) for y in range(-24, 40)]
+    pts = spark.createDataFrame(grid + grid[:3], "id int, x long, y long")
+    got = sorted(r.id for r in polygons.points_in_polygons(pts, polys, cell=cell).collect())
+    want = sorted(i for i, x, y in grid + grid[:3] if any(inside(x, y, ring) for ring in rings))
+    assert got == want
+    assert polygons.points_in_polygons(pts, polys.limit(0), cell=cell).collect() == []
+
+
 @pytest.mark.parametrize("max_block", [256, 8])
 def test_nearest_matches_brute_force_with_hot_cell(spark, max_block):
     rnd = random.Random(3)
@@ -324,6 +355,37 @@ def test_goal_directed_paths(spark):
             assert sum(w[e] for e in zip(got[k], got[k][1:])) == _dijkstra(edges, s)[t]
 
 
+def test_outlines_enclose_their_cells(spark):
+    """Blobs with holes, corner contacts and single cells: areas add up, every outline is its cells' boundary."""
+    import json
+
+    rnd = random.Random(21)
+    groups = {1: {(0, 0)}, 2: {(0, 0), (1, 1)}, 3: {(x, y) for x in range(3) for y in range(3)} - {(1, 1)}, 4: {(-5, -7), (-5, -6)}}
+    groups[5] = {(x, 0) for x in range(70)}
+    for g in range(6, 12):
+        groups[g] = {(rnd.randrange(-6, 6), rnd.randrange(-6, 6)) for _ in range(rnd.randint(20, 110))}
+    df = spark.createDataFrame([(g, x, y) for g, cs in groups.items() for x, y in cs], "g int, cx long, cy long")
+    rows = outline.outlines(df, ["g"], 10).collect()
+    for g, cells in groups.items():
+        own = [r for r in rows if r.g == g]
+        assert sum(r.area_m2 for r in own) == len(cells) * 100
+        inside = lambda p, ring: sum(
+            (a[1] > p[1]) != (b[1] > p[1]) and p[0] < a[0] for a, b in zip(ring, ring[1:])
+        )
+        rings = [json.loads(r.outline) for r in own]
+        for r, ring in zip(own, rings):
+            assert ring[0] == ring[-1] and r.hole == (r.area_m2 < 0)
+            assert all((a[0] == b[0]) != (a[1] == b[1]) for a, b in zip(ring, ring[1:]))
+            assert sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:])) == 2 * r.area_m2
+            assert sum(abs(a[0] - b[0]) + abs(a[1] - b[1]) for a, b in zip(ring, ring[1:])) == 10 * r.edges
+        for x in range(-8, 72 if g == 5 else 8):
+            for y in range(-8, 8):
+                crossings = sum(inside((x * 10 + 5, y * 10 + 5), ring) for ring in rings)
+                assert (crossings % 2 == 1) == ((x, y) in cells)
+    assert len([r for r in rows if r.g == 2]) == 2 and len([r for r in rows if r.g == 3]) == 2
+    assert outline.outlines(df.limit(0), ["g"], 10).collect() == []
+
+
 def test_reports_stop_at_blank_and_fill_days(spark):
     cells = [
         ("f_q2-2023.xlsx", "Sheet A", 0, 0, "VIO TYPE: Plates"),

@@ -15,7 +15,7 @@ from tests.conftest import SF0001
 # the graph's largest node id).
 BOUNDED_SINGLE_PARTITION = {
     "provider_share", "type_share", "member_share", "borough_avg", "latest_year_share",
-    "points_in_polygons", "edge_travel_time", "induced_subgraph",
+    "edge_travel_time", "induced_subgraph",
 }
 
 
