@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns c0, c1, ... and these by the old names: names of its own then clash with none,
+    and a name may hold a dot.  ``toDF(*df.columns)`` gives the old names back."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

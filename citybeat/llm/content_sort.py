@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citybeat.llm.common import ASCII_SPACE, code_points
+from citybeat.llm.common import ASCII_SPACE, code_points, numbered
 
 #: Upper bound of the number of texts that are salted, and so of the broadcast list.
 MAX_HOT = 1 << 16
@@ -136,4 +136,6 @@ def exact_groups(df: DataFrame, key: str = "doc_id", text: str = "text", carry:
 
 def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with every column of the input."""
-    return exact_groups(df, key, text, carry=df.columns).filter("kept").select("row.*")
+    rows, names = numbered(df)
+    kept = exact_groups(rows, names[key], names[text], carry=rows.columns).filter("kept").select("row.*")
+    return kept.toDF(*df.columns)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citybeat.llm.common import map_rows
+from citybeat.llm.common import map_rows, numbered
 
 #: Fixed value: the symbols of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -300,9 +300,12 @@ def mark_lines(docs: DataFrame, field: LineField, key: str = "doc_id", text: str
 def keep_content(docs: DataFrame, field: LineField, text: str = "text", min_share: float = MIN_CONTENT_SHARE) -> DataFrame:
     """The documents that pass, every column as it was."""
 
+    rows, _ = numbered(docs)
+    place = docs.columns.index(text)
+
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text))
+            texts = batch.column(place)
             yield batch.filter(pa.array([judge(t.as_py() or "", field, min_share)[6] for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -10,11 +10,11 @@ taken in key order until the prefix sum of their sizes reaches the budget; the
 document on the line is taken in part.
 
 A source may hold a third of all rows, so no source is sorted whole.  Its keys
-are dealt into buckets by ``1 - exp(-key)``, about ``RUN`` rows each (weights
-are clipped to [1 / MAX_WEIGHT, MAX_WEIGHT], which bounds a bucket's share);
-sums per bucket, aggregated before the shuffle, show the one bucket that the
-budget ends in, and only that bucket's rows are sorted and summed.  The
-selection is that of a sort of the whole source.
+are dealt into buckets by ``1 - exp(-key)``, as many as the square root of its
+rows (weights are clipped to [1 / MAX_WEIGHT, MAX_WEIGHT], which bounds a
+bucket's share); sums per bucket, aggregated before the shuffle, show the one
+bucket that the budget ends in, and only that bucket's rows are sorted and
+summed.  The selection is that of a sort of the whole source.
 
 Edge cases: null text has size 0, sources of size 0 have target 0; null is a
 source of its own, last; null ids are hashed as nulls; repeated rows have equal

@@ -7,9 +7,10 @@ packed by the dot-product heuristic: the open sequence takes, of all pieces
 that fit, the one whose demand vector has the largest weighted dot product
 with the sequence's remaining capacity, each dimension weighted by its average
 demand.  When nothing fits and room is left, the piece with the largest dot
-product is cut to fit (training sequences may be cut anywhere), so only
-segment-bound sequences and a task's last one carry padding; the last one is
-split into power-of-two sequences, which need none.
+product is cut to fit (training sequences may be cut anywhere).  A sequence that
+keeps more than ``MAX_PADDING`` of its tokens free all the same (the limit on
+segments or loss closed it, or nothing was left) is split into power-of-two
+sequences, which need no padding.
 
 Every task packs its own rows from a pool of bounded size; no row is shuffled
 and no sequence spans two tasks.  Sequence ids are the task's partition number
@@ -22,6 +23,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +46,9 @@ class Limits:
     pool: int = 4096
 
 
+#: Largest share of a sequence that is padded.
+MAX_PADDING = 0.01
+
 #: A piece: key, start in its example, length, loss-bearing tokens, tokens of the example, ids.
 Piece = tuple
 
@@ -83,42 +88,62 @@ class Pool:
         self.items.append(piece)
 
     def sequences(self, keep: int) -> Iterator[list[Piece]]:
-        """Fill sequences until at most ``keep`` pieces wait."""
+        """Fill sequences until at most ``keep`` pieces wait.
+
+        Pieces of equal demand are one row of the scored table.
+        """
         if len(self.items) <= keep:
             return
-        items = list(self.items)
-        demand = np.empty((2 * len(items) + 8, 3))
-        demand[: len(items)] = [(p[2], 1, p[3]) for p in items]
-        used = len(items)
+        rows: dict[tuple[int, int], int] = {}
+        stacks: list[list[Piece]] = []
+        # every cut, at most one a sequence, may add a demand
+        demand = np.empty((2 * len(self.items) + 8, 3))
         waiting = np.zeros(len(demand), dtype=bool)
-        waiting[:used] = True
-        weight = demand[:used].mean(axis=0) / self.caps**3  # average demand share, for shares of demand and room
-        left = used
+
+        def wait(piece: Piece) -> None:
+            row = rows.setdefault((piece[2], piece[3]), len(stacks))
+            if row == len(stacks):
+                stacks.append([])
+                demand[row] = piece[2], 1, piece[3]
+            stacks[row].append(piece)
+            waiting[row] = True
+
+        def take(row: int) -> Piece:
+            piece = stacks[row].pop()
+            waiting[row] = bool(stacks[row])
+            return piece
+
+        left = len(self.items)
+        mean = np.mean([(p[2], 1, p[3]) for p in self.items], axis=0)
+        weight = mean / self.caps**3  # average demand share, for shares of demand and room
+        for piece in reversed(self.items):
+            wait(piece)
         while left > keep:
             room = self.caps.copy()
             sequence: list[Piece] = []
             while True:
-                d = demand[:used]
-                score = np.where(waiting[:used] & (d <= room).all(axis=1), d @ (weight * room), -1.0)
-                best = int(score.argmax()) if used else 0
+                used = len(stacks)
+                d, here = demand[:used], waiting[:used]
+                worth = d @ (weight * room)
+                score = np.where(here & (d <= room).all(axis=1), worth, -1.0)
+                best = int(score.argmax())
                 if score[best] >= 0:
-                    sequence.append(items[best])
+                    sequence.append(take(best))
                     room -= d[best]
-                    waiting[best] = False
                     left -= 1
                 else:
                     if left and room[0] >= self.limits.min_cut and room[1] >= 1:
-                        best = int(np.where(waiting[:used], d @ (weight * room), -1.0).argmax())
-                        size = self._fits(items[best], room)
+                        best = int(np.where(here, worth, -1.0).argmax())
+                        size = self._fits(stacks[best][-1], room)
                         if size >= self.limits.min_cut:
-                            head, items[best] = _split(items[best], size)
-                            demand[best] = (items[best][2], 1, items[best][3])
+                            head, rest = _split(take(best), size)
+                            wait(rest)
                             sequence.append(head)
                     break
                 if not left or not room[0]:
                     break
             yield sequence
-        self.items = [items[i] for i in np.flatnonzero(waiting[:used])]
+        self.items = [piece for stack in stacks for piece in stack]
 
     @staticmethod
     def _fits(piece: Piece, room: np.ndarray) -> int:
@@ -146,8 +171,7 @@ def power_parts(sequence: list[Piece]) -> Iterator[list[Piece]]:
 
 
 SCHEMA = (
-    "doc_id long, start long, length long, n_loss long, doc_tokens long, sequence_id long, offset long, "
-    "sequence_tokens long, ids binary"
+    "doc_id long, start long, length long, n_loss long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 )
 
 
@@ -159,18 +183,20 @@ def pack(
     prompt_tokens: str | None = None,
     end_id: int = 1,
     limits: Limits | None = None,
+    digest: bool = False,
 ) -> DataFrame:
     """Tokenise every text, append ``end_id`` and pack; one row per piece.
 
     ``prompt_tokens`` names a column with the number of leading ids that bear
     no loss (none by default).  ``ids`` holds the piece's ids as little-endian
-    unsigned 32-bit integers; ``sequence_tokens`` is the sequence's length
-    before padding.
+    unsigned 32-bit integers (with ``digest`` their crc32, ``ids_crc32``);
+    ``sequence_tokens`` is the sequence's length before padding.
     """
     limits = limits or Limits()
     end = int(end_id).to_bytes(4, "little")
     columns = [key, text] + ([prompt_tokens] if prompt_tokens else [])
-    names = [part.strip().split(" ")[0] for part in SCHEMA.split(",")]
+    schema = SCHEMA + (", ids_crc32 long" if digest else ", ids binary")
+    names = [part.strip().split(" ")[0] for part in schema.split(",")]
 
     def process(batches):
         encoder, pool = word_encoder(tokenizer_path), Pool(limits)
@@ -178,10 +204,16 @@ def pack(
         out: dict[str, list] = {n: [] for n in names}
 
         def place(sequence: list[Piece]) -> None:
+            total = sum(p[2] for p in sequence)
+            padded = limits.tokens - total > MAX_PADDING * limits.tokens and total & (total - 1)
+            for part in power_parts(sequence) if padded else [sequence]:
+                write(part)
+
+        def write(sequence: list[Piece]) -> None:
             nonlocal number
             at, total = 0, sum(p[2] for p in sequence)
             for k, start, length, loss, n, _, ids in sequence:
-                for name, value in zip(names, (k, start, length, loss, n, number, at, total, ids)):
+                for name, value in zip(names, (k, start, length, loss, n, number, at, total, zlib.crc32(ids) if digest else ids)):
                     out[name].append(value)
                 at += length
             number += 1
@@ -199,16 +231,8 @@ def pack(
                         place(sequence)
             yield out
             out = {n: [] for n in names}
-        last: list[Piece] = []
         for sequence in pool.sequences(0):
-            if last:
-                place(last)
-            last = sequence
-        if sum(p[2] for p in last) < limits.tokens:
-            for part in power_parts(last):
-                place(part)
-        elif last:
-            place(last)
+            place(sequence)
         yield out
 
-    return map_rows(df, columns, process, SCHEMA)
+    return map_rows(df, columns, process, schema)

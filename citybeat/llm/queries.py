@@ -31,8 +31,7 @@ BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens; one row per piece."""
-    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), digest=True)
 
 
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +91,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated 400-byte strings."""
-    return radix_dedup.remove_repeated(table(spark, sf_dir, "documents"), digest=True)
+    found = radix_dedup.remove_repeated(table(spark, sf_dir, "documents"), digest=True)
+    return found.withColumn("changed", F.col("n_removed") > 0)
 
 
 def op10_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:

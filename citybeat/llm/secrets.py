@@ -28,7 +28,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citybeat.llm.common import map_rows, materialise
+from citybeat.llm.common import map_rows, materialise, numbered
 
 # The three base kinds in listed order, patterns and least lengths.
 ASSIGN = re.compile(
@@ -195,8 +195,10 @@ def redact(df: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "te
         .agg(F.first("live_spans").alias("live_spans"))
     )
     state = "struct<at:int,out:string>"
+    rows, names = numbered(df)
+    key, text = names[key], names[text]
     same = F.col(key).eqNullSafe(F.col("_k")) & (F.md5(F.col(text)) == F.col("_md5"))
-    joined = df.join(live, same, "left")
+    joined = rows.join(live, same, "left")
     cut = F.aggregate(
         "live_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(state),
@@ -211,4 +213,4 @@ def redact(df: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "te
         ).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).cast(state),
         lambda a: F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, F.lit(2147483647))),
     )
-    return joined.withColumn(text, F.when(F.col("live_spans").isNotNull(), cut).otherwise(F.col(text))).select(*df.columns)
+    return joined.withColumn(text, F.when(F.col("live_spans").isNotNull(), cut).otherwise(F.col(text))).select(*rows.columns).toDF(*df.columns)

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citybeat.llm.common import discard, list_column, map_rows, materialise
+from citybeat.llm.common import discard, list_column, map_rows, materialise, numbered
 from citybeat.llm.components import components
 
 #: Similarity as a fraction, 75 / 100.
@@ -565,7 +565,9 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     Rows that repeat both id and text are one document and stay together.
     """
-    found = materialise(_linked_rows(df, key, text).select("doc_id", "th", "n", "comp"), "jaccard-rows")
+    rows, names = numbered(df)
+    key, text = names[key], names[text]
+    found = materialise(_linked_rows(rows, key, text).select("doc_id", "th", "n", "comp"), "jaccard-rows")
     first = (
         found.filter("n > 0")
         .groupBy("comp")
@@ -575,4 +577,5 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     stay = first.unionByName(found.filter("n = 0").select("doc_id", "th")).distinct()
     stay = stay.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
     th = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    return df.join(stay, F.col(key).cast("long").eqNullSafe(F.col("_d")) & (th == F.col("_t")), "left_semi")
+    kept = rows.join(stay, F.col(key).cast("long").eqNullSafe(F.col("_d")) & (th == F.col("_t")), "left_semi")
+    return kept.toDF(*df.columns)

@@ -82,6 +82,16 @@ def test_documents(spark, whole):
     assert padding < 0.01 * sum(totals)
 
 
+@pytest.mark.parametrize("words", [2, 10])
+def test_short_texts_need_no_padding(spark, whole, words):
+    """Sequences that the limit on segments closes are split to lengths that need no padding."""
+    docs = {i: (" ".join(["the"] * words), 0) for i in range(3000)}
+    df = spark.createDataFrame([(k, t) for k, (t, _) in docs.items()], "doc_id long, text string").repartition(2)
+    by_seq = check(packing.pack(df, PATH).collect(), docs, packing.Limits(), whole)
+    totals = [sum(r.length for r in p) for p in by_seq.values()]
+    assert sum(2048 - n for n in totals if n & (n - 1)) < 0.01 * sum(totals)
+
+
 def test_simultaneous_limits(spark, whole):
     rnd = random.Random(2)
     limits = packing.Limits(tokens=128, segments=4, loss=60, min_cut=4, pool=32)
@@ -106,4 +116,5 @@ def test_query_digest_and_empty(spark):
     df = spark.createDataFrame([(1, "hello")], "doc_id long, text string")
     row = packing.pack(df, PATH).withColumn("crc", F.crc32("ids")).first()
     assert row.crc == zlib.crc32(bytes(row.ids))
+    assert packing.pack(df, PATH, digest=True).first().ids_crc32 == row.crc
     assert packing.pack(df.limit(0), PATH).count() == 0

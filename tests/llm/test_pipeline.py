@@ -5,6 +5,8 @@ import re
 import duckdb
 import numpy as np
 import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from citybeat.llm import line_crf, secrets
@@ -82,3 +84,24 @@ def test_entry_registers_every_operator():
     for n in range(1, 11):
         assert sum(bool(re.match(rf"op{n}_", x)) for x in names) == 1
     assert set(entry.oracle_sql()) <= set(names)
+
+
+CLASHES = ["_d", "_t", "_k", "_md5", "live_spans", "row", "a.dotted name", "comp", "n", "spans", "c0", "norm"]
+
+
+@pytest.mark.parametrize("name", [k for k, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_columns_of_any_name(spark, name):
+    """Columns named like a stage's own, null texts and ids, repeated rows."""
+    docs = duckdb.sql(f"SELECT doc_id, text, lang, source, n_chars FROM '{SF}/documents.parquet' LIMIT 300").fetchall()
+    docs += [docs[0], docs[0], (None, None, None, None, None), (7000, None, "en", "s", 0), (7001, "password = hunter22secret9 and more words here", "en", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    plain = spark.createDataFrame(docs, schema).repartition(3)
+    extra = plain.toDF(*plain.columns)
+    for c in CLASHES:
+        extra = extra.withColumns({c: F.lit(c)}) if "." not in c else extra.select("*", F.lit(c).alias(c))
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got, want = stage(spark, extra, SF), stage(spark, plain, SF)
+    assert got.columns == extra.columns
+    rows = got.collect()
+    assert sorted((tuple(r)[:5] for r in rows), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert all(tuple(r)[5:] == tuple(CLASHES) for r in rows)
