@@ -66,7 +66,7 @@ class WordEncoder:
 
     def _encode_word(self, word: str) -> bytes:
         # The letters of the fast path are composed already: normalising would change nothing.
-        if not self._fast(word):
+        if not (word.isascii() and word.isprintable() or self._fast(word)):
             return np.array(self._whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         low = word.lower()
         ranks: list[int] = []
@@ -84,9 +84,17 @@ class WordEncoder:
             if len(seen) > CACHE_WORDS:
                 self._before, self._seen = seen, {}
                 seen, new = self._seen, set(words)
-            before, encode_word = self._before.get, self._encode_word
+            before, encode_word, merge, id_of = self._before.get, self._encode_word, self._merge, self._id.__getitem__
             for w in new:
-                seen[w] = before(w) or (encode_word(w) if w else b"")
+                ids = before(w)
+                if ids is None:
+                    if w.isascii() and w.isalpha():
+                        # the common case of _encode_word
+                        b = w.lower().encode()
+                        ids = b"".join(map(id_of, merge(b[:-1] + _MARK + b[-1:])))
+                    else:
+                        ids = encode_word(w) if w else b""
+                seen[w] = ids
         return b"".join(map(seen.__getitem__, words))
 
 
