@@ -2,48 +2,92 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Formats tried in order by ``parse_mixed_timestamp``.
-DEFAULT_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "yyyy-MM-dd HH:mm",
-    # one pattern letter takes padded and unpadded numbers
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy h:mm a",
-    "yyyy-M-d H:mm:ss",
-    "yyyy-M-d H:mm",
-    "yyyy-M-d",
-    "M/d/yyyy",
-)
+# Shapes of a value, told apart by their digits and separators.
+_YEAR_FIRST = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?!\d)"
+_MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?!\d)"
+_SHORT_YEAR = r"^(\d{1,2})/(\d{1,2})/(\d{2})(?!\d)"
+_DIGITS = r"^(\d{4})(\d{2})(\d{2})(?:[T ]?(\d{2})(\d{2})(\d{2})?)?$"
+_NAMED = r"(?i)^(?:[a-z]{3,9},? )?([a-z]{3})[a-z]*\.? (\d{1,2})(?:st|nd|rd|th)?,? (\d{4})(?!\d)"
+_DAY_NAMED = r"(?i)^(?:[a-z]{3,9},? )?(\d{1,2})[ -]([a-z]{3})[a-z]*\.?,?[ -](\d{4})(?!\d)"
+# What may follow the date: a time of day with fraction and offset, or one with AM or PM.
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_PLAIN = rf"^{_DAY}(?:[ T]\d{{1,2}}:\d{{1,2}}(?::\d{{1,2}}(?:\.\d+)?(?:Z|[+-]\d{{2}}:\d{{2}})?)?)?$"
+_TWELVE = rf"(?i)^({_DAY})[ T](\d{{1,2}}):(\d{{2}})(?::(\d{{2}}))?(?:\.\d+)? ?([ap])\.?m\.?$"
+_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_mixed_timestamp(col: Column | str, formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
-    """Parse strings written in any of ``formats``; unparsable values become null.
+def _named(s: Column, pattern: str, month: int, day: int) -> Column:
+    """A date with a month's name as yyyy-m-d and what follows it; month 0 for an unknown name."""
+    name = F.initcap(F.regexp_extract(s, pattern, month))
+    number = F.ceil(F.call_function("instr", F.lit(_MONTHS), name) / 3)
+    return F.concat(
+        F.regexp_extract(s, pattern, 3), F.lit("-"), number.cast("string"), F.lit("-"), F.regexp_extract(s, pattern, day),
+        F.regexp_replace(s, pattern, ""),
+    )
+
 
-    Values carrying a UTC offset ('Z', '+02:00') are converted to UTC.
+def parse_mixed_timestamp(col: Column | str, formats: Sequence[str] | None = None) -> Column:
+    """Parse strings in mixed formats; unparsable values become null.
 
-    The blank tokens ('', 'NaT', 'nan', 'None') match no format, so they come
-    out null without a separate check (which Catalyst would otherwise inline
-    into every format attempt).
+    The value's shape picks the order of its date (year first, month first,
+    digits only, month by name); the date is written as yyyy-m-d, and one parser
+    reads the result.  Two-digit years from 69 on are in the 1900s.  Offsets
+    ('Z', '+02:00', '+0200') are converted to UTC; digits of a second beyond the
+    sixth are cut.  Blank tokens ('', 'NaT', 'nan', 'None') have no such shape.
+    With ``formats`` these are tried in their order instead.
     """
     s = F.trim(_c(col).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats])
+    if formats:
+        return F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats])
+    # most values are plain already; the others go through the shapes, each step evaluated once
+    return F.when(s.rlike(_PLAIN), s.try_cast("timestamp")).otherwise(_let(s, lambda v: _let(_dated(v), _parsed)))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _dated(s: Column) -> Column:
+    """The value with its date as yyyy-m-d, or null for an unknown shape."""
+    century = F.when(F.regexp_extract(s, _SHORT_YEAR, 3) >= "69", F.lit("19")).otherwise(F.lit("20"))
+    clock = F.when(F.regexp_extract(s, _DIGITS, 4) != "", F.regexp_replace(s, _DIGITS, " $4:$5:0$6")).otherwise(F.lit(""))
+    # seconds are there or not: '0' in front of two digits goes
+    digits = F.regexp_replace(F.concat(F.regexp_replace(s, _DIGITS, "$1-$2-$3"), clock), r":0(\d{2})$", ":$1")
+    return (
+        F.when(s.rlike(_MONTH_FIRST), F.regexp_replace(s, _MONTH_FIRST, "$3-$1-$2"))
+        .when(s.rlike(_YEAR_FIRST), F.regexp_replace(s, _YEAR_FIRST, "$1-$2-$3"))
+        .when(s.rlike(_SHORT_YEAR), F.concat(century, F.regexp_replace(s, _SHORT_YEAR, "$3-$1-$2")))
+        .when(s.rlike(_DIGITS), digits)
+        .when(s.rlike(_NAMED), _named(s, _NAMED, 1, 2))
+        .when(s.rlike(_DAY_NAMED), _named(s, _DAY_NAMED, 2, 1))
+    )
+
+
+def _parsed(dated: Column) -> Column:
+    # one blank between date and time, none before an offset, a colon in it, seconds in front of it
+    tidy = F.regexp_replace(dated, rf"^({_DAY})[ ,T]+", "$1 ")
+    tidy = F.regexp_replace(tidy, r"(:\d{1,2}(?:\.\d+)?) ?(?:UTC|GMT|z)$", "$1Z")
+    tidy = F.regexp_replace(tidy, r"(:\d{1,2}(?:\.\d+)?) ?([+-]\d{2}):?(\d{2})$", "$1$2:$3")
+    tidy = F.regexp_replace(tidy, r"([ T]\d{1,2}:\d{1,2})(Z|[+-]\d{2}:\d{2})$", "$1:00$2")
+
+    def read(t: Column) -> Column:
+        parts = [F.regexp_extract(t, _TWELVE, i) for i in range(1, 6)]
+        clock = F.concat(parts[0], F.lit(" "), parts[1], F.lit(":"), parts[2], F.lit(":"), F.lpad(parts[3], 2, "0"), F.lit(" "), F.upper(parts[4]), F.lit("M"))
+        return F.when(t.rlike(_PLAIN), t.try_cast("timestamp")).when(
+            t.rlike(_TWELVE), F.try_to_timestamp(clock, F.lit("yyyy-M-d h:mm:ss a"))
+        )
+
+    return _let(tidy, read)
 
 
 def _floor_div(v: Column, by: int) -> Column:

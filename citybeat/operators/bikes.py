@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citybeat.constants import BIKE_DURATION_EDGES, BIKE_DURATION_LABELS, BIKE_DURATION_RANGE, TOP_FLOWS, TOP_STATIONS
+from citybeat.constants import BIKE_DURATION_EDGES, BIKE_DURATION_LABELS, BIKE_DURATION_RANGE, BLANK_TOKENS, TOP_FLOWS, TOP_STATIONS
 from citybeat.functions.bins import right_closed_bin
 from citybeat.functions.datetime import minutes_between, parse_mixed_timestamp
-from citybeat.functions.numeric import exact_sum, round_half_up
+from citybeat.functions.numeric import exact_sum, round_half_up, to_double
 from citybeat.operators.common import share_of_total, top_k, zero_filled_counts
 
 REQUIRED = [
@@ -21,23 +21,26 @@ REQUIRED = [
 def clean_trips(raw: DataFrame, formats: Sequence[str] | None = None) -> DataFrame:
     """Raw bike rows (strings) -> typed trips with ``duration_min``.
 
-    Rows missing a required field are dropped, start/end are parsed from any
-    supported format (blank tokens are null), and only durations in
-    [0, 360] minutes are kept.  Timestamps come out as UTC wall-clock
+    Rows missing a required field (null or one of ``BLANK_TOKENS``, in any case)
+    are dropped, start/end are parsed from any supported format, coordinates
+    that are no numbers become null, and only durations in [0, 360] minutes are
+    kept.  Timestamps come out as UTC wall-clock
     ``timestamp_ntz``.
     """
-    kept = raw.dropna(subset=REQUIRED)
+    missing = [t.lower() for t in BLANK_TOKENS]
+    there = F.lit(True)
+    for c in REQUIRED:
+        there = there & F.coalesce(~F.lower(F.trim(F.col(c).cast("string"))).isin(missing), F.lit(False))
+    kept = raw.filter(there)
     parse = (lambda c: parse_mixed_timestamp(c, formats)) if formats else parse_mixed_timestamp
-    typed = kept.withColumns(
+    # a generator's columns are computed once; plain ones would be parsed again in the filter and in every aggregate
+    times = F.inline(F.array(F.struct(parse("started_at").alias("started_at"), parse("ended_at").alias("ended_at"))))
+    typed = kept.select(*[c for c in kept.columns if c not in ("started_at", "ended_at")], times).select(*kept.columns)
+    typed = typed.withColumns(
         {
-            "started_at": parse("started_at"),
-            "ended_at": parse("ended_at"),
             "start_station_id": F.col("start_station_id").cast("string"),
             "end_station_id": F.col("end_station_id").cast("string"),
-            "start_lat": F.col("start_lat").try_cast("double"),
-            "start_lng": F.col("start_lng").try_cast("double"),
-            "end_lat": F.col("end_lat").try_cast("double"),
-            "end_lng": F.col("end_lng").try_cast("double"),
+            **{c: to_double(c) for c in ("start_lat", "start_lng", "end_lat", "end_lng")},
         }
     )
     typed = typed.withColumn("duration_min", minutes_between("started_at", "ended_at"))

@@ -95,3 +95,36 @@ def test_offsets_convert_to_utc(spark):
     df = spark.createDataFrame([("2024-01-02T03:04:05+02:00",), ("2024-01-02 03:04:05Z",)], "s string")
     got = [r.t for r in df.select(parse_mixed_timestamp("s").cast("timestamp_ntz").alias("t")).collect()]
     assert got == [dt.datetime(2024, 1, 2, 1, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5)]
+
+
+def test_mixed_date_shapes(spark):
+    at = dt.datetime
+    cases = {
+        "2024-01-05T10:11": at(2024, 1, 5, 10, 11), "2024-01-05T10:11Z": at(2024, 1, 5, 10, 11), "2024-01-05 10:11+01:00": at(2024, 1, 5, 9, 11),
+        "2024-01-05 10:11:12.123456789": at(2024, 1, 5, 10, 11, 12, 123456), "2024-01-05T10:11:12+0200": at(2024, 1, 5, 8, 11, 12),
+        "2024-01-05 10:11:12 +02:00": at(2024, 1, 5, 8, 11, 12), "2024-01-05 10:11:12 UTC": at(2024, 1, 5, 10, 11, 12),
+        "2024/01/05 10:11:12": at(2024, 1, 5, 10, 11, 12), "2024/1/5": at(2024, 1, 5), "20240105": at(2024, 1, 5),
+        "20240105101112": at(2024, 1, 5, 10, 11, 12), "202401051011": at(2024, 1, 5, 10, 11), "20240105T101112": at(2024, 1, 5, 10, 11, 12),
+        "Jan 5, 2024 10:11": at(2024, 1, 5, 10, 11), "January 5 2024": at(2024, 1, 5), "5 Jan 2024 3:04 pm": at(2024, 1, 5, 15, 4),
+        "Fri, 05-Jan-2024 10:11:12": at(2024, 1, 5, 10, 11, 12), "1/2/24 3:04": at(2024, 1, 2, 3, 4), "1/2/70": at(1970, 1, 2),
+        "1/2/2024 12:04:05 AM": at(2024, 1, 2, 0, 4, 5), "01/02/2024 12:04 PM": at(2024, 1, 2, 12, 4), "2024-1-5 3:04": at(2024, 1, 5, 3, 4),
+        "  2024-01-05 10:11:12  ": at(2024, 1, 5, 10, 11, 12), "2024-01-05 10:11:12.5": at(2024, 1, 5, 10, 11, 12, 500000),
+        "13/40/2024": None, "2024-02-30": None, "Foo 5, 2024": None, "20241305": None, "2024-01-05 25:00": None, "10:11:12": None,
+        "2024": None, "2024-01-05 10:11 xx": None, "1/2/2024 13:04 PM": None, "20240105101": None, "abc": None, "5": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r.s: r.t for r in df.select("s", parse_mixed_timestamp("s").cast("timestamp_ntz").alias("t")).collect()}
+    assert got == cases
+
+
+def test_missing_coordinates_drop_the_trip(spark):
+    from citybeat.operators.bikes import clean_trips
+
+    rows = [(v, w) for v, w in [("1.5", "2"), ("nan", "2"), ("1", "NaN"), ("abc", "2"), (None, "2"), ("", "2")]]
+    df = spark.createDataFrame(
+        [("2024-01-01 10:00", "2024-01-01 10:10", "a", "b", v, w, "1", "1") for v, w in rows],
+        "started_at string, ended_at string, start_station_id string, end_station_id string, start_lat string, start_lng string, "
+        "end_lat string, end_lng string",
+    )
+    got = [(r.start_lat, r.start_lng) for r in clean_trips(df).collect()]
+    assert sorted(got, key=str) == [(1.5, 2.0), (None, 2.0)]
