@@ -23,8 +23,7 @@ from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# W7 size: larger than the zones seen in the latest year at sf0.01, so that
-# scale exercises the fallback to all years; sf0.1 takes the latest year.
+# W7 size: sf0.001 has fewer zones in its latest year and falls back to all years; larger scales take the latest year.
 FALLBACK_K = 150
 
 
