@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from citybeat.constants import CANDIDATE_LIMIT, CIRCLE_MODES, MINUTES, NETWORK_MODES, TARGET_ROUTES, TIP_LABELS, TIP_ZERO_LABEL
 from citybeat.functions.datetime import compact_digits_to_timestamp, epoch_to_timestamp
-from citybeat.operators import bikes, grid, network, outline, polygons, reports, ridership, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, grid, groups, network, outline, polygons, reports, ridership, sampling, spatial, taxi, traffic
 from citybeat.operators.common import top_k
 from citybeat.plans import bindings as B
 from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_reports, oracle_taxi, oracle_traffic
@@ -237,6 +237,8 @@ def _geo_queries() -> dict[str, Query]:
             B.customer_points(s, d), B.supplier_points(s, d), "c_custkey", "s_suppkey"
         ),
         "route_overlap": lambda s, d: spatial.route_overlap(B.order_routes(s, d)),
+        "route_groups": lambda s, d: groups.route_groups(B.order_routes(s, d)),
+        "shared_segments": lambda s, d: groups.shared_segments(B.order_routes(s, d)),
         "endpoint_roles": lambda s, d: spatial.endpoint_roles(B.order_routes(s, d)),
         "station_rings": _rings,
         "latest_isochrones": lambda s, d: network.latest_isochrones(_rings(s, d), "cycling"),

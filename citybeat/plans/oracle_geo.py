@@ -197,6 +197,29 @@ ps AS (SELECT seg, min(route_id) <> max(route_id) AS shared FROM s GROUP BY seg)
 SELECT route_id, count(*) AS n_segments, count(*) FILTER (WHERE shared) AS shared_segments,
        count(*) FILTER (WHERE shared) > 0 AS has_overlap
 FROM s JOIN ps USING (seg) GROUP BY route_id
+"""
+    uses = f"""
+WITH {ROUTE_POINTS.strip()},
+k AS (SELECT route_id, seq, {_key('lng', 'lat', 5)} AS k FROM rp),
+nx AS (SELECT route_id, k, lead(k) OVER (PARTITION BY route_id ORDER BY seq) AS nk FROM k),
+u AS MATERIALIZED (SELECT DISTINCT route_id, CASE WHEN k < nk THEN k || '|' || nk ELSE nk || '|' || k END AS seg FROM nx WHERE nk IS NOT NULL)"""
+    q["shared_segments"] = uses + """
+SELECT seg, min(route_id) AS first_route, max(route_id) AS last_route, count(*) AS n_routes FROM u GROUP BY seg HAVING count(*) > 1
+"""
+    # labels spread from route to segment to route; as many rounds as the longest chain at these scales needs
+    rounds = ",\n".join(
+        f"g{i} AS MATERIALIZED (SELECT u.route_id, min(m.l) AS l FROM u JOIN "
+        f"(SELECT seg, min(l) AS l FROM u JOIN g{i - 1} USING (route_id) GROUP BY seg) m USING (seg) GROUP BY u.route_id)"
+        for i in range(1, 13)
+    )
+    q["route_groups"] = uses + f""",
+g0 AS MATERIALIZED (SELECT DISTINCT route_id, route_id AS l FROM u),
+{rounds},
+links AS (SELECT DISTINCT f.a, u.route_id AS b FROM u JOIN (SELECT seg, min(route_id) AS a FROM u GROUP BY seg) f USING (seg) WHERE f.a < u.route_id),
+nl AS (SELECT l, count(*) AS group_links FROM links JOIN g12 ON g12.route_id = links.a GROUP BY l),
+sz AS (SELECT l, count(*) AS group_size FROM g12 GROUP BY l)
+SELECT r.route_id, COALESCE(g12.l, r.route_id) AS group_id, COALESCE(sz.group_size, 1) AS group_size, COALESCE(nl.group_links, 0) AS group_links
+FROM (SELECT DISTINCT route_id FROM rp) r LEFT JOIN g12 USING (route_id) LEFT JOIN sz USING (l) LEFT JOIN nl USING (l)
 """
     q["endpoint_roles"] = f"""
 WITH {ROUTE_POINTS.strip()},

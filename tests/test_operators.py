@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from citybeat.operators import bikes, common, network, outline, paths, polygons, reports, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, common, groups, network, outline, paths, polygons, reports, sampling, spatial, taxi, traffic
 from citybeat.sources.trips import normalize_trips, union_groups
 
 YEARS = (2023, 2024)
@@ -355,6 +355,43 @@ def test_goal_directed_paths(spark):
             assert sum(w[e] for e in zip(got[k], got[k][1:])) == _dijkstra(edges, s)[t]
 
 
+def test_route_groups(spark):
+    """Chains, a hot segment, a repeated segment and routes of one point, against union-find."""
+    rnd = random.Random(31)
+    routes = {r: [rnd.randrange(60) for _ in range(rnd.randint(1, 4))] for r in range(60)}
+    routes |= {100 + i: [200 + i, 201 + i, 202 + i] for i in range(40)}  # each shares a segment with the next
+    routes |= {300 + i: [900, 901, 900] for i in range(30)}
+    routes[400] = [950, 951, 950]  # a segment twice in one route only
+    rows = [(r, i, n / 100.0, 0.0) for r, ns in routes.items() for i, n in enumerate(ns)]
+    df = spark.createDataFrame(rows, "route_id long, seq int, lng double, lat double")
+    parent = {r: r for r in routes}
+
+    def top(r):
+        while parent[r] != r:
+            r = parent[r]
+        return r
+
+    by_seg = {}
+    for r, ns in routes.items():
+        for a, b in zip(ns, ns[1:]):
+            by_seg.setdefault((min(a, b), max(a, b)), set()).add(r)
+    for members in by_seg.values():
+        for r in members:
+            a, b = sorted((top(min(members)), top(r)))
+            parent[b] = a
+    links = {(min(m), r) for m in by_seg.values() for r in m if r != min(m)}
+    want = {}
+    for r in routes:
+        own = [x for x in routes if top(x) == top(r)]
+        want[r] = (min(own), len(own), sum(top(a) == top(r) for a, _ in links))
+    got = {r.route_id: (r.group_id, r.group_size, r.group_links) for r in groups.route_groups(df).collect()}
+    assert got == want and got[400] == (400, 1, 0) and got[139] == (100, 40, 39)
+    shared = groups.shared_segments(df).collect()
+    assert sorted((r.first_route, r.last_route, r.n_routes) for r in shared) == sorted(
+        (min(m), max(m), len(m)) for m in by_seg.values() if len(m) > 1
+    )
+
+
 def test_outlines_enclose_their_cells(spark):
     """Blobs with holes, corner contacts and single cells: areas add up, every outline is its cells' boundary."""
     import json
