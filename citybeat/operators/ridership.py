@@ -39,13 +39,15 @@ def year_totals(means: DataFrame, modes: Sequence[str] | None = None) -> DataFra
 def full_grid(means: DataFrame) -> DataFrame:
     """Every observed year x every observed mode, 0 where the pair is missing.
 
-    Built with ``pivot`` (distinct modes become columns) and ``unpivot``:
-    the grid is never produced by a join of two dimensions.
+    The list of modes is a scalar aggregate of the same plan, so nothing runs
+    while the query is planned; the grid is not a join of two dimensions.
     """
-    wide = means.groupBy("year").pivot("mode").agg(F.first("ridership_units"))
-    modes = [c for c in wide.columns if c != "year"]
-    long = wide.unpivot(["year"], [F.col(f"`{m}`") for m in modes], "mode", "ridership_units")
-    return long.withColumn("ridership_units", F.coalesce(F.col("ridership_units"), F.lit(0).cast("long")))
+    mode = F.coalesce("mode", F.lit("null"))
+    modes = means.agg(F.array_sort(F.collect_set(mode))).scalar()
+    wide = means.groupBy("year").agg(F.map_from_entries(F.collect_list(F.struct(mode, "ridership_units"))).alias("units"))
+    long = wide.select("year", "units", F.explode(modes).alias("mode"))
+    units = F.coalesce(F.col("units")[F.col("mode")], F.lit(0).cast("long"))
+    return long.select("year", "mode", units.alias("ridership_units"))
 
 
 def mode_share(means: DataFrame) -> DataFrame:

@@ -374,6 +374,16 @@ def epoch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", value.cast("long").alias("epoch_value"), digits.alias("digits"))
 
 
+# --- trips whose latest year is thin ------------------------------------------------
+
+
+def thin_year_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips, those of service R in its latest year from a hundred zones only."""
+    thin = (F.col("service") == "R") & (F.col("year") == TRIP_YEARS[1])
+    zone = F.when(thin, F.pmod("PULocationID", F.lit(100))).otherwise(F.col("PULocationID"))
+    return trips(spark, sf_dir).withColumn("PULocationID", zone)
+
+
 # --- spatial --------------------------------------------------------------------
 
 # Fixed ring shapes in thousandths of a zone's size: a square, a triangle and a concave L.

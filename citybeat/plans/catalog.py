@@ -23,7 +23,7 @@ from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# W7 size: sf0.001 has fewer zones in its latest year and falls back to all years; larger scales take the latest year.
+# W7 size: service R has a hundred zones in its latest year and falls back to all years; the others have more from sf0.01 on.
 FALLBACK_K = 150
 
 
@@ -59,7 +59,7 @@ def _taxi_queries() -> dict[str, Query]:
         "zone_borough_share": lambda s, d: taxi.borough_share(B.trips(s, d), B.zones(s, d)),
         "top_zones": lambda s, d: taxi.top_pickup_zones(B.trips(s, d), B.zones(s, d)),
         "top_od": lambda s, d: taxi.top_od_pairs(B.trips(s, d), B.zones(s, d)),
-        "top_items_with_fallback": lambda s, d: taxi.top_zones_with_fallback(B.trips(s, d), FALLBACK_K),
+        "top_items_with_fallback": lambda s, d: taxi.top_zones_with_fallback(B.thin_year_trips(s, d), FALLBACK_K),
     }
 
 

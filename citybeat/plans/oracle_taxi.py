@@ -178,7 +178,8 @@ FROM r LEFT JOIN zones o ON o.loc = r.PULocationID LEFT JOIN zones d ON d.loc =
 """
     q["top_items_with_fallback"] = f"""
 WITH {TRIPS_CTE.strip()},
-c AS (SELECT service, year, pu AS PULocationID, count(*) AS trips FROM trips GROUP BY ALL),
+t AS (SELECT service, year, CASE WHEN service = 'R' AND year = 2000 THEN ((pu % 100) + 100) % 100 ELSE pu END AS PULocationID FROM trips),
+c AS (SELECT service, year, PULocationID, count(*) AS trips FROM t GROUP BY ALL),
 py AS (SELECT service, year, count(*) AS n FROM c GROUP BY ALL),
 st AS (SELECT service, max(year) AS latest, sum(n) AS n_all, arg_max(n, year) AS n_latest FROM py GROUP BY service),
 k AS (SELECT c.* FROM c JOIN st USING (service) WHERE c.year = st.latest OR st.n_latest < least(150, st.n_all)),

@@ -355,6 +355,15 @@ def test_goal_directed_paths(spark):
             assert sum(w[e] for e in zip(got[k], got[k][1:])) == _dijkstra(edges, s)[t]
 
 
+def test_one_service_falls_back_to_all_years(spark):
+    from citybeat.plans.catalog import queries
+
+    years = {}
+    for r in queries()["top_items_with_fallback"](spark, "/root/testdata/sf0.01").collect():
+        years.setdefault(r.service, set()).add(r.year)
+    assert years["A"] == years["N"] == {2000} and len(years["R"]) > 1
+
+
 def test_route_groups(spark):
     """Chains, a hot segment, a repeated segment and routes of one point, against union-find."""
     rnd = random.Random(31)

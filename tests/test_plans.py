@@ -11,10 +11,10 @@ from citybeat.plans.catalog import queries
 from tests.conftest import SF0001
 
 # Single-partition exchanges that are fine: shares over already-aggregated
-# category rows, and global aggregates of bounded inputs (the polygon map,
+# category rows, and global aggregates of bounded inputs (the list of modes,
 # the graph's largest node id).
 BOUNDED_SINGLE_PARTITION = {
-    "provider_share", "type_share", "member_share", "borough_avg", "latest_year_share",
+    "provider_share", "type_share", "member_share", "borough_avg", "latest_year_share", "mode_share",
     "edge_travel_time", "induced_subgraph",
 }
 
