@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from citybeat.operators.leaf_index import nearest, within_distance
 from citybeat.operators.paths import Goals, bounded_costs, landmark_bounds, shortest_paths
-from citybeat.operators.spatial import nearest, within_distance
 from citybeat.session import ensure_checkpoint_dir
 
 

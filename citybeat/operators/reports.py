@@ -2,14 +2,18 @@
 
 Input is a long cell table ``(file, sheet, row, col, value)`` - one row per
 non-empty spreadsheet cell (decoding the workbook format is outside this
-library).  Every step is a grouped aggregate, a window or a join keyed by
-``(file, sheet)``: one sheet is the largest unit that is ever processed
+library).  The table is read once: its cells meet as sheet rows, and what a
+reader remembers while going down a sheet (metadata, section title, header,
+length of the run below it) is carried by running windows over one sort of
+``(file, sheet, row)``.  One sheet is the largest unit that is ever processed
 together, so the work spreads over all sheets of all files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citybeat.constants import DAY_LABELS, HEADER_LABEL, SECTION_BOARD, SECTION_BOROUGH, SECTION_DAY
@@ -17,6 +21,9 @@ from citybeat.functions.text import collapse_whitespace, metadata_value, normali
 
 KEYS = ["file", "sheet"]
 
+#: section -> (title, rows below the title in which its header must be)
+SECTIONS = {"day_of_week": (SECTION_DAY, 6), "borough": (SECTION_BOROUGH, 4), "community_board": (SECTION_BOARD, 4)}
+
 
 def _cells(cells: DataFrame) -> DataFrame:
     """Trimmed values, blank cells dropped, 'Reject Category' sheets skipped."""
@@ -25,124 +32,106 @@ def _cells(cells: DataFrame) -> DataFrame:
     return c.filter(~F.lower(F.col("sheet")).startswith("reject category"))
 
 
-def sheet_metadata(cells: DataFrame) -> DataFrame:
-    """(file, sheet) -> quarter, month, violation_type from the first six rows."""
-    c = _cells(cells)
-    first = c.filter((F.col("col") == 0) & (F.col("row") < 6))
-    vio = metadata_value("value", "VIO TYPE")
-    month = metadata_value("value", "MONTH")
-    meta = first.groupBy(*KEYS).agg(
-        F.max_by(vio, F.when(vio.isNotNull(), F.col("row"))).alias("violation_type"),
-        F.max_by(month, F.when(month.isNotNull(), F.col("row"))).alias("month"),
-    )
-    sheets = c.select(*KEYS).distinct()
-    return sheets.join(meta, KEYS, "left").select(
-        *KEYS,
-        quarter_from_name("file").alias("quarter"),
-        F.coalesce("month", F.lit("Unknown")).alias("month"),
-        F.coalesce("violation_type", F.lit("Unknown")).alias("violation_type"),
+def sheet_rows(cells: DataFrame) -> DataFrame:
+    """(file, sheet, row) -> first cell and the cells right of it, by column.
+
+    The rows of a sheet stay in one partition for the windows that follow.
+    A cell given twice counts twice; of two first cells the smaller one is read.
+    """
+    c = _cells(cells).repartition(*KEYS)
+    return c.groupBy(*KEYS, "row").agg(
+        F.min(F.when(F.col("col") == 0, F.col("value"))).alias("first"),
+        F.sort_array(F.collect_list(F.when(F.col("col") >= 1, F.struct("col", "value")))).alias("cells"),
     )
 
 
-def find_section(cells: DataFrame, label: str) -> DataFrame:
-    """(file, sheet) -> first row whose first cell contains ``label``."""
-    c = _cells(cells)
-    hit = (F.col("col") == 0) & F.lower(F.col("value")).contains(label.lower())
-    return c.filter(hit).groupBy(*KEYS).agg(F.min("row").alias("start"))
+def _label(col: Column, day: Column | None = None, time: Column | None = None, borough: Column | None = None, board: Column | None = None) -> Column:
+    """A labelled column of a section; what a section lacks is ''."""
+    parts = {"day": day, "time_window": time, "borough": borough, "community_board": board}
+    return F.struct(col.alias("col"), *[(F.lit("") if v is None else v).alias(k) for k, v in parts.items()])
 
 
-def _header_and_body(cells: DataFrame, label: str, search_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Header row of a section and its body rows (reason per row).
+def _columns(section: str) -> Column:
+    """The labelled columns a header row gives (U2-U4).  Day labels sit in the row above,
+    over the first column of each day, and are carried right across the columns."""
+    if section == "borough":
+        return F.transform("cells", lambda c: _label(c["col"], borough=normalize_borough(c["value"])))
+    if section == "community_board":
+        return F.transform("cells", lambda c: _label(c["col"], board=collapse_whitespace(c["value"])))
+    days = F.filter("above", lambda d: F.upper(d["value"]).isin(DAY_LABELS))
 
-    The header is the first 'Reject Reason' row within ``search_rows`` rows
-    of the section title; the body is the run of rows right below it with a
-    non-blank first cell (it ends at the first blank one).
-    """
-    c = _cells(cells)
-    first_col = c.filter(F.col("col") == 0).select(*KEYS, "row", "value")
-    start = find_section(cells, label)
-    header = (
-        first_col.join(start, KEYS)
-        .filter((F.col("value") == HEADER_LABEL) & (F.col("row") >= F.col("start")) & (F.col("row") < F.col("start") + search_rows))
-        .groupBy(*KEYS)
-        .agg(F.min("row").alias("header"))
-    )
-    below = first_col.join(header, KEYS).filter(F.col("row") > F.col("header"))
-    rn = F.row_number().over(Window.partitionBy(*KEYS).orderBy("row"))
-    run = below.withColumn("__rn", rn).filter(F.col("row") == F.col("header") + F.col("__rn"))
-    body = run.filter(F.lower(F.col("value")) != HEADER_LABEL.lower()).select(*KEYS, "row", F.col("value").alias("reject_reason"))
-    return header, body
-
-
-def _values(cells: DataFrame, body: DataFrame, columns: DataFrame) -> DataFrame:
-    """Body cells at the labelled columns, as counts."""
-    c = _cells(cells).filter(F.col("col") >= 1)
-    return (
-        c.join(body, KEYS + ["row"])
-        .join(columns, KEYS + ["col"])
-        .withColumn("count", F.col("value").try_cast("double").cast("long"))
-        .filter(F.col("count").isNotNull())
-    )
+    def day_of(c: Column) -> Column:
+        left = F.filter(days, lambda d: d["col"] <= c["col"])
+        return F.upper(F.get(left, F.size(left) - 1)["value"])
 
+    labelled = F.transform("cells", lambda c: _label(c["col"], day=day_of(c), time=c["value"]))
+    return F.filter(labelled, lambda c: c["day"].isNotNull())
 
-def day_of_week_records(cells: DataFrame) -> DataFrame:
-    """Day/time section: day labels sit above the first column of each day
-    and are carried right across the columns (U2)."""
-    header, body = _header_and_body(cells, SECTION_DAY, 6)
-    c = _cells(cells).filter(F.col("col") >= 1)
-    with_h = c.join(header, KEYS)
-    times = with_h.filter(F.col("row") == F.col("header")).select(*KEYS, "col", F.col("value").alias("time_window"), F.lit(1).alias("__k"))
-    days = with_h.filter((F.col("row") == F.col("header") - 1) & F.upper("value").isin(DAY_LABELS)).select(
-        *KEYS, "col", F.upper("value").alias("day"), F.lit(0).alias("__k")
-    )
-    both = times.withColumn("day", F.lit(None).cast("string")).unionByName(days.withColumn("time_window", F.lit(None).cast("string")))
-    w = Window.partitionBy(*KEYS).orderBy("col", "__k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = both.withColumn("day", F.last("day", ignorenulls=True).over(w))
-    columns = filled.filter((F.col("__k") == 1) & F.col("day").isNotNull()).select(*KEYS, "col", "day", "time_window")
-    vals = _values(cells, body, columns)
-    return vals.select(
-        *KEYS, F.lit("day_of_week").alias("section"), "reject_reason", "day", "time_window",
-        F.lit("").alias("borough"), F.lit("").alias("community_board"), "count",
-    )
 
+def section_state(cells: DataFrame, sections: Sequence[str] = tuple(SECTIONS)) -> DataFrame:
+    """Sheet rows with what the rows above them say.
 
-def borough_records(cells: DataFrame) -> DataFrame:
-    """Borough section: header cells are borough names, title-cased."""
-    header, body = _header_and_body(cells, SECTION_BOROUGH, 4)
-    c = _cells(cells).filter(F.col("col") >= 1).join(header, KEYS).filter(F.col("row") == F.col("header"))
-    columns = c.select(*KEYS, "col", normalize_borough("value").alias("borough"))
-    vals = _values(cells, body, columns)
-    return vals.select(
-        *KEYS, F.lit("borough").alias("section"), "reject_reason", F.lit("").alias("day"), F.lit("").alias("time_window"),
-        "borough", F.lit("").alias("community_board"), "count",
+    Per section: ``start``, the first row whose first cell holds the title;
+    ``header``, the first 'Reject Reason' row within the section's search rows;
+    ``columns``, its labels; ``run``, the rows with a first cell since then.
+    Metadata comes from the first six rows, the last value of each.
+    """
+    by_row = Window.partitionBy(*KEYS).orderBy("row")
+    so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sheet = by_row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    row, first = F.col("row"), F.col("first")
+    top = lambda key: F.last(F.when(row < 6, metadata_value("first", key)), ignorenulls=True).over(sheet)
+    state = sheet_rows(cells).withColumns(
+        {
+            "violation_type": F.coalesce(top("VIO TYPE"), F.lit("Unknown")),
+            "month": F.coalesce(top("MONTH"), F.lit("Unknown")),
+            "above": F.when(F.lag("row").over(by_row) == row - 1, F.lag("cells").over(by_row)),
+            **{
+                f"start_{s}": F.min(F.when(F.lower(first).contains(SECTIONS[s][0].lower()), row)).over(so_far)
+                for s in sections
+            },
+        }
     )
-
-
-def community_board_records(cells: DataFrame) -> DataFrame:
-    """Community-board section: header labels with whitespace collapsed (U4)."""
-    header, body = _header_and_body(cells, SECTION_BOARD, 4)
-    c = _cells(cells).filter(F.col("col") >= 1).join(header, KEYS).filter(F.col("row") == F.col("header"))
-    columns = c.select(*KEYS, "col", collapse_whitespace("value").alias("community_board"))
-    vals = _values(cells, body, columns)
-    return vals.select(
-        *KEYS, F.lit("community_board").alias("section"), "reject_reason", F.lit("").alias("day"),
-        F.lit("").alias("time_window"), F.lit("").alias("borough"), "community_board", "count",
+    found = {}
+    for s in sections:
+        start = F.col(f"start_{s}")
+        is_header = (first == HEADER_LABEL) & (row >= start) & (row < start + SECTIONS[s][1])
+        found[f"header_{s}"] = F.min(F.when(is_header, row)).over(so_far)
+        found[f"columns_{s}"] = F.first(F.when(is_header, _columns(s)), ignorenulls=True).over(so_far)
+    state = state.withColumns(found)
+    return state.withColumns(
+        {f"run_{s}": F.sum(F.when(first.isNotNull() & (row > F.col(f"header_{s}")), 1)).over(so_far) for s in sections}
     )
 
 
-def tidy_reports(cells: DataFrame, sections: tuple[str, ...] = ("day_of_week", "borough", "community_board")) -> DataFrame:
-    """All sections of all sheets as tidy rows with sheet metadata."""
-    parts = {
-        "day_of_week": day_of_week_records,
-        "borough": borough_records,
-        "community_board": community_board_records,
-    }
-    recs = None
-    for s in sections:
-        r = parts[s](cells)
-        recs = r if recs is None else recs.unionByName(r)
-    meta = sheet_metadata(cells)
-    return recs.join(meta, KEYS).select(
-        F.col("file").alias("source_file"), "quarter", "sheet", "month", "violation_type", "section", "reject_reason",
-        "day", "time_window", "borough", "community_board", "count",
+def _records(section: str) -> Column:
+    """Counts of a body row at the section's labelled columns; none for any other row.
+
+    The body is the run of rows right below the header with a non-blank
+    first cell: it ends at the first blank one.
+    """
+    labels = F.col(f"columns_{section}")
+    values = F.transform(
+        "cells",
+        lambda c: F.struct(
+            F.lit(section).alias("section"),
+            F.filter(labels, lambda h: h["col"] == c["col"]).alias("at"),
+            c["value"].try_cast("double").try_cast("long").alias("count"),
+        ),
+    )
+    below = F.col("row") - F.col(f"header_{section}")
+    in_body = (below > 0) & (F.col(f"run_{section}") == below) & (F.lower("first") != HEADER_LABEL.lower())
+    return F.when(in_body, F.filter(values, lambda v: v["count"].isNotNull()))
+
+
+def tidy_reports(cells: DataFrame, sections: Sequence[str] = tuple(SECTIONS)) -> DataFrame:
+    """The named sections of all sheets as tidy rows with sheet metadata."""
+    state = section_state(cells, sections)
+    none = F.array().cast("array<struct<section:string,at:array<struct<col:int,day:string,time_window:string,borough:string,community_board:string>>,count:bigint>>")
+    every = F.concat(*[F.coalesce(_records(s), none) for s in sections])
+    rows = state.select(*KEYS, "month", "violation_type", F.col("first").alias("reject_reason"), F.inline(every))
+    rows = rows.withColumn("label", F.explode("at"))
+    return rows.select(
+        F.col("file").alias("source_file"), quarter_from_name("file").alias("quarter"), "sheet", "month", "violation_type",
+        "section", "reject_reason", "label.day", "label.time_window", "label.borough", "label.community_board", "count",
     )

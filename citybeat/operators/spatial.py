@@ -1,4 +1,4 @@
-"""Spatial joins and geometry (J5-J8, G1, A29); J4 is in ``polygons``.
+"""Route geometry and rings (J7, J8, G1, A29); J4 is in ``polygons``, J5 and J6 are in ``leaf_index``.
 
 Coordinates for the planar joins are integers (e.g. tenths of a unit or
 metres) so that distance and orientation tests are exact.  Every join is an
@@ -15,297 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citybeat.constants import EARTH_RADIUS_KM, PAD_DEGREES, POINTS_PER_RING
-from citybeat.session import ensure_checkpoint_dir
-
-
-def _cell(c: Column, size: int) -> Column:
-    return F.floor(c / F.lit(size)).cast("long")
-
-
-# --- J5 / J6: within distance and nearest ------------------------------------------
-
-
-def _neighbour_cells(df: DataFrame, x: str, y: str, cell: int) -> DataFrame:
-    """Each row once per cell of the 3x3 block around its own cell."""
-    offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
-    return (
-        df.withColumn("__dx", F.explode(offs))
-        .withColumn("__dy", F.explode(offs))
-        .withColumn("cx", _cell(F.col(x), cell) + F.col("__dx"))
-        .withColumn("cy", _cell(F.col(y), cell) + F.col("__dy"))
-        .drop("__dx", "__dy")
-    )
-
-
-def within_distance(
-    points: DataFrame,
-    stops: DataFrame,
-    radius: int,
-    x: str = "x",
-    y: str = "y",
-    center: tuple[int, int] | None = None,
-    center_radius: int | None = None,
-    max_block: int = 1024,
-) -> DataFrame:
-    """Points within ``radius`` of any stop, or of ``center``.
-
-    Stops are replicated into the 3x3 block of cells of size ``radius``;
-    points join on their own cell and keep the first stop within range
-    (a semi join stops at the first match).  Points whose block holds more
-    than ``max_block`` distinct stop positions are answered exactly by the
-    quadtree nearest-stop search instead (within range iff the nearest stop
-    is), so no point scans a dense cluster stop by stop.
-    """
-    s_pos = stops.select(F.col(x).cast("long").alias("sx"), F.col(y).cast("long").alias("sy")).distinct()
-    keyed = points.withColumns({"cx": _cell(F.col(x), radius), "cy": _cell(F.col(y), radius)})
-    per_cell = s_pos.groupBy(_cell(F.col("sx"), radius).alias("__bx"), _cell(F.col("sy"), radius).alias("__by")).agg(
-        F.count(F.lit(1)).alias("__c")
-    )
-    heavy_cells = (
-        _neighbour_cells(per_cell, "__bx", "__by", 1)
-        .groupBy("cx", "cy")
-        .agg(F.sum("__c").alias("__block"))
-        .filter(F.col("__block") > max_block)
-        .select("cx", "cy", F.lit(True).alias("__heavy"))
-    )
-    keyed = keyed.join(heavy_cells, ["cx", "cy"], "left")
-    heavy_pts = keyed.filter(F.col("__heavy").isNotNull()).drop("__heavy", "cx", "cy")
-    keyed = keyed.filter(F.col("__heavy").isNull()).drop("__heavy")
-    s = _neighbour_cells(s_pos, "sx", "sy", radius)
-    d2 = (keyed[x] - s["sx"]) * (keyed[x] - s["sx"]) + (keyed[y] - s["sy"]) * (keyed[y] - s["sy"])
-    cond = (keyed["cx"] == s["cx"]) & (keyed["cy"] == s["cy"]) & (d2 <= F.lit(radius * radius))
-    if center is not None:
-        cx, cy = center
-        near_center = (F.col(x) - cx) * (F.col(x) - cx) + (F.col(y) - cy) * (F.col(y) - cy) <= F.lit(center_radius * center_radius)
-    else:
-        near_center = F.lit(False)
-    out = keyed.filter(near_center).drop("cx", "cy").unionByName(
-        keyed.filter(~near_center).join(s, cond, "left_semi").drop("cx", "cy")
-    )
-    hard = heavy_pts.select(F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py")).distinct()
-    if hard.isEmpty():
-        return out
-    found = _nearest_quadtree(
-        hard.select(F.col("__px").alias(x), F.col("__py").alias(y), F.lit(0).alias("__pt")),
-        s_pos.select(F.col("sx").alias(x), F.col("sy").alias(y), F.lit(0).alias("__sid")),
-        "__pt", "__sid", x, y,
-    ).filter(F.col("__d2") <= F.lit(radius * radius))
-    keep = heavy_pts.join(
-        found.select(F.col("__px").alias("__hx"), F.col("__py").alias("__hy")),
-        (F.col(x).cast("long") == F.col("__hx")) & (F.col(y).cast("long") == F.col("__hy")),
-        "left_semi",
-    )
-    return out.unionByName(keep.filter(~near_center)).unionByName(heavy_pts.filter(near_center))
-
-
-def nearest(
-    points: DataFrame,
-    stops: DataFrame,
-    point_id: str,
-    stop_id: str,
-    x: str = "x",
-    y: str = "y",
-    cell: int | None = None,
-    max_block: int = 1024,
-    leaf_size: int = 16,
-) -> DataFrame:
-    """Exact nearest stop for every point; ties go to the smallest stop id.
-
-    Grid escalation first: level k uses cells of size cell * 4**k and a point
-    compares itself with the stops of its 3x3 block.  If the best of them is
-    within one cell size it is final (every stop outside the block is
-    farther).  Points whose block holds more than ``max_block`` stops do not
-    compare at all; they, and nothing else, are answered by the exact
-    quadtree descent (``_nearest_quadtree``), whose candidates stay bounded
-    in dense clusters.  Stops sharing a position collapse to the smallest id
-    and points sharing a position are solved once.
-    """
-    ensure_checkpoint_dir(points.sparkSession)
-    st = stops.groupBy(F.col(x).cast("long").alias("__sx"), F.col(y).cast("long").alias("__sy")).agg(
-        F.min(stop_id).alias("__sid")
-    )
-    span = st.agg(F.min("__sx"), F.max("__sx"), F.min("__sy"), F.max("__sy"), F.count(F.lit(1))).first()
-    if not span or not span[4]:
-        # no stop at all: every point, without one
-        none = F.lit(None).cast(stops.schema[stop_id].dataType).alias(stop_id)
-        return points.select(F.col(point_id), none, F.lit(None).cast("long").alias("dist2"))
-    width = max(int(span[1]) - int(span[0]), int(span[3]) - int(span[2]), 1)
-    size = cell or max(1, width // max(1, int(math.isqrt(int(span[4])))))
-    sizes = [size]
-    while sizes[-1] <= 2 * width:
-        sizes.append(sizes[-1] * 4)
-    # stops per cell summed over each cell's 3x3 neighbourhood, all levels in one pass
-    lv = F.explode(F.array(*[F.lit(v) for v in sizes])).alias("__size")
-    per_cell = st.select("__sx", "__sy", lv).groupBy(
-        "__size", F.floor(F.col("__sx") / F.col("__size")).cast("long").alias("__bx"),
-        F.floor(F.col("__sy") / F.col("__size")).cast("long").alias("__by"),
-    ).agg(F.count(F.lit(1)).alias("__c"))
-    blocks = (
-        _neighbour_cells(per_cell, "__bx", "__by", 1)
-        .groupBy("__size", "cx", "cy")
-        .agg(F.sum("__c").alias("__block"))
-        .filter(F.col("__block") > max_block)
-        .checkpoint()  # read at every level
-    )
-    todo = points.select(F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py")).distinct()
-    sid_type = st.schema["__sid"].dataType
-    parts: list[DataFrame] = []
-    for i, size in enumerate(sizes):
-        last = i == len(sizes) - 1
-        keyed = todo.withColumns({"cx": _cell(F.col("__px"), size), "cy": _cell(F.col("__py"), size)})
-        heavy_cells = blocks.filter(F.col("__size") == size).select("cx", "cy", F.lit(True).alias("__heavy"))
-        keyed = keyed.join(heavy_cells, ["cx", "cy"], "left")
-        heavy = F.coalesce(F.col("__heavy"), F.lit(False))
-        parts.append(
-            keyed.filter(heavy).select(
-                "__px", "__py", F.lit(None).cast("long").alias("__d2"), F.lit(None).cast(sid_type).alias("__sid"),
-                F.lit(True).alias("__heavy"),
-            )
-        )
-        keyed = keyed.filter(~heavy).drop("__heavy")
-        cand = _neighbour_cells(st, "__sx", "__sy", size)
-        d2 = (F.col("__px") - F.col("__sx")) * (F.col("__px") - F.col("__sx")) + (F.col("__py") - F.col("__sy")) * (
-            F.col("__py") - F.col("__sy")
-        )
-        pairs = keyed.join(cand, ["cx", "cy"], "left").withColumn("__d2", d2)
-        key = F.struct("__d2", "__sid")
-        best = pairs.groupBy("__px", "__py").agg(F.min_by(key, F.when(F.col("__sid").isNotNull(), key)).alias("__b"))
-        best = best.select("__px", "__py", F.col("__b.__d2").alias("__d2"), F.col("__b.__sid").alias("__sid"))
-        final = F.col("__d2").isNotNull() & ((F.col("__d2") <= F.lit(size * size)) | F.lit(last))
-        parts.append(best.filter(final).withColumn("__heavy", F.lit(False)))
-        todo = best.filter(~final).select("__px", "__py")
-    grid = parts[0]
-    for part in parts[1:]:
-        grid = grid.unionByName(part)
-    grid = grid.checkpoint()  # one execution of the escalation; both outcomes read it
-    answered = grid.filter(~F.col("__heavy")).select("__px", "__py", "__d2", "__sid")
-    rest = grid.filter("__heavy").select("__px", "__py")
-    if not rest.isEmpty():
-        hard_points = rest.select(F.col("__px").alias(x), F.col("__py").alias(y), F.lit(0).alias("__pt"))
-        answered = answered.unionByName(_nearest_quadtree(hard_points, stops, "__pt", stop_id, x, y, leaf_size))
-    located = points.select(F.col(point_id), F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py"))
-    return located.join(answered, ["__px", "__py"]).select(
-        F.col(point_id), F.col("__sid").alias(stop_id), F.col("__d2").alias("dist2")
-    )
-
-
-def _nearest_quadtree(
-    points: DataFrame,
-    stops: DataFrame,
-    point_id: str,
-    stop_id: str,
-    x: str = "x",
-    y: str = "y",
-    leaf_size: int = 16,
-    checkpoint_every: int = 4,
-) -> DataFrame:
-    """Exact nearest stop per point by a level-synchronous quadtree descent over integer coordinates.  Stops
-    are summarised per quadtree cell at every level (count and tight
-    bounding box).  Each point starts at the root; at every level its
-    candidate cells split into their non-empty children, and a child is kept
-    only if its minimum possible distance does not exceed the point's best
-    upper bound (the nearest stop found so far, or the farthest corner of any
-    child box).  Children holding at most ``leaf_size`` distinct stop
-    positions are opened and their stops measured exactly.  Candidates per
-    point therefore stay small however dense the stops are: a crowded cell is
-    split further instead of being compared in full.  Stops sharing a
-    position collapse to the smallest id, and points sharing a position are
-    solved once.
-    """
-    ensure_checkpoint_dir(points.sparkSession)
-    st = stops.groupBy(F.col(x).cast("long").alias("__sx"), F.col(y).cast("long").alias("__sy")).agg(
-        F.min(stop_id).alias("__sid")
-    )
-    pts = points.select(F.col(x).cast("long").alias("__px"), F.col(y).cast("long").alias("__py")).distinct()
-    span = (
-        st.select(F.col("__sx").alias("a"), F.col("__sy").alias("b"))
-        .unionByName(pts.select(F.col("__px").alias("a"), F.col("__py").alias("b")))
-        .agg(F.min("a"), F.min("b"), F.max("a"), F.max("b"))
-        .first()
-    )
-    ox, oy = int(span[0]), int(span[1])
-    depth = max(1, int(max(span[2] - ox, span[3] - oy)).bit_length())  # 2**depth cells cover the span
-    st = st.withColumns({"__sx": F.col("__sx") - ox, "__sy": F.col("__sy") - oy}).checkpoint()
-    pts = pts.withColumns({"__qx": F.col("__px") - ox, "__qy": F.col("__py") - oy})
-
-    summary = (
-        st.select("__sx", "__sy", F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("L"))
-        .groupBy(
-            "L",
-            F.expr(f"shiftright(__sx, {depth} - L)").alias("cx"),
-            F.expr(f"shiftright(__sy, {depth} - L)").alias("cy"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("__sx").alias("x0"), F.max("__sx").alias("x1"), F.min("__sy").alias("y0"), F.max("__sy").alias("y1"),
-        )
-        .checkpoint()
-    )
-
-    # state rows: kind 0 = best stop so far (d2, sid), kind 1 = candidate cell (cx, cy, mind2)
-    state = pts.select(
-        "__px", "__py", "__qx", "__qy", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("cx"),
-        F.lit(0).cast("long").alias("cy"), F.lit(None).cast("long").alias("d2"), F.lit(None).cast(st.schema["__sid"].dataType).alias("sid"),
-    )
-    cols = state.columns
-    sid_type = st.schema["__sid"].dataType
-    for level in range(1, depth + 1):
-        # One chain per level (the state is read once, so the plan grows
-        # linearly): cell rows fan out to their four children, best rows
-        # pass through (q = -1).
-        fan = F.when(F.col("kind") == 1, F.array(*[F.lit(i) for i in range(4)])).otherwise(F.array(F.lit(-1)))
-        rows = state.withColumn("q", F.explode(fan))
-        is_kid = F.col("q") >= 0
-        rows = rows.withColumns(
-            {
-                "cx": F.when(is_kid, F.col("cx") * 2 + F.col("q") % 2),
-                "cy": F.when(is_kid, F.col("cy") * 2 + (F.col("q") / 2).cast("long")),
-            }
-        )
-        lv = summary.filter(F.col("L") == level).drop("L")
-        rows = rows.join(lv, ["cx", "cy"], "left").filter(~is_kid | F.col("n").isNotNull())
-        gx = F.greatest(F.col("x0") - F.col("__qx"), F.lit(0), F.col("__qx") - F.col("x1"))
-        gy = F.greatest(F.col("y0") - F.col("__qy"), F.lit(0), F.col("__qy") - F.col("y1"))
-        fx = F.greatest(F.abs(F.col("__qx") - F.col("x0")), F.abs(F.col("__qx") - F.col("x1")))
-        fy = F.greatest(F.abs(F.col("__qy") - F.col("y0")), F.abs(F.col("__qy") - F.col("y1")))
-        leaf = is_kid & ((F.col("n") <= leaf_size) | F.lit(level == depth))
-        rows = rows.withColumns(
-            {
-                "lb": gx * gx + gy * gy,
-                "ub": fx * fx + fy * fy,
-                "lx": F.when(leaf, F.col("cx")),
-                "ly": F.when(leaf, F.col("cy")),
-            }
-        )
-        stops_at = st.select(
-            F.shiftright("__sx", depth - level).alias("lx"), F.shiftright("__sy", depth - level).alias("ly"),
-            "__sx", "__sy", "__sid",
-        )
-        rows = rows.join(stops_at, ["lx", "ly"], "left")
-        exact = (F.col("__qx") - F.col("__sx")) * (F.col("__qx") - F.col("__sx")) + (F.col("__qy") - F.col("__sy")) * (
-            F.col("__qy") - F.col("__sy")
-        )
-        opened = F.col("lx").isNotNull()
-        rows = rows.select(
-            "__px", "__py", "__qx", "__qy",
-            F.when(opened | ~is_kid, F.lit(0)).otherwise(F.lit(1)).alias("kind"),
-            F.when(is_kid & ~opened, F.col("cx")).alias("cx"),
-            F.when(is_kid & ~opened, F.col("cy")).alias("cy"),
-            F.when(opened, exact).when(~is_kid, F.col("d2")).alias("d2"),
-            F.when(opened, F.col("__sid")).when(~is_kid, F.col("sid")).cast(sid_type).alias("sid"),
-            F.when(is_kid & ~opened, F.col("ub")).alias("ub"),
-            F.when(is_kid & ~opened, F.col("lb")).alias("lb"),
-        )
-        by_point = Window.partitionBy("__px", "__py")
-        bound = F.min(F.coalesce(F.col("d2"), F.col("ub"))).over(by_point)
-        rank = F.row_number().over(by_point.orderBy(F.col("kind"), F.col("d2"), F.col("sid")))
-        ranked = rows.withColumn("__bound", bound).withColumn("__rank", rank)
-        keep = ((F.col("kind") == 0) & (F.col("__rank") == 1)) | ((F.col("kind") == 1) & (F.col("lb") <= F.col("__bound")))
-        state = ranked.filter(keep).select(*cols)
-        if level % checkpoint_every == 0 and level < depth:
-            state = state.checkpoint()
-    solved = state.filter(F.col("kind") == 0)
-    return solved.select("__px", "__py", F.col("d2").alias("__d2"), F.col("sid").alias("__sid"))
 
 
 # --- J7 / J8: route geometry ----------------------------------------------------------

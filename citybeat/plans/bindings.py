@@ -643,6 +643,8 @@ def report_cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PARTS_SCHEMA = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz"
 PARTS_MAX_MB = 64.0
+CAPPED_SCHEMA = "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string"
+CAPPED_MB = 0.25
 
 
 def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -692,3 +694,35 @@ def parts_roundtrip(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     )
     manifest = parts_manifest(spark, parts_dir, PARTS_SCHEMA, ["year"])
     return back, manifest
+
+
+def size_capped_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L in ordered CSV parts of at most a quarter megabyte by year: number in its
+    year, rows and bytes of every part, as found on storage."""
+    from citybeat.session import scratch_path
+    from citybeat.sources.files import parts_manifest, write_csv_parts_by_size
+
+    names = [f.split()[0] for f in CAPPED_SCHEMA.split(", ")]
+    li = table(spark, sf_dir, "lineitem").select(*names, F.year("l_shipdate").alias("year"))
+    path = scratch_path(spark, "capped")
+    cap = write_csv_parts_by_size(li, path, CAPPED_MB, ["year"])
+    by_name = Window.partitionBy("year").orderBy("file_name")
+    return parts_manifest(spark, path, CAPPED_SCHEMA, ["year"]).select(
+        "year", F.row_number().over(by_name).alias("part"), "rows", "bytes", (F.col("bytes") <= cap).alias("under_cap")
+    )
+
+
+def feature_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C as one FeatureCollection in parts, read back by splits."""
+    from citybeat.session import scratch_path
+    from citybeat.sources.files import read_feature_collection, to_geojson_features, write_feature_collection
+
+    places = customer_places(spark, sf_dir).join(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
+    named = places.select("*", F.lit("Feature").alias("kind"))
+    feats = to_geojson_features(
+        named, "Point", F.array(F.col("x").cast("double"), F.col("y").cast("double")), ["kind", "c_custkey", "c_mktsegment"], keep=["c_custkey"]
+    )
+    path = scratch_path(spark, "collection")
+    write_feature_collection(feats, path, "c_custkey")
+    back = read_feature_collection(spark, path, "struct<kind:string,c_custkey:long,c_mktsegment:string>")
+    return back.select("properties.c_custkey", "properties.c_mktsegment", "properties.kind", "lng", "lat")

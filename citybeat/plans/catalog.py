@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from citybeat.constants import CANDIDATE_LIMIT, CIRCLE_MODES, MINUTES, NETWORK_MODES, TARGET_ROUTES, TIP_LABELS, TIP_ZERO_LABEL
 from citybeat.functions.datetime import compact_digits_to_timestamp, epoch_to_timestamp
-from citybeat.operators import bikes, grid, groups, network, outline, polygons, reports, ridership, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, grid, groups, leaf_index, network, outline, polygons, reports, ridership, sampling, spatial, taxi, traffic
 from citybeat.operators.common import top_k
 from citybeat.plans import bindings as B
 from citybeat.plans import oracle_bikes, oracle_geo, oracle_misc, oracle_reports, oracle_taxi, oracle_traffic
@@ -195,7 +195,7 @@ def _transit_bands(s: SparkSession, d: str) -> DataFrame:
     for mode, (stop_radius, start_radius) in TRANSIT.items():
         allowed = network.allowed_nodes(nodes, stops, stop_radius, TRANSIT_CENTER, start_radius)
         part = network.travel_times(network.induced_subgraph(B.graph_edges(s, d), allowed), {mode: NETWORK_MODES[mode]})
-        start = spatial.nearest(center, allowed, "pt", "node_id").select(F.lit(mode).alias("mode"), F.col("node_id").alias("source"))
+        start = leaf_index.nearest(center, allowed, "pt", "node_id").select(F.lit(mode).alias("mode"), F.col("node_id").alias("source"))
         edges = part if edges is None else edges.unionByName(part)
         sources = start if sources is None else sources.unionByName(start)
     costs = network.bounded_costs(sources, edges, "travel_time", cutoff=600.0, keys=["mode"])
@@ -230,11 +230,11 @@ def _points_in_polygons(s: SparkSession, d: str) -> DataFrame:
 def _geo_queries() -> dict[str, Query]:
     return {
         "points_in_polygons": _points_in_polygons,
-        "near_stops": lambda s, d: spatial.within_distance(
-            B.customer_points(s, d), B.supplier_points(s, d), 50, center=(500, 500), center_radius=80
+        "near_stops": lambda s, d: leaf_index.within_distance(
+            B.customer_places(s, d), B.supplier_places(s, d), B.zone_size(s, d) // 2, center=(500000, 500000), center_radius=80000
         ),
-        "nearest_stop": lambda s, d: spatial.nearest(
-            B.customer_points(s, d), B.supplier_points(s, d), "c_custkey", "s_suppkey"
+        "nearest_stop": lambda s, d: leaf_index.nearest(
+            B.customer_places(s, d), B.supplier_places(s, d), "c_custkey", "s_suppkey"
         ),
         "route_overlap": lambda s, d: spatial.route_overlap(B.order_routes(s, d)),
         "route_groups": lambda s, d: groups.route_groups(B.order_routes(s, d)),
@@ -270,6 +270,8 @@ def _source_queries() -> dict[str, Query]:
     return {
         "parts_roundtrip": lambda s, d: B.parts_roundtrip(s, d)[0],
         "geojson_roundtrip": B.geojson_roundtrip,
+        "feature_collection": B.feature_collection,
+        "size_capped_parts": B.size_capped_parts,
         "parts_manifest": lambda s, d: B.parts_roundtrip(s, d)[1].groupBy("year").agg(F.sum("rows").alias("rows")),
     }
 
@@ -312,5 +314,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT s_suppkey, s_name, CAST(-74.05 AS DOUBLE) + (s_suppkey * 53 % 1000) / 10000.0 AS lng, "
         "CAST(40.6 AS DOUBLE) + (s_suppkey * 29 % 1000) / 10000.0 AS lat FROM supplier"
     )
+    out["feature_collection"] = oracle_geo.FEATURE_COLLECTION
+    out["size_capped_parts"] = oracle_misc.SIZE_CAPPED_PARTS
     out["parts_manifest"] = "SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows FROM lineitem GROUP BY 1"
     return out

@@ -33,6 +33,13 @@ c_places AS (SELECT c_custkey, c_custkey * 7919 % 1000003 AS x, c_custkey * 1047
 s_places AS (SELECT s_suppkey, s_suppkey * 7907 % 1000003 AS x, s_suppkey * 104723 % 999983 AS y FROM supplier)"""
 
 
+FEATURE_COLLECTION = f"""
+WITH {PLACES.strip()}
+SELECT c_custkey, c_mktsegment, 'Feature' AS kind, CAST(x AS DOUBLE) AS lng, CAST(y AS DOUBLE) AS lat
+FROM c_places JOIN customer USING (c_custkey)
+"""
+
+
 GRAPH = """
 n AS (SELECT max(s_suppkey) + 1 AS n FROM supplier),
 ks AS (SELECT * FROM (VALUES (1, 0), (1, 1), (2, 0), (3, 0)) t(k, key)),
@@ -177,14 +184,15 @@ t AS (
 SELECT DISTINCT c_custkey, x, y FROM t WHERE on_edge OR hits % 2 = 1
 """
     q["near_stops"] = f"""
-WITH {PTS.strip()}
-SELECT c_custkey, x, y FROM pts p
-WHERE (x - 500) * (x - 500) + (y - 500) * (y - 500) <= 6400
-   OR EXISTS (SELECT 1 FROM sp s WHERE (p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y) <= 2500)
+WITH {PLACES.strip()}
+SELECT c_custkey, x, y FROM c_places p
+WHERE (x - 500000) * (x - 500000) + (y - 500000) * (y - 500000) <= 6400000000
+   OR EXISTS (SELECT 1 FROM s_places s
+              WHERE (p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y) <= ({ZONE_SIZE} // 2) * ({ZONE_SIZE} // 2))
 """
     q["nearest_stop"] = f"""
-WITH {PTS.strip()},
-r AS (SELECT p.c_custkey, s.s_suppkey, (p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y) AS d2 FROM pts p CROSS JOIN sp s),
+WITH {PLACES.strip()},
+r AS (SELECT p.c_custkey, s.s_suppkey, (p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y) AS d2 FROM c_places p CROSS JOIN s_places s),
 k AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY d2, s_suppkey) AS rn FROM r)
 SELECT c_custkey, s_suppkey, d2 AS dist2 FROM k WHERE rn = 1
 """

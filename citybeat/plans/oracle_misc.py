@@ -17,6 +17,22 @@ means AS (
   FROM rows WHERE year IS NOT NULL GROUP BY mode, year
 )"""
 
+# Header and line bytes of the four columns; 262144 bytes a part at most, names counted with quotes.
+SIZE_CAPPED_PARTS = """
+WITH l AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_orderkey, l_linenumber, l_partkey, l_returnflag,
+         length(l_orderkey::VARCHAR) + length(l_linenumber::VARCHAR) + length(l_partkey::VARCHAR) + length(l_returnflag) + 4 AS b
+  FROM lineitem),
+h AS (SELECT length('l_orderkey,l_linenumber,l_partkey,l_returnflag') + 1 AS header, max(b) AS widest FROM l),
+r AS (
+  SELECT year, b, coalesce(sum(b) OVER (PARTITION BY year ORDER BY l_orderkey, l_linenumber, l_partkey, l_returnflag
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM l),
+p AS (
+  SELECT year, CAST(floor(pos / (262144 - header - 8 - widest)) AS BIGINT) AS n, count(*) AS rows, CAST(sum(b) + any_value(header) AS BIGINT) AS bytes
+  FROM r CROSS JOIN h GROUP BY 1, 2)
+SELECT year, CAST(row_number() OVER (PARTITION BY year ORDER BY n) AS INTEGER) AS part, rows, bytes, bytes <= 262144 AS under_cap FROM p
+"""
+
 KNOWN = "('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"
 KNOWN_ORDERED = "(SELECT * FROM (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3), ('4-NOT SPECIFIED', 4)) t(mode, ord))"
 

@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from citybeat.operators import bikes, common, groups, network, outline, paths, polygons, reports, sampling, spatial, taxi, traffic
+from citybeat.operators import bikes, common, groups, leaf_index, network, outline, paths, polygons, reports, sampling, spatial, taxi, traffic
 from citybeat.sources.trips import normalize_trips, union_groups
 
 YEARS = (2023, 2024)
@@ -206,15 +206,14 @@ def test_point_in_polygon_random_rings(spark, cell):
     assert polygons.points_in_polygons(pts, polys.limit(0), cell=cell).collect() == []
 
 
-@pytest.mark.parametrize("max_block", [256, 8])
-def test_nearest_matches_brute_force_with_hot_cell(spark, max_block):
+@pytest.mark.parametrize("leaf_size", [16, 4, 1])
+def test_nearest_matches_brute_force_with_hot_cell(spark, leaf_size):
     rnd = random.Random(3)
     stops = [(i, rnd.randint(0, 30), rnd.randint(0, 30)) for i in range(200)] + [(1000 + i, rnd.randint(900, 999), rnd.randint(900, 999)) for i in range(5)]
     pts = [(i, rnd.randint(0, 999), rnd.randint(0, 999)) for i in range(300)]
     sdf = spark.createDataFrame(stops, "sid long, x long, y long")
     pdf = spark.createDataFrame(pts, "pid long, x long, y long")
-    # max_block=8 sends every point next to the dense cluster through the quadtree descent
-    got = {r.pid: (r.sid, r.dist2) for r in spatial.nearest(pdf, sdf, "pid", "sid", max_block=max_block, leaf_size=4).collect()}
+    got = {r.pid: (r.sid, r.dist2) for r in leaf_index.nearest(pdf, sdf, "pid", "sid", leaf_size=leaf_size).collect()}
     for pid, x, y in pts:
         best = min(((x - sx) ** 2 + (y - sy) ** 2, sid) for sid, sx, sy in stops)
         assert got[pid] == (best[1], best[0])
@@ -226,7 +225,7 @@ def test_within_distance_matches_brute_force(spark):
     pts = [(i, rnd.randint(0, 200), rnd.randint(0, 200)) for i in range(500)]
     sdf = spark.createDataFrame(stops, "x long, y long")
     pdf = spark.createDataFrame(pts, "pid long, x long, y long")
-    got = sorted(r.pid for r in spatial.within_distance(pdf, sdf, 15, center=(100, 100), center_radius=30).collect())
+    got = sorted(r.pid for r in leaf_index.within_distance(pdf, sdf, 15, center=(100, 100), center_radius=30).collect())
     expect = sorted(
         p for p, x, y in pts
         if (x - 100) ** 2 + (y - 100) ** 2 <= 900 or any((x - a) ** 2 + (y - b) ** 2 <= 225 for a, b in stops)
@@ -589,7 +588,7 @@ def test_within_distance_dense_cluster_path(spark):
     pts = [(i, rnd.randint(0, 400), rnd.randint(0, 400)) for i in range(400)] + [(1000 + i, rnd.randint(0, 40), rnd.randint(0, 40)) for i in range(100)]
     sdf = spark.createDataFrame(stops, "x long, y long")
     pdf = spark.createDataFrame(pts, "pid long, x long, y long")
-    got = sorted(r.pid for r in spatial.within_distance(pdf, sdf, 12, center=(300, 300), center_radius=20, max_block=16).collect())
+    got = sorted(r.pid for r in leaf_index.within_distance(pdf, sdf, 12, center=(300, 300), center_radius=20, leaf_size=4).collect())
     expect = sorted(
         p for p, x, y in pts
         if (x - 300) ** 2 + (y - 300) ** 2 <= 400 or any((x - a) ** 2 + (y - b) ** 2 <= 144 for a, b in stops)
@@ -680,5 +679,32 @@ def test_mean_is_not_rounded(spark):
 
 def test_nearest_without_stops_keeps_every_point(spark):
     pts = spark.createDataFrame([(1, 0, 0), (2, 5, 5)], "pid long, x long, y long")
-    got = spatial.nearest(pts, spark.createDataFrame([], "sid long, x long, y long"), "pid", "sid").collect()
+    got = leaf_index.nearest(pts, spark.createDataFrame([], "sid long, x long, y long"), "pid", "sid").collect()
     assert sorted((r.pid, r.sid, r.dist2) for r in got) == [(1, None, None), (2, None, None)]
+
+
+def test_leaf_index_splits_crowded_cells_only(spark):
+    rnd = random.Random(11)
+    crowd = [(i, rnd.randint(0, 63), rnd.randint(0, 63)) for i in range(1500)]
+    stops = crowd + [(5000 + i, rnd.randint(0, 1_000_000), rnd.randint(0, 1_000_000)) for i in range(60)] + [(9000, None, 4)]
+    sdf = spark.createDataFrame(stops, "sid long, x long, y long")
+    index = leaf_index.build_index(sdf, "sid")
+    per_leaf = index.stops.groupBy("level", "cx", "cy").count().collect()
+    assert max(r["count"] for r in per_leaf) <= leaf_index.LEAF_SIZE
+    assert index.stops.count() == len({(x, y) for _, x, y in stops if x is not None})
+    # one distinct position more than a leaf holds is enough to split: the far stops stay in shallow leaves
+    assert min(r.level for r in per_leaf) <= 3 and max(r.level for r in per_leaf) >= 16
+    pts = [(i, rnd.randint(-2000, 3000), rnd.randint(-2000, 3000)) for i in range(60)]
+    pts += [(100 + i, rnd.randint(0, 1_000_000), rnd.randint(0, 1_000_000)) for i in range(60)] + [(300, 7, 7), (301, 7, 7), (302, None, 1)]
+    pdf = spark.createDataFrame(pts, "pid long, x long, y long")
+    got = {r.pid: (r.dist2, r.sid) for r in leaf_index.nearest(pdf, sdf, "pid", "sid").collect()}
+    real = [s for s in stops if s[1] is not None]
+    assert got == {p: min(((x - a) ** 2 + (y - b) ** 2, s) for s, a, b in real) for p, x, y in pts if x is not None}
+    for radius in (0, 900, 150_000, 3_000_000):
+        near = sorted(r.pid for r in leaf_index.within_distance(pdf, sdf, radius).collect())
+        assert near == sorted(p for p, x, y in pts if x is not None and got[p][0] <= radius**2), radius
+    none = sdf.limit(0)
+    assert leaf_index.within_distance(pdf, none, 5).count() == 0
+    assert [r.pid for r in leaf_index.within_distance(pdf, none, 5, center=(7, 7), center_radius=0).collect()] == [300, 301]
+    one = spark.createDataFrame([(3, 5, 5), (2, 5, 5)], "sid long, x long, y long")
+    assert {(r.sid, r.dist2) for r in leaf_index.nearest(pdf.filter("pid = 300"), one, "pid", "sid").collect()} == {(2, 8)}
