@@ -41,9 +41,10 @@ def build_index(
 ) -> LeafIndex | None:
     """The index of ``stops``; None when no stop has a position.
 
-    Stops at one position count once, under the smallest id.  With
-    ``least_extent`` the levels start at the smallest cells that are at least
-    that wide, so that a window of that width meets four of them at most.
+    Stops at one position count once, under the smallest id.  Levels start at the
+    four quarters of the plane.  With ``least_extent`` they start at the smallest
+    cells that are at least that wide, so that a window of that width meets four
+    of them at most.
     """
     ensure_checkpoint_dir(stops.sparkSession)
     at = stops.groupBy(F.col(x).cast("long").alias("sx"), F.col(y).cast("long").alias("sy")).agg(F.min(stop_id).alias("sid"))
@@ -51,8 +52,8 @@ def build_index(
     x0, y0, x1, y1 = at.agg(F.min("sx"), F.min("sy"), F.max("sx"), F.max("sy")).first()
     if x0 is None:
         return None
-    depth = max(x1 - x0, y1 - y0).bit_length()
-    first = 0 if least_extent is None else max(0, depth - max(0, int(least_extent) - 1).bit_length())
+    depth = max(1, max(x1 - x0, y1 - y0).bit_length())
+    first = 1 if least_extent is None else max(1, depth - max(0, int(least_extent) - 1).bit_length())
 
     def by_level(last: int) -> DataFrame:
         each = at.withColumn("level", F.explode(F.sequence(F.lit(first), F.lit(last))))
@@ -162,8 +163,9 @@ def nearest(
         return points.select(F.col(point_id), none, F.lit(None).cast("long").alias("dist2"))
     located = points.select(F.col(point_id).alias("point"), F.col(x).cast("long").alias("px"), F.col(y).cast("long").alias("py"))
     located = located.filter(F.col("px").isNotNull() & F.col("py").isNotNull())
-    root = located.select("px", "py").distinct().select("px", "py", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
-    solved = _descend(root, index)
+    side = F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long")))
+    quarters = located.select("px", "py").distinct().withColumn("cx", side).withColumn("cy", side)
+    solved = _descend(quarters, index)
     return located.join(solved, ["px", "py"]).select(
         F.col("point").alias(point_id), F.col("sid").alias(stop_id), F.col("d2").alias("dist2")
     )
