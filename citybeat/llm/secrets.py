@@ -4,8 +4,9 @@ One pass over whole texts finds base credentials (three kinds, matched
 leftmost and without overlap per kind) and further *candidates*: long mixed
 letter/digit strings outside the base spans.  The hash of every credential
 value is then counted over the corpus by distinct repositories and distinct
-owners.  A value that many owners hold is a copied example; a value that one
-or two owners hold looks live.  Candidates become spans of kind ``live`` only
+owners.  A value that many owners hold, or that its owners spread over many
+repositories, is a copied example; a value that one or two owners hold in a few
+repositories looks live.  Candidates become spans of kind ``live`` only
 when they look live; base spans always stay.
 
 The scan is written to the shared folder once; only hashes, owners and
@@ -44,6 +45,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MIN_ENTROPY = 3.0
 #: A value held by more owners than this is a copied example.
 MAX_LIVE_OWNERS = 2
+#: So is one that its owners spread over more repositories than this.
+MAX_LIVE_REPOSITORIES = 16
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -138,15 +141,19 @@ def find_secrets(
     owner: str = "source",
     repository: str = "lang",
     max_live_owners: int = MAX_LIVE_OWNERS,
+    max_live_repositories: int = MAX_LIVE_REPOSITORIES,
 ) -> DataFrame:
     """Spans of every document with the verdict of the corpus.
 
+    ``repository`` is a name inside its owner.
+
     Returns ``row_id, doc_id, text_md5, spans`` where ``spans`` is an array, ordered by
     start and kind, of (start, kind, end, value_hash, n_owners,
     n_repositories, live).  Candidates that do not look live are left out.
     """
     found = materialise(scan(df, key, text, owner, repository), "secrets")
-    values = ownership(found.filter(F.size("found") > 0)).withColumn("live", F.col("n_owners") <= max_live_owners)
+    few = (F.col("n_owners") <= max_live_owners) & (F.col("n_repositories") <= max_live_repositories)
+    values = ownership(found.filter(F.size("found") > 0)).withColumn("live", few)
     judged = (
         found.filter(F.size("found") > 0)
         .select("row_id", F.explode("found").alias("s"))

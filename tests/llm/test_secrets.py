@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from citybeat.llm import queries, secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -58,3 +60,22 @@ def test_redact_overlaps_nulls_and_repeats(spark):
     assert out == sorted([("1", red), ("1", red), ("1", "other"), ("None", red), ("2", "None")])
     empty = df.limit(0)
     assert secrets.find_secrets(empty).count() == 0
+
+
+def test_one_owner_with_many_repositories_is_a_copied_example(spark):
+    spread, few = "SPREADkey0123456789xyzQ", "fewREPOS987abcQWE654rty"
+    docs = [(i, f"see {spread} and token = {spread}", "o1", f"repo{i}") for i in range(3000)]
+    docs += [(5000 + i, f"my {few}", "o1", f"repo{i % secrets.MAX_LIVE_REPOSITORIES}") for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    found = secrets.find_secrets(df)
+    rows = {r.doc_id: r.spans for r in found.collect()}
+    assert all([(s.kind, s.live, s.n_owners, s.n_repositories) for s in rows[i]] == [(0, False, 1, 3000)] for i in range(3000))
+    assert all(rows[5000 + i][0].live for i in range(100))
+    assert secrets.redact(df, found).filter(F.col("text").contains("[SECRET]")).count() == 100
+
+
+def test_redact_with_clashing_column_names(spark):
+    text = "token = 0123456789abcdef0123456789"
+    df = spark.createDataFrame([(1, text, "a", "en", 1, 2, 3, 4)], "doc_id long, text string, source string, lang string, _k int, _md5 int, live_spans int, `a.b` int")
+    out = secrets.redact(df, secrets.find_secrets(df)).collect()
+    assert [tuple(r) for r in out] == [(1, "[SECRET]", "a", "en", 1, 2, 3, 4)]
