@@ -24,6 +24,8 @@ from citybeat.session import ensure_checkpoint_dir
 LEAF_SIZE = 16
 #: Levels of a search between two cuts of its lineage.
 CUT_LEVELS = 4
+#: First levels of a search: at most 4 ** n cells for all positions, sent to every task instead of meeting by cell.
+FEW_LEVELS = 7
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,9 @@ def _descend(start: DataFrame, index: LeafIndex, limit: int | None = None) -> Da
     All positions go down together.  A cell of the frontier is replaced by its
     non-empty children, a leaf by its stops; a cell stays only while its box
     may hold something nearer than the best stop or the farthest corner of any
-    box of that position, and than the square root of ``limit``.
+    box of that position, and than the square root of ``limit``.  A row that
+    asks for nothing is dealt by its position, under a key below all cells:
+    one key for all of them would be one task.
     """
     sid_type = index.stops.schema["sid"].dataType
     # found: a row of the best stop so far; else a cell of the frontier
@@ -96,13 +100,22 @@ def _descend(start: DataFrame, index: LeafIndex, limit: int | None = None) -> Da
         "px", "py", F.lit(False).alias("found"), "cx", "cy", F.lit(None).cast("long").alias("d2"), F.lit(None).cast(sid_type).alias("sid")
     )
     names = state.columns
+    # a fixed count: few rows become many on their way down, so that their first size says nothing; in this order
+    # of columns the step is not taken for the one of a distinct before it
+    n = int(start.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    state = state.repartition(n, "py", "px")
     px, py = F.col("px"), F.col("py")
+    idle_x, idle_y = (F.bitwise_not(c.bitwiseAND(F.lit(0x7FFFFFFF))) for c in (px, py))
     for level in range(index.first, index.last + 1):
         kids = F.array(*[F.lit(q) for q in range(4)]) if level > index.first else F.array(F.lit(0))
         rows = state.withColumn("q", F.explode(F.when(F.col("found"), F.array(F.lit(0))).otherwise(kids)))
         if level > index.first:
             rows = rows.withColumns({"cx": F.col("cx") * 2 + F.col("q") % 2, "cy": F.col("cy") * 2 + F.shiftright("q", 1)})
-        here = index.nodes.filter(F.col("level") == level).drop("level")
+        rows = rows.withColumns(
+            {"cx": F.when(F.col("found"), idle_x).otherwise(F.col("cx")), "cy": F.when(F.col("found"), idle_y).otherwise(F.col("cy"))}
+        )
+        few = F.broadcast if level - index.first < FEW_LEVELS else lambda t: t
+        here = few(index.nodes.filter(F.col("level") == level).drop("level"))
         rows = rows.join(here, ["cx", "cy"], "left").filter(F.col("found") | F.col("leaf").isNotNull())
         near_x, near_y = _gap(px, F.col("x0"), F.col("x1")), _gap(py, F.col("y0"), F.col("y1"))
         far_x = F.greatest(F.abs(px - F.col("x0")), F.abs(px - F.col("x1")))
@@ -111,8 +124,8 @@ def _descend(start: DataFrame, index: LeafIndex, limit: int | None = None) -> Da
             {
                 "low": near_x * near_x + near_y * near_y,
                 "high": far_x * far_x + far_y * far_y,
-                "lx": F.when(F.col("leaf"), F.col("cx")),
-                "ly": F.when(F.col("leaf"), F.col("cy")),
+                "lx": F.when(F.col("leaf"), F.col("cx")).otherwise(idle_x),
+                "ly": F.when(F.col("leaf"), F.col("cy")).otherwise(idle_y),
             }
         )
         if limit is not None:
@@ -120,9 +133,9 @@ def _descend(start: DataFrame, index: LeafIndex, limit: int | None = None) -> Da
         opened = index.stops.filter(F.col("level") == level).select(
             F.col("cx").alias("lx"), F.col("cy").alias("ly"), "sx", "sy", F.col("sid").alias("leaf_sid")
         )
-        rows = rows.join(opened, ["lx", "ly"], "left")
+        rows = rows.join(few(opened), ["lx", "ly"], "left")
         exact = (px - F.col("sx")) * (px - F.col("sx")) + (py - F.col("sy")) * (py - F.col("sy"))
-        is_leaf = F.col("lx").isNotNull()
+        is_leaf = F.coalesce("leaf", F.lit(False))
         rows = rows.select(
             "px", "py", (F.col("found") | is_leaf).alias("found"), "cx", "cy",
             F.when(is_leaf, exact).otherwise(F.col("d2")).alias("d2"),
@@ -141,7 +154,7 @@ def _descend(start: DataFrame, index: LeafIndex, limit: int | None = None) -> Da
         cell = lambda c: F.when(~F.col("found"), F.col(c)).alias(c)
         state = rows.filter(keep).select("px", "py", "found", cell("cx"), cell("cy"), "d2", "sid").select(*names)
         if (level - index.first) % CUT_LEVELS == CUT_LEVELS - 1 and level < index.last:
-            state = state.checkpoint()
+            state = state.checkpoint().repartition(n, "py", "px")
     solved = state.filter("found")
     if limit is not None:
         solved = solved.filter(F.col("d2") <= F.lit(limit))

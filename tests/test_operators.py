@@ -708,3 +708,15 @@ def test_leaf_index_splits_crowded_cells_only(spark):
     assert [r.pid for r in leaf_index.within_distance(pdf, none, 5, center=(7, 7), center_radius=0).collect()] == [300, 301]
     one = spark.createDataFrame([(3, 5, 5), (2, 5, 5)], "sid long, x long, y long")
     assert {(r.sid, r.dist2) for r in leaf_index.nearest(pdf.filter("pid = 300"), one, "pid", "sid").collect()} == {(2, 8)}
+
+
+def test_nearest_deals_idle_rows_by_position(spark):
+    """Rows that ask for nothing at a level (found, or a cell that is no leaf) are not all under one key."""
+    pts = spark.range(200).select(F.col("id").alias("pid"), (F.col("id") * 37 % 101).alias("x"), (F.col("id") * 53 % 97).alias("y"))
+    stops = spark.range(60).select(F.col("id").alias("sid"), (F.col("id") * 41 % 89).alias("x"), (F.col("id") * 29 % 83).alias("y"))
+    df = leaf_index.nearest(pts, stops, "pid", "sid", leaf_size=2)
+    assert "~" in df._jdf.queryExecution().optimizedPlan().toString()
+    brute = {
+        p.pid: min(((p.x - s.x) ** 2 + (p.y - s.y) ** 2, s.sid) for s in stops.collect()) for p in pts.collect()
+    }
+    assert {r.pid: (r.dist2, r.sid) for r in df.collect()} == brute
