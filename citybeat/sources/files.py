@@ -89,14 +89,19 @@ def write_csv_parts(df: DataFrame, path: str, max_records: int, partition_by: Se
     w.csv(path)
 
 
+#: CSV bytes in a slice of ``write_csv_parts_by_size``: what one task sorts.
+SLICE_BYTES = 8 * 1024 * 1024
+
+
 def write_csv_parts_by_size(
     df: DataFrame, path: str, max_mb: float, partition_by: Sequence[str] = (), order_by: Sequence[str] = ()
 ) -> int:
     """Ordered CSV parts, none larger than ``max_mb`` megabytes; returns that cap in bytes.
 
     Every row's bytes are those of its CSV line.  Rows are range-sliced on
-    (``partition_by``, ``order_by``, the other columns); running sums inside a
-    slice and the sums of the slices before it give each row its byte offset in
+    (``partition_by``, ``order_by``, the other columns), as many slices as there
+    are ``SLICE_BYTES``, so that a task sorts no more when the table grows;
+    running sums inside a slice and the sums of the slices before it give each row its byte offset in
     its folder, and the offset its part.  A part takes the rows that start in
     one stretch of (cap - header - widest row) bytes, so it cannot pass the cap.
     One task writes one part.  The driver sees the widest row and the number of
@@ -110,9 +115,11 @@ def write_csv_parts_by_size(
     header = len(",".join(data).encode()) + 2 * len(data) + 1  # names may be quoted
     first = [*partition_by, *order_by]
     keys = [F.col(c) for c in [*first, *[c for c in df.columns if c not in first]]]
+    sized = df.withColumn("__bytes", F.octet_length(F.to_csv(F.struct(*[F.col(c) for c in data]))) + 1)
+    total = sized.agg(F.sum("__bytes")).first()[0] or 0
+    n_slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // SLICE_BYTES))
     sliced = (
-        df.withColumn("__bytes", F.octet_length(F.to_csv(F.struct(*[F.col(c) for c in data]))) + 1)
-        .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+        sized.repartitionByRange(n_slices, *keys)
         .withColumn("__slice", F.spark_partition_id())
         .checkpoint()  # a slice number must not change between the two reads
     )
@@ -146,7 +153,8 @@ def write_csv_parts_by_size(
     for i, c in enumerate(partition_by):
         same = same & F.col(c).eqNullSafe(F.col(f"__f{i}"))
     inside = Window.partitionBy("__slice", *partition_by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    rows = sliced.withColumn("__inside", F.coalesce(F.sum("__bytes").over(inside), F.lit(0))).join(at, same)
+    # one slice a task: the windows need no other exchange
+    rows = sliced.repartition(n_slices, "__slice").withColumn("__inside", F.coalesce(F.sum("__bytes").over(inside), F.lit(0))).join(at, same)
     part = F.col("__first") + F.floor((F.col("__ahead") + F.col("__inside")) / stretch)
     w = (
         rows.repartitionById(n_parts, part.cast("int"))

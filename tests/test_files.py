@@ -109,3 +109,20 @@ def test_sections_meet_and_sheets_repeat_cells(spark):
     assert sorted((r.section, r.reject_reason, r.borough, r.community_board, r["count"]) for r in out.collect()) == [
         ("borough", "Dark", "New York", "", 2), ("borough", "Glare", "New York", "", 1), ("community_board", "Dark", "", "B 1", 2),
     ]
+
+
+def test_slices_of_capped_parts_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """One task sorts one slice, and a slice holds a fixed number of bytes whatever the table."""
+    from citybeat.sources import files
+
+    monkeypatch.setattr(files, "SLICE_BYTES", 500)
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("g"))
+    asked = []
+    real = type(df).repartitionByRange
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, n, *k: asked.append(n) or real(self, n, *k))
+    cap = write_csv_parts_by_size(df, str(tmp_path / "p"), 0.005, ["g"])
+    assert asked[0] > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = spark.read.option("header", True).schema("id long").csv(str(tmp_path / "p"))
+    assert sorted(r.id for r in back.collect()) == list(range(3000))
+    found = parts_manifest(spark, str(tmp_path / "p"), "id long", ["g"]).collect()
+    assert sum(r.rows for r in found) == 3000 and max(r.bytes for r in found) <= cap
