@@ -2,10 +2,10 @@
 
 A segment with n routes gives n - 1 links, each route to the segment's smallest
 one; all pairs of a segment would give the same groups.  Groups are the
-connected components, found by smallest labels: a round takes the smallest
-label among a route's neighbours, then that label's own label (pointer
-jumping), so long chains halve every round.  Labels are checkpointed each round
-and the driver only sees whether one changed.
+connected components, found by contraction: a round merges every route into the
+end of its way over smallest neighbours and goes on with the links left between
+different routes, so that the links are read once or twice at full size.  The
+driver only sees whether links are left.
 """
 
 from __future__ import annotations
@@ -26,21 +26,58 @@ def shared_segments(route_points: DataFrame) -> DataFrame:
     return per_seg.filter("n_routes > 1")
 
 
+def _roots(hooks: DataFrame) -> DataFrame:
+    """(node, label): the last node on the way from every node of ``hooks`` (node, label), whose labels are smaller nodes.
+
+    Only nodes that others hang on are followed (pointer jumping); the rest take the root of their label.
+    """
+    inner = hooks.join(hooks.select(F.col("label").alias("node")).distinct(), "node", "left_semi").checkpoint()
+    while True:
+        beyond = inner.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        jumped = inner.join(beyond, "label", "left").select("node", F.coalesce("far", "label").alias("label"), F.col("far").isNotNull().alias("moved"))
+        jumped = jumped.checkpoint()
+        inner = jumped.select("node", "label")
+        if jumped.filter("moved").isEmpty():
+            break
+    roots = inner.select(F.col("node").alias("label"), F.col("label").alias("far"))
+    return hooks.join(roots, "label", "left").select("node", F.coalesce("far", "label").alias("label"))
+
+
 def smallest_labels(links: DataFrame) -> DataFrame:
-    """(node, label) for every node of ``links`` (a, b): the smallest node of its component."""
+    """(node, label) for every node of ``links`` (a, b): the smallest node of its component.
+
+    A round merges every node into the smallest node it reaches by ever smaller
+    neighbours and renames the links, of which those between different nodes
+    go on: the graph shrinks every round, and a smallest node keeps its name.
+    """
     ensure_checkpoint_dir(links.sparkSession)
-    ways = links.select(F.inline(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))))
-    ways = ways.distinct().checkpoint()
-    labels = ways.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("node")).alias("label")).checkpoint()
-    while True:
-        beside = ways.join(labels, ways["v"] == labels["node"]).groupBy("u").agg(F.min("label").alias("near"))
-        near = labels.join(beside, labels["node"] == beside["u"]).select("node", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        moved = near.join(jump, "next").select("node", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("moved"))
-        moved = moved.checkpoint()
-        labels = moved.select("node", "label")
-        if moved.filter("moved").isEmpty():
-            return labels
+    known = links.filter("a IS NOT NULL AND b IS NOT NULL")
+    open_links = known.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
+    rounds: list[DataFrame] = []
+    while not open_links.isEmpty():
+        hooks = open_links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")).checkpoint()
+        names = _roots(hooks).checkpoint()
+        rounds.append(names)
+        renamed = open_links
+        for end in ("u", "v"):
+            to = names.select(F.col("node").alias(end), F.col("label").alias("to"))
+            renamed = renamed.join(to, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+        renamed = renamed.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        open_links = renamed.distinct().checkpoint()
+    # from the last round back: every table names the nodes of the one before
+    final: DataFrame | None = None
+    for names in reversed(rounds):
+        if final is None:
+            final = names
+            continue
+        later = final.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        final = names.join(later, "label", "left").select("node", F.coalesce("to", "label").alias("label")).unionByName(
+            final.join(names.select("node"), "node", "left_anti")
+        ).checkpoint()
+    nodes = known.select(F.inline(F.array(F.struct(F.col("a").alias("node")), F.struct(F.col("b").alias("node"))))).distinct()
+    if final is None:
+        return nodes.select("node", F.col("node").alias("label"))
+    return nodes.join(final, "node", "left").select("node", F.coalesce("label", "node").alias("label")).checkpoint()
 
 
 def route_groups(route_points: DataFrame) -> DataFrame:

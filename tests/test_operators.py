@@ -720,3 +720,18 @@ def test_nearest_deals_idle_rows_by_position(spark):
         p.pid: min(((p.x - s.x) ** 2 + (p.y - s.y) ** 2, s.sid) for s in stops.collect()) for p in pts.collect()
     }
     assert {r.pid: (r.dist2, r.sid) for r in df.collect()} == brute
+
+
+def test_smallest_labels_merge_chains_and_stars(spark):
+    """A chain under mixed ids, a star, a cycle and a link of a node to itself; links in either direction and twice."""
+    rng = random.Random(5)
+    ids = rng.sample(range(1000, 2000), 120)
+    pairs = list(zip(ids, ids[1:])) + [(5, k) for k in range(10, 40)] + [(3001, 3002), (3002, 3003), (3003, 3001), (4000, 4000)]
+    pairs += [(b, a) for a, b in pairs[::3]]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = {r.node: r.label for r in groups.smallest_labels(links).collect()}
+    want = {i: min(ids) for i in ids} | {k: 5 for k in [5, *range(10, 40)]} | {3001: 3001, 3002: 3001, 3003: 3001, 4000: 4000}
+    assert got == want
+    hooks = spark.createDataFrame([(k, k - 1) for k in range(1, 40)], "node long, label long")
+    assert {r.label for r in groups._roots(hooks).collect()} == {0}
+    assert groups.smallest_labels(links.limit(0)).count() == 0
