@@ -24,7 +24,9 @@ Which sets meet in a bucket, so that no link is lost:
    rarely is in a prefix.  Prefix tokens that join two components of step 2
    form the last buckets; their trees give candidate pairs of different
    components (what two sets can share from the bucket's token on bounds the
-   overlap as well), which are compared on whole sets.
+   overlap as well, and of a prefix only the tokens count that another
+   component's prefix holds), which are compared on whole sets.  A pair that
+   surely met in an earlier bucket is left to that one.
 
 Edge cases: null or empty texts have the empty set and link with nothing;
 texts under five words have one shingle, the whole sequence; null ids take the
@@ -37,7 +39,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citybeat.llm.common import discard, list_column, map_rows, materialise, numbered
@@ -53,6 +55,8 @@ BITS = 1024
 #: Slices of the token space that are counted one after the other (each needs its share of shuffle space).
 SLICES = 4
 LEAF, FANOUT = 16, 4
+#: Shared tokens before its own that a member names, to know pairs that met before.
+BEFORE = 4
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -90,6 +94,10 @@ def prefix_length(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1 if n else 0
 
 
+def prefix_lengths(n: np.ndarray) -> np.ndarray:
+    return n - -(-NUM * n // DEN) + 1
+
+
 def linked(overlap: int, a: int, b: int) -> bool:
     return DEN * overlap >= NUM * (a + b - overlap)
 
@@ -234,10 +242,17 @@ def _frequent(rows: DataFrame) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Per document: class name, set size, two bucket keys, bitmap and prefix tokens."""
+    """Per document: class name, set size, two bucket keys, bitmap, prefix tokens and the last one's place in the order."""
     by_token = np.argsort(frequent)
     known = frequent[by_token]
 
+    def last_place(token: np.ndarray) -> int:
+        if len(known):
+            at = min(int(np.searchsorted(known, token)), len(known) - 1)
+            if known[at] == token:
+                return (1 << 62) + int(by_token[at])
+        return int(token) >> 2
+
     def prefix(tokens: np.ndarray) -> np.ndarray:
         want = prefix_length(len(tokens))
         if not len(known):
@@ -253,7 +268,7 @@ def _signatures(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
     def process(batches):
         shingles = Shingler()
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("doc_id", "th", "cid", "n", "k1", "k2", "map", "prefix")}
+            out: dict[str, list] = {c: [] for c in ("doc_id", "th", "cid", "n", "k1", "k2", "map", "prefix", "end")}
             for k, th, text in zip(batch["doc_id"], batch["th"], batch["text"]):
                 tokens = shingles(text)
                 some = len(tokens) > 0
@@ -265,11 +280,13 @@ def _signatures(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 out["k1"].append(int(tokens[0].view(np.int64)) if some else None)
                 out["k2"].append(int(_mix(tokens, 2).min().view(np.int64)) if some else None)
                 out["map"].append(bitmap(tokens).tobytes())
-                out["prefix"].append(prefix(tokens).view(np.int64))
+                first = prefix(tokens)
+                out["prefix"].append(first.view(np.int64))
+                out["end"].append(last_place(first[-1]) if some else None)
             out["prefix"] = list_column(out["prefix"], pa.int64())
             yield out
 
-    schema = "doc_id long, th long, cid long, n long, k1 long, k2 long, map binary, prefix array<long>"
+    schema = "doc_id long, th long, cid long, n long, k1 long, k2 long, map binary, prefix array<long>, end long"
     return map_rows(rows, ["doc_id", "th", "text"], process, schema)
 
 
@@ -328,11 +345,14 @@ def _within(n_a, n_b, most) -> np.ndarray:
 
 
 class Members:
-    """Columns of whole buckets: size, place of the bucket's token in the set's order, component, bitmap."""
+    """Columns of whole buckets: size, place of the bucket's token in the set's order, component, bitmap,
+    where the prefix ends in the common order, shared tokens from the bucket's on, and shared ones before it."""
 
     def __init__(self, batch: pa.Table):
         column = lambda c: batch.column(c).to_numpy()
-        self.cid, self.n, self.place, self.comp = (column(c) for c in ("cid", "n", "place", "comp"))
+        self.cid, self.n, self.place, self.comp, self.end, shared = (column(c) for c in ("cid", "n", "place", "comp", "end", "left"))
+        self.most = shared + self.n - prefix_lengths(self.n)
+        self.before = [column(f"before{k}") for k in range(BEFORE)]
         self.maps = np.frombuffer(b"".join(batch.column("map").to_pylist()), np.uint64).reshape(len(self.cid), -1)
         changed = (np.diff(column("key")) != 0) | (np.diff(column("part")) != 0)
         self.starts = np.concatenate([[0], np.flatnonzero(changed) + 1])
@@ -343,13 +363,22 @@ class Members:
 
         In the bucket of the first token two sets share, neither holds an
         earlier one of the other's: what is shared lies from that place on.
+        The prefix that ends first in the common order shares of its tokens
+        only those that are in the other's prefix too, and what is after it.
         """
         n_a, n_b = self.n[i], self.n[j]
         most = np.minimum(n_a - self.place[i], n_b - self.place[j])
+        first, second = self.end[i] <= self.end[j], self.end[j] <= self.end[i]
+        most = np.minimum(most, np.where(first, self.most[i], most))
+        most = np.minimum(most, np.where(second, self.most[j], most))
         fine = np.flatnonzero((self.comp[i] != self.comp[j]) & _within(n_a, n_b, most))
         a, b = (self.maps[k[fine]] for k in (i, j))
-        keep = SignatureTree.possible((a, a, n_a[fine], n_a[fine]), (b, b, n_b[fine], n_b[fine]))
-        return fine[keep]
+        fine = fine[SignatureTree.possible((a, a, n_a[fine], n_a[fine]), (b, b, n_b[fine], n_b[fine]))]
+        met = np.zeros(len(fine), bool)
+        for x in self.before:
+            for y in self.before:
+                met |= x[i[fine]] == y[j[fine]]
+        return fine[~met]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Candidate pairs of all buckets; a bucket that fills one leaf has no tree above it."""
@@ -392,7 +421,7 @@ class Members:
 def _candidate_pairs(members: DataFrame) -> DataFrame:
     """Pairs of classes of different components that a bucket's tree cannot rule out."""
     keys = ["key", "part"]
-    dealt = members.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "cid", "n", "place", "comp", "map")
+    dealt = members.repartition(*keys).sortWithinPartitions(*keys).select(*keys, *(c for c in members.columns if c not in keys))
 
     def found(table: pa.Table) -> pa.RecordBatch:
         a, b = Members(table).pairs()
@@ -509,12 +538,12 @@ def _linked_rows(df: DataFrame, key: str, text: str) -> DataFrame:
         "cid", F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.coalesce("label", "cid").alias("comp")
     )
     of_class = materialise(
-        full.select("cid", "doc_id", "th", "n", "map", "prefix")
+        full.select("cid", "doc_id", "th", "n", "map", "prefix", "end")
         .join(
             grouped.withColumnRenamed("cid", "_c"),
             (F.col("cid") == F.col("_c")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")),
         )
-        .select("cid", "n", "comp", "map", "prefix"),
+        .select("cid", "n", "comp", "map", "prefix", "end"),
         "jaccard-prefixes",
         "zstd",
     )
@@ -534,7 +563,13 @@ def _linked_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     members = (
         members.join(crowds, "key", "left")
         .withColumn("c", F.coalesce("c", F.lit(1)))
-        .join(of_class.select("cid", "n", "comp", "map"), "cid")
+        .join(of_class.select("cid", "n", "comp", "map", "end"), "cid")
+    )
+    # a set's shared tokens in the common order: how many come from here on, and which ones just before
+    order = Window.partitionBy("cid").orderBy("place")
+    members = members.withColumns(
+        {"left": F.count(F.lit(1)).over(order.rowsBetween(0, Window.unboundedFollowing))}
+        | {f"before{k}": F.coalesce(F.lag("key", k + 1).over(order), "cid") for k in range(BEFORE)}
     )
     pairs = materialise(_candidate_pairs(_parts(members, "c", 2 * CHUNK)), "jaccard-pairs")
     discard(of_class, crowds, *slices)

@@ -121,3 +121,25 @@ def test_driver_documents(spark):
     import duckdb
 
     compare(spark, duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall())
+
+
+def bucket(key, left, before):
+    """Two equal sets of 100 tokens, of different components, in one bucket."""
+    import pyarrow as pa
+
+    tokens = sj.bitmap(np.arange(100, dtype=np.uint64) << np.uint64(7)).tobytes()
+    rows = {"key": [key] * 2, "part": [0] * 2, "cid": [1, 2], "n": [100] * 2, "place": [0] * 2, "comp": [1, 2], "end": [9] * 2}
+    rows |= {"left": [left] * 2, "map": [tokens] * 2}
+    rows |= {f"before{k}": before if k == 1 else [1, 2] for k in range(sj.BEFORE)}
+    return sj.Members(pa.table(rows)).pairs()
+
+
+def test_a_pair_is_left_to_the_first_bucket_it_meets_in():
+    assert [k.tolist() for k in bucket(7, 26, [1, 2])] == [[1], [2]]
+    assert bucket(8, 26, [7, 7])[0].tolist() == []
+
+
+def test_prefix_tokens_no_other_component_holds_are_not_shared():
+    # 26 tokens of the prefix and 74 after it; a link needs 86 in common
+    assert bucket(7, 12, [1, 2])[0].tolist() == [1]
+    assert bucket(7, 11, [1, 2])[0].tolist() == []
