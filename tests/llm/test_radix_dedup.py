@@ -86,6 +86,49 @@ def test_empty_and_single(spark, n):
         assert (got[0].n_removed, got[0].n_spans) == (500, 1)  # its windows repeat one another
 
 
+def test_passages_of_51_words_are_told(spark, tmp_path):
+    from citybeat.llm.queries import op9_radix_dedup
+
+    rnd = random.Random(11)
+    text = lambda n: " ".join(words(rnd, rnd.randint(4, 7), "abcdefgh") for _ in range(n))
+    passage, twice = text(51), text(51)
+    assert 224 <= len(passage) < 400
+    texts = [f"{text(80)} {passage} {text(80)}" for _ in range(6)]
+    texts += [text(200), text(40), "", None, f"{text(60)} {twice} {text(60)} {twice}", "é" * 20, text(300), passage]
+    want = [True] * 6 + [False] * 7 + [True]
+    rows = [*enumerate(texts), (None, f"{passage} {text(90)}"), (7, texts[7])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = op9_radix_dedup(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    told = {r.doc_id: r.shares_passage for r in got}
+    # a repeated row shares its text with the other one
+    assert told == dict(enumerate(want)) | {None: True, 7: len(texts[7]) >= 224}
+    assert all((r.n_shared > 0) == r.shares_passage for r in got)
+    assert not any(r.changed for r in got)
+
+
+def test_shared_passages_against_brute_force(spark):
+    rnd = random.Random(13)
+    base = [words(rnd, 400, "abcdefgh é") for _ in range(4)]
+    texts = [None, "", base[0][:50]]
+    for _ in range(60):
+        source, lo = rnd.choice(base), rnd.randint(0, 300)
+        texts.append(words(rnd, rnd.randint(0, 90)) + source[lo : lo + rnd.randint(20, 90)] + words(rnd, rnd.randint(0, 90)))
+    raws = [(t or "").encode() for t in texts]
+    holders = {}
+    for size in (30, 50):
+        for d, raw in enumerate(raws):
+            for i in range(len(raw) - size + 1):
+                holders.setdefault(raw[i : i + size], set()).add(d)
+    in_two = lambda raw, size: any(len(holders[raw[i : i + size]]) > 1 for i in range(len(raw) - size + 1))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = radix_dedup.shared_passages(radix_dedup._texts(df, "doc_id", "text"), depth=50, gram=30)
+    found = {r.doc_id for r in got.collect()}
+    must, may = ({d for d, raw in enumerate(raws) if in_two(raw, size)} for size in (50, 30))
+    assert must <= found <= may and must < may
+
+
 def test_driver_documents(spark):
     import duckdb
 
