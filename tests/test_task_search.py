@@ -48,3 +48,44 @@ def test_search_with_a_cutoff_runs_no_round(spark, monkeypatch):
     empty = spark.createDataFrame([], EDGES)
     assert _states(paths.bounded_costs(src.limit(1), empty, "w", cutoff=1.0)) == [(0, 0, 0.0)]
     assert paths.bounded_costs(src.limit(0), edges, "w", cutoff=1.0).collect() == []
+
+
+@pytest.mark.parametrize("modes", [None, {"walk": 4.8, "ride": 15.0}])
+@pytest.mark.parametrize("span", [60, 3000])
+def test_coverage_in_tasks_matches_joins(spark, monkeypatch, modes, span):
+    """Wide and narrow reach, nodes that repeat, lie elsewhere, or have no place, and sources in several rows."""
+    rnd = random.Random(22)
+    n, step = span, 1 if span < 100 else 10**9
+    edges = [(i * step, (i + k) % n * step, float(rnd.randint(20, 200))) for i in range(n) for k in (1, 2)] + [(0, None, 3.0)]
+    nodes = [(i * step, i % 50 * 37, i // 50 * 41) for i in range(0, n, 3)] + [(0, 9, 900), (0, 9, 900), (None, 3, 3), (step, None, 5), (-7, 3, 3)]
+    edf, ndf = spark.createDataFrame(edges, EDGES), spark.createDataFrame(nodes, "node_id long, x long, y long")
+    src = spark.createDataFrame([(i * step,) for i in range(0, n, n // 20)] + [(None,), (77,)], SOURCES)
+    monkeypatch.setattr(task_search, "ROW_NODES", 5)
+    costs = paths.bounded_costs(src, edf, "w", cutoff=2500.0)
+    args = (ndf, 10, 25, [5, 10], modes)
+    got = network.coverage(costs, *args).collect()
+    with monkeypatch.context() as m:
+        m.setattr(task_search, "TASK_CELLS", 0)
+        want = network.coverage(costs, *args).collect()
+    assert len(got) > 20 and sorted(map(str, got)) == sorted(map(str, want))
+    assert costs.select("*").schema == costs.schema and task_search.states_of(costs.select("*")) is None
+
+
+def test_coverage_joins_no_states_that_tasks_hold(spark):
+    src, edges = _inputs(spark)
+    costs = paths.bounded_costs(src, edges, "w", cutoff=1.0)
+    nodes = spark.createDataFrame([(i * 10**9, i, i) for i in range(60)], "node_id long, x long, y long")
+    out = network.coverage(costs, nodes, 10, 25, [5])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "Join" not in plan
+    assert out.count() == costs.select("source").distinct().count()
+
+
+def test_band_limits_are_the_largest_costs():
+    import math
+
+    modes = {"a": 4.8, "b": 15.0, "c": 25.0, "d": 7.3, "e": 0.1}
+    limits = network.band_limits([5, 10, 7], modes)
+    assert limits == sorted(set(limits)) and len(limits) == 15
+    largest = [x for s in modes.values() for t in (5, 10, 7) for x in limits if x / (s * 1000.0 / 3600.0) <= t * 60.0 < math.nextafter(x, math.inf) / (s * 1000.0 / 3600.0)]
+    assert sorted(largest) == limits
